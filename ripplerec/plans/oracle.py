@@ -74,12 +74,151 @@ def hot_list() -> str:
                      body="SELECT rank, arg_max(item_id, window_end) AS item_id FROM ptop GROUP BY rank")
 
 
+def _hist_ctes(src: str = "rec", hist: int = K.HIST_LEN) -> str:
+    """E1 by its definition: the exploded (window, event) sequence per user,
+    last ``hist`` items at the last row of each window."""
+    slide_us = K.HIST_SLIDE_SEC * 1_000_000
+    k = K.HIST_WINDOW_SEC // K.HIST_SLIDE_SEC
+    return f"""
+hex AS (
+  SELECT user_id, item_id, ts_us, event_id,
+         CAST((ts_us // {slide_us} + 1 + unnest(range({k}))) * {K.HIST_SLIDE_SEC * 1000} AS BIGINT) AS window_end
+  FROM {src}),
+hseq AS (
+  SELECT user_id, window_end,
+         list(item_id) OVER (PARTITION BY user_id ORDER BY window_end, ts_us, event_id
+                             ROWS BETWEEN {hist - 1} PRECEDING AND CURRENT ROW) AS items,
+         row_number() OVER (PARTITION BY user_id, window_end ORDER BY ts_us DESC, event_id DESC) AS rn
+  FROM hex),
+hist AS (SELECT user_id, window_end, items FROM hseq WHERE rn = 1)"""
+
+
+def user_history() -> str:
+    return with_ctes(RECORDS, _hist_ctes(), body="SELECT user_id, window_end, items FROM hist")
+
+
+def full_history() -> str:
+    return with_ctes(RECORDS, _hist_ctes(),
+                     body=f"SELECT user_id, window_end, items FROM hist WHERE len(items) = {K.HIST_LEN}")
+
+
+def user_history_dedup() -> str:
+    slide_us = K.HIST_SLIDE_SEC * 1_000_000
+    k = K.HIST_WINDOW_SEC // K.HIST_SLIDE_SEC
+    return with_ctes(RECORDS, f"""
+pev AS (
+  SELECT user_id, ts_us, event_id,
+         list(item_id) OVER (PARTITION BY user_id ORDER BY ts_us, event_id
+                             ROWS BETWEEN {K.HIST_LEN - 1} PRECEDING AND CURRENT ROW) AS items
+  FROM rec),
+pex AS (
+  SELECT user_id, ts_us, event_id, items,
+         CAST((ts_us // {slide_us} + 1 + unnest(range({k}))) * {K.HIST_SLIDE_SEC * 1000} AS BIGINT) AS window_end
+  FROM pev)""", body="SELECT user_id, window_end, arg_max(items, ts_us) AS items FROM pex GROUP BY 1, 2")
+
+
+def user_windows() -> str:
+    slide_us = K.HIST_SLIDE_SEC * 1_000_000
+    k = K.HIST_WINDOW_SEC // K.HIST_SLIDE_SEC
+    return with_ctes(RECORDS, f"""
+wex AS (
+  SELECT user_id, item_id, ts_us, event_id,
+         CAST((ts_us // {slide_us} + 1 + unnest(range({k}))) * {K.HIST_SLIDE_SEC * 1000} AS BIGINT) AS window_end
+  FROM rec),
+wrn AS (SELECT *, row_number() OVER (PARTITION BY user_id, window_end ORDER BY ts_us DESC, event_id DESC) AS rn FROM wex)""",
+        body=f"""SELECT user_id, window_end, count(*) AS n_events,
+       list(item_id ORDER BY ts_us, event_id) FILTER (WHERE rn <= {K.HIST_LEN}) AS items
+FROM wrn GROUP BY 1, 2""")
+
+
+def build_id_map() -> str:
+    return with_ctes(RECORDS, MAPS, body="SELECT raw_id, dense_id FROM umap")
+
+
+def filter_min_interactions() -> str:
+    return with_ctes(RECORDS, MAPS, body=f"""
+SELECT event_id, user_id, item_id FROM rec
+WHERE user_id IN (SELECT raw_id FROM ucnt WHERE c >= {_SHARE} * (SELECT avg(c) FROM ucnt))""")
+
+
+def merge_features() -> str:
+    return """
+SELECT l.l_orderkey, l.l_linenumber, c.c_custkey, c.c_mktsegment, p.p_partkey, p.p_brand, l.l_quantity
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+     JOIN customer c ON o.o_custkey = c.c_custkey
+     JOIN part p ON l.l_partkey = p.p_partkey"""
+
+
+def map_ids() -> str:
+    return with_ctes(RECORDS, MAPS, body="SELECT event_id, user_id, item_id FROM mrec")
+
+
+def map_id_arrays() -> str:
+    return with_ctes(RECORDS, MAPS, _hist_ctes(), """
+hel AS (SELECT user_id, window_end, unnest(items) AS el, unnest(range(len(items))) AS pos FROM hist),
+hmap AS (
+  SELECT h.user_id, h.window_end,
+         list(CAST(coalesce(im.dense_id, (SELECT oov FROM ioov)) AS INTEGER) ORDER BY h.pos) AS items
+  FROM hel h LEFT JOIN imap im ON im.raw_id = h.el GROUP BY 1, 2)""",
+        body="""SELECT hist.user_id, hist.window_end, coalesce(hmap.items, []::INTEGER[]) AS items
+FROM hist LEFT JOIN hmap USING (user_id, window_end)""")
+
+
+def format_time() -> str:
+    return with_ctes(RECORDS, body="SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time FROM rec")
+
+
+def encode_wire() -> str:
+    return with_ctes(RECORDS, body="""
+SELECT event_id, concat_ws(',', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR),
+                           CAST(ts_us // 1000 AS VARCHAR)) AS line FROM rec""")
+
+
+def decode_records() -> str:
+    return with_ctes(RECORDS, MAPS, body="SELECT user_id, item_id, CAST(ts_us // 1000 AS BIGINT) AS time_ms FROM mrec")
+
+
+def explode_ranks() -> str:
+    return with_ctes(RECORDS, MAPS, _pop_counts(), _pop_top(K.TOP_N),
+                     body="SELECT window_end, rank, item_id FROM ptop")
+
+
+def _user_times() -> str:
+    slide_us = K.HIST_SLIDE_SEC * 1_000_000
+    k = K.HIST_WINDOW_SEC // K.HIST_SLIDE_SEC
+    return f"""
+qtimes AS (
+  SELECT DISTINCT CAST((ts_us // {slide_us} + 1 + unnest(range({k}))) * {K.HIST_SLIDE_SEC * 1000} AS BIGINT) AS t
+  FROM rec)"""
+
+
+def hot_list_asof() -> str:
+    return with_ctes(RECORDS, MAPS, _pop_counts(), _pop_top(K.TOP_N), _user_times(), f"""
+probe AS (SELECT t, CAST(unnest(range(1, {K.TOP_N + 1})) AS INTEGER) AS rank FROM qtimes)""",
+        body="""SELECT p.t, p.rank, w.item_id FROM probe p
+ASOF JOIN ptop w ON p.rank = w.rank AND p.t >= w.window_end""")
+
+
 ORACLES = {
     "sliding_counts": sliding_counts,
     "sliding_counts_paned": sliding_counts,
     "top_n_items": top_n_items,
     "rank_all_items": lambda: top_n_items(None),
     "hot_list": hot_list,
+    "build_id_map": build_id_map,
+    "filter_min_interactions": filter_min_interactions,
+    "merge_features": merge_features,
+    "map_ids": map_ids,
+    "map_id_arrays": map_id_arrays,
+    "format_time": format_time,
+    "encode_wire": encode_wire,
+    "decode_records": decode_records,
+    "explode_ranks": explode_ranks,
+    "user_windows": user_windows,
+    "user_history": user_history,
+    "user_history_dedup": user_history_dedup,
+    "full_history": full_history,
+    "hot_list_asof": hot_list_asof,
 }
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators.lookup import map_ids
@@ -48,10 +49,127 @@ def q_hot_list(spark, sf_dir):
     return hot_list(popular_items(fx.records, fx.item_map, K.TOP_N))
 
 
+# ---------------------------------------------------------------- lookups, prep
+
+def q_build_id_map(spark, sf_dir):
+    return Fixture(spark, sf_dir).user_map
+
+
+def q_filter_min_interactions(spark, sf_dir):
+    from ..operators.prep import filter_min_interactions
+    from .fixtures import VOCAB_MIN_SHARE
+    r = Fixture(spark, sf_dir).records
+    return filter_min_interactions(r, "user_id", min_share=VOCAB_MIN_SHARE) \
+        .select("event_id", "user_id", "item_id")
+
+
+def q_merge_features(spark, sf_dir):
+    from ..operators.prep import merge_features
+    fx = Fixture(spark, sf_dir)
+    li = fx.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    orders = fx.table("orders").select("o_orderkey", "o_custkey")
+    behaviour = li.join(orders, li["l_orderkey"] == orders["o_orderkey"]).drop("o_orderkey")
+    users = fx.table("customer").select("c_custkey", "c_mktsegment")
+    items = fx.table("part").select("p_partkey", "p_brand")
+    out = merge_features(behaviour, users, items, ("o_custkey", "c_custkey"), ("l_partkey", "p_partkey"))
+    return out.select("l_orderkey", "l_linenumber", "c_custkey", "c_mktsegment", "p_partkey",
+                      "p_brand", "l_quantity")
+
+
+def q_map_ids(spark, sf_dir):
+    from .popular import mapped_records
+    fx = Fixture(spark, sf_dir)
+    return mapped_records(fx.records, fx.user_map, fx.item_map).select("event_id", "user_id", "item_id")
+
+
+def q_map_id_arrays(spark, sf_dir):
+    from ..operators.history import user_history
+    from ..operators.lookup import map_id_arrays
+    fx = Fixture(spark, sf_dir)
+    h = user_history(fx.records)
+    return map_id_arrays(h, ["user_id", "window_end"], "items", fx.item_map)
+
+
+def q_format_time(spark, sf_dir):
+    from ..functions.scalar import format_time
+    r = Fixture(spark, sf_dir).records
+    return r.select("event_id", format_time(F.unix_millis("ts")).alias("time"))
+
+
+def q_encode_wire(spark, sf_dir):
+    from ..functions.scalar import encode_wire
+    r = Fixture(spark, sf_dir).records
+    return r.select("event_id", encode_wire("user_id", "item_id", F.unix_millis("ts")).alias("line"))
+
+
+def q_decode_records(spark, sf_dir):
+    from ..functions.scalar import encode_wire
+    from ..sources.events import decode_records
+    fx = Fixture(spark, sf_dir)
+    lines = fx.records.select("event_id", encode_wire("user_id", "item_id", F.unix_millis("ts")).alias("value"))
+    out = decode_records(lines, fx.user_map, fx.item_map)
+    return out.select("user_id", "item_id", "time_ms")
+
+
+def q_explode_ranks(spark, sf_dir):
+    from ..operators.ranking import explode_ranks
+    fx = Fixture(spark, sf_dir)
+    top = popular_items(fx.records, fx.item_map, K.TOP_N)
+    lists = top.groupBy("window_end").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "item_id"))).alias("r")) \
+        .select("window_end", F.transform("r", lambda x: x["item_id"]).alias("items"))
+    return explode_ranks(lists, "items", ["window_end"])
+
+
+# ---------------------------------------------------------------- windows, history
+
+def q_user_windows(spark, sf_dir):
+    from ..operators.history import user_windows
+    return user_windows(Fixture(spark, sf_dir).records)
+
+
+def q_user_history(spark, sf_dir):
+    from ..operators.history import user_history
+    return user_history(Fixture(spark, sf_dir).records)
+
+
+def q_user_history_dedup(spark, sf_dir):
+    from ..operators.history import user_history_dedup
+    return user_history_dedup(Fixture(spark, sf_dir).records)
+
+
+def q_full_history(spark, sf_dir):
+    from ..operators.history import full_history, user_history
+    return full_history(user_history(Fixture(spark, sf_dir).records))
+
+
+def q_hot_list_asof(spark, sf_dir):
+    from ..operators.history import user_windows
+    from ..operators.ranking import hot_list_asof
+    fx = Fixture(spark, sf_dir)
+    top = popular_items(fx.records, fx.item_map, K.TOP_N)
+    times = user_windows(fx.records).select(F.col("window_end").alias("t"))
+    return hot_list_asof(top, times, "t", K.TOP_N)
+
+
 QUERIES: dict[str, Query] = {
     "sliding_counts": q_sliding_counts,
     "sliding_counts_paned": q_sliding_counts_paned,
     "top_n_items": q_top_n_items,
     "rank_all_items": q_rank_all_items,
     "hot_list": q_hot_list,
+    "build_id_map": q_build_id_map,
+    "filter_min_interactions": q_filter_min_interactions,
+    "merge_features": q_merge_features,
+    "map_ids": q_map_ids,
+    "map_id_arrays": q_map_id_arrays,
+    "format_time": q_format_time,
+    "encode_wire": q_encode_wire,
+    "decode_records": q_decode_records,
+    "explode_ranks": q_explode_ranks,
+    "user_windows": q_user_windows,
+    "user_history": q_user_history,
+    "user_history_dedup": q_user_history_dedup,
+    "full_history": q_full_history,
+    "hot_list_asof": q_hot_list_asof,
 }
