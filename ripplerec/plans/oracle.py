@@ -199,6 +199,217 @@ probe AS (SELECT t, CAST(unnest(range(1, {K.TOP_N + 1})) AS INTEGER) AS rank FRO
 ASOF JOIN ptop w ON p.rank = w.rank AND p.t >= w.window_end""")
 
 
+# ------------------------------------------------------------------ scoring
+
+_D, _H, _P = EMBED_DIM, HIDDEN, K.HIST_LEN + 1
+
+
+def _w(j: str, i: str) -> str:
+    return f"CAST((((31*{j} + 17*({i})) % 19) - 9) AS DOUBLE) / 64.0"
+
+
+def _b(j: str) -> str:
+    return f"CAST((((7*{j}) % 11) - 5) AS DOUBLE) / 64.0"
+
+
+def _score_ctes() -> str:
+    """Full-history rows, vectors, and the fixture nets up to the actions.
+
+    Layer 1 is factorised: W1 . (u ++ v_1 .. v_10) = W1[:, u] . u + sum_p
+    W1[:, p] . v_p, with per-id projections computed once.  The weight rule
+    does not depend on the layer, so every 64x64 layer shares one matrix.
+    """
+    return "," .join([
+        """
+srec AS (SELECT raw_user AS user_id, item_id, ts_us, event_id FROM mrec)""",
+        _hist_ctes("srec"),
+        f"""
+fh AS (
+  SELECT h.user_id AS raw_user, CAST(coalesce(um.dense_id, (SELECT oov FROM uoov)) AS INTEGER) AS user_id,
+         h.window_end, h.items
+  FROM hist h LEFT JOIN umap um ON um.raw_id = h.user_id WHERE len(h.items) = {K.HIST_LEN}),
+uvec AS (SELECT um.dense_id AS id, CAST(e.embedding AS DOUBLE[]) AS vec FROM umap um JOIN embeddings e ON e.vec_id = um.raw_id),
+ivec AS (SELECT im.dense_id AS id, CAST(e.embedding AS DOUBLE[]) AS vec FROM imap im JOIN embeddings e ON e.vec_id = im.raw_id),
+zero AS (SELECT list_transform(range({_D}), lambda i: 0.0::DOUBLE) AS vec),
+uvec_all AS (SELECT id, vec FROM uvec UNION ALL SELECT (SELECT oov FROM uoov), vec FROM zero),
+ivec_all AS (SELECT id, vec FROM ivec UNION ALL SELECT (SELECT oov FROM ioov), vec FROM zero),
+wm AS (SELECT list(list_transform(range({_H}), lambda i: {_w('j', 'i')}) ORDER BY j) AS m,
+              list({_b('j')} ORDER BY j) AS b
+       FROM (SELECT unnest(range({_H})) AS j)),
+w1 AS (SELECT p, list(list_transform(range({_D}), lambda i: {_w('j', f'{_D}*p + i')}) ORDER BY j) AS m
+       FROM (SELECT j, unnest(range({_P})) AS p FROM (SELECT unnest(range({_H})) AS j)) GROUP BY p),
+uproj AS (SELECT u.id, list_transform(range({_H}), lambda j: list_dot_product(u.vec, w1.m[j+1])) AS s
+          FROM uvec_all u, w1 WHERE w1.p = 0),
+iproj AS (SELECT v.id, w1.p - 1 AS pos, list_transform(range({_H}), lambda j: list_dot_product(v.vec, w1.m[j+1])) AS s
+          FROM ivec_all v, w1 WHERE w1.p > 0),
+fel AS (SELECT raw_user, window_end, user_id, unnest(items) AS item, unnest(range({K.HIST_LEN})) AS pos FROM fh),
+parts AS (
+  SELECT f.raw_user, f.window_end, ip.s FROM fel f JOIN iproj ip ON ip.id = f.item AND ip.pos = f.pos
+  UNION ALL
+  SELECT f.raw_user, f.window_end, up.s FROM fh f JOIN uproj up ON up.id = f.user_id),
+pj AS (SELECT raw_user, window_end, unnest(s) AS v, unnest(range({_H})) AS j FROM parts),
+pre AS (SELECT raw_user, window_end, list(sv ORDER BY j) AS pre
+        FROM (SELECT raw_user, window_end, j, sum(v) AS sv FROM pj GROUP BY ALL) GROUP BY ALL),
+l1 AS (SELECT p.raw_user, p.window_end, p.pre,
+              list_transform(range({_H}), lambda j: greatest(0.0, p.pre[j+1] + wm.b[j+1])) AS h1 FROM pre p, wm),
+l2 AS (SELECT l1.raw_user, l1.window_end, l1.pre,
+              list_transform(range({_H}), lambda j: greatest(0.0, list_dot_product(l1.h1, wm.m[j+1]) + wm.b[j+1])) AS h2
+       FROM l1, wm),
+ddpg AS (SELECT l2.raw_user, l2.window_end, l2.pre,
+                list_transform(range({_D}), lambda j: list_dot_product(l2.h2, wm.m[j+1]) + wm.b[j+1]) AS action
+         FROM l2, wm)"""])
+
+
+def _rank_recs(src: str, k: int) -> str:
+    """(raw_user, window_end, item_id, score) -> top k list per row."""
+    return f"""
+rk AS (SELECT *, row_number() OVER (PARTITION BY raw_user, window_end ORDER BY score DESC, item_id ASC) AS rn FROM {src}),
+recs AS (SELECT fh.raw_user, fh.user_id, fh.window_end, fh.items,
+                CAST(list(rk.item_id ORDER BY rk.rn) AS INTEGER[]) AS item_rec
+         FROM fh JOIN rk ON rk.raw_user = fh.raw_user AND rk.window_end = fh.window_end AND rk.rn <= {k}
+         GROUP BY ALL)"""
+
+
+def _dot_scores(action_src: str) -> str:
+    return f"""
+sc AS (SELECT a.raw_user, a.window_end, v.id AS item_id, round(list_dot_product(a.action, v.vec), 9) AS score
+       FROM {action_src} a, ivec v)"""
+
+
+def _policy_scores() -> str:
+    return f"""
+whead AS (SELECT list(list_transform(range({_H}), lambda j: {_w('i', 'j')}) ORDER BY i) AS m, list({_b('i')} ORDER BY i) AS b
+          FROM (SELECT unnest(range((SELECT oov FROM ioov))) AS i)),
+logit AS (SELECT l2.raw_user, l2.window_end,
+                 list_transform(range(len(whead.b)), lambda i: list_dot_product(l2.h2, whead.m[i+1]) + whead.b[i+1]) AS z
+          FROM l2, whead),
+sc AS (SELECT raw_user, window_end, CAST(unnest(range(len(z))) AS INTEGER) AS item_id, round(unnest(z), 9) AS score FROM logit)"""
+
+
+def _bcq_actions() -> str:
+    return f"""
+wg AS (SELECT list(list_transform(range({_D}), lambda i: {_w('j', f'{_D * _P} + i')}) ORDER BY j) AS m
+       FROM (SELECT unnest(range({_H})) AS j)),
+p1 AS (SELECT d.raw_user, d.window_end, d.action AS gen,
+              list_transform(range({_H}), lambda j: greatest(0.0, d.pre[j+1] + list_dot_product(d.action, wg.m[j+1]) + wm.b[j+1])) AS h
+       FROM ddpg d, wg, wm),
+p2 AS (SELECT p1.raw_user, p1.window_end, p1.gen,
+              list_transform(range({_H}), lambda j: greatest(0.0, list_dot_product(p1.h, wm.m[j+1]) + wm.b[j+1])) AS h
+       FROM p1, wm),
+bcq AS (SELECT p2.raw_user, p2.window_end,
+               list_transform(range({_D}), lambda j: p2.gen[j+1] + {K.BCQ_PHI} * tanh(list_dot_product(p2.h, wm.m[j+1]) + wm.b[j+1])) AS action
+        FROM p2, wm)"""
+
+
+def _scoring_base() -> list[str]:
+    return [RECORDS, MAPS, _score_ctes()]
+
+
+def recommend_actor(k: int = K.N_REC) -> str:
+    return with_ctes(*_scoring_base(), _dot_scores("ddpg"), _rank_recs("sc", k),
+                     body="SELECT raw_user, user_id, window_end, item_rec FROM recs")
+
+
+def recommend_policy(k: int = K.N_REC) -> str:
+    return with_ctes(*_scoring_base(), _policy_scores(), _rank_recs("sc", k),
+                     body="SELECT raw_user, user_id, window_end, item_rec FROM recs")
+
+
+def recommend_constrained(k: int = K.N_REC) -> str:
+    return with_ctes(*_scoring_base(), _bcq_actions(), _dot_scores("bcq"), _rank_recs("sc", k),
+                     body="SELECT raw_user, user_id, window_end, item_rec FROM recs")
+
+
+def actor_action() -> str:
+    return with_ctes(*_scoring_base(), body="""
+SELECT raw_user, window_end, list_transform(action, lambda x: round(x, 6)) AS action FROM ddpg""")
+
+
+def topk_blocked(k: int = K.N_REC) -> str:
+    return with_ctes(*_scoring_base(), _dot_scores("ddpg"), body=f"""
+SELECT raw_user, window_end, CAST(rn AS INTEGER) AS rank, item_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY raw_user, window_end ORDER BY score DESC, item_id ASC) AS rn FROM sc)
+WHERE rn <= {k}""")
+
+
+def state_vector() -> str:
+    return with_ctes(*_scoring_base(), body=f"""
+SELECT f.raw_user, f.window_end,
+       list_concat(coalesce(u.vec, (SELECT vec FROM zero)),
+                   flatten(list(coalesce(v.vec, (SELECT vec FROM zero)) ORDER BY fe.pos))) AS state
+FROM fh f LEFT JOIN uvec u ON u.id = f.user_id
+     JOIN fel fe ON fe.raw_user = f.raw_user AND fe.window_end = f.window_end
+     LEFT JOIN ivec v ON v.id = fe.item
+GROUP BY f.raw_user, f.window_end, u.vec""")
+
+
+def scoring_requests() -> str:
+    return with_ctes(*_scoring_base(), body=f"""
+SELECT raw_user, window_end,
+       '{{"user": [' || CAST(user_id AS VARCHAR) || '], "n_rec": {K.N_REC}, "item": [[' ||
+       array_to_string(list_transform(items, lambda x: CAST(x AS VARCHAR)), ',') || ']]}}' AS request
+FROM fh""")
+
+
+def _hot_for(src_times: str) -> str:
+    return f"""
+qt AS (SELECT DISTINCT window_end AS t FROM {src_times}),
+probe AS (SELECT t, CAST(unnest(range(1, {K.TOP_N + 1})) AS INTEGER) AS rank FROM qt),
+hot AS (SELECT p.t, p.rank, w.item_id FROM probe p ASOF JOIN ptop w ON p.rank = w.rank AND p.t >= w.window_end)"""
+
+
+_REWARD = ("CASE WHEN prev IS NULL THEN -1 ELSE CAST(coalesce(list_sum(list_transform(prev, "
+           "lambda r: len(list_filter(items, lambda c: c = r)))), 0) AS INTEGER) END")
+
+
+def _pipeline(scored: list[str], rec_src: str, failed: bool, literal: bool = False,
+              n_rec: int = K.N_REC) -> list[str]:
+    if failed:
+        recs = "recs AS (SELECT raw_user, user_id, window_end, items, CAST(NULL AS INTEGER[]) AS item_rec FROM fh)"
+        extra = f"h.rank <= {n_rec}"
+    else:
+        recs = None
+        extra = f"h.rank <= {n_rec} - len(r.item_rec)"
+    part = "window_end, user_id" if literal else "user_id"
+    order = "raw_user" if literal else "window_end, raw_user"
+    ctes = [*scored, _pop_counts(), _pop_top(K.TOP_N), _hot_for("fh")]
+    if recs:
+        ctes.append(recs)
+    ctes.append(f"""
+filled AS (
+  SELECT r.raw_user, r.user_id, r.window_end, r.items,
+         list_concat(coalesce(r.item_rec, []::INTEGER[]),
+                     coalesce(list(h.item_id ORDER BY h.rank) FILTER (WHERE {extra}), []::INTEGER[])) AS item_rec
+  FROM recs r LEFT JOIN hot h ON h.t = r.window_end
+  GROUP BY r.raw_user, r.user_id, r.window_end, r.items, r.item_rec),
+rw AS (SELECT *, lag(item_rec) OVER (PARTITION BY {part} ORDER BY {order}) AS prev FROM filled)""")
+    return ctes
+
+
+_OUT = ("SELECT user_id, raw_user, window_end, strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M:%S') AS time, "
+        "item_rec, " + _REWARD + " AS last_reward FROM rw")
+
+
+def recommend_pipeline(k: int = K.N_REC) -> str:
+    scored = [*_scoring_base(), _dot_scores("ddpg"), _rank_recs("sc", k)]
+    return with_ctes(*_pipeline(scored, "recs", False), body=_OUT)
+
+
+def fallback_pipeline() -> str:
+    return with_ctes(*_pipeline([*_scoring_base()], "recs", True), body=_OUT)
+
+
+def last_reward_hot() -> str:
+    return with_ctes(*_pipeline([*_scoring_base()], "recs", True),
+                     body="SELECT user_id, raw_user, window_end, " + _REWARD + " AS last_reward FROM rw")
+
+
+def last_reward_literal() -> str:
+    scored = [*_scoring_base(), _dot_scores("ddpg"), _rank_recs("sc", K.N_REC)]
+    return with_ctes(*_pipeline(scored, "recs", False, literal=True),
+                     body="SELECT user_id, raw_user, window_end, " + _REWARD + " AS last_reward FROM rw")
+
+
 ORACLES = {
     "sliding_counts": sliding_counts,
     "sliding_counts_paned": sliding_counts,
@@ -219,6 +430,20 @@ ORACLES = {
     "user_history_dedup": user_history_dedup,
     "full_history": full_history,
     "hot_list_asof": hot_list_asof,
+    "actor_action": actor_action,
+    "recommend_actor": recommend_actor,
+    "recommend_policy": recommend_policy,
+    "recommend_constrained": recommend_constrained,
+    "recommend_state": recommend_actor,
+    "topk_per_key": topk_blocked,
+    "state_vector": state_vector,
+    "scoring_requests": scoring_requests,
+    "decode_scores": recommend_actor,
+    "fill_with_hot": lambda: recommend_pipeline(5),
+    "fallback_hot": fallback_pipeline,
+    "recommend_pipeline": recommend_pipeline,
+    "last_reward": last_reward_hot,
+    "last_reward_literal": last_reward_literal,
 }
 
 

@@ -152,6 +152,111 @@ def q_hot_list_asof(spark, sf_dir):
     return hot_list_asof(top, times, "t", K.TOP_N)
 
 
+# ---------------------------------------------------------------- scoring
+
+def _scoring(spark, sf_dir):
+    from . import recommend as R
+    fx = Fixture(spark, sf_dir)
+    catalog = R.fixture_catalog(fx)
+    rows = R.with_user_vectors(R.history_rows(fx.records, fx.user_map, fx.item_map), fx.user_vectors)
+    return fx, R, catalog, rows
+
+
+def _recommend_query(algo):
+    def q(spark, sf_dir):
+        from ..operators.scoring import model_for, recommend
+        fx, R, catalog, rows = _scoring(spark, sf_dir)
+        model = model_for(algo, R.fixture_models(len(catalog.ids)))
+        out = recommend(rows, model, catalog, K.N_REC)
+        return out.select("raw_user", "user_id", "window_end", "item_rec")
+    q.__name__ = f"q_recommend_{algo}"
+    return q
+
+
+def q_actor_action(spark, sf_dir):
+    from ..operators.scoring import actor_action
+    fx, R, catalog, rows = _scoring(spark, sf_dir)
+    out = actor_action(rows, R.fixture_models(len(catalog.ids))["ddpg"], catalog)
+    return out.select("raw_user", "window_end",
+                      F.transform("action", lambda x: F.round(x, 6)).alias("action"))
+
+
+def _state_rows(spark, sf_dir):
+    from ..operators.lookup import state_vector
+    from . import recommend as R
+    from .fixtures import EMBED_DIM
+    fx = Fixture(spark, sf_dir)
+    rows = R.history_rows(fx.records, fx.user_map, fx.item_map)
+    return fx, R, state_vector(rows, ["raw_user", "window_end"], "user_id", "items",
+                               fx.user_vectors, fx.item_vectors, EMBED_DIM)
+
+
+def q_state_vector(spark, sf_dir):
+    _, _, st = _state_rows(spark, sf_dir)
+    return st.select("raw_user", "window_end", "state")
+
+
+def q_recommend_state(spark, sf_dir):
+    from ..operators.scoring import recommend
+    fx, R, st = _state_rows(spark, sf_dir)
+    catalog = R.fixture_catalog(fx)
+    out = recommend(st, R.fixture_models(len(catalog.ids))["ddpg"], catalog, K.N_REC, state_col="state")
+    return out.select("raw_user", "user_id", "window_end", "item_rec")
+
+
+def q_topk_per_key(spark, sf_dir):
+    """Blocked (catalog not shipped) scoring; per-block winners merged by
+    ``topk_per_key``; exploded to (row, rank, item)."""
+    from ..operators.ranking import explode_ranks
+    from ..operators.scoring import recommend
+    fx, R, st = _state_rows(spark, sf_dir)
+    n_items = fx.item_map.count()
+    model = R.fixture_models(n_items)["ddpg"]
+    out = recommend(st, model, None, K.N_REC, state_col="state", item_vecs=fx.item_vectors,
+                    blocked=True, row_key=["raw_user", "window_end"], block_size=32, buckets=8)
+    return explode_ranks(out, "item_rec", ["raw_user", "window_end"])
+
+
+def q_scoring_requests(spark, sf_dir):
+    from ..functions.scalar import scoring_request
+    from . import recommend as R
+    fx = Fixture(spark, sf_dir)
+    rows = R.history_rows(fx.records, fx.user_map, fx.item_map)
+    return rows.select("raw_user", "window_end",
+                       scoring_request("user_id", "items", F.lit(K.N_REC)).alias("request"))
+
+
+def q_decode_scores(spark, sf_dir):
+    """Scores pass through the scorer's response text and back."""
+    from ..functions.scalar import decode_scores, encode_scores
+    out = _recommend_query("ddpg")(spark, sf_dir)
+    return out.withColumn("item_rec", decode_scores(encode_scores("item_rec")))
+
+
+def _pipeline_query(**kw):
+    def q(spark, sf_dir):
+        from .recommend import recommend_pipeline
+        return recommend_pipeline(Fixture(spark, sf_dir), **kw)
+    return q
+
+
+def q_last_reward(spark, sf_dir):
+    from .recommend import recommend_pipeline
+    out = recommend_pipeline(Fixture(spark, sf_dir), scorer_failed=True)
+    return out.select("user_id", "raw_user", "window_end", "last_reward")
+
+
+def q_last_reward_literal(spark, sf_dir):
+    from ..operators.history import last_reward_literal
+    from ..operators.fallback import attach_hot, fill_with_hot
+    from .recommend import scored_rows
+    fx = Fixture(spark, sf_dir)
+    rows = scored_rows(fx, "ddpg", K.N_REC).drop("user_vec")
+    rows = fill_with_hot(attach_hot(rows, popular_items(fx.records, fx.item_map, K.TOP_N)))
+    out = last_reward_literal(rows, "user_id", "window_end", "raw_user", "items", "item_rec")
+    return out.select("user_id", "raw_user", "window_end", "last_reward")
+
+
 QUERIES: dict[str, Query] = {
     "sliding_counts": q_sliding_counts,
     "sliding_counts_paned": q_sliding_counts_paned,
@@ -172,4 +277,18 @@ QUERIES: dict[str, Query] = {
     "user_history_dedup": q_user_history_dedup,
     "full_history": q_full_history,
     "hot_list_asof": q_hot_list_asof,
+    "actor_action": q_actor_action,
+    "recommend_actor": _recommend_query("ddpg"),
+    "recommend_policy": _recommend_query("reinforce"),
+    "recommend_constrained": _recommend_query("bcq"),
+    "recommend_state": q_recommend_state,
+    "topk_per_key": q_topk_per_key,
+    "state_vector": q_state_vector,
+    "scoring_requests": q_scoring_requests,
+    "decode_scores": q_decode_scores,
+    "fill_with_hot": _pipeline_query(k=5),
+    "fallback_hot": _pipeline_query(scorer_failed=True),
+    "recommend_pipeline": _pipeline_query(),
+    "last_reward": q_last_reward,
+    "last_reward_literal": q_last_reward_literal,
 }
