@@ -410,6 +410,67 @@ def last_reward_literal() -> str:
                      body="SELECT user_id, raw_user, window_end, " + _REWARD + " AS last_reward FROM rw")
 
 
+# ------------------------------------------------------------------ sinks, sources
+
+_TIME = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
+
+
+def record_log() -> str:
+    return with_ctes(RECORDS, MAPS, body=f"SELECT user_id AS user, item_id AS item, {_TIME} AS time FROM mrec")
+
+
+def user_consumed(literal: bool = False) -> str:
+    src = "mrec"
+    extra = ""
+    if literal:
+        extra = """,
+firstev AS (SELECT user_id, arg_min(event_id, (ts_us, event_id)) AS eid FROM mrec GROUP BY 1),
+kept AS (SELECT m.* FROM mrec m JOIN firstev f ON f.user_id = m.user_id WHERE m.event_id <> f.eid)"""
+        src = "kept"
+    return with_ctes(RECORDS, MAPS + extra + f""",
+users AS (SELECT DISTINCT user_id FROM mrec),
+fi AS (SELECT user_id, item_id, min((ts_us, event_id)) AS f FROM {src} GROUP BY 1, 2),
+ft AS (SELECT user_id, {_TIME} AS t, min((ts_us, event_id)) AS f FROM {src} GROUP BY 1, 2),
+li AS (SELECT user_id, list(item_id ORDER BY f) AS consumed FROM fi GROUP BY 1),
+lt AS (SELECT user_id, list(t ORDER BY f) AS time FROM ft GROUP BY 1)""",
+        body="""SELECT u.user_id AS "user", coalesce(li.consumed, []::INTEGER[]) AS consumed,
+       coalesce(lt.time, []::VARCHAR[]) AS time
+FROM users u LEFT JOIN li USING (user_id) LEFT JOIN lt USING (user_id)""")
+
+
+def unique_records() -> str:
+    return with_ctes(RECORDS, MAPS, body=f"""
+SELECT user_id AS "user", item_id AS item, strftime(arg_min(ts, (ts_us, event_id)), '%Y-%m-%d %H:%M:%S') AS time
+FROM mrec GROUP BY 1, 2""")
+
+
+def wire_messages() -> str:
+    return with_ctes(RECORDS, body="""
+SELECT CAST(user_id AS VARCHAR) AS key,
+       concat_ws(',', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(ts_us // 1000 AS VARCHAR)) AS value
+FROM rec""")
+
+
+def top_table() -> str:
+    return with_ctes(RECORDS, MAPS, _pop_counts(), _pop_top(K.TOP_N), body="""
+SELECT CAST(arg_max(item_id, window_end) AS INTEGER) AS item, CAST(rank AS VARCHAR) AS rank FROM ptop GROUP BY rank""")
+
+
+def read_events_csv() -> str:
+    return with_ctes(RECORDS, body="SELECT user_id, item_id, CAST(ts_us // 1000 AS BIGINT) AS time_ms FROM rec")
+
+
+def read_text_tolerant() -> str:
+    return "SELECT CAST(user_id AS INTEGER) AS c0, event_type AS c4 FROM events"
+
+
+def read_embeddings() -> str:
+    return with_ctes(RECORDS, MAPS, """
+uv AS (SELECT um.dense_id AS id, e.embedding AS vec FROM umap um JOIN embeddings e ON e.vec_id = um.raw_id),
+iv AS (SELECT im.dense_id AS id, e.embedding AS vec FROM imap im JOIN embeddings e ON e.vec_id = im.raw_id)""",
+        body="SELECT 'user' AS kind, id, vec FROM uv UNION ALL SELECT 'item' AS kind, id, vec FROM iv")
+
+
 ORACLES = {
     "sliding_counts": sliding_counts,
     "sliding_counts_paned": sliding_counts,
@@ -444,6 +505,16 @@ ORACLES = {
     "recommend_pipeline": recommend_pipeline,
     "last_reward": last_reward_hot,
     "last_reward_literal": last_reward_literal,
+    "record_log": record_log,
+    "user_consumed": user_consumed,
+    "user_consumed_literal": lambda: user_consumed(True),
+    "unique_records": unique_records,
+    "wire_messages": wire_messages,
+    "top_table": top_table,
+    "read_events_csv": read_events_csv,
+    "read_text_tolerant": read_text_tolerant,
+    "read_id_map": build_id_map,
+    "read_embeddings": read_embeddings,
 }
 
 

@@ -257,6 +257,92 @@ def q_last_reward_literal(spark, sf_dir):
     return out.select("user_id", "raw_user", "window_end", "last_reward")
 
 
+# ---------------------------------------------------------------- sinks
+
+def _mapped(fx):
+    from .popular import mapped_records
+    return mapped_records(fx.records, fx.user_map, fx.item_map)
+
+
+def q_record_log(spark, sf_dir):
+    from ..operators.sinks import record_log
+    return record_log(_mapped(Fixture(spark, sf_dir)))
+
+
+def q_user_consumed(spark, sf_dir):
+    from ..operators.sinks import user_consumed
+    return user_consumed(_mapped(Fixture(spark, sf_dir)))
+
+
+def q_user_consumed_literal(spark, sf_dir):
+    from ..operators.sinks import user_consumed_literal
+    return user_consumed_literal(_mapped(Fixture(spark, sf_dir)))
+
+
+def q_unique_records(spark, sf_dir):
+    from ..operators.sinks import unique_records
+    return unique_records(_mapped(Fixture(spark, sf_dir)))
+
+
+def q_wire_messages(spark, sf_dir):
+    from ..operators.sinks import wire_messages
+    return wire_messages(Fixture(spark, sf_dir).records)
+
+
+def q_top_table(spark, sf_dir):
+    from ..operators.sinks import top_table
+    fx = Fixture(spark, sf_dir)
+    return top_table(hot_list(popular_items(fx.records, fx.item_map, K.TOP_N)))
+
+
+# ---------------------------------------------------------------- file sources
+
+def _scratch(spark, name):
+    import uuid
+    from ..session import scratch_path
+    return scratch_path(spark, f"derived/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _write_behaviour_csv(fx, header: bool) -> str:
+    """Behaviour CSV derived from ``events``: user,item,value,time_ms,event_type."""
+    path = _scratch(fx.spark, "behaviour-csv")
+    rows = fx.table("events").select(
+        F.col("user_id").cast("string"), F.get_json_object("props", "$.k"),
+        F.col("value").cast("string"),
+        F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.col("event_type"))
+    rows.write.option("header", str(header).lower()).csv(path)
+    return path
+
+
+def q_read_events_csv(spark, sf_dir):
+    from ..sources.events import read_events_csv
+    fx = Fixture(spark, sf_dir)
+    return read_events_csv(spark, _write_behaviour_csv(fx, False)).select("user_id", "item_id", "time_ms")
+
+
+def q_read_text_tolerant(spark, sf_dir):
+    from ..sources.events import read_text_tolerant
+    fx = Fixture(spark, sf_dir)
+    return read_text_tolerant(spark, _write_behaviour_csv(fx, True))
+
+
+def q_read_id_map(spark, sf_dir):
+    from ..sources.dimensions import read_id_map, write_id_map
+    fx = Fixture(spark, sf_dir)
+    path = _scratch(spark, "user-map-json")
+    write_id_map(fx.user_map, path)
+    return read_id_map(spark, path)
+
+
+def q_read_embeddings(spark, sf_dir):
+    from ..sources.dimensions import read_embeddings, write_embeddings
+    from .fixtures import EMBED_DIM
+    fx = Fixture(spark, sf_dir)
+    path = _scratch(spark, "embeddings-json")
+    write_embeddings(fx.user_vectors, fx.item_vectors, path, EMBED_DIM)
+    return read_embeddings(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "sliding_counts": q_sliding_counts,
     "sliding_counts_paned": q_sliding_counts_paned,
@@ -291,4 +377,14 @@ QUERIES: dict[str, Query] = {
     "recommend_pipeline": _pipeline_query(),
     "last_reward": q_last_reward,
     "last_reward_literal": q_last_reward_literal,
+    "record_log": q_record_log,
+    "user_consumed": q_user_consumed,
+    "user_consumed_literal": q_user_consumed_literal,
+    "unique_records": q_unique_records,
+    "wire_messages": q_wire_messages,
+    "top_table": q_top_table,
+    "read_events_csv": q_read_events_csv,
+    "read_text_tolerant": q_read_text_tolerant,
+    "read_id_map": q_read_id_map,
+    "read_embeddings": q_read_embeddings,
 }
