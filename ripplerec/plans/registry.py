@@ -27,45 +27,45 @@ def _mapped_items(fx: Fixture) -> DataFrame:
 
 
 def q_sliding_counts(spark, sf_dir):
-    return _sliding_counts(_mapped_items(Fixture(spark, sf_dir)), "item_id")
+    return _sliding_counts(_mapped_items(Fixture.prepared(spark, sf_dir)), "item_id")
 
 
 def q_sliding_counts_paned(spark, sf_dir):
-    return _sliding_counts_paned(_mapped_items(Fixture(spark, sf_dir)), "item_id")
+    return _sliding_counts_paned(_mapped_items(Fixture.prepared(spark, sf_dir)), "item_id")
 
 
 def q_top_n_items(spark, sf_dir):
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     return popular_items(fx.records, fx.item_map, K.TOP_N)
 
 
 def q_rank_all_items(spark, sf_dir):
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     return popular_items(fx.records, fx.item_map, None)
 
 
 def q_hot_list(spark, sf_dir):
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     return hot_list(popular_items(fx.records, fx.item_map, K.TOP_N))
 
 
 # ---------------------------------------------------------------- lookups, prep
 
 def q_build_id_map(spark, sf_dir):
-    return Fixture(spark, sf_dir).user_map
+    return Fixture.prepared(spark, sf_dir).user_map
 
 
 def q_filter_min_interactions(spark, sf_dir):
     from ..operators.prep import filter_min_interactions
     from .fixtures import VOCAB_MIN_SHARE
-    r = Fixture(spark, sf_dir).records
+    r = Fixture.prepared(spark, sf_dir).records
     return filter_min_interactions(r, "user_id", min_share=VOCAB_MIN_SHARE) \
         .select("event_id", "user_id", "item_id")
 
 
 def q_merge_features(spark, sf_dir):
     from ..operators.prep import merge_features
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     li = fx.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     orders = fx.table("orders").select("o_orderkey", "o_custkey")
     behaviour = li.join(orders, li["l_orderkey"] == orders["o_orderkey"]).drop("o_orderkey")
@@ -78,34 +78,34 @@ def q_merge_features(spark, sf_dir):
 
 def q_map_ids(spark, sf_dir):
     from .popular import mapped_records
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     return mapped_records(fx.records, fx.user_map, fx.item_map).select("event_id", "user_id", "item_id")
 
 
 def q_map_id_arrays(spark, sf_dir):
     from ..operators.history import user_history
     from ..operators.lookup import map_id_arrays
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     h = user_history(fx.records)
     return map_id_arrays(h, ["user_id", "window_end"], "items", fx.item_map)
 
 
 def q_format_time(spark, sf_dir):
     from ..functions.scalar import format_time
-    r = Fixture(spark, sf_dir).records
+    r = Fixture.prepared(spark, sf_dir).records
     return r.select("event_id", format_time(F.unix_millis("ts")).alias("time"))
 
 
 def q_encode_wire(spark, sf_dir):
     from ..functions.scalar import encode_wire
-    r = Fixture(spark, sf_dir).records
+    r = Fixture.prepared(spark, sf_dir).records
     return r.select("event_id", encode_wire("user_id", "item_id", F.unix_millis("ts")).alias("line"))
 
 
 def q_decode_records(spark, sf_dir):
     from ..functions.scalar import encode_wire
     from ..sources.events import decode_records
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     lines = fx.records.select("event_id", encode_wire("user_id", "item_id", F.unix_millis("ts")).alias("value"))
     out = decode_records(lines, fx.user_map, fx.item_map)
     return out.select("user_id", "item_id", "time_ms")
@@ -113,7 +113,7 @@ def q_decode_records(spark, sf_dir):
 
 def q_explode_ranks(spark, sf_dir):
     from ..operators.ranking import explode_ranks
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     top = popular_items(fx.records, fx.item_map, K.TOP_N)
     lists = top.groupBy("window_end").agg(
         F.array_sort(F.collect_list(F.struct("rank", "item_id"))).alias("r")) \
@@ -125,28 +125,28 @@ def q_explode_ranks(spark, sf_dir):
 
 def q_user_windows(spark, sf_dir):
     from ..operators.history import user_windows
-    return user_windows(Fixture(spark, sf_dir).records)
+    return user_windows(Fixture.prepared(spark, sf_dir).records)
 
 
 def q_user_history(spark, sf_dir):
     from ..operators.history import user_history
-    return user_history(Fixture(spark, sf_dir).records)
+    return user_history(Fixture.prepared(spark, sf_dir).records)
 
 
 def q_user_history_dedup(spark, sf_dir):
     from ..operators.history import user_history_dedup
-    return user_history_dedup(Fixture(spark, sf_dir).records)
+    return user_history_dedup(Fixture.prepared(spark, sf_dir).records)
 
 
 def q_full_history(spark, sf_dir):
     from ..operators.history import full_history, user_history
-    return full_history(user_history(Fixture(spark, sf_dir).records))
+    return full_history(user_history(Fixture.prepared(spark, sf_dir).records))
 
 
 def q_hot_list_asof(spark, sf_dir):
     from ..operators.history import user_windows
     from ..operators.ranking import hot_list_asof
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     top = popular_items(fx.records, fx.item_map, K.TOP_N)
     times = user_windows(fx.records).select(F.col("window_end").alias("t"))
     return hot_list_asof(top, times, "t", K.TOP_N)
@@ -156,7 +156,7 @@ def q_hot_list_asof(spark, sf_dir):
 
 def _scoring(spark, sf_dir):
     from . import recommend as R
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     catalog = R.fixture_catalog(fx)
     rows = R.with_user_vectors(R.history_rows(fx.records, fx.user_map, fx.item_map), fx.user_vectors)
     return fx, R, catalog, rows
@@ -185,7 +185,7 @@ def _state_rows(spark, sf_dir):
     from ..operators.lookup import state_vector
     from . import recommend as R
     from .fixtures import EMBED_DIM
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     rows = R.history_rows(fx.records, fx.user_map, fx.item_map)
     return fx, R, state_vector(rows, ["raw_user", "window_end"], "user_id", "items",
                                fx.user_vectors, fx.item_vectors, EMBED_DIM)
@@ -220,7 +220,7 @@ def q_topk_per_key(spark, sf_dir):
 def q_scoring_requests(spark, sf_dir):
     from ..functions.scalar import scoring_request
     from . import recommend as R
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     rows = R.history_rows(fx.records, fx.user_map, fx.item_map)
     return rows.select("raw_user", "window_end",
                        scoring_request("user_id", "items", F.lit(K.N_REC)).alias("request"))
@@ -236,13 +236,13 @@ def q_decode_scores(spark, sf_dir):
 def _pipeline_query(**kw):
     def q(spark, sf_dir):
         from .recommend import recommend_pipeline
-        return recommend_pipeline(Fixture(spark, sf_dir), **kw)
+        return recommend_pipeline(Fixture.prepared(spark, sf_dir), **kw)
     return q
 
 
 def q_last_reward(spark, sf_dir):
     from .recommend import recommend_pipeline
-    out = recommend_pipeline(Fixture(spark, sf_dir), scorer_failed=True)
+    out = recommend_pipeline(Fixture.prepared(spark, sf_dir), scorer_failed=True)
     return out.select("user_id", "raw_user", "window_end", "last_reward")
 
 
@@ -250,7 +250,7 @@ def q_last_reward_literal(spark, sf_dir):
     from ..operators.history import last_reward_literal
     from ..operators.fallback import attach_hot, fill_with_hot
     from .recommend import scored_rows
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     rows = scored_rows(fx, "ddpg", K.N_REC).drop("user_vec")
     rows = fill_with_hot(attach_hot(rows, popular_items(fx.records, fx.item_map, K.TOP_N)))
     out = last_reward_literal(rows, "user_id", "window_end", "raw_user", "items", "item_rec")
@@ -266,32 +266,32 @@ def _mapped(fx):
 
 def q_record_log(spark, sf_dir):
     from ..operators.sinks import record_log
-    return record_log(_mapped(Fixture(spark, sf_dir)))
+    return record_log(_mapped(Fixture.prepared(spark, sf_dir)))
 
 
 def q_user_consumed(spark, sf_dir):
     from ..operators.sinks import user_consumed
-    return user_consumed(_mapped(Fixture(spark, sf_dir)))
+    return user_consumed(_mapped(Fixture.prepared(spark, sf_dir)))
 
 
 def q_user_consumed_literal(spark, sf_dir):
     from ..operators.sinks import user_consumed_literal
-    return user_consumed_literal(_mapped(Fixture(spark, sf_dir)))
+    return user_consumed_literal(_mapped(Fixture.prepared(spark, sf_dir)))
 
 
 def q_unique_records(spark, sf_dir):
     from ..operators.sinks import unique_records
-    return unique_records(_mapped(Fixture(spark, sf_dir)))
+    return unique_records(_mapped(Fixture.prepared(spark, sf_dir)))
 
 
 def q_wire_messages(spark, sf_dir):
     from ..operators.sinks import wire_messages
-    return wire_messages(Fixture(spark, sf_dir).records)
+    return wire_messages(Fixture.prepared(spark, sf_dir).records)
 
 
 def q_top_table(spark, sf_dir):
     from ..operators.sinks import top_table
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     return top_table(hot_list(popular_items(fx.records, fx.item_map, K.TOP_N)))
 
 
@@ -316,19 +316,19 @@ def _write_behaviour_csv(fx, header: bool) -> str:
 
 def q_read_events_csv(spark, sf_dir):
     from ..sources.events import read_events_csv
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     return read_events_csv(spark, _write_behaviour_csv(fx, False)).select("user_id", "item_id", "time_ms")
 
 
 def q_read_text_tolerant(spark, sf_dir):
     from ..sources.events import read_text_tolerant
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     return read_text_tolerant(spark, _write_behaviour_csv(fx, True))
 
 
 def q_read_id_map(spark, sf_dir):
     from ..sources.dimensions import read_id_map, write_id_map
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     path = _scratch(spark, "user-map-json")
     write_id_map(fx.user_map, path)
     return read_id_map(spark, path)
@@ -337,7 +337,7 @@ def q_read_id_map(spark, sf_dir):
 def q_read_embeddings(spark, sf_dir):
     from ..sources.dimensions import read_embeddings, write_embeddings
     from .fixtures import EMBED_DIM
-    fx = Fixture(spark, sf_dir)
+    fx = Fixture.prepared(spark, sf_dir)
     path = _scratch(spark, "embeddings-json")
     write_embeddings(fx.user_vectors, fx.item_vectors, path, EMBED_DIM)
     return read_embeddings(spark, path)
