@@ -22,6 +22,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -162,54 +164,119 @@ class ItemCatalog:
 
 # --------------------------------------------------------------------------- scoring core
 
+def _topk_index(r: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Column indices of the top k per row of rounded scores ``r``: score
+    desc, id asc.  Vectorised; exact even when ties cross the cut."""
+    n, m = r.shape
+    kk = min(k, m)
+    idm = np.broadcast_to(ids, r.shape)
+    if m <= 256:
+        return np.lexsort((idm, -r), axis=-1)[:, :kk]
+    c = min(m, kk + 32)
+    cand = np.argpartition(-r, c - 1, axis=1)[:, :c]
+    sub = np.take_along_axis(r, cand, 1)
+    o = np.lexsort((ids[cand], -sub), axis=-1)
+    sel = np.take_along_axis(cand, o, 1)[:, :kk]
+    if c < m:
+        # a tie at the k-th score that extends past the candidates: redo the
+        # row exactly (full sort) -- rare, and never drops a tied lower id
+        kth = np.take_along_axis(sub, o, 1)[:, kk - 1]
+        nxt = -np.partition(-r, c, axis=1)[:, c]
+        for row in np.nonzero(nxt >= kth)[0]:
+            sel[row] = np.lexsort((ids, -r[row]))[:kk]
+    return sel
+
+
 def _topk_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> list[list[int]]:
-    """Top k per row: rounded score desc, id asc."""
-    out = []
+    """Top k item ids per row: score rounded to 9 decimals desc, id asc."""
     if scores.shape[1] == 0:
         return [[] for _ in range(scores.shape[0])]
     r = np.round(scores, SCORE_DECIMALS)
-    kk = min(k, r.shape[1])
-    for row in r:
-        if kk < row.shape[0]:
-            # candidates: everything scoring >= the k-th best (keeps ties exact)
-            thr = np.partition(row, row.shape[0] - kk)[row.shape[0] - kk]
-            cand = np.nonzero(row >= thr)[0]
-        else:
-            cand = np.arange(row.shape[0])
-        order = np.lexsort((ids[cand], -row[cand]))[:kk]
-        out.append(ids[cand[order]].astype(np.int32).tolist())
+    return ids[_topk_index(r, ids, k)].astype(np.int32).tolist()
+
+
+def _matrix(arr, width: int, dtype=np.float64) -> np.ndarray:
+    """Fixed-width Arrow list column -> (rows, width) numpy matrix without a
+    Python loop; NULL lists become zero rows (the OOV rule)."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    n = len(arr)
+    out = np.zeros((n, width), dtype=dtype)
+    if n == 0:
+        return out
+    vals = arr.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False)
+    if arr.null_count:
+        valid = ~arr.is_null().to_numpy(zero_copy_only=False)
+        out[valid] = vals.reshape(-1, width)
+    else:
+        out[:] = vals.reshape(n, width)
     return out
 
 
-def _states(pdf: pd.DataFrame, state_col, user_vec_col, items_col, catalog, dim):
+def _width(arr) -> int:
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    lens = pc.list_value_length(arr).to_numpy(zero_copy_only=False)
+    lens = lens[~np.isnan(lens)] if lens.dtype.kind == "f" else lens
+    if len(lens) and (lens != lens[0]).any():
+        raise ValueError("rows must have equal-length arrays to be scored together")
+    return int(lens[0]) if len(lens) else 0
+
+
+def _states(batch: pa.RecordBatch, state_col, user_vec_col, items_col, catalog, dim):
     if state_col is not None:
-        return np.stack([np.asarray(v, dtype=np.float64) for v in pdf[state_col]])
-    u = np.stack([np.asarray(v, dtype=np.float64) if v is not None else np.zeros(dim)
-                  for v in pdf[user_vec_col]])
-    items = np.stack([np.asarray(v, dtype=np.int64) for v in pdf[items_col]])
-    g = catalog.gather[np.clip(items, 0, catalog.gather.shape[0] - 1)]
-    g[items >= catalog.gather.shape[0]] = 0.0
-    return np.concatenate([u, g.reshape(len(pdf), -1)], axis=1)
+        col = batch.column(state_col)
+        return _matrix(col, _width(col))
+    u = _matrix(batch.column(user_vec_col), dim)
+    items_arr = batch.column(items_col)
+    items = _matrix(items_arr, _width(items_arr), np.int64)
+    size = catalog.gather.shape[0]
+    g = catalog.gather[np.clip(items, 0, size - 1)]
+    g[items >= size] = 0.0
+    return np.concatenate([u, g.reshape(len(items), -1)], axis=1)
+
+
+def _rng_for(keys: np.ndarray | None, n: int, base_seed: int):
+    if keys is None:
+        rng = np.random.default_rng(base_seed)
+        return [rng] * n
+    return [np.random.default_rng([base_seed, *map(int, row)]) for row in keys]
 
 
-def _rng_for(pdf: pd.DataFrame, seed_cols, base_seed: int):
+def _seed_keys(batch: pa.RecordBatch, seed_cols) -> np.ndarray | None:
     if not seed_cols:
-        return [np.random.default_rng(base_seed)] * len(pdf)
-    keys = pdf[list(seed_cols)].astype(np.int64).to_numpy()
-    return [np.random.default_rng([base_seed, *map(int, row)]) for row in keys]
+        return None
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                     for c in seed_cols], axis=1)
 
 
-def _score_batch(model, pdf, state, catalog, k, seed_cols, base_seed):
+def _actions(model, state, seed_keys, base_seed):
     if isinstance(model, ConstrainedModel) and model.noise:
-        # per-row generators: a row's noise depends only on its own key
-        rngs = _rng_for(pdf, seed_cols, base_seed)
-        acts = np.concatenate([model.action(state[i:i + 1], rngs[i]) for i in range(len(pdf))]) \
-            if len(pdf) else np.zeros((0, catalog.dim))
-        scores = acts @ catalog.matrix.T
-    else:
-        scores = model.scores(state, catalog.matrix)
-    ids = catalog.ids if not isinstance(model, PolicyModel) else np.arange(scores.shape[1])
-    return _topk_rows(scores, ids, k)
+        # a row's noise depends only on its own key: one generator per row,
+        # then one batched forward pass
+        rngs = _rng_for(seed_keys, len(state), base_seed)
+        z = np.stack([rng.standard_normal(model.latent) for rng in rngs]) if len(state) else \
+            np.zeros((0, model.latent))
+        return model.action(state, _FixedNoise(z))
+    return model.action(state)
+
+
+class _FixedNoise:
+    def __init__(self, z):
+        self.z = z
+
+    def standard_normal(self, shape):
+        return self.z
+
+
+def _fixed_lists(mat: np.ndarray, pa_type) -> pa.Array:
+    n, w = mat.shape
+    offsets = pa.array(np.arange(0, n * w + 1, w, dtype=np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(mat.reshape(-1), type=pa_type))
+
+
+def _passthrough(df: DataFrame, drop: list[str]) -> list[str]:
+    return [c for c in df.columns if c not in drop]
 
 
 def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int = K.N_REC,
@@ -223,24 +290,42 @@ def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int =
 
     Input: either ``state_col`` (G5, a ready state vector) or a user vector
     column plus a history of dense item ids (the state is built in the task
-    from the catalog matrix).  ``blocked=True`` scores against ``item_vecs``
-    without shipping the catalog (needs ``row_key`` and ``state_col``).
+    from the catalog matrix).  Vector inputs are consumed, not echoed back.
+    ``blocked=True`` scores against ``item_vecs`` without shipping the
+    catalog (needs ``row_key`` and ``state_col``).
+
+    Runs as ``mapInArrow``: list columns become numpy matrices without a
+    per-row Python step, and the result list column is built in Arrow.
     """
     if blocked:
         return _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key,
                                   block_size, buckets, seed_cols, base_seed)
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    drop = [state_col] if state_col else [user_vec_col]
+    keep = _passthrough(df, drop)
+    schema = T.StructType([df.schema[c] for c in keep] +
+                          [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     dim = catalog.dim
 
     def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            st = _states(pdf, state_col, user_vec_col, items_col, catalog, dim)
-            pdf[out_col] = _score_batch(model, pdf, st, catalog, k, seed_cols, base_seed)
-            yield pdf
+            st = _states(batch, state_col, user_vec_col, items_col, catalog, dim)
+            if isinstance(model, PolicyModel):
+                scores = model.scores(st, None)
+                ids = np.arange(scores.shape[1])
+            else:
+                act = _actions(model, st, _seed_keys(batch, seed_cols), base_seed)
+                scores = act @ catalog.matrix.T
+                ids = catalog.ids
+            if scores.shape[1] == 0:
+                top = np.zeros((batch.num_rows, 0), dtype=np.int32)
+            else:
+                top = ids[_topk_index(np.round(scores, SCORE_DECIMALS), ids, k)].astype(np.int32)
+            cols = [batch.column(c) for c in keep] + [_fixed_lists(top, pa.int32())]
+            yield pa.RecordBatch.from_arrays(cols, names=keep + [out_col])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def actor_action(df: DataFrame, model, catalog: ItemCatalog | None = None,
@@ -248,23 +333,22 @@ def actor_action(df: DataFrame, model, catalog: ItemCatalog | None = None,
                  state_col: str | None = None, out_col: str = "action",
                  seed_cols: tuple[str, ...] = (), base_seed: int = 0) -> DataFrame:
     """G1: the model's action vector per row (ARRAY<DOUBLE>)."""
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
+    drop = [state_col] if state_col else [user_vec_col]
+    keep = _passthrough(df, drop)
+    schema = T.StructType([df.schema[c] for c in keep] +
+                          [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
     dim = catalog.dim if catalog is not None else None
 
     def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            st = _states(pdf, state_col, user_vec_col, items_col, catalog, dim)
-            if isinstance(model, ConstrainedModel) and model.noise:
-                rngs = _rng_for(pdf, seed_cols, base_seed)
-                act = np.concatenate([model.action(st[i:i + 1], rngs[i]) for i in range(len(pdf))])
-            else:
-                act = model.action(st)
-            pdf[out_col] = list(act)
-            yield pdf
+            st = _states(batch, state_col, user_vec_col, items_col, catalog, dim)
+            act = _actions(model, st, _seed_keys(batch, seed_cols), base_seed)
+            cols = [batch.column(c) for c in keep] + [_fixed_lists(act, pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, names=keep + [out_col])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key, block_size,
@@ -300,12 +384,12 @@ def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key, blo
         M = np.stack([np.asarray(v, dtype=np.float64) for v in it["vec"]])
         ids = it["id"].to_numpy(dtype=np.int64)
         s = np.round(A @ M.T, SCORE_DECIMALS)
-        rows = []
-        for r, top in enumerate(_topk_rows(s, ids, k)):
-            pos = {int(i): j for j, i in enumerate(ids)}
-            for i in top:
-                rows.append((*[a[c].iloc[r] for c in row_key], int(i), float(s[r, pos[i]])))
-        return pd.DataFrame(rows, columns=[*row_key, "item_id", "score"])
+        sel = _topk_index(s, ids, k)
+        kk = sel.shape[1]
+        out = {c: np.repeat(a[c].to_numpy(), kk) for c in row_key}
+        out["item_id"] = ids[sel].reshape(-1).astype(np.int32)
+        out["score"] = np.take_along_axis(s, sel, 1).reshape(-1)
+        return pd.DataFrame(out)
 
     local = acts.groupBy("_bucket", "_block").cogroup(items.groupBy("_bucket", "_block")) \
         .applyInPandas(score_group, out_schema)
