@@ -23,15 +23,22 @@ def _last_n(arr: Column, n: int) -> Column:
     return F.slice(arr, F.greatest(F.size(arr) - F.lit(n - 1), F.lit(1)), n)
 
 
-def _tails(rows: DataFrame, keys: list[str], n: int, item: str = "item_id") -> DataFrame:
-    """Last ``n`` items per ``keys`` group in (ts, event_id) order + group size."""
+def _tails(rows: DataFrame, keys: list[str], n: int, item: str = "item_id",
+           with_sizes: bool = False) -> DataFrame:
+    """Last ``n`` items per ``keys`` group in (ts, event_id) order (+ group
+    size).  The row-number limit runs partially before the shuffle
+    (WindowGroupLimit), so a group sends at most ``n`` rows per map task; the
+    size is a separate partial-aggregate count, which keeps that limit in
+    place (any other window function over the group would disable it)."""
     w = Window.partitionBy(*keys).orderBy(F.col("ts").desc(), F.col("event_id").desc())
     tail = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
-    items = tail.groupBy(*keys).agg(
+    out = tail.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("ts", "event_id", item))).alias("_ev"))
-    items = items.select(*keys, F.transform("_ev", lambda e: e[item]).alias("items"))
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_events"))
-    return sizes.join(items, keys)
+    out = out.select(*keys, F.transform("_ev", lambda e: e[item]).alias("items"))
+    if with_sizes:
+        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_events"))
+        out = sizes.join(out, keys)
+    return out
 
 
 def user_windows(records: DataFrame, key: str = "user_id", keep: int = K.HIST_LEN,
@@ -39,7 +46,8 @@ def user_windows(records: DataFrame, key: str = "user_id", keep: int = K.HIST_LE
     """C4 (batch): per (user, 60 s / 20 s window) -> (key, window_end ms,
     n_events, items = the window's last ``keep`` items in event order)."""
     ex = assign_windows(records.select(key, "item_id", "ts", "event_id"), window_sec, slide_sec)
-    return _tails(ex, [key, "window_end"], keep).select(key, "window_end", "n_events", "items")
+    return _tails(ex, [key, "window_end"], keep, with_sizes=True) \
+        .select(key, "window_end", "n_events", "items")
 
 
 def user_history(records: DataFrame, key: str = "user_id", hist: int = K.HIST_LEN,
@@ -53,7 +61,8 @@ def user_history(records: DataFrame, key: str = "user_id", hist: int = K.HIST_LE
     is the last ``hist`` items of the concatenated tails of the user's last
     ``hist`` windows.  -> (key, window_end, items).
     """
-    tails = user_windows(records, key, hist, window_sec, slide_sec)
+    ex = assign_windows(records.select(key, "item_id", "ts", "event_id"), window_sec, slide_sec)
+    tails = _tails(ex, [key, "window_end"], hist)
     w = Window.partitionBy(key).orderBy("window_end").rowsBetween(-(hist - 1), 0)
     return tails.select(key, "window_end",
                         _last_n(F.flatten(F.collect_list("items").over(w)), hist).alias("items"))
