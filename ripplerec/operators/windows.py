@@ -19,7 +19,10 @@ def with_event_time(df: DataFrame, lateness: str = K.POP_LATENESS, ts: str = "ts
 
     On a batch frame the watermark is a no-op; on a stream it bounds state and
     drops rows later than the bound (C6), which Spark reports as
-    ``numRowsDroppedByWatermark`` in the query progress.
+    ``numRowsDroppedByWatermark`` in the query progress.  When several
+    stateful operators are chained, Spark tests lateness against the
+    previous micro-batch's watermark, so a drop can lag one batch behind
+    the reference's (per-record) watermark.
     """
     if dict(df.dtypes).get(ts) == "timestamp_ntz":
         df = df.withColumn(ts, F.col(ts).cast("timestamp"))
