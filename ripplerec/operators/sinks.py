@@ -82,9 +82,12 @@ def unique_records(records: DataFrame, strict: bool = False) -> DataFrame:
     agg = records.groupBy(F.col("user_id").alias("user"), F.col("item_id").alias("item")).agg(
         F.min_by(F.unix_millis("ts"), F.struct("ts", "event_id")).alias("_ms"),
         F.count(F.lit(1)).alias("_n"))
+    time = format_time("_ms")
     if strict:
-        agg = agg.withColumn("_ok", F.assert_true(F.col("_n") == 1, "duplicate primary key (user, item)"))
-    return agg.select("user", "item", format_time("_ms").alias("time"))
+        # part of an output column, so the check cannot be pruned away
+        time = F.when(F.col("_n") == 1, time).otherwise(
+            F.raise_error(F.lit("duplicate primary key (user, item)")))
+    return agg.select("user", "item", time.alias("time"))
 
 
 def wire_messages(records: DataFrame, key: str | None = "user_id") -> DataFrame:
