@@ -19,9 +19,14 @@ def _hot_items_upto(hot: Column, upto: Column) -> Column:
 
 
 def attach_hot(df: DataFrame, top: DataFrame, time_col: str = "window_end",
-               n: int = K.TOP_N) -> DataFrame:
-    """Join each row to the hot list as of its time (equi join on time)."""
-    asof = hot_list_asof(top, df.select(F.col(time_col).alias("t")), "t", n)
+               n: int = K.TOP_N, times: DataFrame | None = None) -> DataFrame:
+    """Join each row to the hot list as of its time (equi join on time).
+
+    ``times`` (column ``t``) may give a cheaper superset of the rows' times
+    (e.g. derived from the events) so that ``df`` is not computed twice.
+    """
+    probe = times if times is not None else df.select(F.col(time_col).alias("t"))
+    asof = hot_list_asof(top, probe, "t", n)
     hot = hot_arrays(asof).withColumnRenamed("t", time_col)
     return df.join(hot, time_col, "left").withColumn(
         "hot", F.coalesce(F.col("hot"), F.array().cast("array<struct<rank:int,item:int>>")))

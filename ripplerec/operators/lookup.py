@@ -49,24 +49,39 @@ def map_id_arrays(df: DataFrame, keys: list[str], col: str, id_map: DataFrame,
 
 def state_vector(df: DataFrame, keys: list[str], user_col: str, items_col: str,
                  user_vecs: DataFrame, item_vecs: DataFrame, dim: int,
-                 out_col: str = "state") -> DataFrame:
+                 out_col: str = "state", width: int | None = None) -> DataFrame:
     """User vector ++ each history item's vector, in history order.
 
     ``user_vecs``/``item_vecs`` are (id INT, vec ARRAY<FLOAT>).  Ids without a
     vector get zeros (the OOV rule, SURVEY Q9).  Result ARRAY<DOUBLE> of
     ``dim * (1 + len(items))``.
+
+    ``width`` (fixed history length): one lookup join per position -- Spark
+    broadcasts the vector table when its measured size allows (no shuffle)
+    and sort-merge joins it otherwise.  Without ``width``: items are exploded
+    with their position, joined, and gathered back in order (a regroup
+    shuffle of the exploded rows).
     """
     zero = F.array_repeat(F.lit(0.0).cast("double"), dim)
     as_double = lambda c: F.transform(c, lambda x: x.cast("double"))
     uv = user_vecs.select(F.col("id").alias("_uid"), as_double(F.col("vec")).alias("_uvec"))
+    base = df.join(uv, df[user_col] == uv["_uid"], "left").drop("_uid") \
+        .withColumn("_uvec", F.coalesce("_uvec", zero))
+    if width is not None:
+        out = base
+        parts = [F.col("_uvec")]
+        for p in range(width):
+            v = item_vecs.select(F.col("id").alias(f"_i{p}"), as_double(F.col("vec")).alias(f"_v{p}"))
+            out = out.join(v, F.col(items_col).getItem(p) == F.col(f"_i{p}"), "left").drop(f"_i{p}")
+            parts.append(F.coalesce(F.col(f"_v{p}"), zero))
+        return out.withColumn(out_col, F.concat(*parts)) \
+            .drop("_uvec", *[f"_v{p}" for p in range(width)])
     iv = item_vecs.select(F.col("id").alias("_iid"), as_double(F.col("vec")).alias("_ivec"))
     exploded = df.select(*keys, F.posexplode(items_col).alias("_pos", "_iid"))
     with_vec = exploded.join(iv, "_iid", "left").withColumn("_ivec", F.coalesce("_ivec", zero))
     items = with_vec.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("_pos", "_ivec"))).alias("_pairs"))
     items = items.select(*keys, F.flatten(F.transform("_pairs", lambda p: p["_ivec"])).alias("_items"))
-    base = df.join(uv, df[user_col] == uv["_uid"], "left").drop("_uid") \
-        .withColumn("_uvec", F.coalesce("_uvec", zero))
     out = base.join(items, on=keys, how="left")
     return out.withColumn(out_col, F.concat(F.col("_uvec"), F.coalesce(
         F.col("_items"), F.array().cast("array<double>")))).drop("_uvec", "_items")

@@ -83,13 +83,30 @@ class Fixture:
     def records(self) -> DataFrame:
         return self._get("records", lambda: read_records(self.spark, self.sf_dir))
 
+    @property
+    def id_counts(self) -> DataFrame:
+        """(kind, id, cnt) for users and items from one aggregation over the
+        events (partial aggregation before the shuffle), written once."""
+        def build():
+            pairs = self.records.select(F.explode(F.array(
+                F.struct(F.lit("user").alias("kind"), F.col("user_id").cast("bigint").alias("id")),
+                F.struct(F.lit("item").alias("kind"), F.col("item_id").cast("bigint").alias("id")))
+            ).alias("p")).select("p.*")
+            return materialize(pairs.groupBy("kind", "id").agg(F.count(F.lit(1)).alias("cnt")))
+        return self._get("id_counts", build)
+
+    def _map(self, kind: str) -> DataFrame:
+        counts = self.id_counts.where(F.col("kind") == kind).select("id", "cnt")
+        keep = counts.where(F.col("cnt") >= F.lit(VOCAB_MIN_SHARE) * counts.select(F.avg("cnt")).scalar())
+        return materialize(build_id_map(keep, "id"))
+
     @property
     def user_map(self) -> DataFrame:
-        return self._get("user_map", lambda: materialize(user_map(self.records)))
+        return self._get("user_map", lambda: self._map("user"))
 
     @property
     def item_map(self) -> DataFrame:
-        return self._get("item_map", lambda: materialize(item_map(self.records)))
+        return self._get("item_map", lambda: self._map("item"))
 
     def vectors(self, id_map: DataFrame) -> DataFrame:
         """(id = dense id, vec ARRAY<FLOAT>) from the raw id's embedding row."""

@@ -19,12 +19,27 @@ from ..functions.scalar import format_time
 from ..operators.fallback import attach_hot, fallback_hot, fill_with_hot
 from ..operators.history import full_history, last_reward, user_history
 from ..operators.lookup import map_ids
+from ..operators.windows import assign_windows
+from ..session import ensure_checkpoint_dir
 from ..operators.scoring import (ActorModel, ConstrainedModel, ItemCatalog, Layer, PolicyModel,
                                  recommend)
 from .fixtures import EMBED_DIM, HIDDEN, Fixture, dyadic_matrix
 from .popular import popular_items
 
 
+def window_end_times(records: DataFrame, window_sec: int = K.HIST_WINDOW_SEC,
+                     slide_sec: int = K.HIST_SLIDE_SEC) -> DataFrame:
+    """Every history window end that any event opens (a superset of the
+    recommendation times), straight from the events: (t)."""
+    return assign_windows(records.select("ts"), window_sec, slide_sec) \
+        .select(F.col("window_end").alias("t")).distinct()
+
+
+def checkpoint_rows(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def history_rows(records: DataFrame, user_map: DataFrame, item_map: DataFrame,
                  hist: int = K.HIST_LEN) -> DataFrame:
     """(raw_user, user_id dense, window_end, items dense) for full histories."""
@@ -83,8 +98,12 @@ def recommend_pipeline(fx: Fixture, algo: str = "ddpg", n_rec: int = K.N_REC,
     else:
         rows = scored_rows(fx, algo, k or n_rec, noise).drop("user_vec")
     top = popular_items(fx.records, fx.item_map, K.TOP_N)
-    rows = attach_hot(rows, top, "window_end")
+    rows = attach_hot(rows, top, "window_end", times=window_end_times(fx.records))
     rows = fallback_hot(rows, n_rec) if scorer_failed else fill_with_hot(rows, n_rec)
+    # The reward reads the recommendations twice (within and across window
+    # ends): materialise them once in the checkpoint folder, as the
+    # reference's job writes them to its result store.
+    rows = checkpoint_rows(rows.drop("hot"))
     rows = last_reward(rows, "user_id", "window_end", "raw_user", "items", "item_rec")
     return rows.select("user_id", "raw_user", "window_end",
                        format_time("window_end").alias("time"), "item_rec", "last_reward")

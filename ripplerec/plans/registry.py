@@ -188,7 +188,7 @@ def _state_rows(spark, sf_dir):
     fx = Fixture.prepared(spark, sf_dir)
     rows = R.history_rows(fx.records, fx.user_map, fx.item_map)
     return fx, R, state_vector(rows, ["raw_user", "window_end"], "user_id", "items",
-                               fx.user_vectors, fx.item_vectors, EMBED_DIM)
+                               fx.user_vectors, fx.item_vectors, EMBED_DIM, width=K.HIST_LEN)
 
 
 def q_state_vector(spark, sf_dir):
@@ -252,7 +252,9 @@ def q_last_reward_literal(spark, sf_dir):
     from .recommend import scored_rows
     fx = Fixture.prepared(spark, sf_dir)
     rows = scored_rows(fx, "ddpg", K.N_REC).drop("user_vec")
-    rows = fill_with_hot(attach_hot(rows, popular_items(fx.records, fx.item_map, K.TOP_N)))
+    from .recommend import window_end_times
+    rows = fill_with_hot(attach_hot(rows, popular_items(fx.records, fx.item_map, K.TOP_N),
+                                    times=window_end_times(fx.records)))
     out = last_reward_literal(rows, "user_id", "window_end", "raw_user", "items", "item_rec")
     return out.select("user_id", "raw_user", "window_end", "last_reward")
 

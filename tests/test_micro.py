@@ -163,6 +163,9 @@ def test_state_vector_order_and_oov_zero(spark):
     got = {x["k"]: x["state"] for x in state_vector(df, ["k"], "u", "items", uv, iv, 2).collect()}
     assert got[9] == [1.0, 2.0, 5.0, 6.0, 3.0, 4.0, 5.0, 6.0]
     assert got[8] == [0.0, 0.0, 0.0, 0.0]
+    fixed = spark.createDataFrame([(0, 9, [1, 0]), (1, 8, [7, 1])], "u int, k int, items array<int>")
+    got = {x["k"]: x["state"] for x in state_vector(fixed, ["k"], "u", "items", uv, iv, 2, width=2).collect()}
+    assert got == {9: [1.0, 2.0, 5.0, 6.0, 3.0, 4.0], 8: [0.0, 0.0, 0.0, 0.0, 5.0, 6.0]}
 
 
 # ------------------------------------------------------------------ scalar functions
