@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from ..session import materialize
 from .ranking import topk_per_key
 
 MAX_BROADCAST_ITEMS = 2_000_000
@@ -364,40 +365,52 @@ def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key, blo
         raise ValueError("blocked scoring needs state_col and row_key")
     if isinstance(model, PolicyModel):
         raise ValueError("policy head scores items by weight rows; use a shipped catalog")
-    acts = actor_action(df.select(*row_key, state_col, *[c for c in seed_cols if c not in row_key]),
-                        model, None, state_col=state_col, out_col="_act",
-                        seed_cols=seed_cols, base_seed=base_seed)
-    acts = acts.select(*row_key, "_act").withColumn(
+    # One forward pass; the actions (and the rows' other columns) are written
+    # once because both the scoring and the final join read them.
+    acts_all = actor_action(df, model, None, state_col=state_col, out_col="_act",
+                            seed_cols=seed_cols, base_seed=base_seed)
+    acts_all = materialize(acts_all, "actions")
+    acts = acts_all.select(*row_key, "_act").withColumn(
         "_bucket", F.pmod(F.xxhash64(*row_key), F.lit(buckets)).cast("int"))
     n_blocks = item_vecs.select(F.max("id")).scalar()
     acts = acts.withColumn("_block", F.explode(F.sequence(
         F.lit(0), F.floor(n_blocks / F.lit(block_size)).cast("int"))))
     items = item_vecs.select("id", "vec").withColumn("_block", F.floor(F.col("id") / F.lit(block_size)).cast("int"))
     items = items.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*row_key).schema.fields)
-    out_schema = f"{key_schema}, item_id int, score double"
-
-    def score_group(a: pd.DataFrame, it: pd.DataFrame) -> pd.DataFrame:
-        if len(a) == 0 or len(it) == 0:
-            return pd.DataFrame({c: [] for c in [*row_key, "item_id", "score"]})
-        A = np.stack([np.asarray(v, dtype=np.float64) for v in a["_act"]])
-        M = np.stack([np.asarray(v, dtype=np.float64) for v in it["vec"]])
-        ids = it["id"].to_numpy(dtype=np.int64)
-        s = np.round(A @ M.T, SCORE_DECIMALS)
-        sel = _topk_index(s, ids, k)
+
+    key_fields = [df.schema[c] for c in row_key]
+    out_type = T.StructType(key_fields + [T.StructField("item_id", T.IntegerType()),
+                                          T.StructField("score", T.DoubleType())])
+    key_types = {c: _pa_type(df.schema[c].dataType) for c in row_key}
+    empty_types = {f.name: _pa_type(f.dataType) for f in out_type.fields}
+
+    def score_group(a: pa.Table, it: pa.Table) -> pa.Table:
+        if a.num_rows == 0 or it.num_rows == 0:
+            return pa.table({c: pa.array([], type=t) for c, t in empty_types.items()})
+        A = _matrix(a.column("_act"), _width(a.column("_act")))
+        M = _matrix(it.column("vec"), _width(it.column("vec")))
+        ids = it.column("id").to_numpy().astype(np.int64)
+        sc = np.round(A @ M.T, SCORE_DECIMALS)
+        sel = _topk_index(sc, ids, k)
         kk = sel.shape[1]
-        out = {c: np.repeat(a[c].to_numpy(), kk) for c in row_key}
-        out["item_id"] = ids[sel].reshape(-1).astype(np.int32)
-        out["score"] = np.take_along_axis(s, sel, 1).reshape(-1)
-        return pd.DataFrame(out)
+        cols = {c: pa.array(np.repeat(a.column(c).to_numpy(zero_copy_only=False), kk),
+                            type=key_types[c]) for c in row_key}
+        cols["item_id"] = pa.array(ids[sel].reshape(-1).astype(np.int32))
+        cols["score"] = pa.array(np.take_along_axis(sc, sel, 1).reshape(-1))
+        return pa.table(cols)
 
     local = acts.groupBy("_bucket", "_block").cogroup(items.groupBy("_bucket", "_block")) \
-        .applyInPandas(score_group, out_schema)
+        .applyInArrow(score_group, out_type)
     ranked = topk_per_key(local, row_key, "score", "item_id", k)
     merged = ranked.groupBy(*row_key).agg(
         F.array_sort(F.collect_list(F.struct("rank", "item_id"))).alias("_r"))
     merged = merged.select(*row_key, F.transform("_r", lambda x: x["item_id"]).alias(out_col))
-    return df.join(merged, row_key, "left")
+    return acts_all.drop("_act").join(merged, row_key, "left")
+
+
+def _pa_type(t):
+    return {"LongType": pa.int64(), "IntegerType": pa.int32(), "DoubleType": pa.float64(),
+            "StringType": pa.string(), "ShortType": pa.int16()}[type(t).__name__]
 
 
 def model_for(algo: str, models: dict):

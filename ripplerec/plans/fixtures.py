@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.prep import build_id_map, vocabulary
-from ..session import ensure_checkpoint_dir
+from ..session import materialize as write_table_once
 from ..sources.tables import read_records, read_table
 
 # FIXED VALUES for the fixtures (shared with the DuckDB oracles).
@@ -36,15 +36,14 @@ def item_map(records: DataFrame, min_share: float = VOCAB_MIN_SHARE) -> DataFram
     return build_id_map(vocabulary(records, "item_id", min_share=min_share), "item_id")
 
 
-def materialize(dim: DataFrame) -> DataFrame:
+def materialize(dim: DataFrame, name: str = "dim") -> DataFrame:
     """Write a derived dimension (one row per id) once and cut its lineage.
 
     The dictionaries are read several times per job (the join, the OOV code,
-    the vectors); a reliable checkpoint in ``spark.checkpoint.dir`` computes
-    them once and survives the loss of an executor.
+    the vectors); a table written in ``spark.checkpoint.dir`` computes them
+    once and survives the loss of an executor.
     """
-    ensure_checkpoint_dir(dim.sparkSession)
-    return dim.checkpoint(eager=True)
+    return write_table_once(dim, name)
 
 
 _PREPARED: dict[tuple[str, str], "Fixture"] = {}
@@ -92,13 +91,13 @@ class Fixture:
                 F.struct(F.lit("user").alias("kind"), F.col("user_id").cast("bigint").alias("id")),
                 F.struct(F.lit("item").alias("kind"), F.col("item_id").cast("bigint").alias("id")))
             ).alias("p")).select("p.*")
-            return materialize(pairs.groupBy("kind", "id").agg(F.count(F.lit(1)).alias("cnt")))
+            return materialize(pairs.groupBy("kind", "id").agg(F.count(F.lit(1)).alias("cnt")), "id_counts")
         return self._get("id_counts", build)
 
     def _map(self, kind: str) -> DataFrame:
         counts = self.id_counts.where(F.col("kind") == kind).select("id", "cnt")
         keep = counts.where(F.col("cnt") >= F.lit(VOCAB_MIN_SHARE) * counts.select(F.avg("cnt")).scalar())
-        return materialize(build_id_map(keep, "id"))
+        return materialize(build_id_map(keep, "id"), f"{kind}_map")
 
     @property
     def user_map(self) -> DataFrame:

@@ -20,7 +20,7 @@ from ..operators.fallback import attach_hot, fallback_hot, fill_with_hot
 from ..operators.history import full_history, last_reward, user_history
 from ..operators.lookup import map_ids
 from ..operators.windows import assign_windows
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from ..operators.scoring import (ActorModel, ConstrainedModel, ItemCatalog, Layer, PolicyModel,
                                  recommend)
 from .fixtures import EMBED_DIM, HIDDEN, Fixture, dyadic_matrix
@@ -36,8 +36,7 @@ def window_end_times(records: DataFrame, window_sec: int = K.HIST_WINDOW_SEC,
 
 
 def checkpoint_rows(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df, "recommendations")
 
 
 def history_rows(records: DataFrame, user_map: DataFrame, item_map: DataFrame,

@@ -75,3 +75,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as a Parquet table in the checkpoint folder and read
+    it back: lineage is cut, the data survives lost executors (shared
+    folder), it is computed exactly once, and Catalyst sees its real size
+    (so later joins broadcast it only when it is measured small)."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
