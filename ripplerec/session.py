@@ -20,6 +20,11 @@ _BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE merges small shuffle partitions down to this size.  Several stages
+    # expand rows after the shuffle (pane -> window ends, window -> history),
+    # so byte counts under-state their work; a small floor keeps them spread
+    # over the cores.  At cluster scale partitions are far above it anyway.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Broadcasts are decided on measured sizes: Catalyst plan statistics first,
     # AQE runtime shuffle sizes second; anything larger is sort-merge joined.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
