@@ -351,6 +351,22 @@ SELECT raw_user, window_end,
 FROM fh""")
 
 
+def scoring_requests_state() -> str:
+    return with_ctes(*_scoring_base(), f"""
+st AS (
+  SELECT f.raw_user, f.window_end, f.user_id,
+         list_concat(coalesce(u.vec, (SELECT vec FROM zero)),
+                     flatten(list(coalesce(v.vec, (SELECT vec FROM zero)) ORDER BY fe.pos))) AS state
+  FROM fh f LEFT JOIN uvec u ON u.id = f.user_id
+       JOIN fel fe ON fe.raw_user = f.raw_user AND fe.window_end = f.window_end
+       LEFT JOIN ivec v ON v.id = fe.item
+  GROUP BY f.raw_user, f.window_end, f.user_id, u.vec)""", body=f"""
+SELECT raw_user, window_end,
+       '{{"user": ' || CAST(user_id AS VARCHAR) || ', "n_rec": {K.N_REC}, "embedding": [[' ||
+       array_to_string(list_transform(state, lambda x: printf('%f', x)), ',') || ']]}}' AS request
+FROM st""")
+
+
 def _hot_for(src_times: str) -> str:
     return f"""
 qt AS (SELECT DISTINCT window_end AS t FROM {src_times}),
@@ -499,6 +515,7 @@ ORACLES = {
     "topk_per_key": topk_blocked,
     "state_vector": state_vector,
     "scoring_requests": scoring_requests,
+    "scoring_requests_state": scoring_requests_state,
     "decode_scores": recommend_actor,
     "fill_with_hot": lambda: recommend_pipeline(5),
     "fallback_hot": fallback_pipeline,

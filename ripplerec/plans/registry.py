@@ -226,6 +226,14 @@ def q_scoring_requests(spark, sf_dir):
                        scoring_request("user_id", "items", F.lit(K.N_REC)).alias("request"))
 
 
+def q_scoring_requests_state(spark, sf_dir):
+    """B8, embedding form: bare user id and six-decimal floats."""
+    from ..functions.scalar import scoring_request_state
+    _, _, st = _state_rows(spark, sf_dir)
+    return st.select("raw_user", "window_end",
+                     scoring_request_state("user_id", "state", F.lit(K.N_REC)).alias("request"))
+
+
 def q_decode_scores(spark, sf_dir):
     """Scores pass through the scorer's response text and back."""
     from ..functions.scalar import decode_scores, encode_scores
@@ -373,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "topk_per_key": q_topk_per_key,
     "state_vector": q_state_vector,
     "scoring_requests": q_scoring_requests,
+    "scoring_requests_state": q_scoring_requests_state,
     "decode_scores": q_decode_scores,
     "fill_with_hot": _pipeline_query(k=5),
     "fallback_hot": _pipeline_query(scorer_failed=True),
