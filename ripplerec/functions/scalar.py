@@ -25,13 +25,19 @@ def encode_wire(user, item, time_ms) -> Column:
                        _c(time_ms).cast("string"))
 
 
+def _strict(field: Column, kind: str, what: str) -> Column:
+    parsed = F.try_cast(field, kind) if hasattr(F, "try_cast") else field.try_cast(kind)
+    return F.when(parsed.isNull(), F.raise_error(F.lit(f"bad {what} in wire line"))).otherwise(parsed)
+
+
 def split_wire(line) -> Column:
-    """A4 helper: 'user,item,time' -> struct(user, item, time_ms); a bad
-    number fails the job (ANSI casts), like the reference's parse."""
+    """A4 helper: 'user,item,time' -> struct(user, item, time_ms); a bad or
+    missing number fails the job, like the reference's parse (independent of
+    the session's ANSI setting)."""
     parts = F.split(_c(line), K.WIRE_SEP)
-    return F.struct(parts.getItem(0).cast("bigint").alias("user_id"),
-                    parts.getItem(1).cast("int").alias("item_id"),
-                    parts.getItem(2).cast("bigint").alias("time_ms"))
+    return F.struct(_strict(parts.getItem(0), "bigint", "user").alias("user_id"),
+                    _strict(parts.getItem(1), "int", "item").alias("item_id"),
+                    _strict(parts.getItem(2), "bigint", "time").alias("time_ms"))
 
 
 def scoring_request(user, items, n_rec) -> Column:

@@ -20,10 +20,12 @@ _RAW = T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range
 
 def _strict_int(c, name, kind="int"):
     # A missing or non-numeric field fails the job, as the reference's
-    # Integer.valueOf / Long.valueOf would (ANSI cast + explicit null check).
+    # Integer.valueOf / Long.valueOf would -- whether or not ANSI casts are on.
     col = F.col(c)
-    return F.when(col.isNull(), F.raise_error(F.lit(f"missing field {c}"))) \
-        .otherwise(col.cast(kind)).alias(name)
+    parsed = F.expr(f"try_cast(trim({c}) AS {kind})")
+    return F.when(parsed.isNull(), F.raise_error(F.concat(
+        F.lit(f"bad number in field {c}: "), F.coalesce(col, F.lit("<missing>"))))) \
+        .otherwise(parsed).alias(name)
 
 
 def _parse_strict(raw: DataFrame) -> DataFrame:
