@@ -112,13 +112,17 @@ class Fixture:
         emb = self.table("embeddings").select(F.col("vec_id").alias("raw_id"), F.col("embedding").alias("vec"))
         return id_map.join(emb, "raw_id").select(F.col("dense_id").alias("id"), "vec")
 
+    # Vector tables are written once like the dictionaries: Catalyst then
+    # knows their real size, so a small catalog is broadcast from the start
+    # and a large one is sort-merge joined (a derived join's size estimate is
+    # otherwise unknown and AQE could only switch after the big side shuffled).
     @property
     def user_vectors(self) -> DataFrame:
-        return self._get("user_vectors", lambda: self.vectors(self.user_map))
+        return self._get("user_vectors", lambda: materialize(self.vectors(self.user_map), "user_vectors"))
 
     @property
     def item_vectors(self) -> DataFrame:
-        return self._get("item_vectors", lambda: self.vectors(self.item_map))
+        return self._get("item_vectors", lambda: materialize(self.vectors(self.item_map), "item_vectors"))
 
 
 def dyadic_matrix(out_dim: int, in_dim: int) -> tuple[np.ndarray, np.ndarray]:
