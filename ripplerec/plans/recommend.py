@@ -71,8 +71,12 @@ def fixture_models(n_items: int, dim: int = EMBED_DIM, hidden: int = HIDDEN,
 
 
 def fixture_catalog(fx: Fixture) -> ItemCatalog:
-    n = fx.item_map.count()
-    return ItemCatalog.from_frame(fx.item_vectors, EMBED_DIM, oov_id=n)
+    """The shipped catalog (row count checked in ``from_frame``), built once
+    per prepared fixture."""
+    if "catalog" not in fx._cache:
+        n = fx.item_map.count()
+        fx._cache["catalog"] = ItemCatalog.from_frame(fx.item_vectors, EMBED_DIM, oov_id=n)
+    return fx._cache["catalog"]
 
 
 def scored_rows(fx: Fixture, algo: str = "ddpg", k: int = K.N_REC, noise: bool = False,

@@ -48,11 +48,18 @@ def read_embeddings(spark: SparkSession, path: str, kind: str | None = None) ->
     return out.select("kind", F.col("id").cast("int").alias("id"), "vec")
 
 
-def write_embeddings(user_vecs: DataFrame, item_vecs: DataFrame, path: str, dim: int) -> None:
+MAX_JSON_EMBEDDING_ROWS = 1_000_000
+
+
+def write_embeddings(user_vecs: DataFrame, item_vecs: DataFrame, path: str, dim: int,
+                     max_rows: int = MAX_JSON_EMBEDDING_ROWS) -> None:
     """Write dense-id vectors in the reference's JSON layout (one object, rows
     indexed by dense id; ids with no vector get zeros).  The object holds
-    whole matrices, so this is for dictionaries small enough to ship as one
-    file -- large ones belong in Parquet ``(id, vec)`` tables."""
+    whole matrices in one task, so the row count is checked first; larger
+    tables belong in Parquet ``(id, vec)`` files (``df.write.parquet``)."""
+    n = user_vecs.count() + item_vecs.count()
+    if n > max_rows:
+        raise ValueError(f"{n} vectors exceed the single-object limit {max_rows}; write Parquet")
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
 
     def dense_rows(vecs: DataFrame, name: str) -> DataFrame:
