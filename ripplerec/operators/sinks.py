@@ -32,40 +32,41 @@ def record_log(records: DataFrame) -> DataFrame:
                           format_time(F.unix_millis("ts")).alias("time"))
 
 
-def _first_seen(records: DataFrame, value: Column) -> DataFrame:
-    """(user, v, first (ts, event_id)) -- a partial aggregate per (user, v)."""
-    return records.groupBy(F.col("user_id").alias("user"), value.alias("v")).agg(
-        F.min(F.struct("ts", "event_id")).alias("first"))
-
-
-def _ordered_sets(firsts: DataFrame, value_type: str) -> DataFrame:
-    return firsts.groupBy("user").agg(
-        F.array_sort(F.collect_list(F.struct("first", "v"))).alias("_s")) \
-        .select("user", F.transform("_s", lambda x: x["v"]).cast(f"array<{value_type}>").alias("vals"))
-
-
 def user_consumed(records: DataFrame, drop_first: bool = False) -> DataFrame:
     """per user, the set of items and the set of time texts, each in
     first-seen order (the two arrays are not aligned).
 
-    Duplicates are removed by (user, value) aggregation before anything is
-    grouped per user, so a user's row is built from distinct values only.
-    ``drop_first`` gives F3.
+    One stream of (user, kind, value, first-seen) rows -- a marker row per
+    user, one per item, one per time text -- is de-duplicated by a partial
+    aggregate on (user, kind, value) and collected once per user; the two
+    ordered sets are split out with array functions.  Two exchanges, no join.
+    A user's row holds only distinct values (items <= catalog, times <= the
+    seconds of its activity).  ``drop_first`` gives F3: the reference creates
+    the document on a user's first event and adds nothing from it (Q4).
     """
+    first = F.struct("ts", "event_id")
     rec = records.select("user_id", "item_id", "ts", "event_id",
                          format_time(F.unix_millis("ts")).alias("time"))
-    users = rec.groupBy(F.col("user_id").alias("user")).agg(
-        F.min(F.struct("ts", "event_id")).alias("_first"))
     if drop_first:
-        # The reference creates the document on a user's first event and
-        # adds nothing from it.
-        rec = rec.join(users.select(F.col("user").alias("user_id"), "_first"), "user_id") \
-            .where(F.struct("ts", "event_id") != F.col("_first")).drop("_first")
-    items = _ordered_sets(_first_seen(rec, F.col("item_id")), "int").withColumnRenamed("vals", "consumed")
-    times = _ordered_sets(_first_seen(rec, F.col("time")), "string").withColumnRenamed("vals", "time")
-    out = users.select("user").join(items, "user", "left").join(times, "user", "left")
-    return out.select("user", F.coalesce("consumed", F.array().cast("array<int>")).alias("consumed"),
-                      F.coalesce("time", F.array().cast("array<string>")).alias("time"))
+        users = rec.groupBy("user_id").agg(F.min(first).alias("_first"))
+        rec = rec.join(users, "user_id").where(first != F.col("_first")).drop("_first")
+        marker = users.select("user_id", F.lit("user").alias("kind"), F.lit(None).cast("string").alias("value"),
+                              F.col("_first").alias("first"))
+    else:
+        marker = rec.select("user_id", F.lit("user").alias("kind"), F.lit(None).cast("string").alias("value"),
+                            first.alias("first"))
+    values = rec.select("user_id", F.explode(F.array(
+        F.struct(F.lit("item").alias("kind"), F.col("item_id").cast("string").alias("value"), first.alias("first")),
+        F.struct(F.lit("time").alias("kind"), F.col("time").alias("value"), first.alias("first")))).alias("p")) \
+        .select("user_id", "p.kind", "p.value", "p.first")
+    pairs = marker.unionByName(values).groupBy("user_id", "kind", "value").agg(F.min("first").alias("first"))
+    per_user = pairs.groupBy(F.col("user_id").alias("user")).agg(
+        F.array_sort(F.collect_list(F.struct("first", "kind", "value"))).alias("_all"))
+
+    def values_of(kind: str):
+        return F.transform(F.filter("_all", lambda x: x["kind"] == kind), lambda x: x["value"])
+    return per_user.select("user", values_of("item").cast("array<int>").alias("consumed"),
+                          values_of("time").alias("time"))
 
 
 def user_consumed_literal(records: DataFrame) -> DataFrame:
