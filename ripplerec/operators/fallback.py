@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .ranking import hot_arrays, hot_list_asof
+from .ranking import hot_on_grid, snap
 
 
 def _hot_items_upto(hot: Column, upto: Column) -> Column:
@@ -19,16 +19,24 @@ def _hot_items_upto(hot: Column, upto: Column) -> Column:
 
 
 def attach_hot(df: DataFrame, top: DataFrame, time_col: str = "window_end",
-               n: int = K.TOP_N, times: DataFrame | None = None) -> DataFrame:
-    """Join each row to the hot list as of its time (equi join on time).
-
-    ``times`` (column ``t``) may give a cheaper superset of the rows' times
-    (e.g. derived from the events) so that ``df`` is not computed twice.
+               n: int = K.TOP_N, times: DataFrame | None = None,
+               grid_ms: int = K.POP_SLIDE_SEC * 1000) -> DataFrame:
+    """Attach to each row the hot list as of its time: ``hot`` =
+    ARRAY<STRUCT<rank, item>> in rank order (at most N entries).
+
+    Rows are joined by their grid point (writes happen only on the slide
+    grid), so no per-time expansion is needed.  ``times`` (column ``t``) may
+    give a cheaper superset of the rows' times (e.g. derived from the
+    events) so that ``df`` is not computed twice.
     """
-    probe = times if times is not None else df.select(F.col(time_col).alias("t"))
-    asof = hot_list_asof(top, probe, "t", n)
-    hot = hot_arrays(asof).withColumnRenamed("t", time_col)
-    return df.join(hot, time_col, "left").withColumn(
+    src = times.select(F.col("t").alias("_t")) if times is not None else \
+        df.select(F.col(time_col).alias("_t"))
+    grid = src.select(snap("_t", grid_ms).alias("g")).distinct()
+    hot = hot_on_grid(top, grid, n).groupBy("g").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("rank"), F.col("item_id").alias("item")))).alias("hot"))
+    out = df.withColumn("_g", snap(time_col, grid_ms)) \
+        .join(hot.withColumnRenamed("g", "_g"), "_g", "left").drop("_g")
+    return out.withColumn(
         "hot", F.coalesce(F.col("hot"), F.array().cast("array<struct<rank:int,item:int>>")))
 
 

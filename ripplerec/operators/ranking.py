@@ -54,27 +54,18 @@ def hot_list(top: DataFrame, key: str = "item_id") -> DataFrame:
     return top.groupBy("rank").agg(F.max_by(key, "window_end").alias(key))
 
 
-def hot_list_asof(top: DataFrame, times: DataFrame, time_col: str = "t",
-                  n: int = K.TOP_N, key: str = "item_id",
-                  grid_ms: int | None = K.POP_SLIDE_SEC * 1000) -> DataFrame:
-    """What a reader of the rank store saw at time T, per rank.
-
-    For each T and rank: the item of the latest write with window_end <= T.
-    A rank that a later, shorter window did not write stays stale.
-
-    Plan: distinct query times are snapped to the write grid (writes only
-    happen at multiples of the slide, so the answer at T equals the answer at
-    floor(T)); grid points and writes are unioned per rank and the last
-    non-null item is carried forward.  The work is bounded by the time span
-    (grid points x ranks), not by the number of events; the result is joined
-    back to the query times by equality.
-    """
-    q = times.select(F.col(time_col).cast("bigint").alias("t")).distinct()
-    if grid_ms:
-        q = q.withColumn("g", F.floor(F.col("t") / F.lit(grid_ms)) * F.lit(grid_ms))
-    else:
-        q = q.withColumn("g", F.col("t"))
-    grid = q.select("g").distinct()
+def snap(t, grid_ms: int | None):
+    """Grid point of a time: the answer of the rank store at T equals the
+    answer at floor(T) on the write grid, since writes happen only there."""
+    return F.col(t) if not grid_ms else F.floor(F.col(t) / F.lit(grid_ms)) * F.lit(grid_ms)
+
+
+def hot_on_grid(top: DataFrame, grid: DataFrame, n: int = K.TOP_N,
+                key: str = "item_id") -> DataFrame:
+    """(g) grid points -> (g, rank, item): per rank, the item of the latest
+    write with window_end <= g.  Grid points and writes are unioned per rank
+    and the last non-null item is carried forward; the work is bounded by
+    the time span (grid points x ranks), not by the number of events."""
     ranks = F.explode(F.sequence(F.lit(1), F.lit(n))).alias("rank")
     probes = grid.select(F.col("g").alias("at"), ranks).select(
         "at", "rank", F.lit(None).cast("int").alias(key), F.lit(1).alias("kind"))
@@ -83,9 +74,24 @@ def hot_list_asof(top: DataFrame, times: DataFrame, time_col: str = "t",
         F.lit(0).alias("kind"))
     w = Window.partitionBy("rank").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     filled = probes.unionByName(writes).withColumn("_v", F.last(key, ignorenulls=True).over(w))
-    at_grid = filled.where((F.col("kind") == 1) & F.col("_v").isNotNull()) \
+    return filled.where((F.col("kind") == 1) & F.col("_v").isNotNull()) \
         .select(F.col("at").alias("g"), "rank", F.col("_v").alias(key))
-    return q.join(at_grid, "g").select("t", "rank", key)
+
+
+def hot_list_asof(top: DataFrame, times: DataFrame, time_col: str = "t",
+                  n: int = K.TOP_N, key: str = "item_id",
+                  grid_ms: int | None = K.POP_SLIDE_SEC * 1000) -> DataFrame:
+    """What a reader of the rank store saw at time T, per rank.
+
+    For each T and rank: the item of the latest write with window_end <= T.
+    A rank that a later, shorter window did not write stays stale.  Times
+    are snapped to the write grid, answered there (``hot_on_grid``) and
+    joined back by equality.
+    """
+    q = times.select(F.col(time_col).cast("bigint").alias("t")).distinct() \
+        .withColumn("g", snap("t", grid_ms))
+    grid = times.select(snap(time_col, grid_ms).alias("g")).distinct()
+    return q.join(hot_on_grid(top, grid, n, key), "g").select("t", "rank", key)
 
 
 def hot_arrays(asof: DataFrame, key: str = "item_id") -> DataFrame:
