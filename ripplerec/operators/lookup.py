@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from .prep import dictionary_size
 
+# Largest vector table (rows x dim x 8 bytes) shipped whole to every task.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
 
 def map_ids(df: DataFrame, col: str, id_map: DataFrame, out_col: str | None = None,
             oov: int | Column | None = None) -> DataFrame:
@@ -49,34 +52,40 @@ def map_id_arrays(df: DataFrame, keys: list[str], col: str, id_map: DataFrame,
 
 def state_vector(df: DataFrame, keys: list[str], user_col: str, items_col: str,
                  user_vecs: DataFrame, item_vecs: DataFrame, dim: int,
-                 out_col: str = "state", width: int | None = None) -> DataFrame:
+                 out_col: str = "state", width: int | None = None,
+                 max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """User vector ++ each history item's vector, in history order.
 
     ``user_vecs``/``item_vecs`` are (id INT, vec ARRAY<FLOAT>).  Ids without a
     vector get zeros (the OOV rule, SURVEY Q9).  Result ARRAY<DOUBLE> of
     ``dim * (1 + len(items))``.
 
-    ``width`` (fixed history length): one lookup join per position -- Spark
-    broadcasts the vector table when its measured size allows (no shuffle)
-    and sort-merge joins it otherwise.  Without ``width``: items are exploded
-    with their position, joined, and gathered back in order (a regroup
-    shuffle of the exploded rows).
+    ``width`` (fixed history length) and a vector table whose size is checked
+    under ``max_broadcast_bytes`` (row count x ``dim`` doubles): one lookup
+    per position against a single broadcast of the table (the same build
+    side, so Spark reuses one broadcast exchange) -- no shuffle of the rows.
+    Otherwise (no ``width``, or a table above the bound): items are exploded
+    with their position, joined once (sort-merge, AQE splits a hot item such
+    as the OOV id) and gathered back in order -- a regroup bounded by the
+    history length per row.  Per-position sort-merge joins are never used:
+    each would re-shuffle rows that grow by one vector per step.
     """
     zero = F.array_repeat(F.lit(0.0).cast("double"), dim)
     as_double = lambda c: F.transform(c, lambda x: x.cast("double"))
     uv = user_vecs.select(F.col("id").alias("_uid"), as_double(F.col("vec")).alias("_uvec"))
     base = df.join(uv, df[user_col] == uv["_uid"], "left").drop("_uid") \
         .withColumn("_uvec", F.coalesce("_uvec", zero))
-    if width is not None:
+    iv = item_vecs.select(F.col("id").alias("_iid"), as_double(F.col("vec")).alias("_ivec"))
+    if width is not None and item_vecs.count() * dim * 8 <= max_broadcast_bytes:
+        small = F.broadcast(iv)
         out = base
         parts = [F.col("_uvec")]
         for p in range(width):
-            v = item_vecs.select(F.col("id").alias(f"_i{p}"), as_double(F.col("vec")).alias(f"_v{p}"))
-            out = out.join(v, F.col(items_col).getItem(p) == F.col(f"_i{p}"), "left").drop(f"_i{p}")
+            out = out.join(small, F.col(items_col).getItem(p) == F.col("_iid"), "left") \
+                .drop("_iid").withColumnRenamed("_ivec", f"_v{p}")
             parts.append(F.coalesce(F.col(f"_v{p}"), zero))
         return out.withColumn(out_col, F.concat(*parts)) \
             .drop("_uvec", *[f"_v{p}" for p in range(width)])
-    iv = item_vecs.select(F.col("id").alias("_iid"), as_double(F.col("vec")).alias("_ivec"))
     exploded = df.select(*keys, F.posexplode(items_col).alias("_pos", "_iid"))
     with_vec = exploded.join(iv, "_iid", "left").withColumn("_ivec", F.coalesce("_ivec", zero))
     items = with_vec.groupBy(*keys).agg(

@@ -32,7 +32,9 @@ from .. import constants as K
 from ..session import materialize
 from .ranking import topk_per_key
 
-MAX_BROADCAST_ITEMS = 2_000_000
+# Largest catalog shipped to every task: its vector matrix plus the gather
+# table by dense id, both float64.  Above it, ``blocked=True`` scoring.
+MAX_SHIPPED_BYTES = 256 * 1024 * 1024
 SCORE_DECIMALS = 9
 
 
@@ -147,12 +149,15 @@ class ItemCatalog:
 
     @staticmethod
     def from_frame(item_vecs: DataFrame, dim: int, oov_id: int | None = None,
-                   max_items: int = MAX_BROADCAST_ITEMS) -> "ItemCatalog":
-        """Ship a bounded catalog to the tasks.  The row count is checked
-        first; above ``max_items`` use ``blocked=True`` scoring instead."""
-        n = item_vecs.count()
-        if n > max_items:
-            raise ValueError(f"catalog has {n} items > {max_items}: use blocked scoring")
+                   max_bytes: int = MAX_SHIPPED_BYTES) -> "ItemCatalog":
+        """Ship a bounded catalog to the tasks.  Its size (row count and the
+        largest dense id, times ``dim`` doubles) is checked first; above
+        ``max_bytes`` use ``blocked=True`` scoring instead."""
+        n, top = item_vecs.agg(F.count(F.lit(1)), F.max("id")).first()
+        rows = n + max(int(top if top is not None else -1) + 1, (oov_id or 0) + 1)
+        if rows * dim * 8 > max_bytes:
+            raise ValueError(f"catalog of {n} items x {dim} needs {rows * dim * 8} bytes "
+                             f"> {max_bytes}: use blocked scoring")
         pdf = item_vecs.select("id", "vec").toPandas().sort_values("id")
         ids = pdf["id"].to_numpy(dtype=np.int64)
         mat = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]]) if n else \
@@ -286,7 +291,7 @@ def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int =
               seed_cols: tuple[str, ...] = (), base_seed: int = 0,
               item_vecs: DataFrame | None = None, blocked: bool = False,
               row_key: list[str] | None = None, block_size: int = 4096,
-              buckets: int = 64) -> DataFrame:
+              buckets: int | None = None, rows_per_bucket: int = 50_000) -> DataFrame:
     """Append ``out_col`` = top ``k`` dense item ids per row.
 
     Input: either ``state_col`` (G5, a ready state vector) or a user vector
@@ -300,7 +305,7 @@ def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int =
     """
     if blocked:
         return _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key,
-                                  block_size, buckets, seed_cols, base_seed)
+                                  block_size, buckets, rows_per_bucket, seed_cols, base_seed)
     drop = [state_col] if state_col else [user_vec_col]
     keep = _passthrough(df, drop)
     schema = T.StructType([df.schema[c] for c in keep] +
@@ -352,14 +357,24 @@ def actor_action(df: DataFrame, model, catalog: ItemCatalog | None = None,
     return df.mapInArrow(run, schema)
 
 
+# Score-matrix cells (rows x items) held at once inside one scoring group.
+SCORE_CHUNK_CELLS = 4_000_000
+
+
 def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key, block_size,
-                       buckets, seed_cols, base_seed):
+                       buckets, rows_per_bucket, seed_cols, base_seed):
     """Distributed exact top-k for catalogs too large to ship (see module doc).
 
-    Rows are hashed into ``buckets``; items are cut into blocks of
+    Rows are hashed into buckets; items are cut into blocks of
     ``block_size`` by dense id.  Both sides are replicated only across the
     other side's group count, every (bucket, block) group is scored by one
     task, and ``topk_per_key`` merges the per-block winners.
+
+    Group sizes are bounded, not fixed in number: unless ``buckets`` is
+    given, the bucket count is the measured row count / ``rows_per_bucket``
+    (the row key is unique per row, so hashing spreads rows evenly), an item
+    block holds at most ``block_size`` items, and a group is scored
+    ``SCORE_CHUNK_CELLS`` score cells at a time.
     """
     if state_col is None or not row_key:
         raise ValueError("blocked scoring needs state_col and row_key")
@@ -370,6 +385,8 @@ def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key, blo
     acts_all = actor_action(df, model, None, state_col=state_col, out_col="_act",
                             seed_cols=seed_cols, base_seed=base_seed)
     acts_all = materialize(acts_all, "actions")
+    if buckets is None:
+        buckets = max(1, -(-acts_all.count() // rows_per_bucket))
     acts = acts_all.select(*row_key, "_act").withColumn(
         "_bucket", F.pmod(F.xxhash64(*row_key), F.lit(buckets)).cast("int"))
     n_blocks = item_vecs.select(F.max("id")).scalar()
@@ -390,13 +407,19 @@ def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key, blo
         A = _matrix(a.column("_act"), _width(a.column("_act")))
         M = _matrix(it.column("vec"), _width(it.column("vec")))
         ids = it.column("id").to_numpy().astype(np.int64)
-        sc = np.round(A @ M.T, SCORE_DECIMALS)
-        sel = _topk_index(sc, ids, k)
+        step = max(1, SCORE_CHUNK_CELLS // max(1, len(ids)))
+        sels, scores = [], []
+        for lo in range(0, len(A), step):
+            sc = np.round(A[lo:lo + step] @ M.T, SCORE_DECIMALS)
+            sel = _topk_index(sc, ids, k)
+            sels.append(sel)
+            scores.append(np.take_along_axis(sc, sel, 1))
+        sel, best = np.concatenate(sels), np.concatenate(scores)
         kk = sel.shape[1]
         cols = {c: pa.array(np.repeat(a.column(c).to_numpy(zero_copy_only=False), kk),
                             type=key_types[c]) for c in row_key}
         cols["item_id"] = pa.array(ids[sel].reshape(-1).astype(np.int32))
-        cols["score"] = pa.array(np.take_along_axis(sc, sel, 1).reshape(-1))
+        cols["score"] = pa.array(best.reshape(-1))
         return pa.table(cols)
 
     local = acts.groupBy("_bucket", "_block").cogroup(items.groupBy("_bucket", "_block")) \

@@ -213,7 +213,8 @@ def q_topk_per_key(spark, sf_dir):
     n_items = fx.item_map.count()
     model = R.fixture_models(n_items)["ddpg"]
     out = recommend(st, model, None, K.N_REC, state_col="state", item_vecs=fx.item_vectors,
-                    blocked=True, row_key=["raw_user", "window_end"], block_size=32, buckets=8)
+                    blocked=True, row_key=["raw_user", "window_end"], block_size=32,
+                    rows_per_bucket=4096)
     return explode_ranks(out, "item_rec", ["raw_user", "window_end"])
 
 

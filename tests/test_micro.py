@@ -18,6 +18,7 @@ from ripplerec.operators.lookup import map_id_arrays, map_ids, state_vector
 from ripplerec.operators.prep import build_id_map, filter_min_interactions, vocabulary
 from ripplerec.operators.ranking import (explode_ranks, hot_list, hot_list_asof, rank_all_items,
                                          top_n_items, topk_per_key)
+from ripplerec.operators import scoring
 from ripplerec.operators.scoring import (ActorModel, ItemCatalog, Layer, PolicyModel, model_for,
                                          recommend)
 from ripplerec.operators.sinks import (conform, top_table, unique_records, user_consumed,
@@ -166,6 +167,10 @@ def test_state_vector_order_and_oov_zero(spark):
     fixed = spark.createDataFrame([(0, 9, [1, 0]), (1, 8, [7, 1])], "u int, k int, items array<int>")
     got = {x["k"]: x["state"] for x in state_vector(fixed, ["k"], "u", "items", uv, iv, 2, width=2).collect()}
     assert got == {9: [1.0, 2.0, 5.0, 6.0, 3.0, 4.0], 8: [0.0, 0.0, 0.0, 0.0, 5.0, 6.0]}
+    # a vector table above the broadcast bound takes the exploded join: same rows
+    big = {x["k"]: x["state"] for x in state_vector(fixed, ["k"], "u", "items", uv, iv, 2, width=2,
+                                                      max_broadcast_bytes=0).collect()}
+    assert big == got
 
 
 # ------------------------------------------------------------------ scalar functions
@@ -247,7 +252,7 @@ def _tiny_models(n_items, dim=2, hist=2):
             "reinforce": PolicyModel(eye, ident, Layer(np.ones((n_items, dim)), np.arange(n_items) * 0.0))}
 
 
-def test_scoring_shipped_blocked_and_dispatch(spark):
+def test_scoring_shipped_blocked_and_dispatch(spark, monkeypatch):
     iv = spark.createDataFrame([(i, [float(i % 3), float(i // 3)]) for i in range(7)], "id int, vec array<float>")
     cat = ItemCatalog.from_frame(iv, 2)
     models = _tiny_models(7)
@@ -259,6 +264,12 @@ def test_scoring_shipped_blocked_and_dispatch(spark):
                                                   block_size=2, buckets=2).collect()}
     # user (1,0): scores = first coordinate: items 2,5 (2.0) then 1,4 (1.0); ties by id
     assert a == b == {1: [2, 5, 1], 2: [6, 3, 4]}
+    # bucket count from the row count, and one score row per chunk inside a group
+    monkeypatch.setattr(scoring, "SCORE_CHUNK_CELLS", 1)
+    c = {x["k"]: x["item_rec"] for x in recommend(rows, models["ddpg"], None, 3, state_col="state",
+                                                  item_vecs=iv, blocked=True, row_key=["k"],
+                                                  block_size=4, rows_per_bucket=1).collect()}
+    assert c == a
     # policy head with equal logits: ties by id
     p = {x["k"]: x["item_rec"] for x in recommend(rows, models["reinforce"], cat, 2, state_col="state").collect()}
     assert p == {1: [0, 1], 2: [0, 1]}
