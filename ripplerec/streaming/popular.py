@@ -21,12 +21,17 @@ from ..operators.windows import with_event_time
 
 def popular_items_stream(records: DataFrame, item_map: DataFrame | None = None,
                          n: int | None = K.TOP_N, lateness: str = K.POP_LATENESS,
-                         window: str = K.POP_WINDOW, slide: str = K.POP_SLIDE) -> DataFrame:
+                         window: str = K.POP_WINDOW, slide: str = K.POP_SLIDE,
+                         buckets: int = 64) -> DataFrame:
     """Append-mode stream of per-window top-N rows.
 
     The per-window ranking is an aggregate over the closed window's item
-    counts (one row per item active in the window), sorted by (count desc,
-    item asc); ``n=None`` ranks every item (D3).
+    counts, sorted by (count desc, item asc).  With a limit it is taken in
+    two exact levels: the top N per (window, item bucket), then the top N of
+    the buckets' winners per window -- an item of the window's top N is in
+    its bucket's top N -- so no group holds a whole window's items (the
+    largest holds items/``buckets`` or ``buckets`` x N entries).
+    ``n=None`` ranks every item (D3) in one level.
     """
     ev = records.select("item_id", "ts")
     if item_map is not None:
@@ -34,11 +39,14 @@ def popular_items_stream(records: DataFrame, item_map: DataFrame | None = None,
     ev = with_event_time(ev, lateness)
     counts = (ev.groupBy(F.window("ts", window, slide).alias("window"), "item_id")
               .agg(F.count(F.lit(1)).alias("cnt")))
-    ranked = (counts.groupBy("window")
-              .agg(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), "item_id")))
-                   .alias("_r")))
-    if n is not None:
-        ranked = ranked.withColumn("_r", F.slice("_r", 1, n))
+    entry = F.struct((-F.col("cnt")).alias("neg"), "item_id")
+    if n is None:
+        ranked = counts.groupBy("window").agg(F.sort_array(F.collect_list(entry)).alias("_r"))
+    else:
+        part = (counts.groupBy("window", F.pmod(F.xxhash64("item_id"), F.lit(buckets)).alias("_b"))
+                .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("_r")))
+        ranked = part.groupBy("window").agg(
+            F.slice(F.sort_array(F.flatten(F.collect_list("_r"))), 1, n).alias("_r"))
     return ranked.select(F.unix_millis(F.col("window.end")).alias("window_end"),
                          F.posexplode("_r").alias("_pos", "_e")) \
         .select("window_end", (F.col("_pos") + 1).cast("int").alias("rank"),
