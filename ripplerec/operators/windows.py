@@ -1,5 +1,6 @@
 """Event time and sliding windows: C1/C2 ``with_event_time``, C3/D1
-``sliding_counts``, D6 ``sliding_counts_paned``, C4 ``user_windows``.
+``sliding_counts``, D6 ``sliding_counts_paned``, window assignment for C4
+(whose per-window tails, bounded before the shuffle, are in ``history``).
 
 Windows are epoch aligned, [start, end), like the reference's.  Window ends
 leave these functions as BIGINT epoch milliseconds (the reference's
@@ -100,14 +101,3 @@ def assign_windows(df: DataFrame, window_sec: int, slide_sec: int, ts: str = "ts
         "window_end",
         F.explode(F.sequence(first_end, first_end + F.lit((k - 1) * slide_ms), F.lit(slide_ms))))
 
-
-def user_windows(records: DataFrame, window: str = K.HIST_WINDOW, slide: str = K.HIST_SLIDE,
-                 key: str = "user_id") -> DataFrame:
-    """C4: per (user, 60 s / 20 s window): event count and the window's items
-    in event order -> (user_id, window_end ms, n_events, items)."""
-    return (records
-            .groupBy(key, F.window("ts", window, slide).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_events"),
-                 F.array_sort(F.collect_list(F.struct("ts", "event_id", "item_id"))).alias("_ev"))
-            .select(key, F.unix_millis(F.col("w.end")).alias("window_end"), "n_events",
-                    F.transform("_ev", lambda e: e["item_id"]).alias("items")))

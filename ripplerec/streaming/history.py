@@ -84,14 +84,25 @@ class RewardProcessor(StatefulProcessor):
 
 def window_items_stream(records: DataFrame, key: str = "user_id", keep: int = K.HIST_LEN,
                         lateness: str = K.HIST_LATENESS, window: str = K.HIST_WINDOW,
-                        slide: str = K.HIST_SLIDE) -> DataFrame:
+                        slide: str = K.HIST_SLIDE, salt: int = 64) -> DataFrame:
     """C4 on a stream: per closed (user, window) the window's last ``keep``
-    items in event order -> (key, window_end, items)."""
+    items in event order -> (key, window_end, items).
+
+    Two exact levels, so a hot key (a heavy user, the shared OOV id) is not
+    held in one state row: the last ``keep`` events per (user, window,
+    event-id hash of ``salt`` buckets), then the last ``keep`` of those
+    buckets' tails per (user, window) -- the window's last ``keep`` events
+    are each among their own bucket's last ``keep``.
+    """
     ev = with_event_time(records.select(key, "item_id", "ts", "event_id"), lateness)
-    agg = (ev.groupBy(key, F.window("ts", window, slide).alias("w"))
-           .agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", "item_id"))).alias("_ev")))
+    entry = F.struct("ts", "event_id", "item_id")
+    part = (ev.groupBy(key, F.window("ts", window, slide).alias("w"),
+                       F.pmod(F.xxhash64("event_id"), F.lit(salt)).alias("_s"))
+            .agg(_last_n(F.sort_array(F.collect_list(entry)), keep).alias("_ev")))
+    agg = (part.groupBy(key, "w")
+           .agg(_last_n(F.sort_array(F.flatten(F.collect_list("_ev"))), keep).alias("_ev")))
     return agg.select(key, F.unix_millis(F.col("w.end")).alias("window_end"),
-                      F.transform(_last_n(F.col("_ev"), keep), lambda e: e["item_id"]).alias("items"))
+                      F.transform("_ev", lambda e: e["item_id"]).alias("items"))
 
 
 def user_history_stream(records: DataFrame, key: str = "user_id", hist: int = K.HIST_LEN,
