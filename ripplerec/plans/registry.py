@@ -144,12 +144,14 @@ def q_full_history(spark, sf_dir):
 
 
 def q_hot_list_asof(spark, sf_dir):
-    from ..operators.history import user_windows
+    """The rank store as read at every history window end (the times at
+    which the recommender reads it).  Each event opens its windows, so these
+    are the window ends of ``user_windows``, taken without its tails."""
     from ..operators.ranking import hot_list_asof
+    from .recommend import window_end_times
     fx = Fixture.prepared(spark, sf_dir)
     top = popular_items(fx.records, fx.item_map, K.TOP_N)
-    times = user_windows(fx.records).select(F.col("window_end").alias("t"))
-    return hot_list_asof(top, times, "t", K.TOP_N)
+    return hot_list_asof(top, window_end_times(fx.records), "t", K.TOP_N)
 
 
 # ---------------------------------------------------------------- scoring
