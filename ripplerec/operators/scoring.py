@@ -242,11 +242,34 @@ def _states(batch: pa.RecordBatch, state_col, user_vec_col, items_col, catalog,
     return np.concatenate([u, g.reshape(len(items), -1)], axis=1)
 
 
-def _rng_for(keys: np.ndarray | None, n: int, base_seed: int):
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mix64(x: np.ndarray) -> np.ndarray:
+    """splitmix64 finaliser on a uint64 array (wrapping arithmetic)."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def _keyed_normals(keys: np.ndarray | None, n: int, width: int, base_seed: int) -> np.ndarray:
+    """(n, width) standard normals.  With ``keys`` a row's values depend only
+    on (base_seed, its key, column): counters are hashed (splitmix64) to two
+    uniforms and turned into a normal (Box-Muller) -- vectorised, and the same
+    however rows are batched or partitioned."""
     if keys is None:
-        rng = np.random.default_rng(base_seed)
-        return [rng] * n
-    return [np.random.default_rng([base_seed, *map(int, row)]) for row in keys]
+        return np.random.default_rng(base_seed).standard_normal((n, width))
+    with np.errstate(over="ignore"):
+        h = np.full(n, np.uint64(base_seed) * _GOLDEN, dtype=np.uint64)
+        for c in range(keys.shape[1]):
+            h = _mix64(h ^ (keys[:, c].astype(np.uint64) + _GOLDEN))
+        j = np.arange(width, dtype=np.uint64)
+        a = _mix64(h[:, None] + (np.uint64(2) * j + np.uint64(1)) * _GOLDEN)
+        b = _mix64(h[:, None] + (np.uint64(2) * j + np.uint64(2)) * _GOLDEN)
+    u1 = ((a >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0 ** -53   # (0, 1]
+    u2 = (b >> np.uint64(11)).astype(np.float64) * 2.0 ** -53           # [0, 1)
+    return np.sqrt(-2.0 * np.log(u1)) * np.cos(2.0 * np.pi * u2)
 
 
 def _seed_keys(batch: pa.RecordBatch, seed_cols) -> np.ndarray | None:
@@ -258,11 +281,8 @@ def _seed_keys(batch: pa.RecordBatch, seed_cols) -> np.ndarray | None:
 
 def _actions(model, state, seed_keys, base_seed):
     if isinstance(model, ConstrainedModel) and model.noise:
-        # a row's noise depends only on its own key: one generator per row,
-        # then one batched forward pass
-        rngs = _rng_for(seed_keys, len(state), base_seed)
-        z = np.stack([rng.standard_normal(model.latent) for rng in rngs]) if len(state) else \
-            np.zeros((0, model.latent))
+        # a row's noise depends only on its own key; one batched forward pass
+        z = _keyed_normals(seed_keys, len(state), model.latent, base_seed)
         return model.action(state, _FixedNoise(z))
     return model.action(state)
 
