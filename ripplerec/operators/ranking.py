@@ -61,19 +61,39 @@ def snap(t, grid_ms: int | None):
 
 
 def hot_on_grid(top: DataFrame, grid: DataFrame, n: int = K.TOP_N,
-                key: str = "item_id") -> DataFrame:
+                key: str = "item_id", chunk_ms: int = 86_400_000) -> DataFrame:
     """(g) grid points -> (g, rank, item): per rank, the item of the latest
-    write with window_end <= g.  Grid points and writes are unioned per rank
-    and the last non-null item is carried forward; the work is bounded by
-    the time span (grid points x ranks), not by the number of events."""
+    write with window_end <= g.
+
+    A parallel prefix scan over time, not one ordered pass per rank (which
+    would run in only N tasks): (1) the last write per (time chunk, rank), a
+    table of chunks x N rows; (2) the value carried into each chunk, a
+    forward fill over that small table; (3) per (chunk, rank) the writes and
+    grid points are ordered and the last item carried forward, starting from
+    the carried-in value.  Work is bounded by the time span (grid points x
+    ranks), spread over chunks x ranks tasks.
+    """
+    chunk = lambda c: F.floor(F.col(c) / F.lit(chunk_ms)).cast("bigint")
     ranks = F.explode(F.sequence(F.lit(1), F.lit(n))).alias("rank")
-    probes = grid.select(F.col("g").alias("at"), ranks).select(
-        "at", "rank", F.lit(None).cast("int").alias(key), F.lit(1).alias("kind"))
+    probes = grid.select(F.col("g").cast("bigint").alias("at"), ranks).select(
+        chunk("at").alias("chunk"), "at", "rank", F.lit(None).cast("int").alias(key),
+        F.lit(1).alias("kind"))
     writes = top.where(F.col("rank") <= n).select(
-        F.col("window_end").alias("at"), "rank", F.col(key).cast("int").alias(key),
-        F.lit(0).alias("kind"))
-    w = Window.partitionBy("rank").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    filled = probes.unionByName(writes).withColumn("_v", F.last(key, ignorenulls=True).over(w))
+        F.col("window_end").cast("bigint").alias("at"), "rank", F.col(key).cast("int").alias(key)) \
+        .select(chunk("at").alias("chunk"), "at", "rank", key, F.lit(0).alias("kind"))
+    # (1) last write per (chunk, rank); (2) carried into each chunk that has rows
+    last = writes.groupBy("chunk", "rank").agg(F.max_by(key, "at").alias("_last"))
+    chunks = probes.select("chunk").union(writes.select("chunk")).distinct() \
+        .select("chunk", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("rank"))
+    before = Window.partitionBy("rank").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = chunks.join(last, ["chunk", "rank"], "left") \
+        .select("chunk", (F.col("chunk") * F.lit(chunk_ms) - 1).alias("at"), "rank",
+                F.last("_last", ignorenulls=True).over(before).alias(key), F.lit(0).alias("kind"))
+    # (3) ordered fill inside each (chunk, rank), the carried value first
+    rows = probes.unionByName(writes).unionByName(carry)
+    w = Window.partitionBy("chunk", "rank").orderBy("at", "kind") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    filled = rows.withColumn("_v", F.last(key, ignorenulls=True).over(w))
     return filled.where((F.col("kind") == 1) & F.col("_v").isNotNull()) \
         .select(F.col("at").alias("g"), "rank", F.col("_v").alias(key))
 
