@@ -22,9 +22,13 @@ def read_id_map(spark: SparkSession, path: str) -> DataFrame:
     return m.select(F.col("k").cast("bigint").alias("raw_id"), F.col("v").cast("int").alias("dense_id"))
 
 
-def write_id_map(id_map: DataFrame, path: str, parts: int = 8) -> None:
-    """Write (raw_id, dense_id) as ``parts`` JSON-object files, one per hash
-    part of the keys (each file holds ~1/parts of the dictionary)."""
+def write_id_map(id_map: DataFrame, path: str, parts: int | None = None,
+                 rows_per_part: int = 1_000_000) -> None:
+    """Write (raw_id, dense_id) as JSON-object files, one per hash part of
+    the keys.  Unless ``parts`` is given, the part count is the measured row
+    count / ``rows_per_part``, so no object (one task) grows with the data."""
+    if parts is None:
+        parts = max(1, -(-id_map.count() // rows_per_part))
     grouped = (id_map.withColumn("_part", F.pmod(F.hash("raw_id"), F.lit(parts)))
                .groupBy("_part")
                .agg(F.map_from_entries(F.collect_list(F.struct(
