@@ -79,6 +79,22 @@ def test_hot_list_and_stale_rank(spark):
     assert t.schema == TOP_TABLE or [f.name for f in t.schema] == ["item", "rank"]
 
 
+def test_hot_on_grid_carries_across_chunks(spark):
+    from ripplerec.operators.ranking import hot_on_grid
+    top = spark.createDataFrame(
+        [(ms(80), 1, 10), (ms(80), 2, 11), (ms(80), 3, 12), (ms(160), 1, 20), (ms(160), 2, 21),
+         (ms(320), 1, 30)], "window_end long, rank int, item_id int")
+    grid = spark.createDataFrame([(ms(s),) for s in (80, 160, 240, 320, 400)], "g long")
+    want = sorted([(ms(80), 1, 10), (ms(80), 2, 11), (ms(80), 3, 12)]
+                  + [(ms(g), 1, 20) for g in (160, 240)] + [(ms(g), 1, 30) for g in (320, 400)]
+                  + [(ms(g), 2, 21) for g in (160, 240, 320, 400)]
+                  + [(ms(g), 3, 12) for g in (160, 240, 320, 400)])
+    # one chunk per grid point (every value carried in), two points, one day
+    for chunk_ms in (ms(80), ms(160), 86_400_000):
+        got = sorted(tuple(x) for x in hot_on_grid(top, grid, 3, chunk_ms=chunk_ms).collect())
+        assert got == want, chunk_ms
+
+
 def test_explode_ranks(spark):
     df = spark.createDataFrame([(1, [7, 3, 9])], "k int, items array<int>")
     assert [tuple(x) for x in explode_ranks(df, "items", ["k"]).collect()] == [(1, 1, 7), (1, 2, 3), (1, 3, 9)]
