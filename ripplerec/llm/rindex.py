@@ -35,18 +35,24 @@ def _suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 class RunLengthIndex:
-    """Index of byte strings; ``limit`` is the longest match that matters."""
+    """Index of byte strings; ``limit`` is the longest match that matters.
 
-    def __init__(self, strings: list[bytes], limit: int):
+    ``groups`` numbers the strings' groups: symbols are (group, byte), so that
+    a pattern only finds strings of its own group.
+    """
+
+    def __init__(self, strings: list[bytes], limit: int, groups: np.ndarray | None = None):
         self.limit = limit
-        ends = np.cumsum([len(s) + 1 for s in strings])
-        flat = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int64) + 1
-        # separators are distinct and smaller than all bytes: suffixes never
+        symbols, ends = self._symbols(strings, groups)
+        # separators are distinct and smaller than all symbols: suffixes never
         # compare beyond their string, and the transform is a permutation
         k = len(strings)
+        inner = symbols >= 0
+        self.alphabet, dense = np.unique(symbols[inner], return_inverse=True)
+        flat = np.empty(len(symbols), dtype=np.int64)
         flat[ends - 1] = np.arange(k)
-        flat[np.setdiff1d(np.arange(len(flat)), ends - 1, assume_unique=True)] += k - 1
-        self.shift = k - 1  # symbol of byte b is b + 1 + shift
+        flat[inner] = dense + k
+        self.shift = k - 1  # the number of a symbol, from 1, is its text value less this
         self.text = flat
         order = _suffix_order(flat, len(flat) + 1)
         bwt = flat[order - 1]  # of position 0: the last separator
@@ -67,12 +73,23 @@ class RunLengthIndex:
         before = np.cumsum(length) - length
         first = np.concatenate([[True], chars[1:] != chars[:-1]])
         self.before = before - np.maximum.accumulate(np.where(first, before, 0))
-        counts = np.zeros(258, dtype=np.int64)
+        counts = np.zeros(len(self.alphabet) + 1, dtype=np.int64)
         np.add.at(counts, chars, length)
-        self.smaller = np.concatenate([[0], np.cumsum(counts)])[:258]
+        self.smaller = np.concatenate([[0], np.cumsum(counts)[:-1]])
         self.wide = self.size + 1
         self.key = chars * self.wide + self.start[self.by_char]
 
+    @staticmethod
+    def _symbols(strings: list[bytes], groups: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """(group, byte) symbols of the joined strings, -1 behind each; ends of the strings."""
+        sizes = np.array([len(s) + 1 for s in strings], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        out = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int64)
+        if groups is not None:
+            out += np.repeat(np.asarray(groups, dtype=np.int64) * 256, sizes)
+        out[ends - 1] = -1
+        return out, ends
+
     def _compare(self, pos: np.ndarray, pattern: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Common prefix, up to the limit, of text[pos:] and pattern[at:]."""
         out = np.zeros(len(pos), dtype=np.int64)
@@ -87,13 +104,14 @@ class RunLengthIndex:
             out[live] += 1
         return out
 
-    def matching_statistics(self, patterns: list[bytes]) -> list[np.ndarray]:
+    def matching_statistics(self, patterns: list[bytes], groups: np.ndarray | None = None) -> list[np.ndarray]:
         """Per pattern and place: length (up to the limit) of the longest
         prefix of the rest that occurs in an indexed string."""
         lengths = np.array([len(p) for p in patterns], dtype=np.int64)
-        ends = np.cumsum(lengths + 1)
-        flat = np.frombuffer(b"\0".join(patterns) + b"\0", dtype=np.uint8).astype(np.int64) + 1 + self.shift
-        flat[ends - 1] = -1  # equals nothing in the text
+        symbols, ends = self._symbols(patterns, groups)
+        number = np.minimum(np.searchsorted(self.alphabet, symbols), max(len(self.alphabet) - 1, 0))
+        known = self.alphabet[number] == symbols if len(self.alphabet) else np.zeros(len(symbols), dtype=bool)
+        flat = np.where(known, number + 1 + self.shift, -1)  # -1 equals nothing in the text
         place = ends - 2  # last character of every pattern
         row = np.zeros(len(patterns), dtype=np.int64)
         match = np.zeros(len(patterns), dtype=np.int64)
@@ -102,9 +120,10 @@ class RunLengthIndex:
         first = ends - 1 - lengths
         while len(live):
             at, r = place[live], row[live]
-            c = flat[at] - self.shift
+            c = np.maximum(flat[at] - self.shift, 0)  # 0, a separator, if the text has no such symbol
+            none = flat[at] < 0
             run = np.searchsorted(self.start, r, side="right") - 1
-            same = self.char[run] == c
+            same = (self.char[run] == c) & ~none
             # the character's last run that starts at or before the row, and its next one
             up = np.searchsorted(self.key, c * self.wide + r, side="right") - 1
             has_up = (up >= 0) & (self.char[self.by_char[np.maximum(up, 0)]] == c)
@@ -113,7 +132,7 @@ class RunLengthIndex:
             step = same.copy()
             nxt = np.where(same, self.smaller[c] + self.before[up] + r - self.start[self.by_char[up]], 0)
             grown = np.where(same, np.minimum(match[live] + 1, self.limit), 0)
-            jump = np.flatnonzero(~same & (has_up | has_down))
+            jump = np.flatnonzero(~same & ~none & (has_up | has_down))
             if len(jump):
                 u, d = np.maximum(up[jump], 0), down[jump]
                 ru, rd = self.by_char[u], self.by_char[d]

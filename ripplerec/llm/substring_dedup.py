@@ -13,10 +13,11 @@ neighbouring windows mostly share one.
    84 bytes) and sends every distinct piece once, with its least doc_id.
 3. A shard holds all pieces of its keys.  A piece in any later document than
    its first is covered as a whole.  For its first document, pieces of the
-   same key that came earlier are searched: the earlier pieces are indexed as
-   run-length Burrows-Wheeler transforms with sampled run ends, and the later
+   same key that came earlier are searched.  Windows whose 64-bit hash no other
+   first document has are left out, then the earlier parts are indexed as a
+   run-length Burrows-Wheeler transform with sampled run ends, and the later
    ones stream their matching statistics; windows whose match is ``MATCH``
-   long are covered.  Pieces of one key are compared by halves of their order,
+   long are covered.  Parts of one key are compared by halves of their order,
    so n of them are streamed log n times.
 4. The answers go back to the buckets, which cut the covered bytes out.
 
@@ -34,6 +35,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ _CHUNK = 1 << 16
 
 _KEYS = "shard int, bucket int, keys binary, many binary"
 _SHARED = "bucket int, keys binary"
-_PIECES = "shard int, bucket int, keys binary, lengths binary, bytes binary, docs binary"
+_PIECES = "shard int, bucket int, lengths binary, bytes binary, docs binary"
 _ANSWERS = "bucket int, shard int, keys binary, first binary, covered binary"
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -180,7 +182,7 @@ def _find_shared(group: pa.Table) -> pa.Table:
 
 def _send_pieces(shards: int):
     def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        cols: list[list] = [[], [], [], [], [], []]
+        cols: list[list] = [[], [], [], [], []]
         if docs.num_rows and shared.num_rows:
             bucket = Bucket(docs)
             names, number, row, _, _ = bucket.distinct(np.sort(np.concatenate(_u64(shared["keys"]))))
@@ -192,39 +194,108 @@ def _send_pieces(shards: int):
             for s in np.unique(shard).tolist():
                 sel = np.flatnonzero(shard == s)
                 texts = [names[i][1] for i in sel.tolist()]
-                for c, v in zip(cols, (s, docs["bucket"][0].as_py(), keys[sel].tobytes(),
+                for c, v in zip(cols, (s, docs["bucket"][0].as_py(),
                                        np.array([len(t) for t in texts], dtype=np.uint8).tobytes(),
-                                       b"".join(texts), first[sel].tobytes()), strict=True):
+                                       zstandard.compress(b"".join(texts), 3), first[sel].tobytes()), strict=True):
                     c.append(v)
-        types = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
+        types = (pa.int32(), pa.int32(), *[pa.binary()] * 3)
         return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                        ["shard", "bucket", "keys", "lengths", "bytes", "docs"])
+                        ["shard", "bucket", "lengths", "bytes", "docs"])
     return run
 
 
+def window_hashes(flat: np.ndarray) -> np.ndarray:
+    """64-bit hash of every window of MATCH bytes."""
+    h = (flat.astype(np.uint64) + np.uint64(0x1B873593)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(31)
+    out, done, width, power = None, 0, 1, np.uint64(0x9FB21C651E98DF25)
+    with np.errstate(over="ignore"):
+        while True:
+            if MATCH & width:
+                out = h if out is None else out[:len(h) - done] * power + h[done:]
+                done += width
+            if width * 2 > MATCH:
+                return out[:len(flat) - MATCH + 1]
+            h = h[:-width] * power + h[width:]
+            power, width = power * power, width * 2
+
+
+def _bits(windows: np.ndarray) -> np.uint64:
+    return np.bitwise_or.reduce(np.uint64(1) << windows.astype(np.uint64), initial=np.uint64(0))
+
+
 def earlier_windows(texts: list[bytes], key: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Bit mask per piece of its windows that occur in a piece of the same key
     with a smaller first document."""
     covered = np.zeros(len(texts), dtype=np.uint64)
+    # pieces whose key has another first document
     order = np.lexsort((first, key))
-    k, f = key[order], first[order]
+    head = np.flatnonzero(np.diff(key[order], prepend=key[order[:1]] + np.uint64(1)) != 0)
+    mixed = np.minimum.reduceat(first[order], head) != np.maximum.reduceat(first[order], head)
+    some = order[np.repeat(mixed, np.diff(head, append=len(order)))]
+    if not len(some):
+        return covered
+    # windows that no other first document has can be left out: their hash is alone
+    strings = [texts[i] for i in some.tolist()]
+    sizes = np.array([len(t) for t in strings], dtype=np.int64)
+    begins = np.cumsum(sizes) - sizes
+    windows = sizes - MATCH + 1
+    owner = np.repeat(np.arange(len(some)), windows)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    h = window_hashes(np.frombuffer(b"".join(strings), dtype=np.uint8))[begins[owner] + offset]
+    doc = first[some][owner]
+    by = np.argsort(h, kind="stable")
+    head = np.flatnonzero(np.concatenate([[True], h[by][1:] != h[by][:-1]]))
+    shared = np.minimum.reduceat(doc[by], head) != np.maximum.reduceat(doc[by], head)
+    keep = np.zeros(len(h), dtype=bool)
+    keep[by] = np.repeat(shared, np.diff(head, append=len(by)))
+    # what is left of the pieces: ranges of windows
+    starts = np.flatnonzero(keep & ~np.concatenate([[False], keep[:-1] & (owner[1:] == owner[:-1])]))
+    stops = np.flatnonzero(keep & ~np.concatenate([keep[1:] & (owner[1:] == owner[:-1]), [False]]))
+    number: dict[tuple[int, bytes], int] = {}
+    parts_of = np.empty(len(starts), dtype=np.int64)
+    for j, (a, z) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
+        i, o = int(owner[a]), int(offset[a])
+        text = strings[i][o:o + z - a + MATCH]
+        parts_of[j] = number.setdefault((int(key[some[i]]), text), len(number))
+    names = list(number)
+    least = np.full(len(names), np.iinfo(np.int64).max)
+    np.minimum.at(least, parts_of, doc[starts])
+    found = _search(names, least)
+    for j, (a, z) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
+        part = parts_of[j]
+        n = z - a + 1
+        mask = np.uint64((1 << n) - 1) if doc[a] > least[part] else found[part]
+        covered[some[owner[a]]] |= mask << np.uint64(offset[a])
+    return covered
+
+
+def _search(names: list[tuple[int, bytes]], least: np.ndarray) -> np.ndarray:
+    """Per part the mask of its windows that an earlier part of its key has:
+    earlier parts are indexed, later ones stream their matching statistics."""
+    covered = np.zeros(len(names), dtype=np.uint64)
+    key = np.array([k for k, _ in names], dtype=np.uint64)
+    order = np.lexsort((least, key))
+    k, f = key[order], least[order]
     new_key = np.concatenate([[True], k[1:] != k[:-1]])
     new_doc = new_key | np.concatenate([[True], f[1:] != f[:-1]])
-    # place of a piece's first document among those of its key
-    serial = np.cumsum(new_doc)
+    # place of a part's first document among those of its key, number of its key
+    serial, group = np.cumsum(new_doc), np.cumsum(new_key)
     place = serial - np.maximum.accumulate(np.where(new_key, serial, 0))
-    most = int(place.max(initial=0)) + 1
     half = 1
-    while half < most:
-        block = place // half
+    while half <= place.max(initial=0):
         # odd blocks look for their windows in the even block before them
-        for pair in np.unique(block[block % 2 == 1] // 2).tolist():
-            late = order[block == 2 * pair + 1]
-            early = order[(block == 2 * pair) & np.isin(k, key[late])]
-            index = RunLengthIndex([texts[i] for i in early.tolist()], MATCH)
-            for i, length in zip(late.tolist(), index.matching_statistics([texts[i] for i in late.tolist()]), strict=True):
-                hits = np.flatnonzero(length[:len(texts[i]) - MATCH + 1] >= MATCH)
-                covered[i] |= np.bitwise_or.reduce(np.uint64(1) << hits.astype(np.uint64), initial=np.uint64(0))
+        block = place // half
+        pair = group * (int(block.max()) // 2 + 1) + block // 2
+        odd = block % 2 == 1
+        asked = np.unique(pair[odd])
+        late = np.flatnonzero(odd)
+        early = np.flatnonzero(~odd & np.isin(pair, asked))
+        index = RunLengthIndex([names[i][1] for i in order[early].tolist()], MATCH, np.searchsorted(asked, pair[early]))
+        texts = [names[i][1] for i in order[late].tolist()]
+        lengths = index.matching_statistics(texts, np.searchsorted(asked, pair[late]))
+        for i, text, length in zip(order[late].tolist(), texts, lengths, strict=True):
+            covered[i] |= _bits(np.flatnonzero(length[:len(text) - MATCH + 1] >= MATCH))
         half *= 2
     return covered
 
@@ -238,23 +309,24 @@ def _compare(group: pa.Table) -> pa.Table:
         lengths = np.frombuffer(r["lengths"], dtype=np.uint8).astype(np.int64)
         ends = np.cumsum(lengths)
         own = []
+        joined = zstandard.decompress(r["bytes"])
         for e, n in zip(ends.tolist(), lengths.tolist(), strict=True):
-            t = r["bytes"][e - n:e]
+            t = joined[e - n:e]
             i = number.setdefault(t, len(texts))
             if i == len(texts):
                 texts.append(t)
             own.append(i)
         every.append(np.array(own, dtype=np.int64))
     flat = np.concatenate(every)
-    key = np.zeros(len(texts), dtype=np.uint64)
-    key[flat] = np.concatenate([np.frombuffer(r["keys"], dtype=np.uint64) for r in rows])
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    key = window_keys(np.frombuffer(b"".join(texts), dtype=np.uint8))[np.cumsum(sizes) - sizes]
     first = np.full(len(texts), np.iinfo(np.int64).max)
     np.minimum.at(first, flat, np.concatenate([np.frombuffer(r["docs"], dtype=np.int64) for r in rows]))
     covered = earlier_windows(texts, key, first)
     return pa.table({
         "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
         "shard": pa.array([r["shard"] for r in rows], pa.int32()),
-        "keys": pa.array([r["keys"] for r in rows], pa.binary()),
+        "keys": pa.array([key[i].tobytes() for i in every], pa.binary()),
         "first": pa.array([first[i].tobytes() for i in every], pa.binary()),
         "covered": pa.array([covered[i].tobytes() for i in every], pa.binary())})
 
