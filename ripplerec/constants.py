@@ -5,7 +5,7 @@ FIXED VALUES (taken from the reference's job wiring, stated as plain text):
   history window: 60 seconds long, sliding every 20 seconds, 10 items kept
   history watermark bound: 10 seconds out of order; popularity: ascending (0 s)
   recommendations per user: 8
-  wire line: "user,item,time" joined with ","; topic key "news"; topic "flink-rl"
+  wire line: "user,item,time" joined with ","; topic key "news"
   time format: "yyyy-MM-dd HH:mm:ss"
   constrained-policy perturbation scale: 0.05; latent noise clamp: [-0.5, 0.5];
   latent size = 2 x action size
@@ -30,7 +30,6 @@ N_REC = 8
 
 WIRE_SEP = ","
 WIRE_KEY = "news"
-WIRE_TOPIC = "flink-rl"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 BCQ_PHI = 0.05

@@ -58,9 +58,10 @@ def state_vector(df: DataFrame, keys: list[str], user_col: str, items_col: str,
 
     ``user_vecs``/``item_vecs`` are (id INT, vec ARRAY<FLOAT>).  Ids without a
     vector get zeros (the OOV rule, SURVEY Q9).  Result ARRAY<DOUBLE> of
-    ``dim * (1 + len(items))``.
+    ``dim * (1 + len(items))`` for lists of any length; with ``width`` a longer
+    list is an error, whichever way the vectors are looked up.
 
-    ``width`` (fixed history length) and a vector table whose size is checked
+    ``width`` (longest history length) and a vector table whose size is checked
     under ``max_broadcast_bytes`` (row count x ``dim`` doubles): one lookup
     per position against a single broadcast of the table (the same build
     side, so Spark reuses one broadcast exchange) -- no shuffle of the rows.
@@ -76,14 +77,19 @@ def state_vector(df: DataFrame, keys: list[str], user_col: str, items_col: str,
     base = df.join(uv, df[user_col] == uv["_uid"], "left").drop("_uid") \
         .withColumn("_uvec", F.coalesce("_uvec", zero))
     iv = item_vecs.select(F.col("id").alias("_iid"), as_double(F.col("vec")).alias("_ivec"))
+    if width is not None:
+        fits = F.coalesce(F.size(items_col), F.lit(0)) <= width
+        base = base.withColumn("_uvec", F.when(fits, F.col("_uvec")).otherwise(
+            F.raise_error(F.lit(f"a list of more than {width} items"))))
     if width is not None and item_vecs.count() * dim * 8 <= max_broadcast_bytes:
         small = F.broadcast(iv)
         out = base
         parts = [F.col("_uvec")]
         for p in range(width):
-            out = out.join(small, F.col(items_col).getItem(p) == F.col("_iid"), "left") \
+            out = out.join(small, F.get(F.col(items_col), F.lit(p)) == F.col("_iid"), "left") \
                 .drop("_iid").withColumnRenamed("_ivec", f"_v{p}")
-            parts.append(F.coalesce(F.col(f"_v{p}"), zero))
+            parts.append(F.when(F.size(items_col) > p, F.coalesce(F.col(f"_v{p}"), zero))
+                         .otherwise(F.array().cast("array<double>")))
         return out.withColumn(out_col, F.concat(*parts)) \
             .drop("_uvec", *[f"_v{p}" for p in range(width)])
     exploded = df.select(*keys, F.posexplode(items_col).alias("_pos", "_iid"))

@@ -133,7 +133,7 @@ def load_model_npz(path: str, algo: str):
         d1 = L("decoder1")
         return ConstrainedModel(d1, L("decoder2"), L("decoder3"), L("perturbator.fc1"),
                                 L("perturbator.fc2"), L("perturbator.fc3"),
-                                latent=int(z["latent_dim"]) if "latent_dim" in z else d1.w.shape[1])
+                                latent=int(z["latent_dim"]) if "latent_dim" in z else 2 * L("decoder3").w.shape[0])
     raise ValueError(f"wrong algorithm: {algo}")
 
 
@@ -338,16 +338,19 @@ def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int =
                 continue
             st = _states(batch, state_col, user_vec_col, items_col, catalog, dim)
             if isinstance(model, PolicyModel):
-                scores = model.scores(st, None)
-                ids = np.arange(scores.shape[1])
+                score = lambda lo, hi: model.scores(st[lo:hi], None)  # noqa: B023, E731
+                ids = np.arange(score(0, 0).shape[1])
             else:
                 act = _actions(model, st, _seed_keys(batch, seed_cols), base_seed)
-                scores = act @ catalog.matrix.T
+                score = lambda lo, hi: act[lo:hi] @ catalog.matrix.T  # noqa: B023, E731
                 ids = catalog.ids
-            if scores.shape[1] == 0:
+            if len(ids) == 0:
                 top = np.zeros((batch.num_rows, 0), dtype=np.int32)
-            else:
-                top = ids[_topk_index(np.round(scores, SCORE_DECIMALS), ids, k)].astype(np.int32)
+            else:  # the score matrix is held for SCORE_CHUNK_CELLS cells at a time
+                step = max(1, SCORE_CHUNK_CELLS // len(ids))
+                top = np.concatenate([
+                    ids[_topk_index(np.round(score(lo, lo + step), SCORE_DECIMALS), ids, k)]
+                    for lo in range(0, batch.num_rows, step)]).astype(np.int32)
             cols = [batch.column(c) for c in keep] + [_fixed_lists(top, pa.int32())]
             yield pa.RecordBatch.from_arrays(cols, names=keep + [out_col])
 

@@ -105,7 +105,9 @@ def publish_wire(messages: DataFrame, fmt: str = "kafka", options: dict | None =
     """publish (key, value) rows; ``kafka`` needs the connector jar."""
     w = messages.write.format(fmt).options(**(options or {}))
     if fmt == "kafka":
-        w.option("topic", (options or {}).get("topic", K.WIRE_TOPIC)).save()
+        if "topic" not in (options or {}):
+            raise ValueError("a topic is needed: options={'topic': ...}")
+        w.save()
     else:
         w.mode("append").save(path)
 

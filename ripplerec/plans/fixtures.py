@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.prep import build_id_map, vocabulary
 from ..session import materialize as write_table_once
+from ..session import modified
 from ..sources.tables import read_records, read_table
 
 # FIXED VALUES for the fixtures (shared with the DuckDB oracles).
@@ -46,21 +47,22 @@ def materialize(dim: DataFrame, name: str = "dim") -> DataFrame:
     return write_table_once(dim, name)
 
 
-_PREPARED: dict[tuple[str, str], "Fixture"] = {}
+_PREPARED: dict[tuple, "Fixture"] = {}
 
 
 class Fixture:
     """Lazily derived inputs for one scale-factor folder (all DataFrames).
 
-    ``Fixture.prepared(spark, sf_dir)`` shares one instance per session and
-    folder: the dictionaries are a preparation step (README: filter, id maps)
+    ``Fixture.prepared(spark, sf_dir)`` shares one instance per session,
+    folder and state of its input files: the dictionaries are a preparation step (README: filter, id maps)
     whose checkpointed output later jobs re-read, as the reference's jobs
     re-read its map files.
     """
 
     @staticmethod
     def prepared(spark: SparkSession, sf_dir: str) -> "Fixture":
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir,
+               *(modified(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("events", "embeddings")))
         if key not in _PREPARED:
             _PREPARED[key] = Fixture(spark, sf_dir)
         return _PREPARED[key]

@@ -24,8 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import constants as K
 from ..operators.sinks import wire_messages
 from ..streaming.history import last_reward_stream, recommend_batch, user_history_stream
-from ..streaming.persist import (consumed_pairs_batch, record_log_stream,
-                                 unique_records_stream)
+from ..streaming.persist import consumed_pairs_batch, record_log_stream, unique_records_batch
 from ..streaming.popular import popular_items_stream, publish_hot_batch
 
 
@@ -64,7 +63,7 @@ def start_persist_job(records: DataFrame, out: str, ckpt: str, trigger: dict | N
     """Three queries sharing one source definition: F1, F4, F2."""
     return [
         _start(record_log_stream(records), f"{ckpt}/record_log", f"{out}/record_log", trigger=trigger),
-        _start(unique_records_stream(records), f"{ckpt}/records", f"{out}/records", trigger=trigger),
+        _start(records, f"{ckpt}/records", foreach=unique_records_batch(f"{out}/records"), trigger=trigger),
         _start(records, f"{ckpt}/consumed", foreach=consumed_pairs_batch(f"{out}/consumed_pairs"),
                trigger=trigger),
     ]
@@ -75,5 +74,7 @@ def start_publish_job(records: DataFrame, ckpt: str, fmt: str = "kafka", options
     msgs = wire_messages(records, key)
     w = msgs.writeStream.option("checkpointLocation", ckpt).format(fmt).options(**(options or {}))
     if fmt == "kafka":
-        return w.option("topic", (options or {}).get("topic", K.WIRE_TOPIC)).start()
+        if "topic" not in (options or {}):
+            raise ValueError("a topic is needed: options={'topic': ...}")
+        return w.start()
     return w.option("path", path).start()

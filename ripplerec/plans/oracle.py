@@ -322,7 +322,8 @@ def recommend_constrained(k: int = K.N_REC) -> str:
 
 def actor_action() -> str:
     return with_ctes(*_scoring_base(), body="""
-SELECT raw_user, window_end, list_transform(action, lambda x: round(x, 6)) AS action FROM ddpg""")
+SELECT raw_user, window_end, CAST(i - 1 AS INTEGER) AS pos, CAST(action[i] AS DOUBLE) AS value
+FROM (SELECT *, unnest(range(1, len(action) + 1)) AS i FROM ddpg)""")
 
 
 def topk_blocked(k: int = K.N_REC) -> str:
@@ -512,6 +513,8 @@ ORACLES = {
     "recommend_policy": recommend_policy,
     "recommend_constrained": recommend_constrained,
     "recommend_state": recommend_actor,
+    "recommend_state_policy": recommend_policy,
+    "recommend_state_constrained": recommend_constrained,
     "topk_per_key": topk_blocked,
     "state_vector": state_vector,
     "scoring_requests": scoring_requests,
@@ -532,6 +535,9 @@ ORACLES = {
     "read_text_tolerant": read_text_tolerant,
     "read_id_map": build_id_map,
     "read_embeddings": read_embeddings,
+    "record_log_stream": record_log,
+    "unique_records_stream": unique_records,
+    "user_consumed_stream": user_consumed,
 }
 
 

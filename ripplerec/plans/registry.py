@@ -179,8 +179,7 @@ def q_actor_action(spark, sf_dir):
     from ..operators.scoring import actor_action
     fx, R, catalog, rows = _scoring(spark, sf_dir)
     out = actor_action(rows, R.fixture_models(len(catalog.ids))["ddpg"], catalog)
-    return out.select("raw_user", "window_end",
-                      F.transform("action", lambda x: F.round(x, 6)).alias("action"))
+    return out.select("raw_user", "window_end", F.posexplode("action").alias("pos", "value"))
 
 
 def _state_rows(spark, sf_dir):
@@ -198,12 +197,16 @@ def q_state_vector(spark, sf_dir):
     return st.select("raw_user", "window_end", "state")
 
 
-def q_recommend_state(spark, sf_dir):
-    from ..operators.scoring import recommend
-    fx, R, st = _state_rows(spark, sf_dir)
-    catalog = R.fixture_catalog(fx)
-    out = recommend(st, R.fixture_models(len(catalog.ids))["ddpg"], catalog, K.N_REC, state_col="state")
-    return out.select("raw_user", "user_id", "window_end", "item_rec")
+def _recommend_state_query(algo):
+    def q(spark, sf_dir):
+        from ..operators.scoring import model_for, recommend
+        fx, R, st = _state_rows(spark, sf_dir)
+        catalog = R.fixture_catalog(fx)
+        model = model_for(algo, R.fixture_models(len(catalog.ids)))
+        out = recommend(st, model, catalog, K.N_REC, state_col="state")
+        return out.select("raw_user", "user_id", "window_end", "item_rec")
+    q.__name__ = f"q_recommend_state_{algo}"
+    return q
 
 
 def q_topk_per_key(spark, sf_dir):
@@ -356,6 +359,48 @@ def q_read_embeddings(spark, sf_dir):
     return read_embeddings(spark, path)
 
 
+# ---------------------------------------------------------------- streams over the event table
+
+def _event_stream(spark, sf_dir):
+    """The mapped records as a file stream of ``events``."""
+    from ..operators.lookup import map_ids
+    from ..sources.tables import records_from_events
+    fx = Fixture.prepared(spark, sf_dir)
+    schema = fx.table("events").schema
+    # a file source wants a folder or a pattern; the table may be either
+    src = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    rec = map_ids(records_from_events(src), "user_id", fx.user_map, oov=fx.user_map.count())
+    return map_ids(rec, "item_id", fx.item_map, oov=fx.item_map.count()).select(
+        F.col("user_id").cast("bigint").alias("user_id"), "item_id", "ts", "event_id")
+
+
+def _run_stream(df, spark, name, path=None, foreach=None):
+    w = df.writeStream.option("checkpointLocation", _scratch(spark, f"{name}-checkpoint")).trigger(availableNow=True)
+    q = w.foreachBatch(foreach).start() if foreach else w.format("parquet").option("path", path).start()
+    q.awaitTermination()
+
+
+def q_record_log_stream(spark, sf_dir):
+    from ..streaming.persist import record_log_stream
+    path = _scratch(spark, "record-log")
+    _run_stream(record_log_stream(_event_stream(spark, sf_dir)), spark, "record-log", path)
+    return spark.read.parquet(path)
+
+
+def q_unique_records_stream(spark, sf_dir):
+    from ..streaming.persist import read_unique_records, unique_records_batch
+    path = _scratch(spark, "unique-records")
+    _run_stream(_event_stream(spark, sf_dir), spark, "unique-records", foreach=unique_records_batch(path))
+    return read_unique_records(spark, path)
+
+
+def q_user_consumed_stream(spark, sf_dir):
+    from ..streaming.persist import consumed_pairs_batch, read_user_consumed
+    path = _scratch(spark, "consumed-pairs")
+    _run_stream(_event_stream(spark, sf_dir), spark, "consumed-pairs", foreach=consumed_pairs_batch(path))
+    return read_user_consumed(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "sliding_counts": q_sliding_counts,
     "sliding_counts_paned": q_sliding_counts_paned,
@@ -380,7 +425,9 @@ QUERIES: dict[str, Query] = {
     "recommend_actor": _recommend_query("ddpg"),
     "recommend_policy": _recommend_query("reinforce"),
     "recommend_constrained": _recommend_query("bcq"),
-    "recommend_state": q_recommend_state,
+    "recommend_state": _recommend_state_query("ddpg"),
+    "recommend_state_policy": _recommend_state_query("reinforce"),
+    "recommend_state_constrained": _recommend_state_query("bcq"),
     "topk_per_key": q_topk_per_key,
     "state_vector": q_state_vector,
     "scoring_requests": q_scoring_requests,
@@ -401,4 +448,7 @@ QUERIES: dict[str, Query] = {
     "read_text_tolerant": q_read_text_tolerant,
     "read_id_map": q_read_id_map,
     "read_embeddings": q_read_embeddings,
+    "record_log_stream": q_record_log_stream,
+    "unique_records_stream": q_unique_records_stream,
+    "user_consumed_stream": q_user_consumed_stream,
 }

@@ -8,6 +8,8 @@ platform's session (and its ``spark.checkpoint.dir``) is used as is.
 from __future__ import annotations
 
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,17 +53,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    local_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a scratch one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...)
-    and is used unchanged.  Only when nothing is configured -- local tests --
-    is a fresh scratch folder created.
-    """
+    """The folder that ``spark.checkpoint.dir`` names, which all executors
+    share; an error if there is none."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,10 +68,45 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
-    local = tempfile.mkdtemp(prefix="ripplerec-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return local
+    raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+
+
+def local_checkpoint_dir(spark: SparkSession) -> str:
+    """``ensure_checkpoint_dir`` for one-machine sessions (tests, bench, local
+    runs): a fresh scratch folder if none is set and the master is local."""
+    sc = spark.sparkContext
+    if not (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)) \
+            and re.match(r"local(\[|$)", sc.master):
+        folder = tempfile.mkdtemp(prefix="ripplerec-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+        sc.setCheckpointDir(folder)
+    return ensure_checkpoint_dir(spark)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """Modification time of a file or folder in any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that
+    tasks can import it wherever the driver was started."""
+    import ripplerec
+    sc = spark.sparkContext
+    if getattr(sc, "_ripplerec_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(ripplerec.__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="ripplerec-zip-"), "ripplerec"), "zip",
+                                  os.path.dirname(home), os.path.basename(home))
+    sc.addPyFile(archive)
+    sc._ripplerec_shipped = True
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -11,14 +11,21 @@ form for embeddings and are read by plain ``spark.read.parquet``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def _parsed(schema: str, path: str) -> Column:
+    """The JSON object of a file; a broken one fails the job instead of
+    reading as no rows."""
+    value = F.from_json("value", schema, {"mode": "FAILFAST"})
+    return F.coalesce(value, F.raise_error(F.lit(f"not a JSON object: a file of {path}")).cast(schema))
+
+
 def read_id_map(spark: SparkSession, path: str) -> DataFrame:
     """A5: JSON object file(s) -> (raw_id BIGINT, dense_id INT)."""
     objs = spark.read.text(path, wholetext=True)
-    m = objs.select(F.explode(F.from_json("value", "map<string,int>")).alias("k", "v"))
+    m = objs.select(F.explode(_parsed("map<string,int>", path)).alias("k", "v"))
     return m.select(F.col("k").cast("bigint").alias("raw_id"), F.col("v").cast("int").alias("dense_id"))
 
 
@@ -40,16 +47,21 @@ def write_id_map(id_map: DataFrame, path: str, parts: int | None = None,
 def read_embeddings(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
     """``{"user": [[f..]], "item": [[f..]]}`` file(s) -> (kind, id, vec).
 
-    Row position in the JSON array is the dense id.  ``kind`` keeps one
-    entity type.
+    Row position in the JSON array is the dense id; in a folder of files the
+    positions of a kind go on from one file to the next, in the order of the
+    file names.  ``kind`` keeps one entity type.
     """
     objs = spark.read.text(path, wholetext=True)
-    parsed = objs.select(F.from_json("value", "map<string,array<array<float>>>").alias("m"))
-    kinds = parsed.select(F.explode("m").alias("kind", "rows"))
+    parsed = objs.select(F.input_file_name().alias("file"),
+                         _parsed("map<string,array<array<float>>>", path).alias("m"))
+    kinds = parsed.select("file", F.explode("m").alias("kind", "rows"))
     if kind is not None:
         kinds = kinds.where(F.col("kind") == kind)
-    out = kinds.select("kind", F.posexplode("rows").alias("id", "vec"))
-    return out.select("kind", F.col("id").cast("int").alias("id"), "vec")
+    before = Window.partitionBy("kind").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = kinds.select("kind", "file", F.size("rows").alias("n"))  # one small row per file and kind
+    starts = sizes.select("kind", "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    out = kinds.join(starts, ["kind", "file"]).select("kind", "start", F.posexplode("rows").alias("pos", "vec"))
+    return out.select("kind", (F.col("pos") + F.col("start")).cast("int").alias("id"), "vec")
 
 
 MAX_JSON_EMBEDDING_ROWS = 1_000_000

@@ -79,7 +79,7 @@ def decode_records(lines: DataFrame, user_map: DataFrame, item_map: DataFrame,
 
 
 def read_events_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None = None,
-                       topic: str = K.WIRE_TOPIC) -> DataFrame:
+                       topic: str | None = None) -> DataFrame:
     """A3: subscribe to the event topic and decode bytes to text -> (key, value).
 
     The format is injectable: ``kafka`` on a cluster (needs the connector
@@ -88,6 +88,8 @@ def read_events_stream(spark: SparkSession, fmt: str = "kafka", options: dict |
     """
     opts = dict(options or {})
     if fmt == "kafka":
+        if topic is None and "subscribe" not in opts:
+            raise ValueError("a topic is needed")
         opts.setdefault("subscribe", topic)
         opts.setdefault("kafka.group.id", "rec")
         src = spark.readStream.format("kafka").options(**opts).load()

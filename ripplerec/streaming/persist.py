@@ -2,9 +2,10 @@
 RecordToMysql jobs): wire lines -> decoded records -> result tables.
 
 * F1 ``record_log_stream``: stateless append.
-* F4 ``unique_records_stream``: keyed insert; the first row per (user, item)
-  kept by streaming de-duplication (state holds one entry per key, i.e. the
-  size of the table itself).
+* F4 ``unique_records_batch`` + ``read_unique_records``: keyed insert; each
+  micro-batch appends its earliest row per (user, item) under its batch id
+  (idempotent on replay), reading keeps the earliest of all.  There is no
+  watermark: a late event is inserted like any other.
 * F2 ``consumed_pairs_batch`` + ``read_user_consumed``: each micro-batch
   appends its distinct (user, kind, value, first-seen) pairs under its batch
   id (idempotent on replay); the per-user ordered sets are built on read.
@@ -16,20 +17,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import constants as K
 from ..functions.scalar import format_time
 from ..operators.sinks import record_log
-from ..operators.windows import with_event_time
 
 
 def record_log_stream(records: DataFrame) -> DataFrame:
     return record_log(records)
 
 
-def unique_records_stream(records: DataFrame, lateness: str = K.HIST_LATENESS) -> DataFrame:
-    ev = with_event_time(records, lateness).dropDuplicates(["user_id", "item_id"])
-    return ev.select(F.col("user_id").alias("user"), F.col("item_id").alias("item"),
-                     format_time(F.unix_millis("ts")).alias("time"))
+def unique_records_batch(path: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first = batch.groupBy(F.col("user_id").alias("user"), F.col("item_id").alias("item")).agg(
+            F.min(F.struct("ts", "event_id")).alias("first"))
+        first.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    return write
+
+
+def read_unique_records(spark: SparkSession, path: str) -> DataFrame:
+    first = spark.read.parquet(path).groupBy("user", "item").agg(F.min("first").alias("first"))
+    return first.select("user", "item", format_time(F.unix_millis("first.ts")).alias("time"))
 
 
 def consumed_pairs_batch(path: str):

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import path_exists
 from .. import constants as K
 from ..operators.lookup import map_ids
 from ..operators.windows import with_event_time
@@ -69,7 +70,11 @@ def publish_hot_batch(path: str):
 
 
 def read_hot_store(spark, path: str) -> DataFrame:
-    """Current rank store: per rank, the write with the highest window end."""
-    writes = spark.read.parquet(path)
+    """Current rank store: per rank, the write with the highest window end.
+    A store that is not written yet has no ranks."""
+    schema = "rank int, item_id int, window_end long"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    writes = spark.read.schema(schema).parquet(path)
     return writes.groupBy("rank").agg(F.max_by("item_id", "window_end").alias("item_id"),
                                       F.max("window_end").alias("window_end"))

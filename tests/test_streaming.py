@@ -174,7 +174,8 @@ def test_reward_stream_equals_batch(spark, tmp_path):
 def test_persistence_streams_equal_batch(spark, replay, tmp_path):
     from ripplerec.operators.sinks import record_log, unique_records, user_consumed
     from ripplerec.streaming.persist import (consumed_pairs_batch, read_user_consumed,
-                                             record_log_stream, unique_records_stream)
+                                             read_unique_records, record_log_stream,
+                                             unique_records_batch)
     records, inbox = replay
     real = records
     src = lambda: spark.readStream.schema(schemas.RECORD).option("maxFilesPerTrigger", 1).parquet(inbox) \
@@ -182,8 +183,12 @@ def test_persistence_streams_equal_batch(spark, replay, tmp_path):
     _run(record_log_stream(src()), "log_stream", str(tmp_path / "ck1"))
     assert _rows(spark.table("log_stream"), ["user", "item", "time"]) == \
         _rows(record_log(real), ["user", "item", "time"])
-    _run(unique_records_stream(src()), "uniq_stream", str(tmp_path / "ck2"))
-    assert _rows(spark.table("uniq_stream"), ["user", "item", "time"]) == \
+    uniq = str(tmp_path / "uniq")
+    q = src().writeStream.foreachBatch(unique_records_batch(uniq)) \
+        .option("checkpointLocation", str(tmp_path / "ck2")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert _rows(read_unique_records(spark, uniq), ["user", "item", "time"]) == \
         _rows(unique_records(real), ["user", "item", "time"])
     pairs = str(tmp_path / "pairs")
     q = src().writeStream.foreachBatch(consumed_pairs_batch(pairs)) \
@@ -258,3 +263,37 @@ def test_jobs_end_to_end(spark, replay, tmp_path):
         q.processAllAvailable()
         q.stop()
     assert spark.read.parquet(str(tmp_path / "persist" / "record_log")).count() == records.count()
+
+
+def test_keyed_insert_keeps_late_rows(spark, tmp_path):
+    """Keys that arrive long after newer events are inserted all the same, and
+    the earliest event of a key wins whenever it arrives."""
+    from ripplerec.operators.sinks import unique_records
+    from ripplerec.streaming.persist import read_unique_records, unique_records_batch
+    files = [[(1, 1, 5000, 0), (2, 1, 5_000_000, 1)], [(3, 1, 6000, 2), (1, 1, 1000, 3)],
+             [(4, 2, 2000, 4), (5, 2, 9_000_000, 5), (2, 1, 4_000_000, 6)]]
+    inbox, store = str(tmp_path / "in"), str(tmp_path / "store")
+    every = None
+    now = time.time() - 1000
+    for i, rows in enumerate(files):
+        df = spark.createDataFrame(rows, "user_id long, item_id int, ms long, event_id long").select(
+            "user_id", "item_id", F.timestamp_millis("ms").alias("ts"), "event_id")
+        every = df if every is None else every.union(df)
+        df.coalesce(1).write.mode("append").parquet(inbox)
+        for f in os.listdir(inbox):
+            p = os.path.join(inbox, f)
+            if os.path.getmtime(p) > now + 500:
+                os.utime(p, (now + i, now + i))
+    q = spark.readStream.schema(schemas.RECORD).option("maxFilesPerTrigger", 1).parquet(inbox) \
+        .writeStream.foreachBatch(unique_records_batch(store)) \
+        .option("checkpointLocation", str(tmp_path / "ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    got = _rows(read_unique_records(spark, store), ["user", "item", "time"])
+    assert got == _rows(unique_records(every), ["user", "item", "time"])
+    assert len(got) == 5
+
+
+def test_missing_hot_store_is_an_empty_one(spark, tmp_path):
+    from ripplerec.streaming.popular import read_hot_store
+    assert read_hot_store(spark, str(tmp_path / "never written")).collect() == []
