@@ -29,7 +29,7 @@ from .common import parts, rows_of, small_batches, store
 
 CAPACITY = 2048
 #: Words whose ids a worker remembers; beyond it the memory is emptied.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 #: Pieces of one length that are ranked by one task.
 RANK_ROWS = 20_000
 
@@ -60,6 +60,17 @@ def encoder(path: str):
         # the tokenizer lowers letters itself; special tokens keep their case
         return (raw if b"<|" in raw else raw.lower()).split()
 
+    def learn(some: list[bytes]) -> None:
+        """Encode new words as one text; tokens are told apart by their places."""
+        plain = [w.decode() for w in some]
+        begin = np.cumsum([0, *(len(w) + 1 for w in plain)])
+        e = tok.encode(" ".join(plain), add_special_tokens=False)
+        word = np.searchsorted(begin, [o[0] for o in e.offsets], side="right") - 1
+        cut = (4 * np.searchsorted(word, np.arange(len(some) + 1))).tolist()
+        packed = np.array(e.ids, dtype="<u4").tobytes()
+        for w, lo, hi in zip(some, cut, cut[1:], strict=False):
+            seen[w] = packed[lo:hi]
+
     def encode(texts: list[str]) -> list[bytes]:
         split = [words(t) for t in texts]
         new = list(set().union(*split).difference(seen))
@@ -68,10 +79,7 @@ def encoder(path: str):
                 seen.clear()
                 new = list(set().union(*split))
             for at in range(0, len(new), 4096):
-                some = new[at:at + 4096]
-                for w, e in zip(some, tok.encode_batch([w.decode() for w in some], add_special_tokens=False),
-                                strict=True):
-                    seen[w] = np.array(e.ids, dtype="<u4").tobytes()
+                learn(new[at:at + 4096])
         get = seen.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
