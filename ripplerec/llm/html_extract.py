@@ -185,9 +185,11 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.min_by(F.coalesce("html", F.lit("")), F.xxhash64("page_id", "html")).alias("pivot"))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt")
     spread = pivots.select("host", "pivot", salts)
-    stats = (pages.join(spread, ["host", "salt"]).select("host", "html", "pivot").mapInArrow(_observe, _STATS)
+    # both passes read the same columns, so the pages are shuffled once for the two joins
+    stats = (pages.join(spread.hint("merge"), ["host", "salt"]).select("page_id", "url", "html", "host", "pivot")
+             .mapInArrow(_observe, _STATS)
              .groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in ("pages", "same", "mass")))
              .groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "mass")).alias("stats")))
     known = pivots.join(stats, "host", "left").select("host", "pivot", "stats", salts)
-    return (pages.join(known, ["host", "salt"]).select("page_id", "url", "html", "host", "pivot", "stats")
+    return (pages.join(known.hint("merge"), ["host", "salt"]).select("page_id", "url", "html", "host", "pivot", "stats")
             .mapInArrow(_extract, _RESULT))
