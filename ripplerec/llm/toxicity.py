@@ -258,7 +258,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[lis
     small_batches(spark)
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
-    known = (docs.where(~held_out()).select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id"))
+    # one plan at every size: labels grow with the documents, so they are never broadcast
+    known = (docs.where(~held_out()).select("doc_id", "text")
+             .join(marks.hint("merge"), F.col("doc_id") == F.col("_id"))
              .select("text", "toxic"))
     known = store(known, "labelled")
     size = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
