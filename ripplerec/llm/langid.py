@@ -10,13 +10,15 @@ n-grams.  The language of the lowest cross-entropy per character wins.
 
 Confidence is calibrated by a logistic model of the margin to the runner-up,
 the cross-entropy itself and the length.  Its sample is bounded: about
-``SAMPLE`` training texts a language, as themselves (right or wrong) and with
+``SAMPLE`` different training texts a language, as themselves (right or wrong) and with
 their characters shuffled (no language).  Below ``REJECT`` a text is rejected: text
 in two known languages scores lower than in one, but far above noise.
 
-Characters are folded to 4,096 symbols, and a language keeps at most
-``MAX_GRAMS`` 4-grams, its most frequent ones (the rest backs off), which
-bounds the model that is sent to the tasks.
+Characters are folded to 64 symbols: the space, a to z, and 37 more that take
+the other letters by code point (the lower-case letters of one alphabet stand
+together, so they stay apart).  No 4-gram is dropped, yet there are at most
+2^24 of them whatever the corpus holds, which bounds the model that is sent to
+the tasks: 4 bytes an n-gram and 4 more a language.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
 and so is every text if there is nothing to learn from; ties go to the
@@ -34,25 +36,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows_of, small_batches
+from .common import drop, rows_of, small_batches, store
 
 ORDER = 4
-BITS = 12
+BITS = 6
 SYMBOLS = 1 << BITS
-#: 4-grams that the model of one language keeps at most.
-MAX_GRAMS = 400_000
-#: Training texts a language that calibrate the score (about).
+#: First symbol of the letters beyond a to z, which are 1 to 26 (the space is 0).
+OTHER = 27
+#: Different training texts a language that calibrate the score (about).
 SAMPLE = 400
 REJECT = 0.1
 UNDEFINED = "und"
 
-_OTHER = re.compile(r"[\W\d_]+")
-_COUNTS = "lang string, gram long, n long"
+_NO_LETTERS = re.compile(r"[\W\d_]+")
+_COUNTS = "lang string, gram int, n long"
 
 
 def normalise(text: str | None) -> str:
     """Lower-case letters with single spaces, without outer spaces."""
-    return _OTHER.sub(" ", (text or "").lower()).strip()
+    return _NO_LETTERS.sub(" ", (text or "").lower()).strip()
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,13 +62,12 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     pad = " " * (ORDER - 1)
     lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
     flat = "".join([pad + t + " " for t in texts])
-    sym = np.frombuffer(flat.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    high = sym >= SYMBOLS
-    if high.any():
-        sym[high] = (sym[high] * np.uint64(2654435761) >> np.uint64(7)) % np.uint64(SYMBOLS - 128) + np.uint64(128)
+    code = np.frombuffer(flat.encode("utf-32-le"), dtype="<u4").astype(np.int32)
+    sym = np.where(code == 32, 0, np.where((code >= 97) & (code <= 122), code - 96,
+                                           OTHER + code % (SYMBOLS - OTHER))).astype(np.int32)
     key = sym[ORDER - 1:].copy()
     for back in range(1, ORDER):
-        key |= sym[ORDER - 1 - back:len(sym) - back] << np.uint64(BITS * back)
+        key |= sym[ORDER - 1 - back:len(sym) - back] << (BITS * back)
     keep = np.ones(len(key), dtype=bool)
     ends = np.cumsum(lengths + ORDER - 1)[:-1]
     for k in range(ORDER - 1):  # 4-grams that reach into the next text
@@ -95,7 +96,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang in held:
         keys, n = merged(lang)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+            [pa.array([lang] * len(keys)), pa.array(keys), pa.array(n)], ["lang", "gram", "n"])
 
 
 @dataclass
@@ -115,7 +116,7 @@ class Model:
         todo = np.arange(len(key))
         for level in range(ORDER):
             table = self.keys[level]
-            here = key[todo] & np.uint64((1 << (BITS * (ORDER - level))) - 1)
+            here = key[todo] & ((1 << (BITS * (ORDER - level))) - 1)
             at = np.minimum(np.searchsorted(table, here), len(table) - 1)
             found = table[at] == here
             out[todo[found]] += self.logp[level][at[found]]
@@ -125,7 +126,7 @@ class Model:
             if level == ORDER - 1:  # a symbol never seen
                 out[todo] += self.backoff[level][0] - np.float32(np.log(SYMBOLS))
                 break
-            context = here >> np.uint64(BITS)
+            context = here >> BITS
             at = np.minimum(np.searchsorted(self.contexts[level], context), len(self.contexts[level]) - 1)
             seen = self.contexts[level][at] == context
             out[todo[seen]] += self.backoff[level][at[seen]]
@@ -177,15 +178,15 @@ def build(counts: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
         order = np.argsort(gram)
         key, c = gram[order], n[order].astype(float)
         for level in range(ORDER):
-            context, first = np.unique(key >> np.uint64(BITS), return_index=True)
-            row = np.searchsorted(context, key >> np.uint64(BITS))
+            context, first = np.unique(key >> BITS, return_index=True)
+            row = np.searchsorted(context, key >> BITS)
             total = np.add.reduceat(c, first)
             ones, twos = (c == 1).sum(), (c == 2).sum()
             discount = min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
             kinds = np.add.reduceat(np.ones(len(c)), first)
             per_level[level].append((key, np.maximum(c - discount, 0) / total[row], context, discount * kinds / total))
             if level < ORDER - 1:  # continuation counts: different characters in front
-                key, c = np.unique(key & np.uint64((1 << (BITS * (ORDER - 1 - level))) - 1), return_counts=True)
+                key, c = np.unique(key & ((1 << (BITS * (ORDER - 1 - level))) - 1), return_counts=True)
                 c = c.astype(float)
     lower = None
     for level in reversed(range(ORDER)):
@@ -194,11 +195,11 @@ def build(counts: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
         if lower is None:
             base = np.full((len(key), width), 1.0 / SYMBOLS)
         else:
-            short = key & np.uint64((1 << (BITS * (ORDER - 1 - level))) - 1)
+            short = key & ((1 << (BITS * (ORDER - 1 - level))) - 1)
             base = np.exp(lower(short))
         for j, (own, p, context, gamma) in enumerate(per_level[level]):
-            at = np.minimum(np.searchsorted(context, key >> np.uint64(BITS)), len(context) - 1)
-            g = np.where(context[at] == key >> np.uint64(BITS), gamma[at], 1.0)
+            at = np.minimum(np.searchsorted(context, key >> BITS), len(context) - 1)
+            g = np.where(context[at] == key >> BITS, gamma[at], 1.0)
             prob[:, j] = g * base[:, j]
             prob[np.searchsorted(key, own), j] += p
         contexts = np.unique(np.concatenate([p[2] for p in per_level[level]]))
@@ -217,7 +218,7 @@ def build(counts: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
             out = np.zeros((len(k), width))
             todo = np.arange(len(k))
             for lv in range(ORDER - depth):
-                here = k[todo] & np.uint64((1 << (BITS * (ORDER - depth - lv))) - 1)
+                here = k[todo] & ((1 << (BITS * (ORDER - depth - lv))) - 1)
                 at = np.minimum(np.searchsorted(part.keys[lv], here), len(part.keys[lv]) - 1)
                 ok = part.keys[lv][at] == here
                 out[todo[ok]] += part.logp[lv][at[ok]]
@@ -227,7 +228,7 @@ def build(counts: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
                 if lv == ORDER - depth - 1:
                     out[todo] += part.backoff[lv][0] - np.log(SYMBOLS)
                     break
-                ctx = here >> np.uint64(BITS)
+                ctx = here >> BITS
                 at = np.minimum(np.searchsorted(part.contexts[lv], ctx), len(part.contexts[lv]) - 1)
                 ok = part.contexts[lv][at] == ctx
                 out[todo[ok]] += part.backoff[lv][at[ok]]
@@ -268,30 +269,26 @@ def _calibrate(shared):
     return run
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, max_grams: int = MAX_GRAMS) -> Model:
+def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Model of the rows (text, lang) of ``docs``; null languages are ignored."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.where("text is not null and lang is not null").select("text", "lang")
-    counts = docs.mapInArrow(_count, _COUNTS).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    from .common import store
-    counts = store(counts, "lm")
-    # the least count that keeps a language within max_grams, from counts of counts
-    spread: dict[str, dict[int, int]] = {}
-    for r in counts.groupBy("lang", F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("k")).collect():
-        spread.setdefault(r["lang"], {})[r["n"]] = r["k"]
+    counts = store(docs.mapInArrow(_count, _COUNTS).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "lm")
     rows = []
-    for lang in sorted(spread):
-        floor = 1
-        while floor < 1000 and sum(k for n, k in spread[lang].items() if n >= floor) > max_grams:
-            floor += 1
-        got = counts.where((F.col("lang") == lang) & (F.col("n") >= floor)).select("gram", "n").toArrow()
-        rows.append((lang, got["gram"].to_numpy().view(np.uint64), got["n"].to_numpy()))
+    for lang in sorted(r["lang"] for r in counts.select("lang").distinct().collect()):
+        got = counts.where(F.col("lang") == lang).select("gram", "n").toArrow()
+        rows.append((lang, got["gram"].to_numpy(), got["n"].to_numpy()))
+    drop(counts)
     model = build(rows)
     if model.langs:
-        sizes = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # sampled by text, copies once: a text with very many copies fills no sample
+        texts = docs.select("lang", "text", F.xxhash64("text").alias("hash"))
+        sizes = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(
+            F.approx_count_distinct("hash").alias("n")).collect()}
         share = F.coalesce(*(F.when(F.col("lang") == k, F.lit(min(1.0, sample / n))) for k, n in sizes.items()))
-        some = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
+        some = (texts.where(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30))
+                .groupBy("lang", "hash").agg(F.first("text").alias("text")))
         shared = spark.sparkContext.broadcast(model)
         got = some.mapInArrow(_calibrate(shared), "x array<double>, right boolean").collect()
         x, y = np.array([r["x"] for r in got]).reshape(-1, 4), np.array([r["right"] for r in got], dtype=float)

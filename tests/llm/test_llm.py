@@ -145,8 +145,8 @@ def test_kneser_ney_sums_to_one():
     key, _ = langid.grams(texts)
     u, n = np.unique(key, return_counts=True)
     model = langid.build([("x", u, n)])
-    context = key[2] >> np.uint64(langid.BITS) << np.uint64(langid.BITS)
-    all_next = context | np.arange(langid.SYMBOLS, dtype=np.uint64)
+    context = key[2] >> langid.BITS << langid.BITS
+    all_next = context | np.arange(langid.SYMBOLS, dtype=np.int32)
     assert np.exp(model.score(all_next)).sum() == pytest.approx(1, abs=1e-3)
 
 
