@@ -488,6 +488,11 @@ iv AS (SELECT im.dense_id AS id, e.embedding AS vec FROM imap im JOIN embeddings
         body="SELECT 'user' AS kind, id, vec FROM uv UNION ALL SELECT 'item' AS kind, id, vec FROM iv")
 
 
+def _closed(lateness_ms: int) -> str:
+    """Windows whose end the watermark has reached at the end of the stream."""
+    return f" WHERE window_end <= (SELECT max(ts_us) // 1000 FROM rec) - {lateness_ms}"
+
+
 ORACLES = {
     "sliding_counts": sliding_counts,
     "sliding_counts_paned": sliding_counts,
@@ -538,6 +543,9 @@ ORACLES = {
     "record_log_stream": record_log,
     "unique_records_stream": unique_records,
     "user_consumed_stream": user_consumed,
+    "top_n_items_stream": lambda: top_n_items() + _closed(0),
+    "user_history_stream": lambda: user_history() + _closed(10_000),
+    "last_reward_stream": last_reward_hot,
 }
 
 

@@ -89,12 +89,13 @@ def scored_rows(fx: Fixture, algo: str = "ddpg", k: int = K.N_REC, noise: bool =
     return recommend(rows, model, catalog, k, seed_cols=("raw_user", "window_end"))
 
 
-def recommend_pipeline(fx: Fixture, algo: str = "ddpg", n_rec: int = K.N_REC,
-                       k: int | None = None, scorer_failed: bool = False,
-                       noise: bool = False) -> DataFrame:
-    """The whole chain.  ``k`` < ``n_rec`` asks the scorer for fewer
-    items so the hot fill (G7) completes the list; ``scorer_failed`` takes
-    the reference's bad-response branch (G8)."""
+def recommendations(fx: Fixture, algo: str = "ddpg", n_rec: int = K.N_REC,
+                    k: int | None = None, scorer_failed: bool = False,
+                    noise: bool = False) -> DataFrame:
+    """The chain up to the filled lists: (raw_user, user_id, window_end,
+    items, item_rec).  ``k`` < ``n_rec`` asks the scorer for fewer items so
+    the hot fill (G7) completes the list; ``scorer_failed`` takes the
+    reference's bad-response branch (G8)."""
     if scorer_failed:
         rows = history_rows(fx.records, fx.user_map, fx.item_map) \
             .withColumn("item_rec", F.lit(None).cast("array<int>"))
@@ -103,10 +104,17 @@ def recommend_pipeline(fx: Fixture, algo: str = "ddpg", n_rec: int = K.N_REC,
     top = popular_items(fx.records, fx.item_map, K.TOP_N)
     rows = attach_hot(rows, top, "window_end", times=window_end_times(fx.records))
     rows = fallback_hot(rows, n_rec) if scorer_failed else fill_with_hot(rows, n_rec)
+    return rows.drop("hot")
+
+
+def recommend_pipeline(fx: Fixture, algo: str = "ddpg", n_rec: int = K.N_REC,
+                       k: int | None = None, scorer_failed: bool = False,
+                       noise: bool = False) -> DataFrame:
+    """The whole chain, ``recommendations`` and their rewards."""
     # The reward reads the recommendations twice (within and across window
     # ends): materialise them once in the checkpoint folder, as the
     # reference's job writes them to its result store.
-    rows = checkpoint_rows(rows.drop("hot"))
+    rows = checkpoint_rows(recommendations(fx, algo, n_rec, k, scorer_failed, noise))
     rows = last_reward(rows, "user_id", "window_end", "raw_user", "items", "item_rec")
     return rows.select("user_id", "raw_user", "window_end",
                        format_time("window_end").alias("time"), "item_rec", "last_reward")

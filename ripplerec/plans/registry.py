@@ -361,15 +361,20 @@ def q_read_embeddings(spark, sf_dir):
 
 # ---------------------------------------------------------------- streams over the event table
 
+def _raw_event_stream(spark, sf_dir):
+    """The records as a file stream of ``events``."""
+    from ..sources.tables import records_from_events
+    schema = Fixture.prepared(spark, sf_dir).table("events").schema
+    # a file source wants a folder or a pattern; the table may be either
+    return records_from_events(
+        spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]"))
+
+
 def _event_stream(spark, sf_dir):
-    """The mapped records as a file stream of ``events``."""
+    """The records with mapped ids as a file stream of ``events``."""
     from ..operators.lookup import map_ids
-    from ..sources.tables import records_from_events
     fx = Fixture.prepared(spark, sf_dir)
-    schema = fx.table("events").schema
-    # a file source wants a folder or a pattern; the table may be either
-    src = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
-    rec = map_ids(records_from_events(src), "user_id", fx.user_map, oov=fx.user_map.count())
+    rec = map_ids(_raw_event_stream(spark, sf_dir), "user_id", fx.user_map, oov=fx.user_map.count())
     return map_ids(rec, "item_id", fx.item_map, oov=fx.item_map.count()).select(
         F.col("user_id").cast("bigint").alias("user_id"), "item_id", "ts", "event_id")
 
@@ -401,6 +406,43 @@ def q_user_consumed_stream(spark, sf_dir):
     return read_user_consumed(spark, path)
 
 
+def _rocksdb(spark):
+    """State of any size stays off the heap; the stateful processors need it."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def q_top_n_items_stream(spark, sf_dir):
+    """The windows that the ascending watermark closes."""
+    from ..streaming.popular import popular_items_stream
+    _rocksdb(spark)
+    path = _scratch(spark, "popular-items")
+    _run_stream(popular_items_stream(_event_stream(spark, sf_dir)), spark, "popular-items", path)
+    return spark.read.schema("window_end long, rank int, item_id int, cnt long").parquet(path)
+
+
+def q_user_history_stream(spark, sf_dir):
+    """The windows that the 10 s watermark closes."""
+    from ..streaming.history import HISTORY_OUT, user_history_stream
+    _rocksdb(spark)
+    path = _scratch(spark, "user-history")
+    _run_stream(user_history_stream(_raw_event_stream(spark, sf_dir)), spark, "user-history", path)
+    return spark.read.schema(HISTORY_OUT).parquet(path)
+
+
+def q_last_reward_stream(spark, sf_dir):
+    """Rewards of the written recommendation rows, read back as a stream."""
+    from ..streaming.history import REWARD_OUT, last_reward_stream
+    from .recommend import recommendations
+    _rocksdb(spark)
+    recs, path = _scratch(spark, "recommendations"), _scratch(spark, "rewards")
+    rows = recommendations(Fixture.prepared(spark, sf_dir), scorer_failed=True).select(
+        "user_id", "raw_user", "window_end", "items", "item_rec")
+    rows.write.parquet(recs)
+    _run_stream(last_reward_stream(spark.readStream.schema(rows.schema).parquet(recs)), spark, "rewards", path)
+    return spark.read.schema(REWARD_OUT).parquet(path).select("user_id", "raw_user", "window_end", "last_reward")
+
+
 QUERIES: dict[str, Query] = {
     "sliding_counts": q_sliding_counts,
     "sliding_counts_paned": q_sliding_counts_paned,
@@ -451,4 +493,7 @@ QUERIES: dict[str, Query] = {
     "record_log_stream": q_record_log_stream,
     "unique_records_stream": q_unique_records_stream,
     "user_consumed_stream": q_user_consumed_stream,
+    "top_n_items_stream": q_top_n_items_stream,
+    "user_history_stream": q_user_history_stream,
+    "last_reward_stream": q_last_reward_stream,
 }
