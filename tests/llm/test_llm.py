@@ -150,6 +150,15 @@ def test_kneser_ney_sums_to_one():
     assert np.exp(model.score(all_next)).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_alphabets_keep_their_letters_apart():
+    blocks = [range(0x61, 0x7B), range(0xDF, 0x100), range(0x3B1, 0x3CA), range(0x430, 0x450)]
+    for block in blocks:
+        letters = [chr(c) for c in block if chr(c).isalpha()]
+        key, lengths = langid.grams(letters)
+        first = key[np.cumsum(lengths) - lengths]  # three spaces and the letter
+        assert len(set(first.tolist())) == len(letters) and 0 < first.min() and first.max() < langid.SYMBOLS
+
+
 # ------------------------------------------------------------------ op4, op5
 
 def test_simhash_brute_force(spark, docs):
