@@ -6,31 +6,32 @@ The reference posts one user at a time to a web service.  Here scoring is a
 batch operator: rows are scored many at a time inside ``mapInPandas`` (Arrow
 batches, numpy matmuls), weights are data passed with the function.
 
-Item catalog.  Exact top-k needs every item's score.  When the catalog is
-bounded (row count checked against ``max_broadcast_items``) its matrix is
-shipped to the tasks with the function; above the bound ``blocked=True``
-scores item blocks in parallel: action rows are bucketed, items are cut
-into blocks, each (bucket, block) group is scored by one task keeping its
-local top k, and a final ranking keeps the global top k per row.
+Item catalog.  Exact top-k needs every item's score.  A catalog whose size in
+bytes is under ``MAX_SHIPPED_BYTES`` is shipped to the tasks with the function;
+for any other ``blocked=True`` writes it once as block files in the shared
+folder, and every scoring task walks the blocks over its own rows with a running
+top k: no row or item is shuffled or replicated.
 
 Ties: scores are rounded to 9 decimals, then item id ascending.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
-from ..session import materialize
-from .ranking import topk_per_key
+from ..session import scratch_path
 
 # Largest catalog shipped to every task: its vector matrix plus the gather
 # table by dense id, both float64.  Above it, ``blocked=True`` scoring.
@@ -147,22 +148,26 @@ class ItemCatalog:
     dim: int
     gather: np.ndarray = field(default=None)  # index = dense id, OOV/missing rows zero
 
+    @staticmethod
+    def size_in_bytes(item_vecs: DataFrame, dim: int, oov_id: int | None = None) -> int:
+        """Bytes of the shipped form: row count and largest dense id, times ``dim`` doubles."""
+        n, top = item_vecs.agg(F.count(F.lit(1)), F.max("id")).first()
+        return (n + max(int(top if top is not None else -1) + 1, (oov_id or 0) + 1)) * dim * 8
+
     @staticmethod
     def from_frame(item_vecs: DataFrame, dim: int, oov_id: int | None = None,
                    max_bytes: int = MAX_SHIPPED_BYTES) -> "ItemCatalog":
         """Ship a bounded catalog to the tasks.  Its size (row count and the
         largest dense id, times ``dim`` doubles) is checked first; above
         ``max_bytes`` use ``blocked=True`` scoring instead."""
-        n, top = item_vecs.agg(F.count(F.lit(1)), F.max("id")).first()
-        rows = n + max(int(top if top is not None else -1) + 1, (oov_id or 0) + 1)
-        if rows * dim * 8 > max_bytes:
-            raise ValueError(f"catalog of {n} items x {dim} needs {rows * dim * 8} bytes "
-                             f"> {max_bytes}: use blocked scoring")
+        size = ItemCatalog.size_in_bytes(item_vecs, dim, oov_id)
+        if size > max_bytes:
+            raise ValueError(f"the catalog needs {size} bytes > {max_bytes}: use blocked scoring")
         pdf = item_vecs.select("id", "vec").toPandas().sort_values("id")
         ids = pdf["id"].to_numpy(dtype=np.int64)
-        mat = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]]) if n else \
+        mat = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]]) if len(ids) else \
             np.zeros((0, dim))
-        size = int(max(ids.max() + 1 if n else 0, (oov_id or 0) + 1))
+        size = int(max(ids.max() + 1 if len(ids) else 0, (oov_id or 0) + 1))
         gather = np.zeros((size, dim))
         gather[ids] = mat
         return ItemCatalog(ids, mat, dim, gather)
@@ -193,14 +198,6 @@ def _topk_index(r: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return sel
 
 
-def _topk_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> list[list[int]]:
-    """Top k item ids per row: score rounded to 9 decimals desc, id asc."""
-    if scores.shape[1] == 0:
-        return [[] for _ in range(scores.shape[0])]
-    r = np.round(scores, SCORE_DECIMALS)
-    return ids[_topk_index(r, ids, k)].astype(np.int32).tolist()
-
-
 def _matrix(arr, width: int, dtype=np.float64) -> np.ndarray:
     """Fixed-width Arrow list column -> (rows, width) numpy matrix without a
     Python loop; NULL lists become zero rows (the OOV rule)."""
@@ -297,7 +294,7 @@ class _FixedNoise:
 
 def _fixed_lists(mat: np.ndarray, pa_type) -> pa.Array:
     n, w = mat.shape
-    offsets = pa.array(np.arange(0, n * w + 1, w, dtype=np.int32))
+    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * np.int32(w))
     return pa.ListArray.from_arrays(offsets, pa.array(mat.reshape(-1), type=pa_type))
 
 
@@ -305,54 +302,60 @@ def _passthrough(df: DataFrame, drop: list[str]) -> list[str]:
     return [c for c in df.columns if c not in drop]
 
 
+def _check_noise(model, seed_cols) -> None:
+    if getattr(model, "noise", False) and not seed_cols:
+        raise ValueError("a model with noise needs seed_cols, the key of a row")
+
+
 def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int = K.N_REC,
               items_col: str = "items", user_vec_col: str = "user_vec",
               state_col: str | None = None, out_col: str = "item_rec",
               seed_cols: tuple[str, ...] = (), base_seed: int = 0,
               item_vecs: DataFrame | None = None, blocked: bool = False,
-              row_key: list[str] | None = None, block_size: int = 4096,
-              buckets: int | None = None, rows_per_bucket: int = 50_000) -> DataFrame:
+              block_size: int = 65_536, rows_per_walk: int = 50_000,
+              null_on_error: bool = False) -> DataFrame:
     """Append ``out_col`` = top ``k`` dense item ids per row.
 
     Input: either ``state_col`` (G5, a ready state vector) or a user vector
     column plus a history of dense item ids (the state is built in the task
     from the catalog matrix).  Vector inputs are consumed, not echoed back.
-    ``blocked=True`` scores against ``item_vecs`` without shipping the
-    catalog (needs ``row_key`` and ``state_col``).
+    ``blocked=True`` scores against ``item_vecs`` without shipping the catalog
+    (needs ``state_col``), see ``_recommend_blocked``.  ``null_on_error`` gives
+    the rows of a batch that can't be scored a NULL list for ``fallback_hot``.
 
     Runs as ``mapInArrow``: list columns become numpy matrices without a
     per-row Python step, and the result list column is built in Arrow.
     """
+    _check_noise(model, seed_cols)
     if blocked:
-        return _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key,
-                                  block_size, buckets, rows_per_bucket, seed_cols, base_seed)
+        return _recommend_blocked(df, model, item_vecs, k, state_col, out_col, block_size,
+                                  rows_per_walk, seed_cols, base_seed)
     drop = [state_col] if state_col else [user_vec_col]
     keep = _passthrough(df, drop)
     schema = T.StructType([df.schema[c] for c in keep] +
                           [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     dim = catalog.dim
 
+    def lists(batch):
+        st = _states(batch, state_col, user_vec_col, items_col, catalog, dim)
+        if isinstance(model, PolicyModel):
+            act, blocks = model.action(st), [(np.arange(len(model.head.w)), model.head.w, model.head.b)]
+        else:
+            act = _actions(model, st, _seed_keys(batch, seed_cols), base_seed)
+            blocks = [(catalog.ids, catalog.matrix, None)]
+        return _fixed_lists(_walk(act, blocks, k), pa.int32())
+
     def run(batches):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            st = _states(batch, state_col, user_vec_col, items_col, catalog, dim)
-            if isinstance(model, PolicyModel):
-                score = lambda lo, hi: model.scores(st[lo:hi], None)  # noqa: B023, E731
-                ids = np.arange(score(0, 0).shape[1])
-            else:
-                act = _actions(model, st, _seed_keys(batch, seed_cols), base_seed)
-                score = lambda lo, hi: act[lo:hi] @ catalog.matrix.T  # noqa: B023, E731
-                ids = catalog.ids
-            if len(ids) == 0:
-                top = np.zeros((batch.num_rows, 0), dtype=np.int32)
-            else:  # the score matrix is held for SCORE_CHUNK_CELLS cells at a time
-                step = max(1, SCORE_CHUNK_CELLS // len(ids))
-                top = np.concatenate([
-                    ids[_topk_index(np.round(score(lo, lo + step), SCORE_DECIMALS), ids, k)]
-                    for lo in range(0, batch.num_rows, step)]).astype(np.int32)
-            cols = [batch.column(c) for c in keep] + [_fixed_lists(top, pa.int32())]
-            yield pa.RecordBatch.from_arrays(cols, names=keep + [out_col])
+            try:
+                top = lists(batch)
+            except Exception:
+                if not null_on_error:
+                    raise
+                top = pa.nulls(batch.num_rows, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [top], names=keep + [out_col])
 
     return df.mapInArrow(run, schema)
 
@@ -362,6 +365,7 @@ def actor_action(df: DataFrame, model, catalog: ItemCatalog | None = None,
                  state_col: str | None = None, out_col: str = "action",
                  seed_cols: tuple[str, ...] = (), base_seed: int = 0) -> DataFrame:
     """G1: the model's action vector per row (ARRAY<DOUBLE>)."""
+    _check_noise(model, seed_cols)
     drop = [state_col] if state_col else [user_vec_col]
     keep = _passthrough(df, drop)
     schema = T.StructType([df.schema[c] for c in keep] +
@@ -380,83 +384,105 @@ def actor_action(df: DataFrame, model, catalog: ItemCatalog | None = None,
     return df.mapInArrow(run, schema)
 
 
-# Score-matrix cells (rows x items) held at once inside one scoring group.
+# Score-matrix cells (rows x items) held at once.
 SCORE_CHUNK_CELLS = 4_000_000
 
 
-def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, row_key, block_size,
-                       buckets, rows_per_bucket, seed_cols, base_seed):
-    """Distributed exact top-k for catalogs too large to ship (see module doc).
+def _walk(act: np.ndarray, blocks, k: int) -> np.ndarray:
+    """(rows, <= k) best item ids per action row over (ids, matrix, bias) blocks."""
+    n = len(act)
+    best, score = np.zeros((n, 0), dtype=np.int64), np.zeros((n, 0))
+    for ids, matrix, bias in blocks:
+        if not len(ids):
+            continue
+        step = max(1, SCORE_CHUNK_CELLS // len(ids))
+        found, values = [best[:0, :0]], [score[:0, :0]]
+        for lo in range(0, n, step):
+            s = act[lo:lo + step] @ matrix.T
+            s = np.round(s if bias is None else s + bias, SCORE_DECIMALS)
+            sel = _topk_index(s, ids, k)
+            found.append(ids[sel])
+            values.append(np.take_along_axis(s, sel, 1))
+        best = np.concatenate([best, np.concatenate(found[1:])], axis=1)
+        score = np.concatenate([score, np.concatenate(values[1:])], axis=1)
+        order = np.lexsort((best, -score), axis=-1)[:, :k]
+        best, score = np.take_along_axis(best, order, 1), np.take_along_axis(score, order, 1)
+    return best.astype(np.int32)
+
+
+def write_item_blocks(item_vecs: DataFrame, block_size: int) -> list[str]:
+    """Write the catalog as files of at most ``block_size`` items in the shared
+    folder, without a shuffle -> the files' addresses."""
+    spark = item_vecs.sparkSession
+    path = scratch_path(spark, f"tables/item_blocks-{uuid.uuid4().hex[:12]}")
+    (item_vecs.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
+     .write.option("maxRecordsPerFile", block_size).parquet(path))
+    return sorted(spark.read.schema("id long, vec array<double>").parquet(path).inputFiles())
+
+
+def _read_block(address: str) -> tuple[np.ndarray, np.ndarray, None]:
+    if address.startswith("s3a:"):
+        address = "s3:" + address[4:]
+    store, path = fs.FileSystem.from_uri(address)
+    with store.open_input_file(path) as f:
+        t = pq.ParquetFile(f).read()
+    return t["id"].to_numpy(), _matrix(t["vec"], _width(t["vec"])), None
+
+
+def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, block_size, rows_per_walk,
+                       seed_cols, base_seed):
+    """Exact top-k for a catalog of any size, as one map over the rows.
+
+    A task holds the actions of up to ``rows_per_walk`` rows, reads one block of
+    ``block_size`` items after the other and keeps the best ``k`` so far.  Its
+    memory is bounded by these rows, one block and ``SCORE_CHUNK_CELLS``
+    scores, whatever the number of items.  The policy head's blocks are slices
+    of its weights, one weight row an item.  The block files are read with
+    Arrow's file systems (local or mounted paths, hdfs, s3, gs).
+    """
+    if state_col is None:
+        raise ValueError("blocked scoring needs state_col")
+    keep = _passthrough(df, [state_col])
+    schema = T.StructType([df.schema[c] for c in keep] +
+                          [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    policy = isinstance(model, PolicyModel)
+    files = [] if policy else write_item_blocks(item_vecs, block_size)
+
+    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+        if policy:
+            head = model.head
+            for lo in range(0, len(head.w), block_size):
+                hi = min(lo + block_size, len(head.w))
+                yield np.arange(lo, hi), head.w[lo:hi], head.b[lo:hi]
+        else:
+            yield from map(_read_block, files)
 
-    Rows are hashed into buckets; items are cut into blocks of
-    ``block_size`` by dense id.  Both sides are replicated only across the
-    other side's group count, every (bucket, block) group is scored by one
-    task, and ``topk_per_key`` merges the per-block winners.
+    def scored(held, acts):
+        top = _walk(np.concatenate(acts), blocks(), k)
+        lo = 0
+        for batch in held:
+            hi = lo + batch.num_rows
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [_fixed_lists(top[lo:hi], pa.int32())],
+                                             names=keep + [out_col])
+            lo = hi
 
-    Group sizes are bounded, not fixed in number: unless ``buckets`` is
-    given, the bucket count is the measured row count / ``rows_per_bucket``
-    (the row key is unique per row, so hashing spreads rows evenly), an item
-    block holds at most ``block_size`` items, and a group is scored
-    ``SCORE_CHUNK_CELLS`` score cells at a time.
-    """
-    if state_col is None or not row_key:
-        raise ValueError("blocked scoring needs state_col and row_key")
-    if isinstance(model, PolicyModel):
-        raise ValueError("policy head scores items by weight rows; use a shipped catalog")
-    # One forward pass; the actions (and the rows' other columns) are written
-    # once because both the scoring and the final join read them.
-    acts_all = actor_action(df, model, None, state_col=state_col, out_col="_act",
-                            seed_cols=seed_cols, base_seed=base_seed)
-    acts_all = materialize(acts_all, "actions")
-    if buckets is None:
-        buckets = max(1, -(-acts_all.count() // rows_per_bucket))
-    acts = acts_all.select(*row_key, "_act").withColumn(
-        "_bucket", F.pmod(F.xxhash64(*row_key), F.lit(buckets)).cast("int"))
-    n_blocks = item_vecs.select(F.max("id")).scalar()
-    acts = acts.withColumn("_block", F.explode(F.sequence(
-        F.lit(0), F.floor(n_blocks / F.lit(block_size)).cast("int"))))
-    items = item_vecs.select("id", "vec").withColumn("_block", F.floor(F.col("id") / F.lit(block_size)).cast("int"))
-    items = items.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-
-    key_fields = [df.schema[c] for c in row_key]
-    out_type = T.StructType(key_fields + [T.StructField("item_id", T.IntegerType()),
-                                          T.StructField("score", T.DoubleType())])
-    key_types = {c: _pa_type(df.schema[c].dataType) for c in row_key}
-    empty_types = {f.name: _pa_type(f.dataType) for f in out_type.fields}
-
-    def score_group(a: pa.Table, it: pa.Table) -> pa.Table:
-        if a.num_rows == 0 or it.num_rows == 0:
-            return pa.table({c: pa.array([], type=t) for c, t in empty_types.items()})
-        A = _matrix(a.column("_act"), _width(a.column("_act")))
-        M = _matrix(it.column("vec"), _width(it.column("vec")))
-        ids = it.column("id").to_numpy().astype(np.int64)
-        step = max(1, SCORE_CHUNK_CELLS // max(1, len(ids)))
-        sels, scores = [], []
-        for lo in range(0, len(A), step):
-            sc = np.round(A[lo:lo + step] @ M.T, SCORE_DECIMALS)
-            sel = _topk_index(sc, ids, k)
-            sels.append(sel)
-            scores.append(np.take_along_axis(sc, sel, 1))
-        sel, best = np.concatenate(sels), np.concatenate(scores)
-        kk = sel.shape[1]
-        cols = {c: pa.array(np.repeat(a.column(c).to_numpy(zero_copy_only=False), kk),
-                            type=key_types[c]) for c in row_key}
-        cols["item_id"] = pa.array(ids[sel].reshape(-1).astype(np.int32))
-        cols["score"] = pa.array(best.reshape(-1))
-        return pa.table(cols)
-
-    local = acts.groupBy("_bucket", "_block").cogroup(items.groupBy("_bucket", "_block")) \
-        .applyInArrow(score_group, out_type)
-    ranked = topk_per_key(local, row_key, "score", "item_id", k)
-    merged = ranked.groupBy(*row_key).agg(
-        F.array_sort(F.collect_list(F.struct("rank", "item_id"))).alias("_r"))
-    merged = merged.select(*row_key, F.transform("_r", lambda x: x["item_id"]).alias(out_col))
-    return acts_all.drop("_act").join(merged, row_key, "left")
-
-
-def _pa_type(t):
-    return {"LongType": pa.int64(), "IntegerType": pa.int32(), "DoubleType": pa.float64(),
-            "StringType": pa.string(), "ShortType": pa.int16()}[type(t).__name__]
+    def run(batches):
+        held, acts, rows = [], [], 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            state = _states(batch, state_col, None, None, None, None)
+            acts.append(model.action(state) if policy else
+                        _actions(model, state, _seed_keys(batch, seed_cols), base_seed))
+            held.append(batch.select(keep))
+            rows += batch.num_rows
+            if rows >= rows_per_walk:
+                yield from scored(held, acts)
+                held, acts, rows = [], [], 0
+        if held:
+            yield from scored(held, acts)
+
+    return df.mapInArrow(run, schema)
 
 
 def model_for(algo: str, models: dict):

@@ -18,10 +18,10 @@ from .. import constants as K
 from ..functions.scalar import format_time
 from ..operators.fallback import attach_hot, fallback_hot, fill_with_hot
 from ..operators.history import full_history, last_reward, user_history
-from ..operators.lookup import map_ids
+from ..operators.lookup import map_ids, state_vector
 from ..operators.windows import assign_windows
 from ..session import materialize
-from ..operators.scoring import (ActorModel, ConstrainedModel, ItemCatalog, Layer, PolicyModel,
+from ..operators.scoring import (MAX_SHIPPED_BYTES, ActorModel, ConstrainedModel, ItemCatalog, Layer, PolicyModel,
                                  recommend)
 from .fixtures import EMBED_DIM, HIDDEN, Fixture, dyadic_matrix
 from .popular import popular_items
@@ -79,14 +79,24 @@ def fixture_catalog(fx: Fixture) -> ItemCatalog:
     return fx._cache["catalog"]
 
 
-def scored_rows(fx: Fixture, algo: str = "ddpg", k: int = K.N_REC, noise: bool = False,
-                catalog: ItemCatalog | None = None) -> DataFrame:
+def score(fx: Fixture, rows: DataFrame, model, k: int = K.N_REC, state_col: str | None = None,
+          seed_cols: tuple[str, ...] = (), max_bytes: int = MAX_SHIPPED_BYTES) -> DataFrame:
+    """Score ``rows`` against the fixture's items: with the shipped catalog if
+    it has at most ``max_bytes``, else block by block; the lists are the same."""
+    if ItemCatalog.size_in_bytes(fx.item_vectors, EMBED_DIM, oov_id=fx.item_map.count()) <= max_bytes:
+        return recommend(rows, model, fixture_catalog(fx), k, state_col=state_col, seed_cols=seed_cols)
+    if state_col is None:
+        rows = state_vector(rows.drop("user_vec"), ["raw_user", "window_end"], "user_id", "items",
+                            fx.user_vectors, fx.item_vectors, EMBED_DIM, width=K.HIST_LEN)
+    return recommend(rows, model, None, k, state_col=state_col or "state", seed_cols=seed_cols,
+                     item_vecs=fx.item_vectors, blocked=True)
+
+
+def scored_rows(fx: Fixture, algo: str = "ddpg", k: int = K.N_REC, noise: bool = False) -> DataFrame:
     from ..operators.scoring import model_for
-    catalog = catalog or fixture_catalog(fx)
-    models = fixture_models(len(catalog.ids), noise=noise)
-    model = model_for(algo, models)
+    model = model_for(algo, fixture_models(fx.item_map.count(), noise=noise))
     rows = with_user_vectors(history_rows(fx.records, fx.user_map, fx.item_map), fx.user_vectors)
-    return recommend(rows, model, catalog, k, seed_cols=("raw_user", "window_end"))
+    return score(fx, rows, model, k, seed_cols=("raw_user", "window_end")).drop("user_vec")
 
 
 def recommendations(fx: Fixture, algo: str = "ddpg", n_rec: int = K.N_REC,
@@ -100,7 +110,7 @@ def recommendations(fx: Fixture, algo: str = "ddpg", n_rec: int = K.N_REC,
         rows = history_rows(fx.records, fx.user_map, fx.item_map) \
             .withColumn("item_rec", F.lit(None).cast("array<int>"))
     else:
-        rows = scored_rows(fx, algo, k or n_rec, noise).drop("user_vec")
+        rows = scored_rows(fx, algo, k or n_rec, noise)
     top = popular_items(fx.records, fx.item_map, K.TOP_N)
     rows = attach_hot(rows, top, "window_end", times=window_end_times(fx.records))
     rows = fallback_hot(rows, n_rec) if scorer_failed else fill_with_hot(rows, n_rec)

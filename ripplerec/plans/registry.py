@@ -159,17 +159,15 @@ def q_hot_list_asof(spark, sf_dir):
 def _scoring(spark, sf_dir):
     from . import recommend as R
     fx = Fixture.prepared(spark, sf_dir)
-    catalog = R.fixture_catalog(fx)
     rows = R.with_user_vectors(R.history_rows(fx.records, fx.user_map, fx.item_map), fx.user_vectors)
-    return fx, R, catalog, rows
+    return fx, R, rows
 
 
 def _recommend_query(algo):
     def q(spark, sf_dir):
-        from ..operators.scoring import model_for, recommend
-        fx, R, catalog, rows = _scoring(spark, sf_dir)
-        model = model_for(algo, R.fixture_models(len(catalog.ids)))
-        out = recommend(rows, model, catalog, K.N_REC)
+        from ..operators.scoring import model_for
+        fx, R, rows = _scoring(spark, sf_dir)
+        out = R.score(fx, rows, model_for(algo, R.fixture_models(fx.item_map.count())), K.N_REC)
         return out.select("raw_user", "user_id", "window_end", "item_rec")
     q.__name__ = f"q_recommend_{algo}"
     return q
@@ -177,8 +175,8 @@ def _recommend_query(algo):
 
 def q_actor_action(spark, sf_dir):
     from ..operators.scoring import actor_action
-    fx, R, catalog, rows = _scoring(spark, sf_dir)
-    out = actor_action(rows, R.fixture_models(len(catalog.ids))["ddpg"], catalog)
+    fx, R, st = _state_rows(spark, sf_dir)
+    out = actor_action(st, R.fixture_models(fx.item_map.count())["ddpg"], state_col="state")
     return out.select("raw_user", "window_end", F.posexplode("action").alias("pos", "value"))
 
 
@@ -199,27 +197,24 @@ def q_state_vector(spark, sf_dir):
 
 def _recommend_state_query(algo):
     def q(spark, sf_dir):
-        from ..operators.scoring import model_for, recommend
+        from ..operators.scoring import model_for
         fx, R, st = _state_rows(spark, sf_dir)
-        catalog = R.fixture_catalog(fx)
-        model = model_for(algo, R.fixture_models(len(catalog.ids)))
-        out = recommend(st, model, catalog, K.N_REC, state_col="state")
+        out = R.score(fx, st, model_for(algo, R.fixture_models(fx.item_map.count())), K.N_REC, state_col="state")
         return out.select("raw_user", "user_id", "window_end", "item_rec")
     q.__name__ = f"q_recommend_state_{algo}"
     return q
 
 
 def q_topk_per_key(spark, sf_dir):
-    """Blocked (catalog not shipped) scoring; per-block winners merged by
-    ``topk_per_key``; exploded to (row, rank, item)."""
+    """Blocked scoring (catalog not shipped): a running top k per row over the
+    item blocks; exploded to (row, rank, item)."""
     from ..operators.ranking import explode_ranks
     from ..operators.scoring import recommend
     fx, R, st = _state_rows(spark, sf_dir)
     n_items = fx.item_map.count()
     model = R.fixture_models(n_items)["ddpg"]
     out = recommend(st, model, None, K.N_REC, state_col="state", item_vecs=fx.item_vectors,
-                    blocked=True, row_key=["raw_user", "window_end"], block_size=32,
-                    rows_per_bucket=4096)
+                    blocked=True, block_size=32)
     return explode_ranks(out, "item_rec", ["raw_user", "window_end"])
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from ripplerec import constants as K
 from ripplerec.functions.scalar import (decode_scores, encode_scores, encode_wire, format_time,
                                         scoring_request, scoring_request_state)
@@ -276,23 +277,43 @@ def test_scoring_shipped_blocked_and_dispatch(spark, monkeypatch):
                                  "k long, state array<double>")
     a = {x["k"]: x["item_rec"] for x in recommend(rows, models["ddpg"], cat, 3, state_col="state").collect()}
     b = {x["k"]: x["item_rec"] for x in recommend(rows, models["ddpg"], None, 3, state_col="state",
-                                                  item_vecs=iv, blocked=True, row_key=["k"],
-                                                  block_size=2, buckets=2).collect()}
+                                                  item_vecs=iv, blocked=True, block_size=2).collect()}
     # user (1,0): scores = first coordinate: items 2,5 (2.0) then 1,4 (1.0); ties by id
     assert a == b == {1: [2, 5, 1], 2: [6, 3, 4]}
-    # bucket count from the row count, and one score row per chunk inside a group
+    # one row a walk, and one score row per chunk inside a block
     monkeypatch.setattr(scoring, "SCORE_CHUNK_CELLS", 1)
     c = {x["k"]: x["item_rec"] for x in recommend(rows, models["ddpg"], None, 3, state_col="state",
-                                                  item_vecs=iv, blocked=True, row_key=["k"],
-                                                  block_size=4, rows_per_bucket=1).collect()}
+                                                  item_vecs=iv, blocked=True, block_size=4,
+                                                  rows_per_walk=1).collect()}
     assert c == a
     # policy head with equal logits: ties by id
     p = {x["k"]: x["item_rec"] for x in recommend(rows, models["reinforce"], cat, 2, state_col="state").collect()}
     assert p == {1: [0, 1], 2: [0, 1]}
+    p = {x["k"]: x["item_rec"] for x in recommend(rows, models["reinforce"], None, 2, state_col="state",
+                                                  blocked=True, block_size=3).collect()}
+    assert p == {1: [0, 1], 2: [0, 1]}
+    # no items: empty lists; rows that can't be scored: NULL lists where asked for
+    none = recommend(rows, models["ddpg"], None, 3, state_col="state", item_vecs=iv.limit(0), blocked=True)
+    assert [x["item_rec"] for x in none.collect()] == [[], []]
+    short = spark.createDataFrame([(1, [1.0])], "k long, state array<double>")
+    bad = recommend(short, models["ddpg"], cat, 3, state_col="state", null_on_error=True).collect()
+    assert [x["item_rec"] for x in bad] == [None]
     with pytest.raises(ValueError):
         model_for("nope", models)
 
 
+def test_any_catalog_size_gives_the_same_lists(spark):
+    from ripplerec.plans import recommend as R
+    from ripplerec.plans.fixtures import Fixture
+    fx = Fixture.prepared(spark, SF_SMALL)
+    rows = R.with_user_vectors(R.history_rows(fx.records, fx.user_map, fx.item_map), fx.user_vectors)
+    for algo, model in R.fixture_models(fx.item_map.count(), noise=True).items():
+        got, want = ({(x["raw_user"], x["window_end"]): x["item_rec"] for x in R.score(
+            fx, rows, model, 5, seed_cols=("raw_user", "window_end"), max_bytes=size).collect()}
+            for size in (0, 1 << 28))
+        assert got == want and got, algo
+
+
 def test_fill_and_fallback(spark):
     hot = [(1, 40), (2, 41), (4, 43)]  # rank 3 never written
     hot_t = "array<struct<rank:int,item:int>>"
