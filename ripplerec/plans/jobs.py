@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import constants as K
+from ..functions.scalar import format_time
 from ..operators.sinks import wire_messages
 from ..streaming.history import last_reward_stream, recommend_batch, user_history_stream
 from ..streaming.persist import consumed_pairs_batch, record_log_stream, unique_records_batch
@@ -56,7 +57,8 @@ def start_reward_job(spark: SparkSession, recs_in: str, out: str, ckpt: str,
                      trigger: dict | None = None):
     schema = "user_id int, raw_user long, window_end long, items array<int>, item_rec array<int>"
     recs = spark.readStream.schema(schema).parquet(recs_in)
-    return _start(last_reward_stream(recs), ckpt, out, trigger=trigger)
+    rows = last_reward_stream(recs).withColumn("time", format_time("window_end"))
+    return _start(rows, ckpt, out, trigger=trigger)
 
 
 def start_persist_job(records: DataFrame, out: str, ckpt: str, trigger: dict | None = None):

@@ -125,8 +125,11 @@ def last_reward_stream(recs: DataFrame) -> DataFrame:
 def recommend_batch(out_path: str, user_map: DataFrame, user_vecs: DataFrame, model,
                     catalog, hot_store_path: str | None, n_rec: int = K.N_REC):
     """``foreachBatch`` body: map users, keep full histories, score, fill
-    from the current rank store, append under the batch id (F7)."""
-    from ..operators.fallback import fill_with_hot
+    from the current rank store, append under the batch id (F7).  Rows that the
+    scorer fails on get the hot list alone (G8), as the reference does on a bad
+    response.  Rows: user_id, raw_user, window_end, time, items, item_rec."""
+    from ..functions.scalar import format_time
+    from ..operators.fallback import fallback_hot, fill_with_hot
     from ..operators.history import full_history
     from ..operators.lookup import map_ids
     from ..operators.scoring import recommend
@@ -139,7 +142,8 @@ def recommend_batch(out_path: str, user_map: DataFrame, user_vecs: DataFrame, mo
                        out_col="user_id")
         rows = full_history(rows)
         uv = user_vecs.select(F.col("id").alias("user_id"), F.col("vec").alias("user_vec"))
-        scored = recommend(rows.join(uv, "user_id", "left"), model, catalog, n_rec)
+        scored = recommend(rows.join(uv, "user_id", "left"), model, catalog, n_rec,
+                           seed_cols=("raw_user", "window_end"), null_on_error=True)
         # The rank store holds at most N rows (one per rank): a proven bound,
         # so its current state is read into a literal for this batch.
         pairs = sorted((int(r["rank"]), int(r["item_id"])) for r in
@@ -147,7 +151,8 @@ def recommend_batch(out_path: str, user_map: DataFrame, user_vecs: DataFrame, mo
         hot = F.array(*[F.struct(F.lit(r).cast("int").alias("rank"), F.lit(i).cast("int").alias("item"))
                         for r, i in pairs]) if pairs else F.array().cast("array<struct<rank:int,item:int>>")
         scored = scored.withColumn("hot", hot)
-        out = fill_with_hot(scored, n_rec).drop("hot")
-        publish_recs(out.select("user_id", "raw_user", "window_end", "items", "item_rec"),
+        out = fallback_hot(fill_with_hot(scored, n_rec), n_rec)  # a NULL list stays NULL in the fill
+        publish_recs(out.select("user_id", "raw_user", "window_end",
+                                format_time("window_end").alias("time"), "items", "item_rec"),
                      out_path, batch_id)
     return run

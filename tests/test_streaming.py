@@ -249,6 +249,7 @@ def test_jobs_end_to_end(spark, replay, tmp_path):
     recs = spark.read.parquet(recs_out)
     assert recs.count() > 0
     assert recs.where(F.size("item_rec") != K.N_REC).count() == 0
+    assert recs.where("time is null").count() == 0
 
     out = str(tmp_path / "rewarded")
     q = jobs.start_reward_job(spark, recs_out, out, str(tmp_path / "ck_rw"))
@@ -256,7 +257,9 @@ def test_jobs_end_to_end(spark, replay, tmp_path):
     q.stop()
     from ripplerec.operators.history import last_reward
     want = _rows(last_reward(recs), ["raw_user", "window_end", "last_reward"])
-    assert _rows(spark.read.parquet(out), ["raw_user", "window_end", "last_reward"]) == want
+    rewarded = spark.read.parquet(out)
+    assert _rows(rewarded, ["raw_user", "window_end", "last_reward"]) == want
+    assert _rows(rewarded, ["raw_user", "window_end", "time"]) == _rows(recs, ["raw_user", "window_end", "time"])
 
     qs = jobs.start_persist_job(raw, str(tmp_path / "persist"), str(tmp_path / "ck_persist"))
     for q in qs:
@@ -297,3 +300,39 @@ def test_keyed_insert_keeps_late_rows(spark, tmp_path):
 def test_missing_hot_store_is_an_empty_one(spark, tmp_path):
     from ripplerec.streaming.popular import read_hot_store
     assert read_hot_store(spark, str(tmp_path / "never written")).collect() == []
+
+
+@pytest.mark.parametrize("model_fails", [True, False])
+@pytest.mark.parametrize("store", ["missing", "three ranks"])
+def test_failing_scorer_falls_back_and_replay_writes_once(spark, tmp_path, model_fails, store):
+    import numpy as np
+
+    from ripplerec.operators.scoring import ActorModel, ItemCatalog, Layer
+    from ripplerec.streaming.history import recommend_batch
+
+    class FailingModel:  # local, so that it travels to the tasks by value
+        def action(self, state, rng=None):
+            raise RuntimeError("no answer")
+
+    hot = str(tmp_path / "hot")
+    if store == "three ranks":
+        spark.createDataFrame([(1, 40, 9), (2, 41, 9), (4, 43, 9)], "rank int, item_id int, window_end long") \
+            .write.parquet(f"{hot}/batch_id=0")
+    hist = K.HIST_LEN
+    vecs = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "id int, vec array<float>")
+    catalog = ItemCatalog.from_frame(vecs, 1, oov_id=2)
+    model = FailingModel() if model_fails else ActorModel(
+        Layer(np.eye(1, 1 + hist), np.ones(1)), Layer(np.eye(1), np.ones(1)), Layer(np.eye(1), np.ones(1)))
+    users = spark.createDataFrame([(7, 0)], "raw_id long, dense_id int")
+    batch = spark.createDataFrame([(7, 1_700_000_000_000, [0] * hist), (8, 1_700_000_020_000, [1] * hist)],
+                                  "user_id long, window_end long, items array<int>")
+    out = str(tmp_path / "out")
+    run = recommend_batch(out, users, vecs, model, catalog, hot, n_rec=4)
+    run(batch, 3)
+    run(batch, 3)  # a replayed batch takes the place of its first try
+    got = {r["raw_user"]: r["item_rec"] for r in spark.read.parquet(out).collect()}
+    ranks = [] if store == "missing" else [40, 41, 43]
+    want = ranks if model_fails else [1, 0] + ranks[:2]
+    assert got == {7: want, 8: want}
+    rows = spark.read.parquet(out)
+    assert rows.count() == 2 and rows.where("time is null").count() == 0
