@@ -35,6 +35,12 @@ def window_end_times(records: DataFrame, window_sec: int = K.HIST_WINDOW_SEC,
         .select(F.col("window_end").alias("t")).distinct()
 
 
+def rank_writes(fx: Fixture) -> DataFrame:
+    """Per-window top N, written once: what the popularity job leaves in the
+    rank store and the as-of readers read more than once."""
+    return materialize(popular_items(fx.records, fx.item_map, K.TOP_N), "rank_writes")
+
+
 def checkpoint_rows(df: DataFrame) -> DataFrame:
     return materialize(df, "recommendations")
 
@@ -111,8 +117,7 @@ def recommendations(fx: Fixture, algo: str = "ddpg", n_rec: int = K.N_REC,
             .withColumn("item_rec", F.lit(None).cast("array<int>"))
     else:
         rows = scored_rows(fx, algo, k or n_rec, noise)
-    top = popular_items(fx.records, fx.item_map, K.TOP_N)
-    rows = attach_hot(rows, top, "window_end", times=window_end_times(fx.records))
+    rows = attach_hot(rows, rank_writes(fx), "window_end", times=window_end_times(fx.records))
     rows = fallback_hot(rows, n_rec) if scorer_failed else fill_with_hot(rows, n_rec)
     return rows.drop("hot")
 

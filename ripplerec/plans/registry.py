@@ -148,10 +148,9 @@ def q_hot_list_asof(spark, sf_dir):
     which the recommender reads it).  Each event opens its windows, so these
     are the window ends of ``user_windows``, taken without its tails."""
     from ..operators.ranking import hot_list_asof
-    from .recommend import window_end_times
+    from .recommend import rank_writes, window_end_times
     fx = Fixture.prepared(spark, sf_dir)
-    top = popular_items(fx.records, fx.item_map, K.TOP_N)
-    return hot_list_asof(top, window_end_times(fx.records), "t", K.TOP_N)
+    return hot_list_asof(rank_writes(fx), window_end_times(fx.records), "t", K.TOP_N)
 
 
 # ---------------------------------------------------------------- scoring
@@ -258,12 +257,10 @@ def q_last_reward(spark, sf_dir):
 def q_last_reward_literal(spark, sf_dir):
     from ..operators.history import last_reward_literal
     from ..operators.fallback import attach_hot, fill_with_hot
-    from .recommend import scored_rows
+    from .recommend import rank_writes, scored_rows, window_end_times
     fx = Fixture.prepared(spark, sf_dir)
-    rows = scored_rows(fx, "ddpg", K.N_REC).drop("user_vec")
-    from .recommend import window_end_times
-    rows = fill_with_hot(attach_hot(rows, popular_items(fx.records, fx.item_map, K.TOP_N),
-                                    times=window_end_times(fx.records)))
+    rows = scored_rows(fx, "ddpg", K.N_REC)
+    rows = fill_with_hot(attach_hot(rows, rank_writes(fx), times=window_end_times(fx.records)))
     out = last_reward_literal(rows, "user_id", "window_end", "raw_user", "items", "item_rec")
     return out.select("user_id", "raw_user", "window_end", "last_reward")
 
