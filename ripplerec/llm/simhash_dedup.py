@@ -10,8 +10,8 @@ second: every link comes out once.
 
 Equal fingerprints are one node.  An index bucket of more than ``HOT_BUCKET``
 different fingerprints is not joined pair by pair: its members are linked
-through the patterns of the other segment with the remaining bits wild, which
-is exact too and grows with the members only.
+through the patterns of the other segment with the remaining bits wild (and the
+bucket's own wildcard bit), which is exact too and grows with the members only.
 
 Defined results: null and empty texts have the fingerprint zero and are linked
 like any other; component_id is the smallest doc_id reachable (nulls are
@@ -100,7 +100,9 @@ def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             free = MAX_BITS - (wild < SEG_BITS)
             other = [i for i in range(64) if i // SEG_BITS != part]
             masks = np.array([sum(1 << i for i in c) for c in combinations(other, free)], dtype=np.uint64)
-            star = np.uint64(int(fp) & 0xFFFFFFFFFFFFFFFF) & ~masks
+            # the members of a wildcard bucket may differ in its bit
+            bit = np.uint64(1 << (SEG_BITS * part + wild) if wild < SEG_BITS else 0)
+            star = np.uint64(int(fp) & 0xFFFFFFFFFFFFFFFF) & ~(masks | bit)
             n = len(masks)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, key)), pa.array(masks.view(np.int64)), pa.array(star.view(np.int64)),

@@ -182,6 +182,26 @@ def test_simhash_brute_force(spark, docs):
         assert all(r.component_id == least[find(i)] for i, r in enumerate(got))
 
 
+def test_simhash_links_across_the_bit_of_a_hot_wildcard_bucket(spark):
+    rng = random.Random(8)
+    want = set()
+    fps = set()
+    for part in (0, 1):
+        own, far = 32 * part, 32 * (1 - part)
+        for wild in (0, 5, 31):
+            base = rng.getrandbits(32) << own
+            for _ in range(6):  # far apart but for the wildcard bucket
+                fp = base | rng.getrandbits(32) << far
+                other = fp ^ 1 << (own + wild) ^ sum(1 << far + i for i in rng.sample(range(32), 2))
+                fps |= {fp, other}
+                want.add(frozenset((fp, other)))
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in sorted(fps)]
+    nodes = spark.createDataFrame(signed, "fp long")
+    for hot in (simhash_dedup.HOT_BUCKET, 3):
+        got = simhash_dedup.links(nodes, hot).collect()
+        assert {frozenset((a % (1 << 64), b % (1 << 64))) for a, b in got} == want
+
+
 def test_exact_dedup_sql(spark, docs):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
