@@ -4,7 +4,9 @@ The lexicon is learned from the labelled rows that are not held out: words and
 word stems that are far more frequent in toxic documents.  It is held as a
 trie; the Levenshtein automaton of every entry runs over the trie at once, as
 one lazily determinised automaton whose states are sets of (trie node, edits
-used), so a misspelled word costs one step per character.  A hit inside
+used), so a misspelled word costs one step per character.  Stems and terms of
+four letters match with one edit as weak hits, shorter terms only as they are
+spelled; weak hits are features of their own.  A hit inside
 quotation marks or behind a reporting word within ``WINDOW`` words is counted
 as quotation, any other as abuse.  A logistic model over the hit counts gives
 the score.
@@ -41,13 +43,15 @@ STEM_LENGTHS = range(5, 13)
 WINDOW = 4
 #: Words that a worker remembers the automaton's answer for.
 CACHE_WORDS = 400_000
+#: States that an automaton keeps before it starts anew.
+CACHE_STATES = 200_000
 
 _WORD = re.compile(r"[^\W_]+(?:[*@$][^\W_]+)*")
 _QUOTES = {'"': '"', "“": "”", "«": "»", "„": "“"}
 # Words that introduce a quotation or mention.
 REPORTING = frozenset(("said says called calls wrote word words term quote quoted quotes "
                        "sagte nannte wort begriff dit appelle mot terme dijo llama palabra").split())
-FEATURES = ["constant", "abuse", "abuse fuzzy", "quoted", "density"]
+FEATURES = ["constant", "abuse", "abuse fuzzy", "quoted", "density", "weak", "weak quoted"]
 
 
 def words(text: str | None) -> list[str]:
@@ -58,8 +62,7 @@ def terms(tokens: list[str]) -> set[str]:
     """Words (ending in a space) and their stems."""
     out = set()
     for w in set(tokens):
-        if len(w) >= 4:
-            out.add(w + " ")
+        out.add(w + " ")
         out.update(w[:n] for n in STEM_LENGTHS if n < len(w))
     return out
 
@@ -106,21 +109,33 @@ def choose(counts: list[tuple[str, int, int]], n_bad: int, n_good: int) -> list[
         longer = [t for t in longer if t in good]
         if any(support[t] >= 0.9 * support[stem] for t in longer):
             good.discard(stem)  # a longer entry says the same
-        else:
-            good.difference_update(longer)
+        else:  # whole words stay, for their misspellings
+            good.difference_update([t for t in longer if not t.endswith(" ")])
     return sorted((t.rstrip(" "), not t.endswith(" ")) for t in good)
 
 
+def edits(term: str, stem: bool) -> int:
+    """Edits within which a word is taken for the entry."""
+    return 0 if stem or len(term) < 5 else 1 if len(term) < 9 else 2
+
+
+def weak_edits(term: str, stem: bool) -> int:
+    """Edits within which a word may be the entry: stems and terms of four
+    letters with one edit are often other words, so the fit weighs them."""
+    return max(edits(term, stem), 1 if stem or len(term) == 4 else 0)
+
+
 class LexiconAutomaton:
     """Deterministic automaton of all words within the edit budget of a term."""
 
-    def __init__(self, entries: list[tuple[str, bool]]):
+    def __init__(self, entries: list[tuple[str, bool]], allowed=edits):
         self.child: list[dict[str, int]] = [{}]
         self.end: list[int] = [0]  # 1: a word ends here, 2: any suffix may follow
         self.budget: list[int] = [0]  # the most edits any term below may use
         self.own: list[int] = [0]
+        self.tail: list[int] = [-1]  # a stem's edits, after which any suffix may follow
         for term, stem in entries:
-            budget = 0 if stem or len(term) < 5 else 1 if len(term) < 9 else 2
+            budget = allowed(term, stem)
             node = 0
             self.budget[0] = max(self.budget[0], budget)
             for ch in term:
@@ -130,10 +145,16 @@ class LexiconAutomaton:
                     self.end.append(0)
                     self.budget.append(0)
                     self.own.append(0)
+                    self.tail.append(-1)
                 node = self.child[node][ch]
                 self.budget[node] = max(self.budget[node], budget)
             self.end[node] = max(self.end[node], 2 if stem else 1)
             self.own[node] = max(self.own[node], budget)
+            if stem:
+                self.tail[node] = max(self.tail[node], budget)
+        self._reset()
+
+    def _reset(self) -> None:
         self.states: list[frozenset] = []
         self.number: dict[frozenset, int] = {}
         self.step: list[dict[str, int]] = []
@@ -166,8 +187,8 @@ class LexiconAutomaton:
     def _next(self, state: int, ch: str) -> int:
         out: set[tuple[int, int]] = set()
         for node, used in self.states[state]:
-            if self.end[node] == 2 and used == 0:
-                out.add((node, 0))  # a stem stays matched
+            if used <= self.tail[node]:
+                out.add((node, used))  # a stem stays matched
             out.add((node, used + 1))  # the word has one more character
             for c, nxt in self.child[node].items():
                 out.add((nxt, used + (c != ch)))
@@ -177,6 +198,8 @@ class LexiconAutomaton:
 
     def match(self, word: str) -> int:
         """2: a term, 1: a misspelled one, 0: neither."""
+        if len(self.states) > CACHE_STATES:
+            self._reset()
         state = self.start
         for ch in word:
             to = self.step[state].get(ch)
@@ -191,12 +214,18 @@ class Scorer:
 
     def __init__(self, entries: list[tuple[str, bool]], weights: np.ndarray | None = None):
         self.automaton = LexiconAutomaton(entries)
+        # only the entries that may have more edits than the first automaton gives them
+        self.weak = LexiconAutomaton([e for e in entries if weak_edits(*e) > edits(*e)], weak_edits)
         self.weights = weights
         self.seen: dict[str, int] = {}
 
+    def match(self, word: str) -> int:
+        """2: a term, 1: a misspelled one, 3: perhaps one, 0: none."""
+        return self.automaton.match(word) or (3 if self.weak.match(word) else 0)
+
     def features(self, text: str | None) -> list[float]:
         tokens = words(text)
-        seen, match = self.seen, self.automaton.match
+        seen, match = self.seen, self.match
         if len(seen) > CACHE_WORDS:
             seen.clear()
         hit = False
@@ -204,21 +233,24 @@ class Scorer:
             seen[w] = match(w)
         hit = any(map(seen.__getitem__, tokens))
         if not hit:
-            return [1.0, 0.0, 0.0, 0.0, 0.0]
+            return [1.0] + [0.0] * (len(FEATURES) - 1)
         low = text.lower()
         quoted = quotation(low)
-        exact = fuzzy = mention = 0
+        exact = fuzzy = mention = weak = weak_mention = 0
         for i, m in enumerate(_WORD.finditer(low)):
             kind = seen[m.group()]
             if kind:
                 if quoted[m.start()] or not REPORTING.isdisjoint(tokens[max(0, i - WINDOW):i]):
-                    mention += 1
+                    mention += kind != 3
+                    weak_mention += kind == 3
+                elif kind == 3:
+                    weak += 1
                 elif kind == 2:
                     exact += 1
                 else:
                     fuzzy += 1
         return [1.0, float(np.log1p(exact)), float(np.log1p(fuzzy)), float(np.log1p(mention)),
-                float(np.log1p(1000.0 * exact / len(tokens)))]
+                float(np.log1p(1000.0 * exact / len(tokens))), float(np.log1p(weak)), float(np.log1p(weak_mention))]
 
     def score(self, text: str | None) -> float:
         if self.weights is None:

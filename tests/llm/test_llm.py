@@ -244,6 +244,23 @@ def test_levenshtein_automaton():
     assert auto.match("achlichkeit") == 2 and auto.match("achlic") == 0
 
 
+def test_misspelled_families_and_short_terms():
+    rows = ["you idiot", "these idiots", "so idiotic", "scum of all", "a git here"] * 5
+    counts = collections.Counter(t for r in rows for t in toxicity.terms(toxicity.words(r)))
+    common = {"you", "these", "so", "of", "all", "a", "here"}
+    entries = toxicity.choose([(t, n, 900 * (t.strip() in common)) for t, n in counts.items()], len(rows), 1000)
+    assert {("idiot", True), ("idiot", False), ("idiots", False), ("scum", False), ("git", False)} <= set(entries)
+    scorer = toxicity.Scorer(entries)
+    name = dict(zip(toxicity.FEATURES, range(99), strict=False))
+    assert scorer.features("you ideot")[name["abuse fuzzy"]] > 0
+    assert scorer.features("idiocracy no, idiotcracy")[name["abuse"]] > 0
+    for text in ("ideotcracy", "scumm", "scm"):
+        got = scorer.features(text)
+        assert got[name["weak"]] > 0 and not got[name["abuse"]] and not got[name["abuse fuzzy"]]
+    assert scorer.features('he said "scumm"')[name["weak quoted"]] > 0
+    assert scorer.features("a git")[name["abuse"]] > 0 and not any(scorer.features("a gitt")[1:])
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
