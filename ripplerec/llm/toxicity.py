@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import rows_of, small_batches, store
@@ -35,10 +35,14 @@ from .langid import held_out, logistic
 
 THRESHOLD = 0.3
 SAMPLE = 20_000
-#: A term is in at least this share of the toxic documents (and in 3) ...
-MIN_SHARE = 0.02
-#: ... and so many times as frequent there as in the others.
+#: A term is in at least so many toxic documents at every size of the corpus, ...
+MIN_SUPPORT = 3
+#: ... so many times as frequent there as in the others ...
 MIN_LIFT = 10.0
+#: ... and not by chance: log-likelihood ratio of its counts (1 in 1,000).
+MIN_RATIO = 10.83
+#: Bytes of terms that are sent to the tasks; a trie has at most so many nodes.
+MAX_LEXICON_BYTES = 2 << 20
 STEM_LENGTHS = range(5, 13)
 WINDOW = 4
 #: Words that a worker remembers the automaton's answer for.
@@ -67,30 +71,41 @@ def terms(tokens: list[str]) -> set[str]:
     return out
 
 
-def _document_terms(kept):
-    """Number of toxic and of other documents that hold each term; with
-    ``kept`` only its terms are counted."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = None if kept is None else kept.value
-        bad: Counter = Counter()
-        good: Counter = Counter()
+def _document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of toxic and of other documents that hold each term."""
+    bad: Counter = Counter()
+    good: Counter = Counter()
 
-        def rows() -> pa.RecordBatch:
-            names = list(bad.keys() | good.keys())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array([bad[t] for t in names], pa.int64()),
-                 pa.array([good[t] for t in names], pa.int64())], ["term", "bad", "good"])
+    def rows() -> pa.RecordBatch:
+        names = list(bad.keys() | good.keys())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array([bad[t] for t in names], pa.int64()),
+             pa.array([good[t] for t in names], pa.int64())], ["term", "bad", "good"])
 
-        for b in rows_of(batches):
-            for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist(), strict=True):
-                found = terms(words(text))
-                (bad if toxic else good).update(found if only is None else found & only)
+    for b in rows_of(batches):
+        for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist(), strict=True):
+            (bad if toxic else good).update(terms(words(text)))
             if len(bad) + len(good) > 1_000_000:
                 yield rows()
                 bad.clear()
                 good.clear()
-        yield rows()
-    return run
+    yield rows()
+
+
+def _ratio(n_bad: int, n_good: int) -> Column:
+    """Log-likelihood ratio of a term's counts against equal shares in both classes."""
+    total, n = F.col("bad") + F.col("good"), n_bad + n_good
+    cells = [(F.col("bad"), n_bad * total / n), (F.col("good"), n_good * total / n),
+             (n_bad - F.col("bad"), n_bad * (n - total) / n), (n_good - F.col("good"), n_good * (n - total) / n)]
+    return 2 * sum((F.when(x > 0, x * F.log(x / e)).otherwise(0.0) for x, e in cells), F.lit(0.0))
+
+
+def lexicon_counts(known: DataFrame, n_bad: int, n_good: int) -> DataFrame:
+    """(term, bad, good) of the terms that tell toxic documents from others."""
+    lift = (F.col("bad") / n_bad) / ((F.col("good") + 0.5) / (n_good + 1))
+    return (known.mapInArrow(_document_terms, "term string, bad long, good long")
+            .groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+            .where((F.col("bad") >= MIN_SUPPORT) & (lift >= MIN_LIFT) & (_ratio(n_bad, n_good) >= MIN_RATIO)))
 
 
 def choose(counts: list[tuple[str, int, int]], n_bad: int, n_good: int) -> list[tuple[str, bool]]:
@@ -299,14 +314,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[lis
     n_bad, n_good = size.get(1, 0), size.get(0, 0)
     if not n_bad or not n_good:
         return [], None
-    least = max(3, MIN_SHARE * n_bad)
-    # a document has a bounded number of terms, so few terms can be in that share of them
-    often = (known.where("toxic = 1").mapInArrow(_document_terms(None), "term string, bad long, good long")
-             .groupBy("term").agg(F.sum("bad").alias("bad")).where(F.col("bad") >= least).select("term"))
-    kept = spark.sparkContext.broadcast({r["term"] for r in often.collect()})
-    counts = (known.mapInArrow(_document_terms(kept), "term string, bad long, good long")
-              .groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
-    entries = choose([(r["term"], r["bad"], r["good"]) for r in counts.collect()], n_bad, n_good)
+    found = store(lexicon_counts(known, n_bad, n_good), "lexicon")
+    size = found.agg(F.sum(F.octet_length("term"))).first()[0] or 0
+    if size > MAX_LEXICON_BYTES:  # no term is dropped unseen
+        raise ValueError(f"the lexicon has {size} bytes of terms, more than MAX_LEXICON_BYTES = {MAX_LEXICON_BYTES}")
+    entries = choose([(r["term"], r["bad"], r["good"]) for r in found.collect()], n_bad, n_good)
     shared = spark.sparkContext.broadcast(entries)
     share = min(1.0, sample / (n_bad + n_good))
     some = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))

@@ -261,6 +261,18 @@ def test_misspelled_families_and_short_terms():
     assert scorer.features("a git")[name["abuse"]] > 0 and not any(scorer.features("a gitt")[1:])
 
 
+def test_rare_terms_are_learned_at_every_size(spark):
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    for n_bad in (200, 600):  # the rare term is in 2 % and in less of the toxic documents
+        rows = [(i, "common things grumblefish" if k < 4 else "common things scoundrel" if k < n_bad else "common things",
+                 int(k < n_bad)) for k, i in enumerate(ids[:4 * n_bad])]
+        table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        entries, weights = toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+        assert {("grumblefish", False), ("scoundrel", False)} <= set(entries)
+        scorer = toxicity.Scorer(entries, weights)
+        assert scorer.score("a grumblefish") > scorer.score("a fish")
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
