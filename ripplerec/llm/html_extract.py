@@ -3,13 +3,15 @@
 Every page is aligned with a pivot page of its host by simple tree matching.
 Per pivot node the corpus says how many pages have it, how many have the same
 text there, and how much varying text it holds: nodes with the same text on
-nearly all pages are the host's template, the container with the most varying
-text is its content slot.  A page's text is what its content slot (or its own
-<article>) holds, without template nodes, page furniture and reader comments.
+nearly all pages are the host's template, the least element around the nodes
+with varying text (those in <article> or <main>, if they have most of it) is its
+content slot.  A page's text is what its content slot holds, without template
+nodes, page furniture and reader comments; a page with an <article> of its own
+is read by that.
 
 Defined results: null or empty html gives an empty text; a null url is a host
-of its own; a page that does not align with its pivot is read by its own
-largest container; repeated pages give repeated rows.
+of its own; a page of a host without varying text, or one that does not align
+with its pivot, is read whole; repeated pages give repeated rows.
 """
 
 from __future__ import annotations
@@ -38,7 +40,6 @@ CLASSES = frozenset((
     "cookies disqus discussion footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter "
     "notice notices notification paywall popup promo promoted promotion recommended related replies reply respond "
     "share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar widget").split())
-CONTAINERS = frozenset("#page html body main article section div td".split())
 _MARK = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _STATS = "host string, node int, pages long, same long, mass long"
 _RESULT = "page_id long, url string, text string, n_chars long"
@@ -65,13 +66,6 @@ def visible(root: Node) -> list[Node]:
     return out
 
 
-def container(node: Node) -> Node:
-    """The nearest element that may hold an article."""
-    while node.tag not in CONTAINERS and node.parent is not None:
-        node = node.parent
-    return node
-
-
 def article_of(node: Node) -> Node:
     """The outermost <article>, else the outermost <main>, around a node."""
     found = {"article": None, "main": None}
@@ -83,18 +77,32 @@ def article_of(node: Node) -> Node:
     return found["article"] or found["main"] or node
 
 
-def heaviest(nodes: list[Node], mass: dict[int, int]) -> Node | None:
-    """The container with the most text directly in its blocks."""
-    total: dict[int, int] = {}
-    best: Node | None = None
+def around(nodes: list[Node]) -> Node | None:
+    """The least element that holds all of ``nodes``."""
+    best: list[Node] | None = None
     for node in nodes:
-        n = mass.get(node.number, 0)
-        if n:
-            home = container(node)
-            total[home.number] = total.get(home.number, 0) + n
-            if best is None or total[home.number] > total[best.number] or home is best:
-                best = home
-    return best
+        path = [node]
+        while path[-1].parent is not None:
+            path.append(path[-1].parent)
+        path.reverse()
+        if best is None:
+            best = path
+        same = 0
+        while same < min(len(best), len(path)) and best[same] is path[same]:
+            same += 1
+        best = best[:same]
+    return best[-1] if best else None
+
+
+def content(nodes: list[Node], mass: dict[int, int]) -> Node | None:
+    """The element around all nodes with text; of those in <article> or <main>,
+    if they have at least half of it."""
+    some = [n for n in nodes if mass.get(n.number, 0)]
+    named = [n for n in some if article_of(n).tag in ("article", "main")]
+    if 2 * sum(mass[n.number] for n in named) >= sum(mass[n.number] for n in some):
+        some = named
+    best = around(some)
+    return None if best is None else article_of(best)
 
 
 class Wrapper:
@@ -109,11 +117,12 @@ class Wrapper:
         self.slot: int | None = None
         if stats:
             mass = {s["node"]: s["mass"] for s in stats}
-            pages = max(s["pages"] for s in stats)
+            # empty pages have the root only
+            pages = max((s["pages"] for s in stats if s["node"]), default=0)
             self.template = {s["node"] for s in stats if pages >= TEMPLATE_PAGES and self.texts[s["node"]]
                              and s["same"] >= TEMPLATE_SHARE * pages}
-            best = heaviest([n for n in self.seen if n.number not in self.template], mass)
-            self.slot = None if best is None else article_of(best).number
+            best = content([n for n in self.seen if n.number not in self.template], mass)
+            self.slot = None if best is None else best.number
 
     def observe(self, page: str | None, counts: dict[int, np.ndarray]) -> None:
         """Add one page to the counts (pages, same text, varying characters) per pivot node."""
@@ -139,9 +148,8 @@ class Wrapper:
             template = {p.number for n, p in pairs.items() if n in self.template and p.own_text() == self.texts[n]}
             start = pairs.get(self.slot) if self.slot is not None else None
             if start is None:
-                mass = {n.number: len(n.own_text()) for n in seen if n.number not in template}
-                start = heaviest(seen, mass)
-                start = order[0] if start is None else article_of(start)
+                start = content(seen, {n.number: len(n.own_text()) for n in seen if n.number not in template})
+                start = order[0] if start is None else start
         return "\n".join(blocks(start, lambda n: furniture(n) or n.number in template))
 
 
@@ -180,9 +188,13 @@ def main_text(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     pages = pages.select("page_id", "url", "html", host.alias("host"),
                          F.pmod(F.xxhash64("page_id"), F.lit(SALT)).alias("salt"))
-    # any page can be the pivot; the least hash is one that does not depend on the order
-    pivots = pages.groupBy("host").agg(
-        F.min_by(F.coalesce("html", F.lit("")), F.xxhash64("page_id", "html")).alias("pivot"))
+    # the pivot is a page of the host's most frequent set of tags, empty pages last; the
+    # least hash is one that does not depend on the order
+    html = F.coalesce("html", F.lit(""))
+    tags = F.array_sort(F.array_distinct(F.regexp_extract_all(html, F.lit("<([a-zA-Z][a-zA-Z0-9]*)"), F.lit(1))))
+    pivots = (pages.groupBy("host", (F.trim(html) != "").alias("full"), F.xxhash64(tags).alias("shape"))
+              .agg(F.count(F.lit(1)).alias("n"), F.min_by(html, F.xxhash64("page_id", "html")).alias("pivot"))
+              .groupBy("host").agg(F.max_by("pivot", F.struct("full", "n", "shape")).alias("pivot")))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt")
     spread = pivots.select("host", "pivot", salts)
     # both passes read the same columns, so the pages are shuffled once for the two joins

@@ -119,6 +119,23 @@ def test_wrapper_induction():
     assert w.extract(page % ("new  text\n here<br>now", "a &lt; b")) == "new text here now\na < b"
 
 
+def _host(spark, page, n=8, extra=()):
+    rows = [(i, "http://a.b/x", page.format(*[f"{w} {i}" for w in ("one", "two", "three")])) for i in range(n)]
+    rows += [(100 + i, "http://a.b/x", h) for i, h in enumerate(extra)]
+    got = html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r.page_id: r.text for r in got}
+
+
+def test_all_varying_slots_are_content(spark):
+    page = "<body><div>My Site</div><section><p>{0}</p></section><div>Read on</div><section><p>{1}</p></section><div>{2}</div></body>"
+    want = {i: f"one {i}\ntwo {i}\nthree {i}" for i in range(8)}
+    assert _host(spark, page) == want
+    # null, empty and error pages are never the pivot
+    extra = [None, "", " "] + ["<h1>Error</h1>"] * 4
+    got = _host(spark, page, extra=extra)
+    assert {i: t for i, t in got.items() if i < 100} == want
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r.text for r in html_extract.main_text(pages).collect()}
