@@ -6,12 +6,13 @@ text there, and how much varying text it holds: nodes with the same text on
 nearly all pages are the host's template, the least element around the nodes
 with varying text (those in <article> or <main>, if they have most of it) is its
 content slot.  A page's text is what its content slot holds, without template
-nodes, page furniture and reader comments; a page with an <article> of its own
-is read by that.
+nodes, page furniture and reader comments; a text that is template as a whole
+(a host of copies) is kept.
 
 Defined results: null or empty html gives an empty text; a null url is a host
 of its own; a page of a host without varying text, or one that does not align
-with its pivot, is read whole; repeated pages give repeated rows.
+with its pivot, is read by its own largest <article>, else whole; repeated pages
+give repeated rows.
 """
 
 from __future__ import annotations
@@ -139,18 +140,18 @@ class Wrapper:
         root = parse(page)
         order = finish(root)
         seen = visible(root)
-        articles = [n for n in seen if n.tag == "article" and article_of(n) is n]
-        template: set[int] = set()
-        if articles:
-            start = max(articles, key=lambda n: sum(map(len, blocks(n, furniture))))
-        else:
-            pairs = align(self.root, root)
-            template = {p.number for n, p in pairs.items() if n in self.template and p.own_text() == self.texts[n]}
-            start = pairs.get(self.slot) if self.slot is not None else None
-            if start is None:
+        pairs = align(self.root, root)
+        template = {p.number for n, p in pairs.items() if n in self.template and p.own_text() == self.texts[n]}
+        start = pairs.get(self.slot) if self.slot is not None else None
+        if start is None:
+            articles = [n for n in seen if n.tag == "article" and article_of(n) is n]
+            if articles:
+                start = max(articles, key=lambda n: sum(map(len, blocks(n, furniture))))
+            else:
                 start = content(seen, {n.number: len(n.own_text()) for n in seen if n.number not in template})
                 start = order[0] if start is None else start
-        return "\n".join(blocks(start, lambda n: furniture(n) or n.number in template))
+        text = "\n".join(blocks(start, lambda n: furniture(n) or n.number in template))
+        return text or "\n".join(blocks(start, furniture))
 
 
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

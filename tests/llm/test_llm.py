@@ -126,6 +126,13 @@ def _host(spark, page, n=8, extra=()):
     return {r.page_id: r.text for r in got}
 
 
+def test_template_inside_article_is_removed(spark):
+    got = _host(spark, "<body><article><p>{0}</p><div class=boxed>About the author</div><p>{1}</p></article></body>")
+    assert got == {i: f"one {i}\ntwo {i}" for i in range(8)}
+    copies = _host(spark, "<body><article><p>same text</p></article></body>")
+    assert set(copies.values()) == {"same text"}
+
+
 def test_all_varying_slots_are_content(spark):
     page = "<body><div>My Site</div><section><p>{0}</p></section><div>Read on</div><section><p>{1}</p></section><div>{2}</div></body>"
     want = {i: f"one {i}\ntwo {i}\nthree {i}" for i in range(8)}
