@@ -9,9 +9,12 @@ from . import (
     exact_dedup,
     html_extract,
     langid,
+    merkle,
+    nearest,
     packing,
     secrets,
     simhash_dedup,
+    spelling,
     substring_dedup,
     token_counts,
     toxicity,
@@ -59,8 +62,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_check(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secrets, op2_main_text, op3_language_id, op4_simhash, op5_exact_dedup, op6_toxicity, op7_token_counts,
-    op8_substring_dedup, op9_decontamination, op10_packing)}
+    op8_substring_dedup, op9_decontamination, op10_packing, op11_spelling, op12_nearest, op13_manifest)}
 
-ORACLE_SQL = {"op5_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op5_exact_dedup": exact_dedup.ORACLE_SQL, "op12_nearest": nearest.ORACLE_SQL,
+              "op13_manifest": merkle.ORACLE_SQL}

@@ -58,7 +58,7 @@ def empty(spark):
 
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
-    assert [int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES] == list(range(1, 14))
 
 
 def test_odd_and_empty_tables(spark, odd, empty):
