@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .segments import segmented_lag
 from .windows import assign_windows
 
 
@@ -106,36 +107,19 @@ def pair_hits(prev: Column, items: Column) -> Column:
     return F.aggregate(prev, F.lit(0), lambda acc, r: acc + F.size(F.filter(items, lambda c: c == r)))
 
 
-def keyed_lag(df: DataFrame, key: str, major: str, minor: str, value: str,
-              out: str = "prev") -> DataFrame:
-    """Previous ``value`` per ``key`` in (major, minor) order, skew-safe.
-
-    Rows are partitioned by (key, major): inside a group the previous row is
-    a plain ``lag``; the first row of a group takes the last value of the
-    key's previous non-empty group, found on a table with one row per
-    (key, major).  A key holding a third of all rows (the shared OOV id) is
-    thus spread over its ``major`` values instead of one task.
-    """
-    in_group = Window.partitionBy(key, major).orderBy(minor)
-    with_lag = df.withColumn("_lag", F.lag(value).over(in_group))
-    group_last = df.groupBy(key, major).agg(F.max_by(value, minor).alias("_glast"))
-    prev_group = group_last.withColumn(
-        "_gprev", F.lag("_glast").over(Window.partitionBy(key).orderBy(major))).drop("_glast")
-    return with_lag.join(prev_group, [key, major], "left") \
-        .withColumn(out, F.coalesce(F.col("_lag"), F.col("_gprev"))).drop("_lag", "_gprev")
-
-
 def last_reward(recs: DataFrame, key: str = "user_id", order: str = "window_end",
                 tie: str = "raw_user", items: str = "items", rec: str = "item_rec",
                 out: str = "last_reward") -> DataFrame:
     """Hits between the key's previous recommendation and the current
     history; -1 when there is none.  State is per (mapped) user; rows of one
     window end sharing a key (several raw users on the OOV id) are taken in
-    ``tie`` order."""
-    lagged = keyed_lag(recs, key, order, tie, rec, "_prev")
-    return lagged.withColumn(out, F.when(F.col("_prev").isNull(), F.lit(-1))
-                             .otherwise(pair_hits(F.col("_prev"), F.col(items))).cast("int")) \
-        .drop("_prev")
+    ``tie`` order.  The scan splits a key of any size, see ``segments``."""
+    return _rewarded(segmented_lag(recs, [key], [order, tie], rec, "_prev"), items, out)
+
+
+def _rewarded(rows: DataFrame, items: str, out: str) -> DataFrame:
+    return rows.withColumn(out, F.when(F.col("_prev").isNull(), F.lit(-1))
+                           .otherwise(pair_hits(F.col("_prev"), F.col(items))).cast("int")).drop("_prev")
 
 
 def last_reward_literal(recs: DataFrame, key: str = "user_id", order: str = "window_end",
@@ -143,7 +127,4 @@ def last_reward_literal(recs: DataFrame, key: str = "user_id", order: str = "win
                         out: str = "last_reward") -> DataFrame:
     """E5: the reference's literal scope -- state lives per window end, so only
     rows sharing (window end, key) see each other (SURVEY Q3)."""
-    w = Window.partitionBy(order, key).orderBy(tie)
-    prev = F.lag(rec).over(w)
-    return recs.withColumn(out, F.when(prev.isNull(), F.lit(-1))
-                           .otherwise(pair_hits(prev, F.col(items))).cast("int"))
+    return _rewarded(segmented_lag(recs, [order, key], [tie], rec, "_prev"), items, out)

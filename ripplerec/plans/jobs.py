@@ -7,7 +7,7 @@
   (transformWithStateInPandas) -> foreachBatch scoring + hot fill ->
   recommendation folder (F7), one sub-folder per micro-batch.
 * ``start_reward_job``    (SeqRecommend, second half): recommendation folder
-  as a file stream -> last reward (state per user) -> result table.
+  as a file stream -> last reward (carried in a versioned table) -> result table.
 * ``start_persist_job``   (RecordToMongoDB / RecordToMysql): records ->
   record log (F1), keyed records (F4), consumed pairs (F2).
 * ``start_publish_job``   (FileToKafka): behaviour file stream -> wire
@@ -22,11 +22,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import constants as K
-from ..functions.scalar import format_time
 from ..operators.sinks import wire_messages
-from ..streaming.history import last_reward_stream, recommend_batch, user_history_stream
+from ..streaming.history import recommend_batch, reward_batch, user_history_stream
 from ..streaming.persist import consumed_pairs_batch, record_log_stream, unique_records_batch
-from ..streaming.popular import popular_items_stream, publish_hot_batch
+from ..streaming.popular import RankLog, popular_items_stream, publish_hot_batch
 
 
 def _start(df: DataFrame, ckpt: str, path: str | None = None, fmt: str = "parquet",
@@ -39,14 +38,15 @@ def _start(df: DataFrame, ckpt: str, path: str | None = None, fmt: str = "parque
     return w.format(fmt).option("path", path).start()
 
 
-def start_popular_job(records: DataFrame, item_map: DataFrame, hot_store: str, ckpt: str,
+def start_popular_job(records: DataFrame, item_map: DataFrame | None, hot_store: str | RankLog, ckpt: str,
                       n: int = K.TOP_N, trigger: dict | None = None):
-    return _start(popular_items_stream(records, item_map, n), ckpt,
-                  foreach=publish_hot_batch(hot_store), trigger=trigger)
+    """``hot_store``: the path of the current list's store, or a ``RankLog`` for readers as of a time."""
+    publish = hot_store.publish if isinstance(hot_store, RankLog) else publish_hot_batch(hot_store)
+    return _start(popular_items_stream(records, item_map, n), ckpt, foreach=publish, trigger=trigger)
 
 
 def start_history_job(records: DataFrame, user_map: DataFrame, user_vecs: DataFrame, model,
-                      catalog, hot_store: str | None, recs_out: str, ckpt: str,
+                      catalog, hot_store: str | RankLog | None, recs_out: str, ckpt: str,
                       trigger: dict | None = None):
     hist = user_history_stream(records)
     return _start(hist, ckpt, foreach=recommend_batch(recs_out, user_map, user_vecs, model,
@@ -54,11 +54,14 @@ def start_history_job(records: DataFrame, user_map: DataFrame, user_vecs: DataFr
 
 
 def start_reward_job(spark: SparkSession, recs_in: str, out: str, ckpt: str,
-                     trigger: dict | None = None):
+                     trigger: dict | None = None, files_per_batch: int | None = None):
+    """Rewards of the recommendation folder, one sub-folder per micro-batch; the
+    carried recommendations are kept beside the checkpoint."""
     schema = "user_id int, raw_user long, window_end long, items array<int>, item_rec array<int>"
-    recs = spark.readStream.schema(schema).parquet(recs_in)
-    rows = last_reward_stream(recs).withColumn("time", format_time("window_end"))
-    return _start(rows, ckpt, out, trigger=trigger)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _start(reader.parquet(recs_in), ckpt, foreach=reward_batch(out, f"{ckpt.rstrip('/')}-carry"), trigger=trigger)
 
 
 def start_persist_job(records: DataFrame, out: str, ckpt: str, trigger: dict | None = None):

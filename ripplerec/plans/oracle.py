@@ -546,6 +546,7 @@ ORACLES = {
     "top_n_items_stream": lambda: top_n_items() + _closed(0),
     "user_history_stream": lambda: user_history() + _closed(10_000),
     "last_reward_stream": last_reward_hot,
+    "recommend_stream": lambda: recommend_pipeline() + _closed(10_000),
 }
 
 

@@ -423,16 +423,35 @@ def q_user_history_stream(spark, sf_dir):
 
 
 def q_last_reward_stream(spark, sf_dir):
-    """Rewards of the written recommendation rows, read back as a stream."""
-    from ..streaming.history import REWARD_OUT, last_reward_stream
+    """Rewards of the written recommendation rows, read back as a stream of several batches."""
+    from .jobs import start_reward_job
     from .recommend import recommendations
-    _rocksdb(spark)
     recs, path = _scratch(spark, "recommendations"), _scratch(spark, "rewards")
     rows = recommendations(Fixture.prepared(spark, sf_dir), scorer_failed=True).select(
         "user_id", "raw_user", "window_end", "items", "item_rec")
-    rows.write.parquet(recs)
-    _run_stream(last_reward_stream(spark.readStream.schema(rows.schema).parquet(recs)), spark, "rewards", path)
-    return spark.read.schema(REWARD_OUT).parquet(path).select("user_id", "raw_user", "window_end", "last_reward")
+    # files of ascending window ends, as the recommendation job leaves them
+    cuts = rows.repartitionByRange(3, "window_end").sortWithinPartitions("window_end")
+    cuts.write.parquet(recs)
+    start_reward_job(spark, recs, path, _scratch(spark, "rewards-checkpoint"), {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(path).select("user_id", "raw_user", "window_end", "last_reward")
+
+
+def q_recommend_stream(spark, sf_dir):
+    """The whole chain as streams: popular items to a rank log; histories scored and filled from the
+    log as of their window end; rewards.  The windows that the 10 s watermark closes."""
+    from .jobs import start_history_job, start_popular_job, start_reward_job
+    from .recommend import fixture_catalog, fixture_models
+    from ..streaming.popular import RankLog
+    _rocksdb(spark)
+    fx, now = Fixture.prepared(spark, sf_dir), {"availableNow": True}
+    log, recs, path = RankLog(_scratch(spark, "rank-log")), _scratch(spark, "recommendations"), _scratch(spark, "rewards")
+    start_popular_job(_event_stream(spark, sf_dir), None, log, _scratch(spark, "popular-checkpoint"),
+                      trigger=now).awaitTermination()
+    raw = map_ids(_raw_event_stream(spark, sf_dir), "item_id", fx.item_map, oov=fx.item_map.count())
+    start_history_job(raw, fx.user_map, fx.user_vectors, fixture_models(fx.item_map.count())["ddpg"], fixture_catalog(fx),
+                      log, recs, _scratch(spark, "history-checkpoint"), trigger=now).awaitTermination()
+    start_reward_job(spark, f"{recs}/*", path, _scratch(spark, "rewards-checkpoint"), now).awaitTermination()
+    return spark.read.parquet(path).select("user_id", "raw_user", "window_end", "time", "item_rec", "last_reward")
 
 
 QUERIES: dict[str, Query] = {
@@ -488,4 +507,5 @@ QUERIES: dict[str, Query] = {
     "top_n_items_stream": q_top_n_items_stream,
     "user_history_stream": q_user_history_stream,
     "last_reward_stream": q_last_reward_stream,
+    "recommend_stream": q_recommend_stream,
 }

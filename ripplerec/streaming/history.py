@@ -5,8 +5,11 @@
   processor keyed by user keeps the last N items in a value state (RocksDB,
   checkpointed: the history survives restarts, like the reference's list
   store variant) and emits (user, window_end, items) per closed window.
-* ``last_reward_stream`` (E4): keyed by mapped user, a value state holds the
-  previous recommendation; each row gets its reward and replaces it.
+* ``reward_batch`` (E4): a ``foreachBatch`` body; a micro-batch's rewards come from the
+  ordered scan that splits hot keys (``operators.segments``), and each key's last
+  recommendation is carried to the next batch in a versioned table.
+* ``last_reward_stream`` (E4): the same with a value state per mapped user, for
+  keys of bounded rate: all rows of a key are one state's work.
 * ``recommend_batch`` : a ``foreachBatch`` body that scores a micro-batch of
   histories, fills from the rank store and appends it under its batch id.
 
@@ -25,8 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from .. import constants as K
-from ..operators.history import _last_n
+from ..functions.scalar import format_time
+from ..operators.history import _last_n, _rewarded
+from ..operators.segments import segmented_lag
 from ..operators.windows import with_event_time
+from .popular import RankLog
+from .store import KeyedStore
 
 HISTORY_OUT = "user_id long, window_end long, items array<int>"
 REWARD_OUT = ("user_id int, raw_user long, window_end long, items array<int>, "
@@ -122,14 +129,51 @@ def last_reward_stream(recs: DataFrame) -> DataFrame:
             outputMode="Append", timeMode="None")
 
 
+CARRY = "user_id int, batch long, window_end long, raw_user long, item_rec array<int>"
+
+
+def reward_carry(path: str) -> KeyedStore:
+    """Each key's last recommendation: of the newest batch, in (window end, raw user) order."""
+    def latest(df: DataFrame) -> DataFrame:
+        row = F.struct("user_id", "batch", "window_end", "raw_user", "item_rec")
+        return df.groupBy("user_id").agg(F.max_by(row, F.struct("batch", "window_end", "raw_user")).alias("r")).select("r.*")
+    return KeyedStore(path, CARRY, latest)
+
+
+def reward_batch(out_path: str, carry_path: str):
+    """``foreachBatch`` body: rewards of a micro-batch of (user_id, raw_user,
+    window_end, items, item_rec), written under its batch id (E4, F7).
+
+    The carried recommendation of every key in the batch goes first in the key's
+    order; a replayed batch reads the carry of the batches before it.
+    """
+    store = reward_carry(carry_path)
+    cols = ["user_id", "raw_user", "window_end", "items", "item_rec"]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(*cols)
+        known = store.read(batch.sparkSession, before=batch_id).join(rows.select("user_id").distinct(), "user_id", "left_semi")
+        known = known.select("user_id", "raw_user", "window_end", F.lit(None).cast("array<int>").alias("items"),
+                             "item_rec", F.lit(0).alias("_seq"))
+        lagged = segmented_lag(known.unionByName(rows.withColumn("_seq", F.lit(1))), ["user_id"],
+                               ["_seq", "window_end", "raw_user"], "item_rec", "_prev")
+        out = _rewarded(lagged.where("_seq = 1").drop("_seq"), "items", "last_reward")
+        out.withColumn("time", format_time("window_end")).write.mode("overwrite").parquet(
+            f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        store.append(rows.select("user_id", F.lit(batch_id).cast("long").alias("batch"), "window_end", "raw_user",
+                                 "item_rec"), batch_id)
+    return run
+
+
 def recommend_batch(out_path: str, user_map: DataFrame, user_vecs: DataFrame, model,
-                    catalog, hot_store_path: str | None, n_rec: int = K.N_REC):
+                    catalog, hot_store: str | RankLog | None, n_rec: int = K.N_REC):
     """``foreachBatch`` body: map users, keep full histories, score, fill
-    from the current rank store, append under the batch id (F7).  Rows that the
+    from the rank store, append under the batch id (F7).  A ``RankLog`` is read as of
+    each row's window end, so the lists do not depend on how the stream
+    was cut into batches; a rank store's path gives its current list.  Rows that the
     scorer fails on get the hot list alone (G8), as the reference does on a bad
     response.  Rows: user_id, raw_user, window_end, time, items, item_rec."""
-    from ..functions.scalar import format_time
-    from ..operators.fallback import fallback_hot, fill_with_hot
+    from ..operators.fallback import attach_hot, fallback_hot, fill_with_hot
     from ..operators.history import full_history
     from ..operators.lookup import map_ids
     from ..operators.scoring import recommend
@@ -144,13 +188,17 @@ def recommend_batch(out_path: str, user_map: DataFrame, user_vecs: DataFrame, mo
         uv = user_vecs.select(F.col("id").alias("user_id"), F.col("vec").alias("user_vec"))
         scored = recommend(rows.join(uv, "user_id", "left"), model, catalog, n_rec,
                            seed_cols=("raw_user", "window_end"), null_on_error=True)
-        # The rank store holds at most N rows (one per rank): a proven bound,
-        # so its current state is read into a literal for this batch.
-        pairs = sorted((int(r["rank"]), int(r["item_id"])) for r in
-                       read_hot_store(spark, hot_store_path).collect()) if hot_store_path else []
-        hot = F.array(*[F.struct(F.lit(r).cast("int").alias("rank"), F.lit(i).cast("int").alias("item"))
-                        for r, i in pairs]) if pairs else F.array().cast("array<struct<rank:int,item:int>>")
-        scored = scored.withColumn("hot", hot)
+        if isinstance(hot_store, RankLog):
+            times = rows.select(F.col("window_end").alias("t")).distinct()
+            scored = attach_hot(scored, hot_store.upto(spark, times), "window_end", times=times)
+        else:
+            # The rank store holds at most N rows (one per rank): a proven bound,
+            # so its current state is read into a literal for this batch.
+            pairs = sorted((int(r["rank"]), int(r["item_id"])) for r in
+                           read_hot_store(spark, hot_store).collect()) if hot_store else []
+            hot = F.array(*[F.struct(F.lit(r).cast("int").alias("rank"), F.lit(i).cast("int").alias("item"))
+                            for r, i in pairs]) if pairs else F.array().cast("array<struct<rank:int,item:int>>")
+            scored = scored.withColumn("hot", hot)
         out = fallback_hot(fill_with_hot(scored, n_rec), n_rec)  # a NULL list stays NULL in the fill
         publish_recs(out.select("user_id", "raw_user", "window_end",
                                 format_time("window_end").alias("time"), "items", "item_rec"),

@@ -4,7 +4,7 @@ RecordToMysql jobs): wire lines -> decoded records -> result tables.
 * F1 ``record_log_stream``: stateless append.
 * F4 ``unique_records_batch`` + ``read_unique_records``: keyed insert; each
   micro-batch appends its earliest row per (user, item) under its batch id
-  (idempotent on replay), reading keeps the earliest of all.  There is no
+  (idempotent on replay) to a ``KeyedStore``, whose snapshot and tail keep the earliest of all.  There is no
   watermark: a late event is inserted like any other.
 * F2 ``consumed_pairs_batch`` + ``read_user_consumed``: each micro-batch
   appends its distinct (user, kind, value, first-seen) pairs under its batch
@@ -19,22 +19,30 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import format_time
 from ..operators.sinks import record_log
+from .store import KeyedStore
 
 
 def record_log_stream(records: DataFrame) -> DataFrame:
     return record_log(records)
 
 
+def unique_store(path: str) -> KeyedStore:
+    """Per (user, item) the earliest event."""
+    def earliest(df: DataFrame) -> DataFrame:
+        return df.groupBy("user", "item").agg(F.min("first").alias("first"))
+    return KeyedStore(path, "user long, item int, first struct<ts:timestamp,event_id:bigint>", earliest)
+
+
 def unique_records_batch(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        first = batch.groupBy(F.col("user_id").alias("user"), F.col("item_id").alias("item")).agg(
-            F.min(F.struct("ts", "event_id")).alias("first"))
-        first.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        unique_store(path).append(batch.select(
+            F.col("user_id").cast("long").alias("user"), F.col("item_id").alias("item"),
+            F.struct("ts", "event_id").alias("first")), batch_id)
     return write
 
 
 def read_unique_records(spark: SparkSession, path: str) -> DataFrame:
-    first = spark.read.parquet(path).groupBy("user", "item").agg(F.min("first").alias("first"))
+    first = unique_store(path).read(spark)
     return first.select("user", "item", format_time(F.unix_millis("first.ts")).alias("time"))
 
 

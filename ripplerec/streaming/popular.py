@@ -11,13 +11,16 @@ is final; the rows equal the batch ``top_n_items`` for closed windows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import path_exists
 from .. import constants as K
 from ..operators.lookup import map_ids
 from ..operators.windows import with_event_time
+from .store import KeyedStore
 
 
 def popular_items_stream(records: DataFrame, item_map: DataFrame | None = None,
@@ -54,27 +57,69 @@ def popular_items_stream(records: DataFrame, item_map: DataFrame | None = None,
                 F.col("_e.item_id").alias("item_id"), (-F.col("_e.neg")).alias("cnt"))
 
 
-def publish_hot_batch(path: str):
-    """F6 as a ``foreachBatch`` function.
+def hot_store(path: str) -> KeyedStore:
+    """per rank the write with the highest window end."""
+    def latest(df: DataFrame) -> DataFrame:
+        return df.groupBy("rank").agg(F.max_by("item_id", "window_end").alias("item_id"),
+                                      F.max("window_end").alias("window_end"))
+    return KeyedStore(path, "rank int, item_id int, window_end long", latest)
 
-    Each micro-batch writes its last write per rank to its own folder
-    ``batch_id=<id>`` (overwritten if the batch is replayed, so it is
-    idempotent); ``read_hot_store`` folds all folders to the current list.
-    No read-modify-write of a shared file.
-    """
+
+def publish_hot_batch(path: str):
+    """F6 as a ``foreachBatch`` function: each micro-batch appends its last write
+    per rank under its batch id; ``read_hot_store`` gives the current list."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.groupBy("rank").agg(F.max_by("item_id", "window_end").alias("item_id"),
-                                           F.max("window_end").alias("window_end"))
-        latest.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        hot_store(path).append(batch.select("rank", "item_id", "window_end"), batch_id)
     return write
 
 
-def read_hot_store(spark, path: str) -> DataFrame:
-    """Current rank store: per rank, the write with the highest window end.
-    A store that is not written yet has no ranks."""
-    schema = "rank int, item_id int, window_end long"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    writes = spark.read.schema(schema).parquet(path)
-    return writes.groupBy("rank").agg(F.max_by("item_id", "window_end").alias("item_id"),
-                                      F.max("window_end").alias("window_end"))
+def read_hot_store(spark: SparkSession, path: str) -> DataFrame:
+    """Current rank store.  A store that is not written yet has no ranks."""
+    return hot_store(path).read(spark)
+
+
+DAY_MS = 86_400_000
+
+
+@dataclass
+class RankLog:
+    """D5 on a stream: every ranked row, kept by the day of its window end, and per (day,
+    rank) the day's last write.
+
+    A reader at times within some days reads these days' rows and, for what
+    happened before, the last writes: its work follows the span of its times.
+    """
+
+    path: str
+
+    def _last(self) -> KeyedStore:
+        def latest(df: DataFrame) -> DataFrame:
+            return df.groupBy("day", "rank").agg(F.max_by("item_id", "window_end").alias("item_id"),
+                                                 F.max("window_end").alias("window_end"))
+        return KeyedStore(f"{self.path.rstrip('/')}/last", "day long, rank int, item_id int, window_end long", latest)
+
+    def publish(self, batch: DataFrame, batch_id: int) -> None:
+        """``foreachBatch`` body of ranked rows (window_end, rank, item_id)."""
+        rows = batch.select("window_end", "rank", "item_id", F.floor(F.col("window_end") / DAY_MS).alias("day"))
+        # a replay writes the same days' folders of its id again
+        (rows.withColumn("batch_id", F.lit(batch_id)).repartition("day").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(f"{self.path.rstrip('/')}/rows"))
+        self._last().append(rows, batch_id)
+
+    def upto(self, spark: SparkSession, times: DataFrame, t: str = "t") -> DataFrame:
+        """(window_end, rank, item_id): the writes that answer any of ``times`` as of them."""
+        lo, hi = times.agg(F.min(t), F.max(t)).first()
+        schema = "window_end long, rank int, item_id int"
+        if lo is None:
+            return spark.createDataFrame([], schema)
+        first, last = int(lo) // DAY_MS, int(hi) // DAY_MS
+        rows = f"{self.path.rstrip('/')}/rows"
+        days = [f"{rows}/day={d}" for d in range(first, last + 1)]
+        days = [d for d in days if path_exists(spark, d)]
+        before = (self._last().read(spark).where(F.col("day") < first).groupBy("rank")
+                  .agg(F.max_by("item_id", "window_end").alias("item_id"), F.max("window_end").alias("window_end")))
+        before = before.select("window_end", "rank", "item_id")
+        if not days:
+            return before
+        during = spark.read.schema(schema).option("basePath", rows).parquet(*days)
+        return before.unionByName(during.select("window_end", "rank", "item_id"))

@@ -317,7 +317,7 @@ def test_failing_scorer_falls_back_and_replay_writes_once(spark, tmp_path, model
     hot = str(tmp_path / "hot")
     if store == "three ranks":
         spark.createDataFrame([(1, 40, 9), (2, 41, 9), (4, 43, 9)], "rank int, item_id int, window_end long") \
-            .write.parquet(f"{hot}/batch_id=0")
+            .write.parquet(f"{hot}/tail/batch_id=0")
     hist = K.HIST_LEN
     vecs = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "id int, vec array<float>")
     catalog = ItemCatalog.from_frame(vecs, 1, oov_id=2)
