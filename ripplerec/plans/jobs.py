@@ -26,6 +26,7 @@ from ..operators.sinks import wire_messages
 from ..streaming.history import recommend_batch, reward_batch, user_history_stream
 from ..streaming.persist import consumed_pairs_batch, record_log_stream, unique_records_batch
 from ..streaming.popular import RankLog, popular_items_stream, publish_hot_batch
+from ..streaming.panes import pane_counts_stream, ranked_batch
 
 
 def _start(df: DataFrame, ckpt: str, path: str | None = None, fmt: str = "parquet",
@@ -39,9 +40,12 @@ def _start(df: DataFrame, ckpt: str, path: str | None = None, fmt: str = "parque
 
 
 def start_popular_job(records: DataFrame, item_map: DataFrame | None, hot_store: str | RankLog, ckpt: str,
-                      n: int = K.TOP_N, trigger: dict | None = None):
-    """``hot_store``: the path of the current list's store, or a ``RankLog`` for readers as of a time."""
+                      n: int | None = K.TOP_N, trigger: dict | None = None, panes: bool = True):
+    """``hot_store``: the path of the current list's store, or a ``RankLog`` for readers as of a time.
+    ``panes``: counts from a ring of panes an item; else from Spark's sliding window."""
     publish = hot_store.publish if isinstance(hot_store, RankLog) else publish_hot_batch(hot_store)
+    if panes:
+        return _start(pane_counts_stream(records, item_map), ckpt, foreach=ranked_batch(publish, n), trigger=trigger)
     return _start(popular_items_stream(records, item_map, n), ckpt, foreach=publish, trigger=trigger)
 
 

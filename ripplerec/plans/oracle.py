@@ -488,6 +488,14 @@ iv AS (SELECT im.dense_id AS id, e.embedding AS vec FROM imap im JOIN embeddings
         body="SELECT 'user' AS kind, id, vec FROM uv UNION ALL SELECT 'item' AS kind, id, vec FROM iv")
 
 
+def late_rows() -> str:
+    """Four arrivals by event id; the watermark of each is the latest time before it less 10 s."""
+    return with_ctes(RECORDS, """
+cuts AS (SELECT event_id % 4 AS cut, max(ts_us) // 1000 - 10000 AS mark FROM rec GROUP BY 1)""",
+                     body="""SELECT event_id, user_id, item_id,
+       ts_us < 1000 * coalesce((SELECT max(mark) FROM cuts WHERE cut < event_id % 4), 0) AS late FROM rec""")
+
+
 def _closed(lateness_ms: int) -> str:
     """Windows whose end the watermark has reached at the end of the stream."""
     return f" WHERE window_end <= (SELECT max(ts_us) // 1000 FROM rec) - {lateness_ms}"
@@ -546,6 +554,9 @@ ORACLES = {
     "top_n_items_stream": lambda: top_n_items() + _closed(0),
     "user_history_stream": lambda: user_history() + _closed(10_000),
     "last_reward_stream": last_reward_hot,
+    "top_n_panes_stream": lambda: top_n_items() + _closed(0),
+    "rank_all_panes_stream": lambda: top_n_items(None) + _closed(0),
+    "late_rows_stream": late_rows,
     "recommend_stream": lambda: recommend_pipeline() + _closed(10_000),
 }
 

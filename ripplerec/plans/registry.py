@@ -454,6 +454,44 @@ def q_recommend_stream(spark, sf_dir):
     return spark.read.parquet(path).select("user_id", "raw_user", "window_end", "time", "item_rec", "last_reward")
 
 
+def _ranked_rows(spark, sf_dir, n):
+    from ..streaming.panes import pane_counts_stream, ranked_batch
+    _rocksdb(spark)
+    path = _scratch(spark, "pane-ranks")
+
+    def publish(rows, batch_id):
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    _run_stream(pane_counts_stream(_event_stream(spark, sf_dir)), spark, "pane-ranks", foreach=ranked_batch(publish, n))
+    return spark.read.schema("window_end long, rank int, item_id int, cnt long").parquet(f"{path}/*")
+
+
+def q_top_n_panes_stream(spark, sf_dir):
+    """Top N of the windows that the watermark closes, from a ring of panes an item."""
+    return _ranked_rows(spark, sf_dir, K.TOP_N)
+
+
+def q_rank_all_panes_stream(spark, sf_dir):
+    """Every item ranked (D3), from the same stream."""
+    return _ranked_rows(spark, sf_dir, None)
+
+
+def q_late_rows_stream(spark, sf_dir):
+    """The events, read in four batches that overlap in time, as kept and late records."""
+    from ..streaming.late import marked_stream, read_split, split_late_batch
+    _rocksdb(spark)
+    inbox, path = _scratch(spark, "event-cuts"), _scratch(spark, "split")
+    rec = Fixture.prepared(spark, sf_dir).records
+    schema = "user_id long, item_id int, ts timestamp, event_id long"
+    split, checkpoint = split_late_batch(path), _scratch(spark, "split-checkpoint")
+    for cut in range(4):  # the same query, restarted for each arrival
+        rec.where(F.pmod("event_id", F.lit(4)) == cut).select("user_id", "item_id", "ts", "event_id") \
+            .write.mode("append").parquet(inbox)
+        (marked_stream(spark.readStream.schema(schema).parquet(inbox)).writeStream.option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).foreachBatch(split).start().awaitTermination())
+    return (read_split(spark, path, "kept").select("event_id", "user_id", "item_id", F.lit(False).alias("late"))
+            .union(read_split(spark, path, "late").select("event_id", "user_id", "item_id", F.lit(True))))
+
+
 QUERIES: dict[str, Query] = {
     "sliding_counts": q_sliding_counts,
     "sliding_counts_paned": q_sliding_counts_paned,
@@ -508,4 +546,7 @@ QUERIES: dict[str, Query] = {
     "user_history_stream": q_user_history_stream,
     "last_reward_stream": q_last_reward_stream,
     "recommend_stream": q_recommend_stream,
+    "top_n_panes_stream": q_top_n_panes_stream,
+    "rank_all_panes_stream": q_rank_all_panes_stream,
+    "late_rows_stream": q_late_rows_stream,
 }
