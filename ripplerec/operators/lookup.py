@@ -97,6 +97,8 @@ def state_vector(df: DataFrame, keys: list[str], user_col: str, items_col: str,
     items = with_vec.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("_pos", "_ivec"))).alias("_pairs"))
     items = items.select(*keys, F.flatten(F.transform("_pairs", lambda p: p["_ivec"])).alias("_items"))
-    out = base.join(items, on=keys, how="left")
+    # a null key is a key like any other
+    items = items.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_items")
+    out = base.join(items, F.expr(" AND ".join(f"`{k}` <=> _k{i}" for i, k in enumerate(keys))), "left")
     return out.withColumn(out_col, F.concat(F.col("_uvec"), F.coalesce(
-        F.col("_items"), F.array().cast("array<double>")))).drop("_uvec", "_items")
+        F.col("_items"), F.array().cast("array<double>")))).drop("_uvec", "_items", *[f"_k{i}" for i in range(len(keys))])

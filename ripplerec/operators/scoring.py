@@ -9,8 +9,12 @@ batches, numpy matmuls), weights are data passed with the function.
 Item catalog.  Exact top-k needs every item's score.  A catalog whose size in
 bytes is under ``MAX_SHIPPED_BYTES`` is shipped to the tasks with the function;
 for any other ``blocked=True`` writes it once as block files in the shared
-folder, and every scoring task walks the blocks over its own rows with a running
-top k: no row or item is shuffled or replicated.
+folder, ordered by norm, and every scoring task walks the blocks over its own rows
+with a running top k: no row is shuffled or replicated.  A block whose bound
+(Cauchy-Schwarz: the action's norm times the block's greatest item norm, plus its greatest
+bias) is below a row's k-th score is not scored for that row, and not read if it is for none.
+The policy head's weights are such blocks too: in blocked form they are data in the
+shared folder, not part of the function.
 
 Ties: scores are rounded to 9 decimals, then item id ascending.
 """
@@ -18,8 +22,8 @@ Ties: scores are rounded to 9 decimals, then item id ascending.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -75,7 +79,8 @@ class PolicyModel:
     log-softmax is monotone per row, so the top k is taken on the logits."""
     pfc1: Layer
     pfc2: Layer
-    head: Layer  # (n_items, hidden); row i scores dense item i
+    # (n_items, hidden), row i scores dense item i; or a table (id, vec, bias) of any size
+    head: Layer | DataFrame | None
     algo: str = "reinforce"
 
     def action(self, state: np.ndarray, rng=None) -> np.ndarray:
@@ -307,13 +312,30 @@ def _check_noise(model, seed_cols) -> None:
         raise ValueError("a model with noise needs seed_cols, the key of a row")
 
 
+class WalkStats:
+    """How many blocks the scoring tasks met, how many of them they did not read, and how
+    many rows could not be scored (``null_on_error``)."""
+
+    def __init__(self, spark):
+        self.met = spark.sparkContext.accumulator(0)
+        self.skipped = spark.sparkContext.accumulator(0)
+        self.failed = spark.sparkContext.accumulator(0)
+
+
+def head_bytes(model) -> int:
+    """Bytes of a policy head that travels with the function; 0 for the other models."""
+    head = getattr(model, "head", None)
+    return 0 if head is None or isinstance(head, DataFrame) else head.w.nbytes + head.b.nbytes
+
+
 def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int = K.N_REC,
               items_col: str = "items", user_vec_col: str = "user_vec",
               state_col: str | None = None, out_col: str = "item_rec",
               seed_cols: tuple[str, ...] = (), base_seed: int = 0,
               item_vecs: DataFrame | None = None, blocked: bool = False,
               block_size: int = 65_536, rows_per_walk: int = 50_000,
-              null_on_error: bool = False) -> DataFrame:
+              null_on_error: bool = False, stats: WalkStats | None = None,
+              max_bytes: int = MAX_SHIPPED_BYTES) -> DataFrame:
     """Append ``out_col`` = top ``k`` dense item ids per row.
 
     Input: either ``state_col`` (G5, a ready state vector) or a user vector
@@ -329,7 +351,9 @@ def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int =
     _check_noise(model, seed_cols)
     if blocked:
         return _recommend_blocked(df, model, item_vecs, k, state_col, out_col, block_size,
-                                  rows_per_walk, seed_cols, base_seed)
+                                  rows_per_walk, seed_cols, base_seed, stats)
+    if isinstance(getattr(model, "head", None), DataFrame) or head_bytes(model) > max_bytes:
+        raise ValueError(f"the policy head needs more than {max_bytes} bytes: use blocked scoring")
     drop = [state_col] if state_col else [user_vec_col]
     keep = _passthrough(df, drop)
     schema = T.StructType([df.schema[c] for c in keep] +
@@ -339,11 +363,11 @@ def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int =
     def lists(batch):
         st = _states(batch, state_col, user_vec_col, items_col, catalog, dim)
         if isinstance(model, PolicyModel):
-            act, blocks = model.action(st), [(np.arange(len(model.head.w)), model.head.w, model.head.b)]
+            act, block = model.action(st), (np.arange(len(model.head.w)), model.head.w, model.head.b)
         else:
             act = _actions(model, st, _seed_keys(batch, seed_cols), base_seed)
-            blocks = [(catalog.ids, catalog.matrix, None)]
-        return _fixed_lists(_walk(act, blocks, k), pa.int32())
+            block = (catalog.ids, catalog.matrix, None)
+        return _fixed_lists(_walk(act, [Block(np.inf, 0.0, lambda: block)], k), pa.int32())
 
     def run(batches):
         for batch in batches:
@@ -354,6 +378,8 @@ def recommend(df: DataFrame, model, catalog: ItemCatalog | None = None, k: int =
             except Exception:
                 if not null_on_error:
                     raise
+                if stats is not None:
+                    stats.failed.add(batch.num_rows)
                 top = pa.nulls(batch.num_rows, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [top], names=keep + [out_col])
 
@@ -388,56 +414,97 @@ def actor_action(df: DataFrame, model, catalog: ItemCatalog | None = None,
 SCORE_CHUNK_CELLS = 4_000_000
 
 
-def _walk(act: np.ndarray, blocks, k: int) -> np.ndarray:
-    """(rows, <= k) best item ids per action row over (ids, matrix, bias) blocks."""
-    n = len(act)
-    best, score = np.zeros((n, 0), dtype=np.int64), np.zeros((n, 0))
-    for ids, matrix, bias in blocks:
+@dataclass
+class Block:
+    """Items scored together: their greatest norm and bias, and how to get them."""
+    norm: float
+    bias: float
+    load: Callable[[], tuple[np.ndarray, np.ndarray, np.ndarray | None]]  # ids, matrix, bias
+
+
+def _walk(act: np.ndarray, blocks: Iterable[Block], k: int, stats: WalkStats | None = None) -> np.ndarray:
+    """(rows, <= k) best item ids per action row, exact: a row leaves out a block only
+    when no score in it can reach the row's k-th best (equal scores are still compared)."""
+    n, most = len(act), np.iinfo(np.int64).max
+    best, score = np.full((n, k), most, dtype=np.int64), np.full((n, k), -np.inf)
+    norms = np.linalg.norm(act, axis=1)
+    for block in blocks:
+        with np.errstate(invalid="ignore"):
+            bound = norms * block.norm * (1 + 1e-9) + block.bias + 2 * 10.0 ** -SCORE_DECIMALS
+            rows = np.flatnonzero(~(bound < score[:, -1])) if k else np.arange(0)
+        if stats is not None:
+            stats.met.add(1)
+            stats.skipped.add(int(not len(rows)))
+        if not len(rows):
+            continue
+        ids, matrix, bias = block.load()
         if not len(ids):
             continue
         step = max(1, SCORE_CHUNK_CELLS // len(ids))
-        found, values = [best[:0, :0]], [score[:0, :0]]
-        for lo in range(0, n, step):
-            s = act[lo:lo + step] @ matrix.T
+        for lo in range(0, len(rows), step):
+            at = rows[lo:lo + step]
+            s = act[at] @ matrix.T
             s = np.round(s if bias is None else s + bias, SCORE_DECIMALS)
             sel = _topk_index(s, ids, k)
-            found.append(ids[sel])
-            values.append(np.take_along_axis(s, sel, 1))
-        best = np.concatenate([best, np.concatenate(found[1:])], axis=1)
-        score = np.concatenate([score, np.concatenate(values[1:])], axis=1)
-        order = np.lexsort((best, -score), axis=-1)[:, :k]
-        best, score = np.take_along_axis(best, order, 1), np.take_along_axis(score, order, 1)
-    return best.astype(np.int32)
-
-
-def write_item_blocks(item_vecs: DataFrame, block_size: int) -> list[str]:
-    """Write the catalog as files of at most ``block_size`` items in the shared
-    folder, without a shuffle -> the files' addresses."""
+            found = np.concatenate([best[at], ids[sel]], axis=1)
+            values = np.concatenate([score[at], np.take_along_axis(s, sel, 1)], axis=1)
+            order = np.lexsort((found, -values), axis=-1)[:, :k]
+            best[at], score[at] = np.take_along_axis(found, order, 1), np.take_along_axis(values, order, 1)
+    filled = int((best[:1] != most).sum()) if n else 0  # every row has as many
+    return best[:, :filled].astype(np.int32)
+
+
+_BLOCK = "id long, vec array<double>, bias double"
+
+
+def write_item_blocks(item_vecs: DataFrame, block_size: int) -> list[tuple[str, float, float]]:
+    """Write items (id, vec and maybe bias) as files of at most ``block_size`` in the shared
+    folder, those of great norm first -> (address, greatest norm, greatest bias) by falling norm."""
     spark = item_vecs.sparkSession
     path = scratch_path(spark, f"tables/item_blocks-{uuid.uuid4().hex[:12]}")
-    (item_vecs.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
+    bias = F.col("bias").cast("double") if "bias" in item_vecs.columns else F.lit(0.0)
+    rows = item_vecs.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"),
+                            bias.alias("bias"))
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+    files = max(1, -(-rows.count() // block_size))
+    (rows.repartitionByRange(files, norm.desc()).sortWithinPartitions(norm.desc())
      .write.option("maxRecordsPerFile", block_size).parquet(path))
-    return sorted(spark.read.schema("id long, vec array<double>").parquet(path).inputFiles())
+    # a row a file: the catalog's size by the block's
+    found = (spark.read.schema(_BLOCK).parquet(path).groupBy(F.input_file_name().alias("file"))
+             .agg(F.max(norm).alias("norm"), F.max("bias").alias("bias")).collect())
+    return sorted(((r["file"], r["norm"], r["bias"]) for r in found), key=lambda x: (-x[1], x[0]))
 
 
-def _read_block(address: str) -> tuple[np.ndarray, np.ndarray, None]:
+def _read_block(address: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if address.startswith("s3a:"):
         address = "s3:" + address[4:]
     store, path = fs.FileSystem.from_uri(address)
     with store.open_input_file(path) as f:
         t = pq.ParquetFile(f).read()
-    return t["id"].to_numpy(), _matrix(t["vec"], _width(t["vec"])), None
+    return t["id"].to_numpy(), _matrix(t["vec"], _width(t["vec"])), t["bias"].to_numpy()
+
+
+def head_table(spark, head: Layer, rows: int = 65_536) -> DataFrame:
+    """A head's weights as a table (id, vec, bias) in the shared folder, sent some rows at a time."""
+    path = scratch_path(spark, f"tables/head-{uuid.uuid4().hex[:12]}")
+    for lo in range(0, max(1, len(head.w)), rows):
+        w, b = head.w[lo:lo + rows], head.b[lo:lo + rows]
+        part = pa.table({"id": pa.array(np.arange(lo, lo + len(w), dtype=np.int64)),
+                         "vec": _fixed_lists(np.ascontiguousarray(w, dtype=np.float64), pa.float64()),
+                         "bias": pa.array(np.asarray(b, dtype=np.float64))})
+        spark.createDataFrame(part).write.mode("append").parquet(path)
+    return spark.read.schema(_BLOCK).parquet(path)
 
 
 def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, block_size, rows_per_walk,
-                       seed_cols, base_seed):
+                       seed_cols, base_seed, stats):
     """Exact top-k for a catalog of any size, as one map over the rows.
 
     A task holds the actions of up to ``rows_per_walk`` rows, reads one block of
     ``block_size`` items after the other and keeps the best ``k`` so far.  Its
     memory is bounded by these rows, one block and ``SCORE_CHUNK_CELLS``
-    scores, whatever the number of items.  The policy head's blocks are slices
-    of its weights, one weight row an item.  The block files are read with
+    scores, whatever the number of items.  The policy head's weights are blocks as well, one
+    weight row an item, and leave the function.  The block files are read with
     Arrow's file systems (local or mounted paths, hdfs, s3, gs).
     """
     if state_col is None:
@@ -446,19 +513,17 @@ def _recommend_blocked(df, model, item_vecs, k, state_col, out_col, block_size,
     schema = T.StructType([df.schema[c] for c in keep] +
                           [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     policy = isinstance(model, PolicyModel)
-    files = [] if policy else write_item_blocks(item_vecs, block_size)
-
-    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
-        if policy:
-            head = model.head
-            for lo in range(0, len(head.w), block_size):
-                hi = min(lo + block_size, len(head.w))
-                yield np.arange(lo, hi), head.w[lo:hi], head.b[lo:hi]
-        else:
-            yield from map(_read_block, files)
+    if policy:
+        item_vecs = model.head if isinstance(model.head, DataFrame) else head_table(df.sparkSession, model.head)
+        model = replace(model, head=None)
+    files = write_item_blocks(item_vecs, block_size)
+
+    def blocks() -> Iterator[Block]:
+        for address, norm, bias in files:
+            yield Block(norm, bias, lambda address=address: _read_block(address))
 
     def scored(held, acts):
-        top = _walk(np.concatenate(acts), blocks(), k)
+        top = _walk(np.concatenate(acts), blocks(), k, stats)
         lo = 0
         for batch in held:
             hi = lo + batch.num_rows

@@ -528,6 +528,7 @@ ORACLES = {
     "recommend_state": recommend_actor,
     "recommend_state_policy": recommend_policy,
     "recommend_state_constrained": recommend_constrained,
+    "recommend_policy_blocked": recommend_policy,
     "topk_per_key": topk_blocked,
     "state_vector": state_vector,
     "scoring_requests": scoring_requests,

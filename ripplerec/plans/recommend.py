@@ -22,7 +22,7 @@ from ..operators.lookup import map_ids, state_vector
 from ..operators.windows import assign_windows
 from ..session import materialize
 from ..operators.scoring import (MAX_SHIPPED_BYTES, ActorModel, ConstrainedModel, ItemCatalog, Layer, PolicyModel,
-                                 recommend)
+                                 head_bytes, recommend)
 from .fixtures import EMBED_DIM, HIDDEN, Fixture, dyadic_matrix
 from .popular import popular_items
 
@@ -88,8 +88,9 @@ def fixture_catalog(fx: Fixture) -> ItemCatalog:
 def score(fx: Fixture, rows: DataFrame, model, k: int = K.N_REC, state_col: str | None = None,
           seed_cols: tuple[str, ...] = (), max_bytes: int = MAX_SHIPPED_BYTES) -> DataFrame:
     """Score ``rows`` against the fixture's items: with the shipped catalog if
-    it has at most ``max_bytes``, else block by block; the lists are the same."""
-    if ItemCatalog.size_in_bytes(fx.item_vectors, EMBED_DIM, oov_id=fx.item_map.count()) <= max_bytes:
+    it and the policy's head have at most ``max_bytes``, else block by block; the lists are the same."""
+    small = not isinstance(getattr(model, "head", None), DataFrame) and head_bytes(model) <= max_bytes
+    if small and ItemCatalog.size_in_bytes(fx.item_vectors, EMBED_DIM, oov_id=fx.item_map.count()) <= max_bytes:
         return recommend(rows, model, fixture_catalog(fx), k, state_col=state_col, seed_cols=seed_cols)
     if state_col is None:
         rows = state_vector(rows.drop("user_vec"), ["raw_user", "window_end"], "user_id", "items",

@@ -204,6 +204,14 @@ def _recommend_state_query(algo):
     return q
 
 
+def q_recommend_policy_blocked(spark, sf_dir):
+    """The policy head as weight blocks in the shared folder, as for a head beyond the shipped size."""
+    from ..operators.scoring import model_for
+    fx, R, rows = _scoring(spark, sf_dir)
+    out = R.score(fx, rows, model_for("reinforce", R.fixture_models(fx.item_map.count())), K.N_REC, max_bytes=0)
+    return out.select("raw_user", "user_id", "window_end", "item_rec")
+
+
 def q_topk_per_key(spark, sf_dir):
     """Blocked scoring (catalog not shipped): a running top k per row over the
     item blocks; exploded to (row, rank, item)."""
@@ -519,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "recommend_state": _recommend_state_query("ddpg"),
     "recommend_state_policy": _recommend_state_query("reinforce"),
     "recommend_state_constrained": _recommend_state_query("bcq"),
+    "recommend_policy_blocked": q_recommend_policy_blocked,
     "topk_per_key": q_topk_per_key,
     "state_vector": q_state_vector,
     "scoring_requests": q_scoring_requests,
