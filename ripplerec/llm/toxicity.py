@@ -2,9 +2,10 @@
 
 The lexicon is learned from the labelled rows that are not held out: words and
 word stems that are far more frequent in toxic documents.  It is held as a
-trie; the Levenshtein automaton of every entry runs over the trie at once, as
-one lazily determinised automaton whose states are sets of (trie node, edits
-used), so a misspelled word costs one step per character.  Stems and terms of
+trie; the Levenshtein automaton of every entry runs over the trie at once
+(``LexiconAutomaton`` for one word, ``lexicon.LexiconWalk`` for a sorted
+vocabulary).  Every distinct word of the corpus is matched once, and the words that hit
+are a map for the pass over the documents.  Stems and terms of
 four letters match with one edit as weak hits, shorter terms only as they are
 spelled; weak hits are features of their own.  A hit inside
 quotation marks or behind a reporting word within ``WINDOW`` words is counted
@@ -12,11 +13,15 @@ as quotation, any other as abuse.  A logistic model over the hit counts gives
 the score.
 
 Counts cover every labelled row; the logistic model is fitted to at most about
-``SAMPLE`` of them.
+``SAMPLE`` distinct texts of them, each with the number of its rows as weight.  A lexicon
+or a map of hits beyond its bound in bytes is taken in blocks: hits are found, and
+counts summed, block by block.
 
 Defined results: null and empty texts have no hits; labels of null or unknown
 documents are ignored, and a document labelled more than once counts as often;
-without any label the score is 0.
+without any label the score is 0.  A quotation may be of any length within its
+paragraph (up to a blank line).  Repeated rows are scored each; ties cannot
+arise, and further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +35,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows_of, small_batches, store
-from .langid import held_out, logistic
+from .common import drop, parts, rows_of, small_batches, store
+from .langid import held_out
+from .lexicon import LexiconWalk
 
 THRESHOLD = 0.3
 SAMPLE = 20_000
@@ -41,8 +47,12 @@ MIN_SUPPORT = 3
 MIN_LIFT = 10.0
 #: ... and not by chance: log-likelihood ratio of its counts (1 in 1,000).
 MIN_RATIO = 10.83
-#: Bytes of terms that are sent to the tasks; a trie has at most so many nodes.
+#: Bytes of terms in one block of the lexicon; a trie has at most so many nodes.
 MAX_LEXICON_BYTES = 2 << 20
+#: Bytes of matched words that are sent to the tasks at once.
+MAX_HIT_BYTES = 16 << 20
+#: Distinct words that a task gathers before it passes them on.
+FLUSH_WORDS = 400_000
 STEM_LENGTHS = range(5, 13)
 WINDOW = 4
 #: Words that a worker remembers the automaton's answer for.
@@ -62,12 +72,21 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def terms(tokens: list[str]) -> set[str]:
-    """Words (ending in a space) and their stems."""
-    out = set()
+def _terms_of(word: str) -> tuple[str, ...]:
+    return (word + " ", *(word[:n] for n in STEM_LENGTHS if n < len(word)))
+
+
+def terms(tokens: list[str], known: dict[str, tuple[str, ...]] | None = None) -> set[str]:
+    """Words (ending in a space) and their stems; ``known`` remembers those of a word."""
+    out: set[str] = set()
     for w in set(tokens):
-        out.add(w + " ")
-        out.update(w[:n] for n in STEM_LENGTHS if n < len(w))
+        if known is None:
+            out.update(_terms_of(w))
+            continue
+        of = known.get(w)
+        if of is None:
+            of = known[w] = _terms_of(w)
+        out.update(of)
     return out
 
 
@@ -75,6 +94,7 @@ def _document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Number of toxic and of other documents that hold each term."""
     bad: Counter = Counter()
     good: Counter = Counter()
+    known: dict[str, tuple[str, ...]] = {}
 
     def rows() -> pa.RecordBatch:
         names = list(bad.keys() | good.keys())
@@ -84,7 +104,9 @@ def _document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     for b in rows_of(batches):
         for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist(), strict=True):
-            (bad if toxic else good).update(terms(words(text)))
+            (bad if toxic else good).update(terms(words(text), known))
+            if len(known) > CACHE_WORDS // 4:
+                known.clear()
             if len(bad) + len(good) > 1_000_000:
                 yield rows()
                 bad.clear()
@@ -129,6 +151,25 @@ def choose(counts: list[tuple[str, int, int]], n_bad: int, n_good: int) -> list[
     return sorted((t.rstrip(" "), not t.endswith(" ")) for t in good)
 
 
+def choose_table(found: DataFrame) -> DataFrame:
+    """(term, stem): ``choose`` for a lexicon table (term, bad, good) of any size; one
+    round per stem length, each on a written table."""
+    good = store(found.select("term", "bad"), "terms")
+    for n in STEM_LENGTHS:
+        stems = good.where((F.length("term") == n) & ~F.col("term").endswith(" ")).select(
+            F.col("term").alias("stem"), F.col("bad").alias("own"))
+        longer = good.where(F.length("term") > n).select("term", "bad", F.substring("term", 1, n).alias("stem"))
+        # every stem with something longer, and whether a longer entry says the same
+        same = (longer.join(stems, "stem").groupBy("stem").agg(F.max(F.col("bad") >= 0.9 * F.col("own")).alias("said")))
+        same = store(same, "stems")
+        out = same.where("said").select(F.col("stem").alias("term")).union(
+            longer.join(same.where("not said"), "stem").where(~F.col("term").endswith(" ")).select("term"))
+        after = store(good.join(out, "term", "left_anti"), "terms")
+        drop(good)
+        good = after
+    return good.select(F.rtrim("term").alias("term"), (~F.col("term").endswith(" ")).alias("stem"))
+
+
 def edits(term: str, stem: bool) -> int:
     """Edits within which a word is taken for the entry."""
     return 0 if stem or len(term) < 5 else 1 if len(term) < 9 else 2
@@ -239,33 +280,13 @@ class Scorer:
         return self.automaton.match(word) or (3 if self.weak.match(word) else 0)
 
     def features(self, text: str | None) -> list[float]:
-        tokens = words(text)
-        seen, match = self.seen, self.match
+        seen = self.seen
         if len(seen) > CACHE_WORDS:
             seen.clear()
-        hit = False
-        for w in set(tokens).difference(seen):
-            seen[w] = match(w)
-        hit = any(map(seen.__getitem__, tokens))
-        if not hit:
-            return [1.0] + [0.0] * (len(FEATURES) - 1)
-        low = text.lower()
-        quoted = quotation(low)
-        exact = fuzzy = mention = weak = weak_mention = 0
-        for i, m in enumerate(_WORD.finditer(low)):
-            kind = seen[m.group()]
-            if kind:
-                if quoted[m.start()] or not REPORTING.isdisjoint(tokens[max(0, i - WINDOW):i]):
-                    mention += kind != 3
-                    weak_mention += kind == 3
-                elif kind == 3:
-                    weak += 1
-                elif kind == 2:
-                    exact += 1
-                else:
-                    fuzzy += 1
-        return [1.0, float(np.log1p(exact)), float(np.log1p(fuzzy)), float(np.log1p(mention)),
-                float(np.log1p(1000.0 * exact / len(tokens))), float(np.log1p(weak)), float(np.log1p(weak_mention))]
+        tokens = set(words(text))
+        for w in tokens.difference(seen):
+            seen[w] = self.match(w)
+        return vector(counts(text, {w: seen[w] for w in tokens if seen[w]}))
 
     def score(self, text: str | None) -> float:
         if self.weights is None:
@@ -273,66 +294,203 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(np.dot(self.features(text), self.weights), -30, 30))))
 
 
-def quotation(text: str, most: int = 200) -> np.ndarray:
-    """Per character: inside quotation marks that close within ``most``
-    characters of the same line."""
+def counts(text: str | None, kinds: dict[str, int]) -> list[int]:
+    """Exact, misspelled, quoted, weak and weak quoted hits, and words, of one text;
+    ``kinds`` has the words that hit."""
+    tokens = words(text)
+    if kinds.keys().isdisjoint(tokens):
+        return [0, 0, 0, 0, 0, len(tokens)]
+    low = text.lower()
+    quoted = quotation(low)
+    exact = fuzzy = mention = weak = weak_mention = 0
+    for i, m in enumerate(_WORD.finditer(low)):
+        kind = kinds.get(m.group())
+        if kind:
+            if quoted[m.start()] or not REPORTING.isdisjoint(tokens[max(0, i - WINDOW):i]):
+                mention += kind != 3
+                weak_mention += kind == 3
+            elif kind == 3:
+                weak += 1
+            elif kind == 2:
+                exact += 1
+            else:
+                fuzzy += 1
+    return [exact, fuzzy, mention, weak, weak_mention, len(tokens)]
+
+
+def vector(n: list[int]) -> list[float]:
+    """Features of one text's counts."""
+    exact, fuzzy, mention, weak, weak_mention, tokens = n
+    density = 1000.0 * exact / tokens if exact else 0.0
+    return [1.0, *(float(np.log1p(x)) for x in (exact, fuzzy, mention, density, weak, weak_mention))]
+
+
+def quotation(text: str) -> np.ndarray:
+    """Per character: inside quotation marks that close in the same paragraph."""
     inside = np.zeros(len(text) + 1, dtype=bool)
     for left, right in _QUOTES.items():
         at = text.find(left)
+        end = -1  # of the paragraph
         while at >= 0:
-            close = text.find(right, at + 1, at + most)
-            if close < 0 or "\n" in text[at:close]:
-                at = text.find(left, at + 1)
+            if end < at:
+                end = text.find("\n\n", at)
+                end = len(text) if end < 0 else end
+            close = text.find(right, at + 1, end)
+            if close < 0:
+                at = text.find(left, end)
                 continue
             inside[at:close] = True
             at = text.find(left, close + 1)
     return inside
 
 
-def _features(shared):
+# ------------------------------------------------------------------ over the corpus
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: set[str] = set()
+    for b in rows_of(batches):
+        for text in b["text"].to_pylist():
+            seen.update(words(text))
+        if len(seen) > FLUSH_WORDS:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["word"])
+            seen.clear()
+    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["word"])
+
+
+def _match(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        strong, weak = (LexiconWalk(a) for a in shared.value)
         for b in rows_of(batches):
+            some = sorted(b["word"].to_pylist())
+            kind = strong.match(some)
+            kind = np.where(kind > 0, kind, np.where(weak.match(some) > 0, 3, 0))
+            hit = np.flatnonzero(kind)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([scorer.features(t) for t in b["text"].to_pylist()], pa.list_(pa.float64())), b["toxic"]],
-                ["x", "toxic"])
+                [pa.array([some[i] for i in hit], pa.string()), pa.array(kind[hit], pa.int32())], ["word", "kind"])
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[str, bool]], np.ndarray | None]:
-    """(lexicon, weights) from the labelled documents that are not held out."""
+def hits(docs: DataFrame, blocks: list[list[tuple[str, bool]]]) -> DataFrame:
+    """(word, kind) of the distinct words of ``docs`` that an entry of any block takes: 2 exact,
+    1 misspelled, 3 weak, the first of these that holds in some block."""
     spark = docs.sparkSession
+    vocabulary = store(docs.select("text").mapInArrow(_words, "word string").distinct(), "vocabulary")
+    # neighbours in order share their prefixes' work
+    size = vocabulary.count()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    ordered = vocabulary.repartitionByRange(max(parts(size, 100_000), 1), "word").sortWithinPartitions("word")
+    found = None
+    for entries in blocks:
+        automata = (LexiconAutomaton(entries), LexiconAutomaton([e for e in entries if weak_edits(*e) > edits(*e)], weak_edits))
+        some = ordered.mapInArrow(_match(spark.sparkContext.broadcast(automata)), "word string, kind int")
+        found = some if found is None else found.union(some)
+    if len(blocks) > 1:
+        order = F.when(F.col("kind") == 2, 0).otherwise(F.col("kind"))
+        found = found.groupBy("word").agg(F.min_by("kind", order).alias("kind"))
+    found = store(found, "hits")
+    drop(vocabulary)
+    small_batches(spark)
+    return found
+
+
+def _count(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = shared.value
+        for b in rows_of(batches):
+            found = pa.array([counts(t, kinds) for t in b["text"].to_pylist()], pa.list_(pa.int64()))
+            kept = [c for c in b.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in kept), found], [*kept, "hits"])
+    return run
+
+
+def counted(rows: DataFrame, found: DataFrame, max_bytes: int = MAX_HIT_BYTES) -> DataFrame:
+    """``rows`` (text and further columns) with ``hits``, the counts of each text, instead of the text."""
+    spark = rows.sparkSession
     small_batches(spark)
-    marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(
+    kept = [f for f in rows.schema if f.name != "text"]
+    size = found.agg(F.sum(F.octet_length("word") + 8)).first()[0] or 0
+    blocks = parts(size, max_bytes)
+    if blocks > 1:  # the counts of several passes are summed by row
+        rows = store(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    out = None
+    for block in range(blocks):
+        part = found.where(F.pmod(F.xxhash64("word"), F.lit(blocks)) == block)
+        shared = spark.sparkContext.broadcast({r["word"]: r["kind"] for r in part.collect()})
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+        some = rows.mapInArrow(_count(shared), f"{fields}, hits array<long>")
+        out = some if out is None else out.union(some)
+    if blocks > 1:
+        sums = [F.sum(F.col("hits")[i]) for i in range(5)] + [F.max(F.col("hits")[5])]
+        out = out.groupBy("_row").agg(*(F.first(f.name).alias(f.name) for f in kept), F.array(*sums).alias("hits"))
+    return out.select(*(f.name for f in kept), "hits")
+
+
+def fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.05, steps: int = 30) -> np.ndarray:
+    """Newton's method for a ridge-regularised logistic regression of rows that count ``n`` times."""
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = x.T @ (n * (p - y)) + ridge * w
+        hess = (x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
+        w = w - np.linalg.solve(hess, grad)
+    return w
+
+
+def _marks(labels: DataFrame) -> DataFrame:
+    return labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
+
+
+def learn(docs: DataFrame, labels: DataFrame, max_bytes: int = MAX_LEXICON_BYTES) -> tuple[list[list[tuple[str, bool]]], int]:
+    """(blocks of lexicon entries, labelled rows) from the labelled documents that are not held out;
+    no blocks without both classes."""
+    small_batches(docs.sparkSession)
     # one plan at every size: labels grow with the documents, so they are never broadcast
-    known = (docs.where(~held_out()).select("doc_id", "text")
-             .join(marks.hint("merge"), F.col("doc_id") == F.col("_id"))
-             .select("text", "toxic"))
-    known = store(known, "labelled")
+    known = docs.select("doc_id", "text").where(~held_out()).join(_marks(labels).hint("merge"), F.col("doc_id") == F.col("_id"))
     size = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_bad, n_good = size.get(1, 0), size.get(0, 0)
     if not n_bad or not n_good:
-        return [], None
-    found = store(lexicon_counts(known, n_bad, n_good), "lexicon")
+        return [], 0
+    found = store(lexicon_counts(known.select("text", "toxic"), n_bad, n_good), "lexicon")
     size = found.agg(F.sum(F.octet_length("term"))).first()[0] or 0
-    if size > MAX_LEXICON_BYTES:  # no term is dropped unseen
-        raise ValueError(f"the lexicon has {size} bytes of terms, more than MAX_LEXICON_BYTES = {MAX_LEXICON_BYTES}")
-    entries = choose([(r["term"], r["bad"], r["good"]) for r in found.collect()], n_bad, n_good)
-    shared = spark.sparkContext.broadcast(entries)
-    share = min(1.0, sample / (n_bad + n_good))
-    some = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
-    got = some.mapInArrow(_features(shared), "x array<double>, toxic int").collect()
-    x = np.array([r["x"] for r in got]).reshape(-1, len(FEATURES))
-    y = np.array([r["toxic"] for r in got], dtype=float)
-    return entries, logistic(x, y, ridge=0.05)
-
-
-def _score(shared):
+    if size <= max_bytes:
+        blocks = [choose([(r["term"], r["bad"], r["good"]) for r in found.collect()], n_bad, n_good)]
+    else:
+        table = store(choose_table(found), "entries")
+        n = parts(table.agg(F.sum(F.octet_length("term"))).first()[0] or 0, max_bytes / 2)
+        blocks = [sorted((r["term"], r["stem"]) for r in table.where(F.pmod(F.xxhash64("term"), F.lit(n)) == i).collect())
+                  for i in range(n)]
+    drop(found)
+    return blocks, n_bad + n_good
+
+
+def weigh(docs: DataFrame, labels: DataFrame, found: DataFrame, rows: int, sample: int = SAMPLE) -> np.ndarray:
+    """Weights of the features, fitted to a sample by text: copies of a text are one row with a weight."""
+    share = min(1.0, sample / rows)
+    some = docs.select("doc_id", "text").where(~held_out() & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30)))
+    some = (some.join(_marks(labels).hint("merge"), F.col("doc_id") == F.col("_id"))
+            .groupBy(F.xxhash64("text").alias("_text"), "toxic").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n")))
+    got = counted(some.select("text", "toxic", "n"), found).collect()
+    x = np.array([vector(r["hits"]) for r in got]).reshape(-1, len(FEATURES))
+    return fit(x, np.array([r["toxic"] for r in got], dtype=float), np.array([r["n"] for r in got], dtype=float))
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[str, bool]], np.ndarray | None]:
+    """(lexicon, weights) from the labelled documents that are not held out."""
+    blocks, rows = learn(docs, labels)
+    if not rows:
+        return [], None
+    return sorted(e for b in blocks for e in b), weigh(docs, labels, hits(docs, blocks), rows, sample)
+
+
+def _score(weights: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*shared.value)
         for b in rows_of(batches):
-            score = np.array([scorer.score(t) for t in b["text"].to_pylist()])
+            if weights is None:
+                score = np.zeros(b.num_rows)
+            else:
+                x = np.array([vector(n) for n in b["hits"].to_pylist()])
+                score = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"].cast(pa.int64()), b["held_out"], pa.array(score),
                  pa.array((score >= THRESHOLD).astype(np.int32))],
@@ -340,8 +498,12 @@ def _score(shared):
     return run
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, lexicon_bytes: int = MAX_LEXICON_BYTES,
+             hit_bytes: int = MAX_HIT_BYTES) -> DataFrame:
     """doc_id, held_out, score, predicted per document."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
-    return (docs.select("doc_id", held_out().alias("held_out"), "text")
-            .mapInArrow(_score(shared), "doc_id long, held_out boolean, score double, predicted int"))
+    blocks, rows = learn(docs, labels, lexicon_bytes)
+    found, weights = hits(docs, blocks or [[]]), None
+    if rows:
+        weights = weigh(docs, labels, found, rows)
+    out = counted(docs.select("doc_id", held_out().alias("held_out"), "text"), found, hit_bytes)
+    return out.mapInArrow(_score(weights), "doc_id long, held_out boolean, score double, predicted int")
