@@ -73,7 +73,7 @@ def test_copies_of_a_text_are_one_weighted_row_of_the_fit(spark, monkeypatch):
 def test_quotations_of_any_length():
     scorer = toxicity.Scorer([("idiot", False)])
     name = dict(zip(toxicity.FEATURES, range(99), strict=False))
-    long = "word " * 400
+    long = "thing " * 400
     for text, quoted in ((f'they wrote: "{long} idiot {long}" there', True), (f"«{long}\nidiot {long}» x", True),
                          (f'a 5" pipe, {long}\n\nyou idiot and a 6" one', False), (f'"{long}\n\n idiot', False),
                          (f'no marks {long} idiot', False), ('"a" idiot "b"', False)):
