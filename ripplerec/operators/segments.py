@@ -1,4 +1,4 @@
-"""Ordered scans per key that split a hot key: ``segmented_lag``.
+"""Ordered scans per key that split a hot key: ``segmented_lag``, ``positions``.
 
 A key (the shared OOV id, one window end) may hold half of all rows, so an
 ordered pass must not run a key in one task.  Rows are range-partitioned by
@@ -85,3 +85,20 @@ def segmented_lag(df: DataFrame, keys: list[str], order: list[str], value: str,
     heads = heads.select(*[F.col(f"r.{c}") for c in df.columns], F.col(f"c._tail.{value}").alias(out))
     rest = rows.where(~F.col("_first")).select(*df.columns, F.col("_prev").alias(out))
     return rest.unionByName(heads)
+
+
+def positions(df: DataFrame, keys: list[str], order: list[str], out: str = "pos", chunks: int | None = None) -> DataFrame:
+    """``df`` with ``out``: a row's place (from 0) in its key's ``order``, by the place in its chunk
+    and the key's rows in the chunks before; null keys are a key of their own."""
+    if chunks is None:
+        floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunks = max(floor, -(-df.count() // CHUNK_ROWS))
+    rows = (df.repartitionByRange(chunks, *keys, *order).sortWithinPartitions(*keys, *order)
+            .withColumn("_at", F.monotonically_increasing_id()))
+    rows = materialize(rows.withColumn("_chunk", F.shiftright("_at", 33)), "positions")
+    runs = rows.groupBy("_chunk", *keys).agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_c"), "_from",
+                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    on = F.expr("_chunk = _c AND " + " AND ".join(f"`{k}` <=> _k{i}" for i, k in enumerate(keys)))
+    return rows.join(runs, on).select(*df.columns, (F.col("_at") - F.col("_from") + F.col("_before")).alias(out))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions.scalar import encode_wire, format_time
+from .segments import positions
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -69,6 +70,43 @@ def user_consumed(records: DataFrame, drop_first: bool = False) -> DataFrame:
                           values_of("time").alias("time"))
 
 
+#: Values of one row of ``consumed_chunks``.
+CONSUMED_CHUNK = 1_000
+
+
+def consumed_pairs(records: DataFrame, drop_first: bool = False) -> DataFrame:
+    """(user_id, kind, value, first): each user's distinct items and time texts with the
+    event that brought them; ``drop_first`` leaves a user's first event out (F3)."""
+    first = F.struct("ts", "event_id")
+    rec = records.select("user_id", "item_id", "ts", "event_id", format_time(F.unix_millis("ts")).alias("time"))
+    if drop_first:
+        users = rec.groupBy(F.col("user_id").alias("_u")).agg(F.min(first).alias("_first"))
+        rec = rec.join(users, F.col("user_id").eqNullSafe(F.col("_u"))).where(first != F.col("_first")).drop("_u", "_first")
+    values = rec.select("user_id", F.explode(F.array(
+        F.struct(F.lit("item").alias("kind"), F.col("item_id").cast("string").alias("value"), first.alias("first")),
+        F.struct(F.lit("time").alias("kind"), F.col("time").alias("value"), first.alias("first")))).alias("p"))
+    return values.select("user_id", "p.kind", "p.value", "p.first").groupBy("user_id", "kind", "value").agg(
+        F.min("first").alias("first"))
+
+
+def chunked(pairs: DataFrame, size: int = CONSUMED_CHUNK) -> DataFrame:
+    """(user, kind, chunk, vals): the values in first-seen order, ``size`` to a row.
+
+    Places come from prefix counts over range chunks, so a user who holds half of all
+    pairs (the shared OOV id) is spread over the tasks and over rows of bounded size.
+    """
+    placed = positions(pairs, ["user_id", "kind"], ["first", "value"])
+    cut = placed.withColumn("chunk", F.floor(F.col("pos") / size))
+    lists = cut.groupBy(F.col("user_id").alias("user"), "kind", "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("_v"))
+    return lists.select("user", "kind", "chunk", F.transform("_v", lambda x: x["value"]).alias("vals"))
+
+
+def consumed_chunks(records: DataFrame, drop_first: bool = False, size: int = CONSUMED_CHUNK) -> DataFrame:
+    """F2 / F3 in rows of bounded size: ``user_consumed`` cut into chunks of ``size`` values."""
+    return chunked(consumed_pairs(records, drop_first), size)
+
+
 def user_consumed_literal(records: DataFrame) -> DataFrame:
     """F2 with the reference's first-event loss."""
     return user_consumed(records, drop_first=True)

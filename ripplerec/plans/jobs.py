@@ -79,9 +79,11 @@ def start_persist_job(records: DataFrame, out: str, ckpt: str, trigger: dict | N
 
 
 def start_publish_job(records: DataFrame, ckpt: str, fmt: str = "kafka", options: dict | None = None,
-                      path: str | None = None, key: str | None = "user_id"):
+                      path: str | None = None, key: str | None = "user_id", trigger: dict | None = None):
     msgs = wire_messages(records, key)
     w = msgs.writeStream.option("checkpointLocation", ckpt).format(fmt).options(**(options or {}))
+    if trigger:
+        w = w.trigger(**trigger)
     if fmt == "kafka":
         if "topic" not in (options or {}):
             raise ValueError("a topic is needed: options={'topic': ...}")

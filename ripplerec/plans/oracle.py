@@ -8,6 +8,7 @@ vocabulary rule, dense ids, OOV = dictionary size, embeddings, weights.
 from __future__ import annotations
 
 from .. import constants as K
+from ..operators.sinks import CONSUMED_CHUNK
 from .fixtures import EMBED_DIM, HIDDEN, VOCAB_MIN_SHARE
 
 _SHARE = repr(float(VOCAB_MIN_SHARE))
@@ -436,7 +437,7 @@ def record_log() -> str:
     return with_ctes(RECORDS, MAPS, body=f"SELECT user_id AS user, item_id AS item, {_TIME} AS time FROM mrec")
 
 
-def user_consumed(literal: bool = False) -> str:
+def _consumed_ctes(literal: bool) -> str:
     src = "mrec"
     extra = ""
     if literal:
@@ -444,10 +445,14 @@ def user_consumed(literal: bool = False) -> str:
 firstev AS (SELECT user_id, arg_min(event_id, (ts_us, event_id)) AS eid FROM mrec GROUP BY 1),
 kept AS (SELECT m.* FROM mrec m JOIN firstev f ON f.user_id = m.user_id WHERE m.event_id <> f.eid)"""
         src = "kept"
-    return with_ctes(RECORDS, MAPS + extra + f""",
+    return MAPS + extra + f""",
 users AS (SELECT DISTINCT user_id FROM mrec),
 fi AS (SELECT user_id, item_id, min((ts_us, event_id)) AS f FROM {src} GROUP BY 1, 2),
-ft AS (SELECT user_id, {_TIME} AS t, min((ts_us, event_id)) AS f FROM {src} GROUP BY 1, 2),
+ft AS (SELECT user_id, {_TIME} AS t, min((ts_us, event_id)) AS f FROM {src} GROUP BY 1, 2)"""
+
+
+def user_consumed(literal: bool = False) -> str:
+    return with_ctes(RECORDS, _consumed_ctes(literal) + """,
 li AS (SELECT user_id, list(item_id ORDER BY f) AS consumed FROM fi GROUP BY 1),
 lt AS (SELECT user_id, list(t ORDER BY f) AS time FROM ft GROUP BY 1)""",
         body="""SELECT u.user_id AS "user", coalesce(li.consumed, []::INTEGER[]) AS consumed,
@@ -455,6 +460,16 @@ lt AS (SELECT user_id, list(t ORDER BY f) AS time FROM ft GROUP BY 1)""",
 FROM users u LEFT JOIN li USING (user_id) LEFT JOIN lt USING (user_id)""")
 
 
+def user_consumed_chunks(literal: bool = False) -> str:
+    return with_ctes(RECORDS, _consumed_ctes(literal) + """,
+placed AS (
+  SELECT user_id, 'item' AS kind, CAST(item_id AS VARCHAR) AS v, row_number() OVER (PARTITION BY user_id ORDER BY f) - 1 AS pos FROM fi
+  UNION ALL
+  SELECT user_id, 'time' AS kind, t AS v, row_number() OVER (PARTITION BY user_id ORDER BY f) - 1 AS pos FROM ft)""",
+                     body=f"""SELECT user_id AS "user", kind, pos // {CONSUMED_CHUNK} AS chunk, list(v ORDER BY pos) AS vals
+FROM placed GROUP BY ALL""")
+
+
 def unique_records() -> str:
     return with_ctes(RECORDS, MAPS, body=f"""
 SELECT user_id AS "user", item_id AS item, strftime(arg_min(ts, (ts_us, event_id)), '%Y-%m-%d %H:%M:%S') AS time
@@ -473,6 +488,17 @@ def top_table() -> str:
 SELECT CAST(arg_max(item_id, window_end) AS INTEGER) AS item, CAST(rank AS VARCHAR) AS rank FROM ptop GROUP BY rank""")
 
 
+def hot_store() -> str:
+    return with_ctes(RECORDS, MAPS, _pop_counts(), _pop_top(K.TOP_N), body=f"""
+SELECT CAST(arg_max(item_id, window_end) AS INTEGER) AS item, CAST(rank AS VARCHAR) AS rank
+FROM ptop{_closed(0)} GROUP BY rank""")
+
+
+def recommend_by_name() -> str:
+    made = {"ddpg": recommend_actor, "reinforce": recommend_policy, "bcq": recommend_constrained}
+    return " UNION ALL ".join(f"SELECT '{algo}' AS algo, * FROM ({made[algo]()})" for algo in K.ALGOS)
+
+
 def read_events_csv() -> str:
     return with_ctes(RECORDS, body="SELECT user_id, item_id, CAST(ts_us // 1000 AS BIGINT) AS time_ms FROM rec")
 
@@ -558,6 +584,12 @@ ORACLES = {
     "top_n_panes_stream": lambda: top_n_items() + _closed(0),
     "rank_all_panes_stream": lambda: top_n_items(None) + _closed(0),
     "late_rows_stream": late_rows,
+    "user_consumed_chunks": user_consumed_chunks,
+    "user_consumed_literal_chunks": lambda: user_consumed_chunks(True),
+    "user_consumed_chunks_stream": user_consumed_chunks,
+    "hot_store_stream": hot_store,
+    "wire_topic_stream": decode_records,
+    "recommend_by_name": recommend_by_name,
     "recommend_stream": lambda: recommend_pipeline() + _closed(10_000),
 }
 

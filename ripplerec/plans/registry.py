@@ -500,6 +500,63 @@ def q_late_rows_stream(spark, sf_dir):
             .union(read_split(spark, path, "late").select("event_id", "user_id", "item_id", F.lit(True))))
 
 
+def q_user_consumed_chunks(spark, sf_dir):
+    from ..operators.sinks import consumed_chunks
+    return consumed_chunks(_mapped(Fixture.prepared(spark, sf_dir)))
+
+
+def q_user_consumed_literal_chunks(spark, sf_dir):
+    from ..operators.sinks import consumed_chunks
+    return consumed_chunks(_mapped(Fixture.prepared(spark, sf_dir)), drop_first=True)
+
+
+def q_user_consumed_chunks_stream(spark, sf_dir):
+    from ..streaming.persist import consumed_pairs_batch, read_consumed_chunks
+    path = _scratch(spark, "consumed-pairs")
+    _run_stream(_event_stream(spark, sf_dir), spark, "consumed-pairs", foreach=consumed_pairs_batch(path))
+    return read_consumed_chunks(spark, path)
+
+
+def q_hot_store_stream(spark, sf_dir):
+    """the current hot list that the popularity job leaves in its store."""
+    from ..operators.sinks import top_table
+    from ..streaming.popular import read_hot_store
+    from .jobs import start_popular_job
+    _rocksdb(spark)
+    store = _scratch(spark, "hot-store")
+    start_popular_job(_event_stream(spark, sf_dir), None, store, _scratch(spark, "hot-checkpoint"),
+                      trigger={"availableNow": True}).awaitTermination()
+    return top_table(read_hot_store(spark, store))
+
+
+def q_wire_topic_stream(spark, sf_dir):
+    """Events published as wire messages, read back as a topic and decoded.  The
+    topic is a folder here; on a cluster the same two jobs take ``kafka``."""
+    from ..sources.events import decode_records, read_events_stream
+    from .jobs import start_publish_job
+    fx, topic, path, now = Fixture.prepared(spark, sf_dir), _scratch(spark, "topic"), _scratch(spark, "decoded"), {"availableNow": True}
+    start_publish_job(_raw_event_stream(spark, sf_dir), _scratch(spark, "topic-checkpoint"), "parquet", path=topic,
+                      trigger=now).awaitTermination()
+    infer = "spark.sql.streaming.schemaInference"
+    old = spark.conf.get(infer)
+    spark.conf.set(infer, "true")
+    try:
+        lines = read_events_stream(spark, "parquet", {"path": topic})
+    finally:
+        spark.conf.set(infer, old)
+    _run_stream(decode_records(lines, fx.user_map, fx.item_map).select("user_id", "item_id", "time_ms"), spark, "decoded", path)
+    return spark.read.parquet(path)
+
+
+def q_recommend_by_name(spark, sf_dir):
+    """The lists of every algorithm that can be asked for by name."""
+    out = None
+    for algo in K.ALGOS:
+        rows = _recommend_query(algo)(spark, sf_dir).withColumn("algo", F.lit(algo))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 QUERIES: dict[str, Query] = {
     "sliding_counts": q_sliding_counts,
     "sliding_counts_paned": q_sliding_counts_paned,
@@ -558,4 +615,10 @@ QUERIES: dict[str, Query] = {
     "top_n_panes_stream": q_top_n_panes_stream,
     "rank_all_panes_stream": q_rank_all_panes_stream,
     "late_rows_stream": q_late_rows_stream,
+    "user_consumed_chunks": q_user_consumed_chunks,
+    "user_consumed_literal_chunks": q_user_consumed_literal_chunks,
+    "user_consumed_chunks_stream": q_user_consumed_chunks_stream,
+    "hot_store_stream": q_hot_store_stream,
+    "wire_topic_stream": q_wire_topic_stream,
+    "recommend_by_name": q_recommend_by_name,
 }

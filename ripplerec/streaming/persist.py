@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import format_time
-from ..operators.sinks import record_log
+from ..operators.sinks import CONSUMED_CHUNK, chunked, consumed_pairs, record_log
 from .store import KeyedStore
 
 
@@ -46,23 +46,27 @@ def read_unique_records(spark: SparkSession, path: str) -> DataFrame:
     return first.select("user", "item", format_time(F.unix_millis("first.ts")).alias("time"))
 
 
+def consumed_store(path: str) -> KeyedStore:
+    """Per (user, kind, value) the earliest event."""
+    def earliest(df: DataFrame) -> DataFrame:
+        return df.groupBy("user_id", "kind", "value").agg(F.min("first").alias("first"))
+    return KeyedStore(path, "user_id long, kind string, value string, first struct<ts:timestamp,event_id:bigint>", earliest)
+
+
 def consumed_pairs_batch(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        rec = batch.select("user_id", "item_id", "ts", "event_id",
-                           format_time(F.unix_millis("ts")).alias("time"))
-        first = F.min(F.struct("ts", "event_id")).alias("first")
-        items = rec.groupBy("user_id", F.col("item_id").cast("string").alias("value")).agg(first) \
-            .withColumn("kind", F.lit("item"))
-        times = rec.groupBy("user_id", F.col("time").alias("value")).agg(first) \
-            .withColumn("kind", F.lit("time"))
-        items.unionByName(times).write.mode("overwrite").parquet(
-            f"{path.rstrip('/')}/batch_id={batch_id}")
+        pairs = consumed_pairs(batch.withColumn("user_id", F.col("user_id").cast("long")))
+        consumed_store(path).append(pairs.select("user_id", "kind", "value", "first"), batch_id)
     return write
 
 
+def read_consumed_chunks(spark: SparkSession, path: str, size: int = CONSUMED_CHUNK) -> DataFrame:
+    """F2 from the stream's store, in rows of at most ``size`` values."""
+    return chunked(consumed_store(path).read(spark), size)
+
+
 def read_user_consumed(spark: SparkSession, path: str) -> DataFrame:
-    pairs = spark.read.parquet(path).groupBy("user_id", "kind", "value").agg(
-        F.min("first").alias("first"))
+    pairs = consumed_store(path).read(spark)
     sets = pairs.groupBy("user_id", "kind").agg(
         F.array_sort(F.collect_list(F.struct("first", "value"))).alias("_s"))
     sets = sets.select("user_id", "kind", F.transform("_s", lambda x: x["value"]).alias("vals"))

@@ -180,3 +180,31 @@ def test_rewards_job_in_small_batches(spark, tmp_path):
     assert got.select("batch_id").distinct().count() == 4
     assert collections.Counter((r.raw_user, r.window_end, r.last_reward) for r in got.collect()) == collections.Counter(
         (raw, end, n) for (raw, end), n in _brute(rows, "state").items())
+
+
+# ------------------------------------------------------------------ consumed sets in chunks
+
+def test_consumed_sets_of_a_hot_user_in_bounded_rows(spark, tmp_path):
+    from ripplerec.operators.sinks import consumed_chunks, user_consumed, user_consumed_literal
+    from ripplerec.streaming.persist import consumed_pairs_batch, read_consumed_chunks
+    rng = random.Random(12)
+    rows = [(0 if k % 2 else rng.choice([1, 2, 3]), rng.randrange(300), 1_700_000_000 + rng.randrange(500), k) for k in range(2000)]
+    df = spark.createDataFrame(rows, "user_id long, item_id int, s long, event_id long").select(
+        "user_id", "item_id", F.timestamp_seconds("s").alias("ts"), "event_id")
+    for literal, whole in ((False, user_consumed), (True, user_consumed_literal)):
+        want = {r.user: {"item": [str(x) for x in r.consumed], "time": list(r.time)} for r in whole(df).collect()}
+        got = collections.defaultdict(dict)
+        for r in consumed_chunks(df, literal, size=16).collect():
+            assert 0 < len(r.vals) <= 16
+            got[r.user, r.kind][r.chunk] = r.vals
+        for user, sets in want.items():
+            for kind, vals in sets.items():
+                parts = got[user, kind]
+                assert [v for c in sorted(parts) for v in parts[c]] == vals and sorted(parts) == list(range(len(parts)))
+    run = consumed_pairs_batch(str(tmp_path / "pairs"))
+    for b in range(3):
+        run(df.where(F.col("event_id") % 3 == b), b)
+    run(df.where(F.col("event_id") % 3 == 2), 2)
+    norm = lambda d: sorted((r.user, r.kind, r.chunk, tuple(r.vals)) for r in d.collect())
+    assert norm(read_consumed_chunks(spark, str(tmp_path / "pairs"), 16)) == norm(consumed_chunks(df, size=16))
+    assert consumed_chunks(df.limit(0)).count() == 0
