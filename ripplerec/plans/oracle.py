@@ -488,6 +488,11 @@ def top_table() -> str:
 SELECT CAST(arg_max(item_id, window_end) AS INTEGER) AS item, CAST(rank AS VARCHAR) AS rank FROM ptop GROUP BY rank""")
 
 
+def history_store() -> str:
+    return with_ctes(RECORDS, _hist_ctes(), body=f"""
+SELECT user_id, arg_max(items, window_end) AS items FROM hist{_closed(10_000)} GROUP BY user_id""")
+
+
 def hot_store() -> str:
     return with_ctes(RECORDS, MAPS, _pop_counts(), _pop_top(K.TOP_N), body=f"""
 SELECT CAST(arg_max(item_id, window_end) AS INTEGER) AS item, CAST(rank AS VARCHAR) AS rank
@@ -584,6 +589,7 @@ ORACLES = {
     "top_n_panes_stream": lambda: top_n_items() + _closed(0),
     "rank_all_panes_stream": lambda: top_n_items(None) + _closed(0),
     "late_rows_stream": late_rows,
+    "history_store_stream": history_store,
     "user_consumed_chunks": user_consumed_chunks,
     "user_consumed_literal_chunks": lambda: user_consumed_chunks(True),
     "user_consumed_chunks_stream": user_consumed_chunks,

@@ -557,6 +557,24 @@ def q_recommend_by_name(spark, sf_dir):
     return out
 
 
+def q_history_store_stream(spark, sf_dir):
+    """Each user's last items, read from the state of a stream that went on from a batch
+    history of the first half and was restarted."""
+    from ..operators.history import user_history
+    from ..streaming.history import history_store_stream, read_history_store
+    _rocksdb(spark)
+    rec, checkpoint, path = Fixture.prepared(spark, sf_dir).records, _scratch(spark, "history-store"), _scratch(spark, "history-rows")
+    lo, hi = rec.agg(F.min(F.unix_millis("ts")), F.max(F.unix_millis("ts"))).first()
+    since = (lo + hi) // 2 // (K.HIST_SLIDE_SEC * 1000) * (K.HIST_SLIDE_SEC * 1000)
+    initial = (user_history(rec).where(F.col("window_end") <= since).groupBy("user_id")
+               .agg(F.max_by("items", "window_end").alias("items")))
+    for _ in range(2):
+        rows = history_store_stream(_raw_event_stream(spark, sf_dir), initial, since)
+        (rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet")
+         .option("path", path).start().awaitTermination())
+    return read_history_store(spark, checkpoint)
+
+
 QUERIES: dict[str, Query] = {
     "sliding_counts": q_sliding_counts,
     "sliding_counts_paned": q_sliding_counts_paned,
@@ -615,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "top_n_panes_stream": q_top_n_panes_stream,
     "rank_all_panes_stream": q_rank_all_panes_stream,
     "late_rows_stream": q_late_rows_stream,
+    "history_store_stream": q_history_store_stream,
     "user_consumed_chunks": q_user_consumed_chunks,
     "user_consumed_literal_chunks": q_user_consumed_literal_chunks,
     "user_consumed_chunks_stream": q_user_consumed_chunks_stream,

@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -64,6 +64,35 @@ class HistoryProcessor(StatefulProcessor):
         pass
 
 
+class HistoryListProcessor(StatefulProcessor):
+    """The user's list as a ``ListState`` that other jobs read from the checkpoint
+    (``read_history_store``) and that may start from a batch history."""
+
+    def __init__(self, hist: int = K.HIST_LEN):
+        self.hist = hist
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getListState("items", "item int")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for items in initialState["items"]:
+            self.state.put([(int(x),) for x in items][-self.hist:])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values("window_end")
+        cur = [x[0] for x in self.state.get()] if self.state.exists() else []
+        ends, lists = [], []
+        for end, items in zip(pdf["window_end"], pdf["items"], strict=True):
+            cur = (cur + [int(x) for x in items])[-self.hist:]
+            ends.append(int(end))
+            lists.append(list(cur))
+        self.state.put([(x,) for x in cur])
+        yield pd.DataFrame({"user_id": [key[0]] * len(ends), "window_end": ends, "items": lists})
+
+    def close(self) -> None:
+        pass
+
+
 class RewardProcessor(StatefulProcessor):
     """Reward = (previous rec, clicked) equal pairs; -1 without a previous rec."""
 
@@ -121,6 +150,32 @@ def user_history_stream(records: DataFrame, key: str = "user_id", hist: int = K.
         outputMode="Append", timeMode="None")
 
 
+def history_store_stream(records: DataFrame, initial: DataFrame | None = None, since: int | None = None,
+                         key: str = "user_id", hist: int = K.HIST_LEN, lateness: str = K.HIST_LATENESS) -> DataFrame:
+    """E2 on a stream: ``user_history_stream`` whose lists stay readable in the checkpoint.
+
+    ``initial`` (user_id, items) are the lists that a batch job made of the windows up to the end
+    ``since``; the stream goes on with the windows after it.
+    """
+    win = window_items_stream(records, key, hist, lateness).withColumnRenamed(key, "user_id")
+    if since is not None:
+        win = win.where(F.col("window_end") > since)
+    first = None if initial is None else initial.select(F.col("user_id").cast("long").alias("user_id"), "items")
+    return win.select(F.col("user_id").cast("long").alias("user_id"), "window_end", "items").groupBy("user_id") \
+        .transformWithStateInPandas(
+            statefulProcessor=HistoryListProcessor(hist), outputStructType=HISTORY_OUT, outputMode="Append",
+            timeMode="None", initialState=None if first is None else first.groupBy("user_id"))
+
+
+def read_history_store(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(user_id, items): every user's last items as the stream's newest checkpoint has them."""
+    found = (spark.read.format("state-metadata").load(checkpoint)
+             .where(F.lower("operatorName").startswith("transformwithstate")).select("operatorId").distinct().collect())
+    rows = (spark.read.format("statestore").option("operatorId", found[0]["operatorId"]).option("stateVarName", "items")
+            .option("flattenCollectionTypes", "false").load(checkpoint))
+    return rows.select(F.col("key.user_id").alias("user_id"), F.transform("list_value", lambda x: x["item"]).alias("items"))
+
+
 def last_reward_stream(recs: DataFrame) -> DataFrame:
     """E4 on a stream of (user_id, raw_user, window_end, items, item_rec)."""
     return recs.select("user_id", "raw_user", "window_end", "items", "item_rec") \
