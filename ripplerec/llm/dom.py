@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
@@ -50,8 +50,13 @@ def parse(page: str | None) -> Node:
     root = top = Node("#page")
     page = page or ""
     at, size = 0, len(page)
+    last = page.rfind(">")  # a tag that begins after it never ends
     match = _TOKEN.match
     while at < size:
+        if at > last and page[at] == "<" and page[at + 1:at + 2] not in ("!", "?"):
+            top.kids.append("<")
+            at += 1
+            continue
         m = match(page, at)
         if m is None:  # a tag that never ends
             break
@@ -115,13 +120,14 @@ def align(a: Node, b: Node) -> dict[int, Node]:
     once; the rest is matched in order with the largest total."""
     memo: dict[tuple[int, int], tuple[int, list]] = {}
 
-    def match(x: Node, y: Node) -> int:
-        """Size of the best matching of two subtrees."""
+    def known(x: Node, y: Node) -> int | None:
         if x.tag != y.tag:
             return 0
-        key = (x.number, y.number)
-        if key in memo:
-            return memo[key][0]
+        found = memo.get((x.number, y.number))
+        return None if found is None else found[0]
+
+    def match(x: Node, y: Node) -> Generator[tuple[Node, Node], int, int]:
+        """Size of the best matching of two subtrees; yields the pairs that it needs first."""
         p, q = x.elements(), y.elements()
         pairs = []
         lo = 0
@@ -133,9 +139,15 @@ def align(a: Node, b: Node) -> dict[int, Node]:
             i, j = i - 1, j - 1
             pairs.append((p[i], q[j]))
         p, q = p[lo:i], q[lo:j]
+        ends = list(pairs)
         total = 1
         if p and q:
-            w = [[match(c, d) for d in q] for c in p]
+            w = []
+            for c in p:
+                w.append([])
+                for d in q:
+                    size = known(c, d)
+                    w[-1].append((yield c, d) if size is None else size)
             best = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
             for s in range(len(p)):
                 row, up, ws = best[s + 1], best[s], w[s]
@@ -151,12 +163,25 @@ def align(a: Node, b: Node) -> dict[int, Node]:
                     s -= 1
                 else:
                     t -= 1
-        total += sum(match(c, d) for c, d in pairs if c.sig == d.sig)
-        memo[key] = (total, pairs)
+        for c, d in ends:
+            size = known(c, d)
+            total += (yield c, d) if size is None else size
+        memo[x.number, y.number] = (total, pairs)
         return total
 
+    # the pages may be nested deeper than calls can be
+    size, running = known(a, b), []
+    if size is None:
+        running.append(match(a, b))
+    while running:
+        try:
+            running.append(match(*running[-1].send(size)))
+            size = None
+        except StopIteration as done:
+            running.pop()
+            size = done.value
     out: dict[int, Node] = {}
-    if match(a, b):
+    if size:
         todo = [(a, b)]
         while todo:
             x, y = todo.pop()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import rows_of, small_batches
-from .dom import RAW, Node, align, blocks, finish, parse
+from .dom import BLOCK, RAW, Node, align, blocks, finish, parse
 
 #: A text is template if this share of the host's pages, at least so many, have it in its place.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.8, 4
@@ -122,9 +122,19 @@ class Wrapper:
             pages = max((s["pages"] for s in stats if s["node"]), default=0)
             self.template = {s["node"] for s in stats if pages >= TEMPLATE_PAGES and self.texts[s["node"]]
                              and s["same"] >= TEMPLATE_SHARE * pages}
+            self.template = {n for n in self.template if not self._within(self.order[n])}
             best = content([n for n in self.seen if n.number not in self.template], mass)
             self.slot = None if best is None else best.number
 
+    def _within(self, node: Node) -> bool:
+        """Whether an inline element stands in the running text of its block: such a constant word is content."""
+        at = node
+        while at.tag not in BLOCK and at.parent is not None:
+            at = at.parent
+            if self.texts[at.number] and at.number not in self.template:
+                return True
+        return False
+
     def observe(self, page: str | None, counts: dict[int, np.ndarray]) -> None:
         """Add one page to the counts (pages, same text, varying characters) per pivot node."""
         root = parse(page)
