@@ -310,16 +310,58 @@ def test_toxicity_held_out(spark):
 # ------------------------------------------------------------------ op7
 
 def test_edits_keep_counts(docs):
-    count = token_counts.counter(token_counts.vocabulary_path())
+    path = token_counts.vocabulary_path()
+    count = token_counts.counter(path)
     rng = random.Random(4)
-    for r in docs.limit(40).collect():
-        tree = token_counts.SegmentTree(r.text, count)
-        for _ in range(6):
+    scripts = [" ".join("".join(chr(0x430 + rng.randrange(32)) for _ in range(rng.randrange(1, 9))) for _ in range(4000)),
+               "".join(rng.choice("，。") if rng.random() < 0.05 else chr(0x4E00 + rng.randrange(20000)) for _ in range(9000)),
+               "".join(chr(0x3041 + rng.randrange(80)) for _ in range(9000)),
+               "\n".join("".join(rng.choices("abcxyz'!19 ", k=rng.randrange(30))) for _ in range(900)),
+               "".join(rng.choices(["'s", "'re", "é", "’", " ", "  ", "\u3000", "1", "٣", "字", "😀", "\x1c", "e\u0301", "\U0001fae8"], k=6000))]
+    for text in [r.text for r in docs.limit(40).collect()] + scripts:
+        tree = token_counts.SegmentTree.of(text, path)
+        assert tree.total == count(text) and tree.text == text
+        if text in scripts:
+            assert max(map(len, tree.parts)) < 2 * token_counts.SEGMENT
+        for _ in range(8):
             n = len(tree.text)
             a = rng.randrange(n + 1)
             b = min(n, a + rng.choice((0, 1, 3, 40, 700)))
-            tree.edit(a, b, rng.choice(("", " ", "  ", "\n", "foo bar", " 's", "é", "don't ")))
+            held = tree.encoded
+            new = rng.choice(("", " ", "  ", "\n", "foo bar", " 's", "é", "don't ", "字", "long text " * 300))
+            tree.edit(a, b, new)
             assert tree.total == count(tree.text)
+            assert tree.encoded - held <= 8 * token_counts.SEGMENT + len(new) or text not in scripts
+
+
+def test_vocabulary_tokens_merge_whole():
+    """A token of the vocabulary is reached by its merges, so a piece cut off at a place no merge crosses is counted alike."""
+    ranks = token_counts._ranks(token_counts.vocabulary_path())
+    for token in random.Random(1).sample(sorted(ranks), 5000):
+        parts = [token[i:i + 1] for i in range(len(token))]
+        while len(parts) > 1:
+            i = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], len(ranks)))
+            assert parts[i] + parts[i + 1] in ranks
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_kept_trees_take_edits(spark, docs, odd):
+    count = token_counts.counter(token_counts.vocabulary_path())
+    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    kept = token_counts.store(token_counts.trees(odd), "trees")
+    text = {r.version: "".join(r.parts) for r in kept.collect()}
+    assert set(text.values()) == {t or "" for _, t in rows}
+    for round_ in range(2):  # edits of the trees, then of the trees that came out
+        made = [(r.doc_id, r.version, a, a + 3, "new ") for r in kept.collect() for n in [r.chars[1]]
+                for a in range(0, max(0, n - 3), max(7, n // 5))]
+        edits = spark.createDataFrame(made * 2, "doc_id long, version long, start long, stop long, text string")
+        out = token_counts.store(token_counts.recount(token_counts.with_edits(kept, edits), keep=True), "trees")
+        assert out.count() == len(rows)
+        for r in out.collect():
+            now = "".join(r.parts)
+            assert r.n_tokens_edited == r.tokens[1] == count(now) and r.n_chars_edited == len(now)
+        assert out.where("n_edits > 3").count() >= 5
+        kept = token_counts.store(token_counts.edited(out), "trees")
 
 
 def test_token_query(spark, docs):
