@@ -1,18 +1,28 @@
 """Benchmark decontamination by greedy string tiling.
 
 Words are runs of letters and digits of the lower-cased text.  A document and
-a benchmark item are compared if they share a seed, five words in a row.  The
-longest common run of unmarked words, found by running Karp-Rabin hashes, is
-marked as a tile on both sides, then the next longest, down to five words, so
-that passages whose parts were reordered are covered tile by tile.  A document
-is contaminated by an item if its tiles cover at least ``COVERAGE`` of it.
+a benchmark item are compared if they share a seed, five words in a row (an item
+of fewer words is its own seed).  The longest common run of unmarked words, found
+by running Karp-Rabin hashes, is marked as a tile on both sides, then the next
+longest, down to the seed's length, so that passages whose parts were reordered
+are covered tile by tile.  Of equally long tiles the first of the item, then of
+the document, is marked.  A document is contaminated by an item if its tiles cover
+at least ``COVERAGE`` of it.
+
+Only some seeds of an item have to be looked up.  If its tiles cover enough, they
+leave at most ``len - need`` words out, so every stretch of one word more holds a
+covered word, and a seed over that stretch is in the document.  The stretch whose
+seeds fewest items share is indexed: a seed that very many items share costs
+nothing, unless it is all that an item consists of.  For pairs that such a seed
+proposes, all seeds of the item are looked up before anything is tiled.
 
 The benchmark is worked through in blocks of bounded size, each of which is
 sent to all tasks; documents are never shuffled.
 
-Defined results: null, empty and short texts match nothing; an item of fewer
-than five words has no seed and never matches; repeated documents and items
-give a row each; empty tables give no rows.
+Defined results: null and empty texts, and items without a word, match nothing;
+an item of one to four words matches where all of it stands in a row; texts of any
+length are compared whole; repeated documents and items give a row each; empty
+tables give no rows; extra columns are ignored (``clean`` keeps them).
 """
 
 from __future__ import annotations
@@ -115,69 +125,97 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int = SEED_WORDS) -> list[tu
                 return found
 
 
-def block_index(rows: list[tuple[int, str]]) -> dict:
-    """Benchmark block: vocabulary, items as word numbers, sorted seeds with their items."""
+def _least(n: int) -> int:
+    """Words of a seed of an item of ``n`` words."""
+    return min(SEED_WORDS, n)
+
+
+def _need(n: int, coverage: float) -> int:
+    """Fewest covered words of ``n`` that reach the coverage."""
+    need = max(1, int(np.ceil(coverage * n)))
+    while need > 1 and need - 1 >= coverage * n:
+        need -= 1
+    while need < coverage * n:
+        need += 1
+    return need
+
+
+def block_index(rows: list[tuple[int, str]], coverage: float = COVERAGE) -> dict:
+    """Benchmark block: vocabulary, items as word numbers, and by seed length the sorted seeds of each
+    item's rarest stretch with the items."""
     vocab: dict[str, int] = {}
     items = [(item, np.array([vocab.setdefault(w, len(vocab)) for w in words(text)], dtype=np.int64))
              for item, text in rows]
-    seeds = [running_hash(ids, SEED_WORDS) for _, ids in items]
+    seeds = [running_hash(ids, _least(len(ids))) if len(ids) else np.zeros(0, dtype=np.uint64) for _, ids in items]
+    # number of items that share a seed
     owner = np.repeat(np.arange(len(items)), [len(s) for s in seeds]) if items else np.zeros(0, dtype=np.int64)
-    place = np.concatenate([np.arange(len(s)) for s in seeds]) if items else owner
-    keys = np.concatenate(seeds) if items else np.zeros(0, dtype=np.uint64)
-    order = np.argsort(keys, kind="stable")
-    return {"vocab": vocab, "items": items, "keys": keys[order], "owner": owner[order], "place": place[order]}
+    every = np.concatenate([*seeds, np.zeros(0, dtype=np.uint64)])
+    distinct, at = np.unique(every, return_inverse=True)
+    pair = np.unique(at * max(1, len(items)) + owner) // max(1, len(items))
+    shared = np.bincount(pair, minlength=len(distinct))[at]
+    begin = np.cumsum([0, *(len(s) for s in seeds)])
+    lookup: dict[int, tuple[list[np.ndarray], list[int]]] = {}
+    for i, (_, ids) in enumerate(items):
+        if not len(ids):
+            continue
+        n, least = len(ids), _least(len(ids))
+        stretch = n - _need(n, coverage) + 1
+        cost = np.concatenate([[0], np.cumsum(shared[begin[i]:begin[i + 1]])])
+        word = np.arange(n - stretch + 1)  # first word of the stretch: its seeds begin up to least - 1 words before
+        lo, hi = np.maximum(word - least + 1, 0), np.minimum(word + stretch, len(seeds[i]))
+        best = int(np.argmin(cost[hi] - cost[lo]))
+        keys, owners = lookup.setdefault(least, ([], []))
+        keys.append(np.unique(seeds[i][lo[best]:hi[best]]))
+        owners.append(i)
+    sorted_seeds = {}
+    for least, (keys, owners) in lookup.items():
+        key, own = np.concatenate(keys), np.repeat(owners, [len(k) for k in keys])
+        order = np.argsort(key, kind="stable")
+        sorted_seeds[least] = key[order], own[order]
+    return {"vocab": vocab, "items": items, "seeds": seeds, "lookup": sorted_seeds}
 
 
 def contaminations(texts: list[str | None], index: dict, coverage: float) -> Iterator[tuple[int, int, int, int]]:
     """(number of the text, number of the item, covered words, tiles) per match."""
-    get, keys = index["vocab"].get, index["keys"]
-    if not len(keys):
-        return
-    split = [words(t) for t in texts]
-    bounds = np.cumsum([0, *(len(w) + 1 for w in split)])
-    flat: list[int] = []
-    for w in split:
-        flat.extend([get(x, -1) for x in w])
-        flat.append(-1)
-    ids = np.array(flat, dtype=np.int64)
-    known = np.concatenate([[0], np.cumsum(ids >= 0)])
-    if len(ids) < SEED_WORDS:
-        return
-    at = np.flatnonzero(known[SEED_WORDS:] - known[:-SEED_WORDS] == SEED_WORDS)
-    h = running_hash(ids, SEED_WORDS)[at]
-    lo, hi = np.searchsorted(keys, h), np.searchsorted(keys, h, side="right")
-    hit = hi > lo
-    at, lo, hi = at[hit], lo[hit], hi[hit]
-    if not len(at):
-        return
-    n = hi - lo
-    row = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    pos = np.repeat(at, n)
-    doc = np.searchsorted(bounds, pos, side="right") - 1
-    item, place = index["owner"][row], index["place"][row]
-    pair = doc * len(index["items"]) + item
-    order = np.argsort(pair, kind="stable")
-    starts = np.flatnonzero(np.diff(pair[order], prepend=-1))
-    for a, b in zip(starts, [*starts[1:], len(order)], strict=True):
-        rows = order[a:b]
-        d, i = int(doc[rows[0]]), int(item[rows[0]])
-        ids_i = index["items"][i][1]
-        reach = np.zeros(len(ids_i) + 1, dtype=np.int64)
-        some = np.unique(place[rows])
-        np.add.at(reach, some, 1)
-        np.add.at(reach, np.minimum(some + SEED_WORDS, len(ids_i)), -1)
-        if (np.cumsum(reach)[:-1] > 0).sum() < coverage * len(ids_i):
-            continue  # tiles lie within seeds, so they can't cover more
-        near = np.zeros(bounds[d + 1] - bounds[d], dtype=bool)  # words of the document within a seed
-        for k in range(SEED_WORDS):
-            near[pos[rows] - bounds[d] + k] = True
-        keep = np.flatnonzero(near)
-        cuts = np.flatnonzero(np.diff(keep) > 1) + 1
-        region = np.insert(ids[bounds[d]:bounds[d + 1]][keep], cuts, -1)
-        found = tiles(region, ids_i)
-        covered = sum(t[2] for t in found)
-        if covered >= coverage * len(ids_i):
-            yield d, i, covered, len(found)
+    get = index["vocab"].get
+    for d, text in enumerate(texts):
+        ids = np.array([get(w, -1) for w in words(text)], dtype=np.int64)
+        known = np.concatenate([[0], np.cumsum(ids >= 0)])
+        for least, (keys, owner) in index["lookup"].items():
+            if len(ids) < least:
+                continue
+            at = np.flatnonzero(known[least:] - known[:-least] == least)
+            if not len(at):
+                continue
+            h = running_hash(ids, least)[at]
+            if not (keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h).any():
+                continue
+            mine, number = np.unique(h, return_inverse=True)
+            lo, hi = np.searchsorted(keys, mine), np.searchsorted(keys, mine, side="right")
+            # at most the entries of the index, whatever the document repeats
+            proposed = np.unique(np.concatenate([owner[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True) if b > a]
+                                                or [owner[:0]]))
+            for i in proposed.tolist():
+                item, seeds = index["items"][i][1], index["seeds"][i]
+                place = np.minimum(np.searchsorted(mine, seeds), len(mine) - 1)
+                there = mine[place] == seeds
+                reach = np.zeros(len(item) + 1, dtype=np.int64)
+                np.add.at(reach, np.flatnonzero(there), 1)
+                np.add.at(reach, np.flatnonzero(there) + least, -1)
+                if (np.cumsum(reach)[:-1] > 0).sum() < coverage * len(item):
+                    continue  # tiles lie within seeds, so they can't cover more
+                hit = np.zeros(len(mine), dtype=bool)
+                hit[place[there]] = True
+                near = np.zeros(len(ids), dtype=bool)  # words of the document within a seed
+                start = at[hit[number]]
+                for k in range(least):
+                    near[start + k] = True
+                keep = np.flatnonzero(near)
+                breaks = np.flatnonzero(np.diff(keep) > 1) + 1
+                found = tiles(np.insert(ids[keep], breaks, -1), item, least)
+                covered = sum(t[2] for t in found)
+                if covered >= coverage * len(item):
+                    yield d, i, covered, len(found)
 
 
 def _search(shared, coverage: float):
@@ -207,7 +245,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     out = None
     for k in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        shared = spark.sparkContext.broadcast(block_index([(r["item_id"], r["text"]) for r in rows]))
+        shared = spark.sparkContext.broadcast(block_index([(r["item_id"], r["text"]) for r in rows], coverage))
         found = docs.select("doc_id", "text").mapInArrow(_search(shared, coverage), _RESULT)
         out = found if out is None else out.union(found)
     return out

@@ -437,6 +437,74 @@ def test_tiling_of_reordered_passages(spark):
         assert got == {(1, 7): (40, 1), (2, 7): (40, 2)}
 
 
+def plain_tiling(doc, item, least):
+    """Greedy string tiling by comparing every pair of places."""
+    used_doc, used_item, found = set(), set(), []
+    while True:
+        best = []
+        for q in range(len(item)):
+            for p in range(len(doc)):
+                n = 0
+                while (q + n < len(item) and p + n < len(doc) and doc[p + n] == item[q + n]
+                       and p + n not in used_doc and q + n not in used_item):
+                    n += 1
+                best.append((n, q, p))
+        longest = max((b[0] for b in best), default=0)
+        if longest < least:
+            return found
+        for n, q, p in best:
+            if n == longest and used_doc.isdisjoint(range(p, p + n)) and used_item.isdisjoint(range(q, q + n)):
+                used_doc.update(range(p, p + n))
+                used_item.update(range(q, q + n))
+                found.append(n)
+
+
+def plain_contaminations(texts, bench, coverage=0.8):
+    out = collections.Counter()
+    for d, t in texts:
+        for i, b in bench:
+            doc, item = decontaminate.words(t), decontaminate.words(b)
+            found = plain_tiling(doc, item, min(5, len(item))) if item else []
+            if item and sum(found) >= coverage * len(item):
+                out[(d, i, len(item), sum(found), len(found))] += 1
+    return out
+
+
+def test_tiling_equals_plain_tiling(spark):
+    rng = random.Random(8)
+    bench = [(i, " ".join(rng.choices("abcd", k=rng.randrange(1, 30)))) for i in range(25)]
+    bench += [(3, bench[3][1]), (90, None), (91, ""), (92, "..."), (93, "Zeta"), (94, "one, two; three"), (None, "ab cd ef gh ij kl")]
+    texts = [(500, None), (501, ""), (502, "it is zeta"), (503, "One two  THREE four"), (504, "one two four three"),
+             (None, "ab cd ef gh ij kl"), (505, "ab cd ef gh ij")]
+    for d in range(60):
+        words = [w for _ in range(3) for w in (rng.choice(bench)[1] or "").split()] if d % 2 else rng.choices("abcd", k=25)
+        if d % 3 == 0 and words:
+            cut = rng.randrange(len(words))
+            words = words[cut:] + ["gap"] + words[:cut]
+        texts.append((d // 2, " ".join(words)))
+    docs = spark.createDataFrame([(d, t, "x", "y") for d, t in texts], "doc_id long, text string, item_id string, n_tiles string")
+    items = spark.createDataFrame([(i, t, "x") for i, t in bench], "item_id long, text string, doc_id string")
+    want = plain_contaminations(texts, bench)
+    assert len(want) > 40 and any(k[4] > 1 for k in want) and any(k[2] < 5 for k in want) and any(k[3] < k[2] for k in want)
+    for block in (decontaminate.BLOCK_CHARS, 60):
+        got = decontaminate.contaminated(docs, items, block_chars=block)
+        assert collections.Counter((r.doc_id, r.item_id, r.n_words, r.n_covered, r.n_tiles) for r in got.collect()) == want
+        left = rows_of(decontaminate.clean(docs, items).select("doc_id", "text"))
+        gone = {k[0] for k in want}
+        assert left == collections.Counter((d, t) for d, t in texts if d not in gone)
+
+
+def test_seed_of_very_many_items():
+    """A seed that all items share is not in the index, and texts that repeat it propose no pair."""
+    shared = "please answer the following question"
+    rows = [(i, f"{shared} a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(100_000)]
+    index = decontaminate.block_index(rows)
+    (keys, owner), = index["lookup"].values()
+    assert len(np.unique(owner)) == len(rows) and np.unique(keys, return_counts=True)[1].max() == 1
+    texts = [f"{shared} " * 20] * 500 + [rows[70_000][1]]
+    assert list(decontaminate.contaminations(texts, index, 0.8)) == [(500, 70_000, 11, 1)]
+
+
 def test_decontamination_brute_force(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     got = {r.doc_id for r in decontaminate.contaminated(docs, bench).collect()}
