@@ -164,6 +164,29 @@ def test_language_held_out(spark, docs):
     assert langid.accepted(docs).count() == docs.count()
 
 
+def test_noise_and_unknown_languages_are_rejected(spark, docs):
+    rng = random.Random(3)
+    cyrillic = "".join(map(chr, range(0x430, 0x450)))
+
+    def noise(letters, n, longest):
+        return " ".join("".join(rng.choices(letters, k=rng.randrange(2, longest))) for _ in range(n))
+
+    planted = [noise(letters, n, longest) for letters in ("abcdefghijklmnopqrstuvwxyz", "asdfghjkl", cyrillic, "ABCdefXYZ0189+/")
+               for n in (10, 40, 200) for longest in (9, 60)]
+    planted += ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+                "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.",
+                "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+                "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+                "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi.", "12 !! 34", "", None]
+    rows = [(-i - 1, t, None, None, None) for i, t in enumerate(planted)]
+    both = docs.select("doc_id", "text", "lang", "source", "n_chars").union(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = {r.doc_id for r in langid.accepted(both).collect()}
+    assert kept == {r.doc_id for r in docs.collect()}
+    score = {r.doc_id: r.score for r in langid.identify(both).collect()}
+    assert max(score[r[0]] for r in rows) < langid.REJECT / 10
+
+
 def test_kneser_ney_sums_to_one():
     texts = ["abab", "abc"]
     key, _ = langid.grams(texts)
