@@ -6,9 +6,11 @@ are the sample of ordinary identifiers.  Second-order transition counts of
 both classes are summed over the whole corpus, and a further run of at least
 ``MIN_RUN`` characters with letters and digits is reported as ``markov`` if the
 log-likelihood ratio of "random" against "ordinary" exceeds ``MIN_TOTAL`` in
-all and ``MIN_EACH`` a character.  Such spans never overlap a fixed one.
+all and ``MIN_EACH`` a character.  Such spans never overlap a fixed one: of a run
+that touches fixed spans the parts left over are scored, each as a run.
 
-Defined results: null and empty texts have no spans; without any labelled
+Defined results: null and empty texts have no spans; texts of any length are
+scanned whole; spans that start together stand in the order of their kinds; without any labelled
 sample the random model is uniform; repeated rows give repeated results.
 """
 
@@ -130,19 +132,31 @@ def train(docs: DataFrame) -> np.ndarray:
     return ratios(counts)
 
 
+def _outside(lo: int, hi: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Parts of [lo, hi) that no fixed span covers; ``base`` is sorted by start."""
+    for s, _, e in base:
+        if s >= hi:
+            break
+        if e > lo:
+            if s > lo:
+                yield lo, s
+            lo = e
+    if lo < hi:
+        yield lo, hi
+
+
 def model_spans(raw: bytes, base: list[tuple[int, int, int]], table: np.ndarray) -> list[tuple[int, int, int]]:
-    """Further random-looking runs outside the fixed spans."""
+    """Further random-looking runs, or the parts of them that are outside the fixed spans."""
     out = []
+    base = sorted(base)
     for m in _RUN.finditer(raw):
-        run = m.group()
-        if not _DIGIT.search(run) or not _LETTER.search(run):
-            continue
-        lo, hi = m.span()
-        if any(s < hi and lo < e for s, _, e in base):
-            continue
-        total = float(table[_cells(_CODE[np.frombuffer(run, dtype=np.uint8)])].sum())
-        if total >= MIN_TOTAL and total >= MIN_EACH * len(run):
-            out.append((lo, len(KINDS), hi))
+        for lo, hi in _outside(*m.span(), base):
+            run = raw[lo:hi]
+            if len(run) < MIN_RUN or not _DIGIT.search(run) or not _LETTER.search(run):
+                continue
+            total = float(table[_cells(_CODE[np.frombuffer(run, dtype=np.uint8)])].sum())
+            if total >= MIN_TOTAL and total >= MIN_EACH * len(run):
+                out.append((lo, len(KINDS), hi))
     return out
 
 

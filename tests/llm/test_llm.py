@@ -99,6 +99,47 @@ def test_secrets(spark, docs):
     assert {r.doc_id: r.base_sha256 for r in secrets.secrets(docs).collect()} == want
 
 
+def plain_markov(text, table):
+    """Runs outside the fixed spans, character by character."""
+    raw = (text or "").encode()
+    base, _ = secrets.base_spans(raw)
+    free = [not any(s <= i < e for s, _, e in base) and chr(b) in secrets.ALPHABET for i, b in enumerate(raw)] + [False]
+    # the run itself must be long enough, then each part of it
+    out, i = [], 0
+    while i < len(raw):
+        j = i
+        while free[j]:
+            j += 1
+        part = raw[i:j]
+        if len(part) >= secrets.MIN_RUN and re.search(rb"[0-9]", part) and re.search(rb"[A-Za-z]", part):
+            codes, total = [0, 0, *(secrets.ALPHABET.index(chr(b)) + 1 for b in part)], 0.0
+            for k in range(2, len(codes)):
+                total += float(table[(codes[k - 2] * secrets.SIZE + codes[k - 1]) * secrets.SIZE + codes[k]])
+            if total >= secrets.MIN_TOTAL and total >= secrets.MIN_EACH * len(part):
+                out.append((len(raw[:i].decode()), len(raw[:j].decode())))
+        i = j + 1
+    return out
+
+
+def test_markov_spans_equal_plain_scoring(docs):
+    table = secrets.train(docs)
+    rng = random.Random(6)
+    letters = secrets.ALPHABET
+    pieces = [lambda: "AKIA" + "".join(rng.choices("ABCDEFGHIJ0123456789", k=16)), lambda: "".join(rng.choices("0123456789abcdef", k=33)),
+              lambda: "".join(rng.choices(letters, k=rng.randrange(15, 50))), lambda: " ", lambda: "é ", lambda: "token=",
+              lambda: "identifier_name_of_2_words", lambda: "z", lambda: "\n"]
+    found = touching = 0
+    for _ in range(1500):
+        text = "".join(rng.choice(pieces)() for _ in range(rng.randrange(1, 7)))
+        base, every = secrets.scan(text, table)
+        got = [(s, e) for k, s, e in every if k == "markov"]
+        assert got == plain_markov(text, table)
+        assert [x for x in every if x[0] != "markov"] == base
+        found += len(got)
+        touching += sum(s == e2 or e == s2 for s, e in got for _, s2, e2 in base)
+    assert found > 100 and touching > 20
+
+
 def test_markov_finds_random_runs_only(docs):
     table = secrets.train(docs)
     key = "q7ZxP0vK3mWb8RtYc2LdHs5NfJ1gAe9u"
