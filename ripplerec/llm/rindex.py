@@ -5,7 +5,8 @@ Burrows-Wheeler transform and the suffix positions at both ends of every run.
 Patterns are streamed right to left, all of them at once: while the current
 row's transform character is the pattern's, one backward step lengthens the
 match; otherwise the match restarts from the nearer run end above or below
-that holds the character, whichever shares the longer prefix.
+that holds the character, whichever shares the longer prefix.  A match of full
+length also tells the least owner of all strings that hold it.
 """
 
 from __future__ import annotations
@@ -14,36 +15,55 @@ import numpy as np
 
 #: Ends every indexed string; smaller than any byte + 1.
 SEPARATOR = 0
+#: Owner of a place whose match is shorter than the limit.
+NOBODY = np.iinfo(np.int64).max
 
 
-def _suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix array by prefix doubling until ranks are distinct or ``depth`` is reached."""
-    rank = text.astype(np.int64)
-    n, width = len(text), 1
-    order = np.argsort(rank, kind="stable")
-    while True:
-        second = np.zeros(n, dtype=np.int64)
-        second[:n - width] = rank[width:] + 1
-        key = rank * (int(second.max()) + 1) + second
-        order = np.argsort(key, kind="stable")
-        new = np.cumsum(np.concatenate([[0], key[order[1:]] != key[order[:-1]]]))
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = new
+def _suffix_order(text: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Suffix array by prefix doubling; ranks by the first ``width`` symbols, and that width.
+
+    The width is the largest one reached that is at most ``limit``.  Only
+    suffixes that still share their rank are sorted again.
+    """
+    n = len(text)
+    bits = max(int(text.max(initial=0)) + 1, 1).bit_length()
+    width = max(1, min(3, limit, 62 // bits))
+    key = np.zeros(n, dtype=np.int64)
+    for d in range(width):
+        key <<= bits
+        key[:n - d] += text[d:] + 1
+    order = np.argsort(key)
+    sorted_key = key[order]
+    new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
+    rank = np.empty(n, dtype=np.int64)  # of a suffix: the first row of its equals
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    rows = np.flatnonzero(~(new & np.concatenate([new[1:], [True]])))
+    short, short_width = rank, width
+    while len(rows):
+        if width <= limit:
+            short, short_width = rank.copy(), width
+        pos = order[rows]
+        beyond = np.minimum(pos + width, n - 1)
+        key = rank[pos] * (n + 1) + np.where(pos + width < n, rank[beyond] + 1, 0)
+        by = np.argsort(key)
+        pos, key = pos[by], key[by]
+        order[rows] = pos
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[pos] = rows[np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))]
+        rows = rows[~(new & np.concatenate([new[1:], [True]]))]
         width *= 2
-        if new[-1] == n - 1 or width >= depth:
-            return order
+    return (order, short, short_width) if width > limit else (order, rank, width)
 
 
 class RunLengthIndex:
     """Index of byte strings; ``limit`` is the longest match that matters.
 
-    ``groups`` numbers the strings' groups: symbols are (group, byte), so that
-    a pattern only finds strings of its own group.
+    ``owners`` numbers the strings, e.g. by document; ``earliest`` needs it.
     """
 
-    def __init__(self, strings: list[bytes], limit: int, groups: np.ndarray | None = None):
+    def __init__(self, strings: list[bytes], limit: int, owners: np.ndarray | None = None):
         self.limit = limit
-        symbols, ends = self._symbols(strings, groups)
+        symbols, ends = self._symbols(strings)
         # separators are distinct and smaller than all symbols: suffixes never
         # compare beyond their string, and the transform is a permutation
         k = len(strings)
@@ -54,7 +74,7 @@ class RunLengthIndex:
         flat[inner] = dense + k
         self.shift = k - 1  # the number of a symbol, from 1, is its text value less this
         self.text = flat
-        order = _suffix_order(flat, len(flat) + 1)
+        order, rank, width = _suffix_order(flat, limit)
         bwt = flat[order - 1]  # of position 0: the last separator
         bwt[bwt < k] = SEPARATOR if k else 0
         bwt[bwt >= k] -= k - 1
@@ -78,15 +98,22 @@ class RunLengthIndex:
         self.smaller = np.concatenate([[0], np.cumsum(counts)[:-1]])
         self.wide = self.size + 1
         self.key = chars * self.wide + self.start[self.by_char]
+        if owners is not None and k:
+            # rows whose suffixes share their first ``limit`` symbols, with their least owner
+            whole = order + limit <= self.size
+            tail = rank[np.minimum(order + limit - width, self.size - 1)]
+            head = rank[order]
+            same = (head[1:] == head[:-1]) & (tail[1:] == tail[:-1]) & whole[1:] & whole[:-1]
+            self.class_start = np.flatnonzero(np.concatenate([[True], ~same]))
+            owner = np.repeat(np.asarray(owners, dtype=np.int64), np.diff(ends, prepend=0))
+            self.class_owner = np.minimum.reduceat(owner[order], self.class_start)
 
     @staticmethod
-    def _symbols(strings: list[bytes], groups: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """(group, byte) symbols of the joined strings, -1 behind each; ends of the strings."""
+    def _symbols(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the joined strings, -1 behind each; ends of the strings."""
         sizes = np.array([len(s) + 1 for s in strings], dtype=np.int64)
         ends = np.cumsum(sizes)
-        out = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int64)
-        if groups is not None:
-            out += np.repeat(np.asarray(groups, dtype=np.int64) * 256, sizes)
+        out = np.frombuffer(b"".join(s + b"\0" for s in strings), dtype=np.uint8).astype(np.int64)
         out[ends - 1] = -1
         return out, ends
 
@@ -104,11 +131,27 @@ class RunLengthIndex:
             out[live] += 1
         return out
 
-    def matching_statistics(self, patterns: list[bytes], groups: np.ndarray | None = None) -> list[np.ndarray]:
+    def matching_statistics(self, patterns: list[bytes]) -> list[np.ndarray]:
         """Per pattern and place: length (up to the limit) of the longest
         prefix of the rest that occurs in an indexed string."""
+        first, lengths, match, _ = self._stream(patterns)
+        return [match[f:f + n] for f, n in zip(first.tolist(), lengths.tolist(), strict=True)]
+
+    def earliest(self, patterns: list[bytes]) -> list[np.ndarray]:
+        """Per pattern and place: least owner of the strings that hold the next
+        ``limit`` bytes, ``NOBODY`` where the match is shorter."""
+        first, lengths, match, row = self._stream(patterns)
+        out = np.full(len(match), NOBODY)
+        hit = np.flatnonzero(match >= self.limit)
+        if len(hit):
+            out[hit] = self.class_owner[np.searchsorted(self.class_start, row[hit], side="right") - 1]
+        return [out[f:f + n] for f, n in zip(first.tolist(), lengths.tolist(), strict=True)]
+
+    def _stream(self, patterns: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Start and length of every pattern in the joined patterns; per place
+        of these the match's length and a row of the index that has it."""
         lengths = np.array([len(p) for p in patterns], dtype=np.int64)
-        symbols, ends = self._symbols(patterns, groups)
+        symbols, ends = self._symbols(patterns)
         number = np.minimum(np.searchsorted(self.alphabet, symbols), max(len(self.alphabet) - 1, 0))
         known = self.alphabet[number] == symbols if len(self.alphabet) else np.zeros(len(symbols), dtype=bool)
         flat = np.where(known, number + 1 + self.shift, -1)  # -1 equals nothing in the text
@@ -116,6 +159,7 @@ class RunLengthIndex:
         row = np.zeros(len(patterns), dtype=np.int64)
         match = np.zeros(len(patterns), dtype=np.int64)
         out = np.zeros(len(flat), dtype=np.int64)
+        rows = np.zeros(len(flat), dtype=np.int64)
         live = np.flatnonzero(lengths > 0)
         first = ends - 1 - lengths
         while len(live):
@@ -147,6 +191,7 @@ class RunLengthIndex:
             row[live] = np.where(step, nxt, r)
             match[live] = np.where(step, grown, 0)
             out[at] = match[live]
+            rows[at] = row[live]
             place[live] -= 1
             live = live[place[live] >= first[live]]
-        return [out[f:f + n] for f, n in zip(first, lengths, strict=True)]
+        return first, lengths, out, rows

@@ -7,26 +7,29 @@ the 16-byte strings in them, so that equal windows have equal keys and
 neighbouring windows mostly share one.
 
 1. Each bucket sends its distinct keys to shards; a shard finds the keys that
-   more than one document has.  A bucket sends a key once, however often it
-   occurs, so that a very frequent passage costs one entry a bucket.
+   more than one document has.  A bucket sends a key once, with the number of
+   its differing runs, however often it occurs.
 2. Each bucket cuts the runs of windows with shared keys out as pieces (at most
-   84 bytes) and sends every distinct piece once, with its least doc_id.
-3. A shard holds all pieces of its keys.  A piece in any later document than
-   its first is covered as a whole.  For its first document, pieces of the
-   same key that came earlier are searched.  Windows whose 64-bit hash no other
-   first document has are left out, then the earlier parts are indexed as a
-   run-length Burrows-Wheeler transform with sampled run ends, and the later
-   ones stream their matching statistics; windows whose match is ``MATCH``
-   long are covered.  Parts of one key are compared by halves of their order,
-   so n of them are streamed log n times.
+   84 bytes) and sends every distinct piece once, with its least doc_id.  A key
+   with more than ``HOT_PIECES`` pieces (a common phrase in many contexts) is
+   split: each of its windows is a piece of its own that goes where its own
+   hash tells, so that no shard has more than others of it.
+3. A shard holds all pieces of its keys.  It indexes them, some keys at a time,
+   as a run-length Burrows-Wheeler transform with sampled run ends and streams
+   their matching statistics: of every window whose match is ``MATCH`` long the
+   index tells the least document.  These documents alone decide what is covered.
 4. The answers go back to the buckets, which cut the covered bytes out.
 
 The text is shuffled once (the exchange is shared by all steps); no step holds
-more than a bucket or a shard.
+more than a bucket or a shard, and an index no more than ``INDEX_BYTES`` and
+the pieces of one key.
 
 Defined results: a null text is empty; a null doc_id is neither smaller nor
-larger than any, so its text is kept whole and removes nothing; rows that
-repeat a doc_id do not remove each other's text; an empty table gives no rows.
+larger than any, so its text is kept whole and removes nothing (such rows are
+not shuffled at all); rows that repeat a doc_id do not remove each other's
+text; a very long text is one row of its bucket; ties do not arise, as equal
+doc_ids remove nothing; further columns, whatever their names, are ignored; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import parts
-from .rindex import RunLengthIndex
+from .rindex import NOBODY, RunLengthIndex
 
 MATCH = 50
 GRAM = 16
@@ -49,12 +52,16 @@ PIECE_WINDOWS = MATCH - GRAM + 1
 BUCKET_BYTES = 4 << 20
 #: Text bytes whose keys share a shard: about one key in 18 bytes, 9 bytes each.
 SHARD_BYTES = 24 << 20
+#: Pieces of a key, summed over the buckets, above which its windows are dealt one by one.
+HOT_PIECES = 2048
+#: Text of one index; the pieces of a key stay together.
+INDEX_BYTES = 1 << 20
 _CHUNK = 1 << 16
 
-_KEYS = "shard int, bucket int, keys binary, many binary"
-_SHARED = "bucket int, keys binary"
-_PIECES = "shard int, bucket int, lengths binary, bytes binary, docs binary"
-_ANSWERS = "bucket int, shard int, keys binary, first binary, covered binary"
+_KEYS = "shard int, bucket int, keys binary, many binary, runs binary"
+_SHARED = "bucket int, keys binary, hot binary"
+_PIECES = "shard int, bucket int, hot boolean, lengths binary, bytes binary, docs binary"
+_ANSWERS = "bucket int, shard int, hot boolean, keys binary, whole binary, covered binary"
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -84,55 +91,75 @@ def window_keys(flat: np.ndarray) -> np.ndarray:
     return out
 
 
+def window_hashes(flat: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """64-bit hash of the windows of MATCH bytes at ``start``."""
+    h = np.zeros(len(start), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for d in range(MATCH):
+            h = (h ^ flat[start + d]) * np.uint64(0x9FB21C651E98DF25)
+            h ^= h >> np.uint64(29)
+    return h
+
+
 class Bucket:
     """The documents of one bucket with their runs of equal window keys."""
 
     def __init__(self, group: pa.Table):
-        self.ids = group["doc_id"].to_pylist()
+        self.ids = np.array(group["doc_id"].to_pylist(), dtype=np.int64)
         self.raw = [(t or "").encode() for t in group["text"].to_pylist()]
         sizes = np.array([len(r) for r in self.raw], dtype=np.int64)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.flat = b"".join(self.raw)
-        keys = window_keys(np.frombuffer(self.flat, dtype=np.uint8))
+        self.codes = np.frombuffer(self.flat, dtype=np.uint8)
+        keys = window_keys(self.codes)
         # a new run starts where the key or the document changes
         begin = np.zeros(len(keys) + 1, dtype=bool)
         begin[1:-1] = keys[1:] != keys[:-1]
         begin[self.starts[self.starts < len(keys)]] = True
+        begin[:1] = True
         at = np.flatnonzero(begin[:-1])
         stop = np.concatenate([at[1:], [len(keys)]]) if len(at) else at
         self.row = np.searchsorted(self.ends, at, side="right")
-        known = np.array([i is not None for i in self.ids], dtype=bool)
         if len(at):
             stop = np.minimum(stop, self.ends[self.row] - MATCH + 1)  # windows end in their document
-            ok = (stop > at) & known[self.row]
+            ok = stop > at
             at, stop, self.row = at[ok], stop[ok], self.row[ok]
         self.at, self.windows = at, stop - at
         self.key = keys[at]
 
-    def pieces(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(row, start, windows, key) of every piece whose key is in the sorted ``shared``."""
+    def marks(self) -> np.ndarray:
+        """Number per run that equal runs share: its length, first and last 8 bytes."""
+        eight = np.arange(8)
+        with np.errstate(over="ignore"):
+            head = self.codes[self.at[:, None] + eight].view(np.uint64)[:, 0]
+            tail = self.codes[(self.at + self.windows + MATCH - 9)[:, None] + eight].view(np.uint64)[:, 0]
+            return (head * np.uint64(0x9E3779B97F4A7C15) ^ tail) * np.uint64(0xD6E8FEB86659FD93) + self.windows.astype(np.uint64)
+
+    def distinct(self, shared: np.ndarray, hot: np.ndarray):
+        """Distinct pieces of the sorted keys ``shared`` as a sorted list of (key, bytes),
+        which of them are windows of ``hot`` keys, the number of each piece in
+        the list, and the pieces' row, start and windows."""
         if not len(shared) or not len(self.key):
             none = np.zeros(0, dtype=np.int64)
-            return none, none, none, none.view(np.uint64)
+            return [], none.astype(bool), none, none, none, none
         pos = np.minimum(np.searchsorted(shared, self.key), len(shared) - 1)
         sel = np.flatnonzero(shared[pos] == self.key)
-        n = -(-self.windows[sel] // PIECE_WINDOWS)  # long runs of one key are cut
-        owner = np.repeat(sel, n)
+        single = hot[pos[sel]]
+        step = np.where(single, 1, PIECE_WINDOWS)
+        n = -(-self.windows[sel] // step)  # long runs of one key are cut
+        owner, step = np.repeat(sel, n), np.repeat(step, n)
         number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        start = self.at[owner] + number * PIECE_WINDOWS
-        windows = np.minimum(self.windows[owner] - number * PIECE_WINDOWS, PIECE_WINDOWS)
-        return self.row[owner], start, windows, self.key[owner]
-
-    def distinct(self, shared: np.ndarray):
-        """Distinct pieces as a sorted list of (key, bytes), the number of each
-        piece in it, and the pieces."""
-        row, start, windows, key = self.pieces(shared)
+        start = self.at[owner] + number * step
+        windows = np.minimum(self.windows[owner] - number * step, step)
         flat = self.flat
-        texts = [(k, flat[s:s + w + MATCH - 1]) for k, s, w in zip(key.tolist(), start.tolist(), windows.tolist(), strict=True)]
+        texts = [(k, flat[s:s + w + MATCH - 1])
+                 for k, s, w in zip(self.key[owner].tolist(), start.tolist(), windows.tolist(), strict=True)]
         names = sorted(set(texts))
-        number = {t: i for i, t in enumerate(names)}
-        return names, np.array([number[t] for t in texts], dtype=np.int64), row, start, windows
+        place = {t: i for i, t in enumerate(names)}
+        key = np.array([k for k, _ in names], dtype=np.uint64)
+        return (names, hot[np.searchsorted(shared, key)], np.array([place[t] for t in texts], dtype=np.int64),
+                self.row[owner], start, windows)
 
 
 def _u64(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -144,160 +171,119 @@ def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys & np.uint64(0xFFFFFF)) % np.uint64(shards)).astype(np.int64)
 
 
+def _shards_of(names: list[tuple[int, bytes]], hot: np.ndarray, shards: int) -> np.ndarray:
+    """Twice the shard of every piece, plus one for the windows of hot keys."""
+    to = _shard_of(np.array([k for k, _ in names], dtype=np.uint64), shards) * 2
+    some = np.flatnonzero(hot)
+    if len(some):
+        joined = np.frombuffer(b"".join(names[i][1] for i in some.tolist()), dtype=np.uint8)
+        to[some] = _shard_of(window_hashes(joined, np.arange(len(some)) * MATCH), shards) * 2 + 1
+    return to
+
+
+def _table(schema: str, cols: list) -> pa.Table:
+    types = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "string": pa.string()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table([pa.array(c, types[t]) for c, (_, t) in zip(cols, fields, strict=True)], [n for n, _ in fields])
+
+
 def _send_keys(shards: int):
     def run(group: pa.Table) -> pa.Table:
         bucket = Bucket(group)
-        order = np.argsort(bucket.key, kind="stable")
-        key, row = bucket.key[order], bucket.row[order]
-        cols: list[list] = [[], [], [], []]
+        mark = bucket.marks()
+        order = np.lexsort((mark, bucket.key))
+        key, row, mark = bucket.key[order], bucket.row[order], mark[order]
+        rows = []
         if len(key):
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            first = np.flatnonzero(new)
             many = np.minimum.reduceat(row, first) != np.maximum.reduceat(row, first)
+            runs = np.add.reduceat((new | np.concatenate([[True], mark[1:] != mark[:-1]])).astype(np.int64), first)
+            runs = np.minimum(runs, 255).astype(np.uint8)
             key = key[first]
             shard = _shard_of(key, shards)
             for s in np.unique(shard).tolist():
                 sel = shard == s
-                for c, v in zip(cols, (s, group["bucket"][0].as_py(), key[sel].tobytes(),
-                                       np.packbits(many[sel]).tobytes()), strict=True):
-                    c.append(v)
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()),
-                                                        strict=True)], ["shard", "bucket", "keys", "many"])
+                rows.append((s, group["bucket"][0].as_py(), key[sel].tobytes(), np.packbits(many[sel]).tobytes(),
+                             runs[sel].tobytes()))
+        return _table(_KEYS, list(zip(*rows, strict=True)) or [[]] * 5)
     return run
 
 
-def _find_shared(group: pa.Table) -> pa.Table:
-    """Of each bucket the keys that it or another bucket has in two documents."""
-    keys = _u64(group["keys"])
-    many = [np.unpackbits(np.frombuffer(m, dtype=np.uint8), count=len(k)).astype(bool)
-            for m, k in zip(group["many"].to_pylist(), keys, strict=True)]
-    flat = np.sort(np.concatenate(keys))
-    twice = np.unique(flat[1:][flat[1:] == flat[:-1]])
-    shared = np.union1d(twice, np.concatenate([k[m] for k, m in zip(keys, many, strict=True)]))
-    out = [k[np.isin(k, shared, assume_unique=True)] for k in keys]
-    some = [i for i, k in enumerate(out) if len(k)]
-    buckets = group["bucket"].to_pylist()
-    return pa.table({"bucket": pa.array([buckets[i] for i in some], pa.int32()),
-                     "keys": pa.array([out[i].tobytes() for i in some], pa.binary())})
+def _find_shared(hot_pieces: int):
+    def run(group: pa.Table) -> pa.Table:
+        """Of each bucket the keys that it or another bucket has in two documents; which are hot."""
+        keys = _u64(group["keys"])
+        many = np.concatenate([np.unpackbits(np.frombuffer(m, dtype=np.uint8), count=len(k)).astype(bool)
+                               for m, k in zip(group["many"].to_pylist(), keys, strict=True)])
+        runs = np.concatenate([np.frombuffer(r, dtype=np.uint8) for r in group["runs"].to_pylist()]).astype(np.int64)
+        flat = np.concatenate(keys)
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
+        sizes = np.diff(first, append=len(flat))
+        good = (sizes > 1) | np.logical_or.reduceat(many[order], first)
+        shared, hot = flat[order][first][good], (np.add.reduceat(runs[order], first) > hot_pieces)[good]
+        rows = []
+        for bucket, k in zip(group["bucket"].to_pylist(), keys, strict=True):
+            pos = np.minimum(np.searchsorted(shared, k), max(len(shared) - 1, 0))
+            sel = shared[pos] == k if len(shared) else np.zeros(len(k), dtype=bool)
+            if sel.any():
+                rows.append((bucket, k[sel].tobytes(), np.packbits(hot[pos[sel]]).tobytes()))
+        return _table(_SHARED, list(zip(*rows, strict=True)) or [[]] * 3)
+    return run
 
 
 def _send_pieces(shards: int):
     def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        cols: list[list] = [[], [], [], [], []]
+        rows = []
         if docs.num_rows and shared.num_rows:
             bucket = Bucket(docs)
-            names, number, row, _, _ = bucket.distinct(np.sort(np.concatenate(_u64(shared["keys"]))))
-            ids = np.array([0 if i is None else i for i in bucket.ids], dtype=np.int64)
-            first = np.full(len(names), np.iinfo(np.int64).max)
-            np.minimum.at(first, number, ids[row])
-            keys = np.array([k for k, _ in names], dtype=np.uint64)
-            shard = _shard_of(keys, shards)
-            for s in np.unique(shard).tolist():
-                sel = np.flatnonzero(shard == s)
+            keys = _u64(shared["keys"])
+            hot = np.concatenate([np.unpackbits(np.frombuffer(h, dtype=np.uint8), count=len(k)).astype(bool)
+                                  for h, k in zip(shared["hot"].to_pylist(), keys, strict=True)])
+            flat = np.concatenate(keys)
+            order = np.argsort(flat)
+            names, is_hot, number, row, _, _ = bucket.distinct(flat[order], hot[order])
+            first = np.full(len(names), NOBODY)
+            np.minimum.at(first, number, bucket.ids[row])
+            to = _shards_of(names, is_hot, shards)
+            for s in np.unique(to).tolist():
+                sel = np.flatnonzero(to == s)
                 texts = [names[i][1] for i in sel.tolist()]
-                for c, v in zip(cols, (s, docs["bucket"][0].as_py(),
-                                       np.array([len(t) for t in texts], dtype=np.uint8).tobytes(),
-                                       zstandard.compress(b"".join(texts), 3), first[sel].tobytes()), strict=True):
-                    c.append(v)
-        types = (pa.int32(), pa.int32(), *[pa.binary()] * 3)
-        return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                        ["shard", "bucket", "lengths", "bytes", "docs"])
+                rows.append((s // 2, docs["bucket"][0].as_py(), s % 2 == 1,
+                             np.array([len(t) for t in texts], dtype=np.uint8).tobytes(),
+                             zstandard.compress(b"".join(texts), 3), first[sel].tobytes()))
+        return _table(_PIECES, list(zip(*rows, strict=True)) or [[]] * 6)
     return run
 
 
-def window_hashes(flat: np.ndarray) -> np.ndarray:
-    """64-bit hash of every window of MATCH bytes."""
-    h = (flat.astype(np.uint64) + np.uint64(0x1B873593)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> np.uint64(31)
-    out, done, width, power = None, 0, 1, np.uint64(0x9FB21C651E98DF25)
-    with np.errstate(over="ignore"):
-        while True:
-            if MATCH & width:
-                out = h if out is None else out[:len(h) - done] * power + h[done:]
-                done += width
-            if width * 2 > MATCH:
-                return out[:len(flat) - MATCH + 1]
-            h = h[:-width] * power + h[width:]
-            power, width = power * power, width * 2
-
-
-def _bits(windows: np.ndarray) -> np.uint64:
-    return np.bitwise_or.reduce(np.uint64(1) << windows.astype(np.uint64), initial=np.uint64(0))
+def covered_windows(texts: list[bytes], key: np.ndarray, first: np.ndarray,
+                    index_bytes: int = INDEX_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Per piece the document after which it is covered as a whole, and the bit
+    mask of the windows that a document before its first one has.
 
-
-def earlier_windows(texts: list[bytes], key: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Bit mask per piece of its windows that occur in a piece of the same key
-    with a smaller first document."""
+    Pieces are indexed some keys at a time; a window is covered in a document
+    if the index holds it for a smaller one.
+    """
+    whole = np.full(len(texts), NOBODY)
     covered = np.zeros(len(texts), dtype=np.uint64)
-    # pieces whose key has another first document
-    order = np.lexsort((first, key))
-    head = np.flatnonzero(np.diff(key[order], prepend=key[order[:1]] + np.uint64(1)) != 0)
-    mixed = np.minimum.reduceat(first[order], head) != np.maximum.reduceat(first[order], head)
-    some = order[np.repeat(mixed, np.diff(head, append=len(order)))]
-    if not len(some):
-        return covered
-    # windows that no other first document has can be left out: their hash is alone
-    strings = [texts[i] for i in some.tolist()]
-    sizes = np.array([len(t) for t in strings], dtype=np.int64)
-    begins = np.cumsum(sizes) - sizes
-    windows = sizes - MATCH + 1
-    owner = np.repeat(np.arange(len(some)), windows)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    h = window_hashes(np.frombuffer(b"".join(strings), dtype=np.uint8))[begins[owner] + offset]
-    doc = first[some][owner]
-    by = np.argsort(h, kind="stable")
-    head = np.flatnonzero(np.concatenate([[True], h[by][1:] != h[by][:-1]]))
-    shared = np.minimum.reduceat(doc[by], head) != np.maximum.reduceat(doc[by], head)
-    keep = np.zeros(len(h), dtype=bool)
-    keep[by] = np.repeat(shared, np.diff(head, append=len(by)))
-    # what is left of the pieces: ranges of windows
-    starts = np.flatnonzero(keep & ~np.concatenate([[False], keep[:-1] & (owner[1:] == owner[:-1])]))
-    stops = np.flatnonzero(keep & ~np.concatenate([keep[1:] & (owner[1:] == owner[:-1]), [False]]))
-    number: dict[tuple[int, bytes], int] = {}
-    parts_of = np.empty(len(starts), dtype=np.int64)
-    for j, (a, z) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
-        i, o = int(owner[a]), int(offset[a])
-        text = strings[i][o:o + z - a + MATCH]
-        parts_of[j] = number.setdefault((int(key[some[i]]), text), len(number))
-    names = list(number)
-    least = np.full(len(names), np.iinfo(np.int64).max)
-    np.minimum.at(least, parts_of, doc[starts])
-    found = _search(names, least)
-    for j, (a, z) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
-        part = parts_of[j]
-        n = z - a + 1
-        mask = np.uint64((1 << n) - 1) if doc[a] > least[part] else found[part]
-        covered[some[owner[a]]] |= mask << np.uint64(offset[a])
-    return covered
-
-
-def _search(names: list[tuple[int, bytes]], least: np.ndarray) -> np.ndarray:
-    """Per part the mask of its windows that an earlier part of its key has:
-    earlier parts are indexed, later ones stream their matching statistics."""
-    covered = np.zeros(len(names), dtype=np.uint64)
-    key = np.array([k for k, _ in names], dtype=np.uint64)
-    order = np.lexsort((least, key))
-    k, f = key[order], least[order]
-    new_key = np.concatenate([[True], k[1:] != k[:-1]])
-    new_doc = new_key | np.concatenate([[True], f[1:] != f[:-1]])
-    # place of a part's first document among those of its key, number of its key
-    serial, group = np.cumsum(new_doc), np.cumsum(new_key)
-    place = serial - np.maximum.accumulate(np.where(new_key, serial, 0))
-    half = 1
-    while half <= place.max(initial=0):
-        # odd blocks look for their windows in the even block before them
-        block = place // half
-        pair = group * (int(block.max()) // 2 + 1) + block // 2
-        odd = block % 2 == 1
-        asked = np.unique(pair[odd])
-        late = np.flatnonzero(odd)
-        early = np.flatnonzero(~odd & np.isin(pair, asked))
-        index = RunLengthIndex([names[i][1] for i in order[early].tolist()], MATCH, np.searchsorted(asked, pair[early]))
-        texts = [names[i][1] for i in order[late].tolist()]
-        lengths = index.matching_statistics(texts, np.searchsorted(asked, pair[late]))
-        for i, text, length in zip(order[late].tolist(), texts, lengths, strict=True):
-            covered[i] |= _bits(np.flatnonzero(length[:len(text) - MATCH + 1] >= MATCH))
-        half *= 2
-    return covered
+    order = np.argsort(key, kind="stable")
+    sizes = np.array([len(texts[i]) for i in order.tolist()], dtype=np.int64)
+    heads = np.flatnonzero(np.diff(key[order], prepend=key[order[:1]] + np.uint64(1)) != 0)
+    before = (np.cumsum(sizes) - sizes)[heads]
+    cuts = heads[np.flatnonzero(np.diff(before // index_bytes, prepend=-1))].tolist() + [len(order)]
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+        own = order[a:z]
+        strings = [texts[i] for i in own.tolist()]
+        n = sizes[a:z] - MATCH + 1
+        index = RunLengthIndex(strings, MATCH, first[own])
+        found = np.concatenate([e[:w] for e, w in zip(index.earliest(strings), n.tolist(), strict=True)])
+        begin = np.cumsum(n) - n
+        offset = (np.arange(len(found)) - np.repeat(begin, n)).astype(np.uint64)
+        whole[own] = np.maximum.reduceat(found, begin)
+        bit = np.where(found < np.repeat(first[own], n), np.uint64(1) << offset, np.uint64(0))
+        covered[own] = np.bitwise_or.reduceat(bit, begin)
+    return whole, covered
 
 
 def _compare(group: pa.Table) -> pa.Table:
@@ -320,62 +306,77 @@ def _compare(group: pa.Table) -> pa.Table:
     flat = np.concatenate(every)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     key = window_keys(np.frombuffer(b"".join(texts), dtype=np.uint8))[np.cumsum(sizes) - sizes]
-    first = np.full(len(texts), np.iinfo(np.int64).max)
+    first = np.full(len(texts), NOBODY)
     np.minimum.at(first, flat, np.concatenate([np.frombuffer(r["docs"], dtype=np.int64) for r in rows]))
-    covered = earlier_windows(texts, key, first)
-    return pa.table({
-        "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
-        "shard": pa.array([r["shard"] for r in rows], pa.int32()),
-        "keys": pa.array([key[i].tobytes() for i in every], pa.binary()),
-        "first": pa.array([first[i].tobytes() for i in every], pa.binary()),
-        "covered": pa.array([covered[i].tobytes() for i in every], pa.binary())})
-
-
-def _cut(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    """Remove the covered bytes of one bucket's documents."""
-    bucket = Bucket(docs)
-    gone = np.zeros(len(bucket.flat) + 1, dtype=np.int64)
-    if answers.num_rows:
-        keys = np.concatenate(_u64(answers["keys"]))
-        # a shard answers in the order of its keys and bytes, and so are pieces numbered
-        order = np.argsort(keys, kind="stable")
-        names, number, row, start, windows = bucket.distinct(np.unique(keys))
-        if len(names) != len(keys) or any(a != b for (a, _), b in zip(names, keys[order].tolist(), strict=True)):
-            raise ValueError("the answers do not fit the bucket's pieces")
-        first = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in answers["first"].to_pylist()])[order]
-        covered = np.concatenate(_u64(answers["covered"]))[order]
-        ids = np.array([0 if i is None else i for i in bucket.ids], dtype=np.int64)
-        whole = ids[row] > first[number]
-        np.add.at(gone, start[whole], 1)
-        np.add.at(gone, start[whole] + windows[whole] + MATCH - 1, -1)
-        part = np.flatnonzero(~whole & (covered[number] > 0))
-        for bit in range(PIECE_WINDOWS):
-            hit = part[(covered[number[part]] >> np.uint64(bit)) & np.uint64(1) > 0]
-            np.add.at(gone, start[hit] + bit, 1)
-            np.add.at(gone, start[hit] + bit + MATCH, -1)
-    gone = np.cumsum(gone)[:-1] > 0
-    flat = np.frombuffer(bucket.flat, dtype=np.uint8)
-    cols: list[list] = [[], [], [], [], []]
-    for doc, raw, lo, hi in zip(bucket.ids, bucket.raw, bucket.starts.tolist(), bucket.ends.tolist(), strict=True):
-        cut = gone[lo:hi]
-        n = int(cut.sum())
-        spans = int(cut[:1].sum() + (cut[1:] & ~cut[:-1]).sum()) if n else 0
-        kept = flat[lo:hi][~cut].tobytes() if n else raw
-        for c, v in zip(cols, (doc, len(raw), n, spans, hashlib.sha256(kept).hexdigest()), strict=True):
-            c.append(v)
-    return pa.table([pa.array(c, t) for c, t in zip(cols, (*[pa.int64()] * 4, pa.string()), strict=True)],
-                    ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-
-def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    whole, covered = covered_windows(texts, key, first)
+    return _table(_ANSWERS, [[r["bucket"] for r in rows], [r["shard"] for r in rows], [r["hot"] for r in rows],
+                             *([v[i].tobytes() for i in every] for v in (key, whole, covered))])
+
+
+def _cut(shards: int):
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        """Remove the covered bytes of one bucket's documents."""
+        bucket = Bucket(docs)
+        gone = np.zeros(len(bucket.flat) + 1, dtype=np.int64)
+        if answers.num_rows:
+            sent = answers.to_pylist()
+            keys = [np.frombuffer(r["keys"], dtype=np.uint64) for r in sent]
+            shared = np.unique(np.concatenate(keys))
+            hot = np.isin(shared, np.concatenate([k for k, r in zip(keys, sent, strict=True) if r["hot"]] or [shared[:0]]))
+            names, is_hot, number, row, start, windows = bucket.distinct(shared, hot)
+            # a shard answers in the order in which its pieces were sent
+            to = _shards_of(names, is_hot, shards)
+            name_key = np.array([k for k, _ in names], dtype=np.uint64)
+            last = np.full(len(names), NOBODY)
+            covered = np.zeros(len(names), dtype=np.uint64)
+            done = 0
+            for r, k in zip(sent, keys, strict=True):
+                sel = np.flatnonzero(to == r["shard"] * 2 + r["hot"])
+                if not np.array_equal(name_key[sel], k):
+                    raise ValueError("the answers do not fit the bucket's pieces")
+                last[sel] = np.frombuffer(r["whole"], dtype=np.int64)
+                covered[sel] = np.frombuffer(r["covered"], dtype=np.uint64)
+                done += len(sel)
+            if done != len(names):
+                raise ValueError("a piece has no answer")
+            whole = bucket.ids[row] > last[number]
+            np.add.at(gone, start[whole], 1)
+            np.add.at(gone, start[whole] + windows[whole] + MATCH - 1, -1)
+            part = np.flatnonzero(~whole & (covered[number] > 0))
+            for bit in range(PIECE_WINDOWS):
+                hit = part[(covered[number[part]] >> np.uint64(bit)) & np.uint64(1) > 0]
+                np.add.at(gone, start[hit] + bit, 1)
+                np.add.at(gone, start[hit] + bit + MATCH, -1)
+        gone = np.cumsum(gone)[:-1] > 0
+        rows = []
+        for doc, raw, lo, hi in zip(bucket.ids.tolist(), bucket.raw, bucket.starts.tolist(), bucket.ends.tolist(), strict=True):
+            cut = gone[lo:hi]
+            n = int(cut.sum())
+            spans = int(cut[:1].sum() + (cut[1:] & ~cut[:-1]).sum()) if n else 0
+            kept = bucket.codes[lo:hi][~cut].tobytes() if n else raw
+            rows.append((doc, len(raw), n, spans, hashlib.sha256(kept).hexdigest()))
+        return _table(_RESULT, list(zip(*rows, strict=True)) or [[]] * 5)
+    return run
+
+
+def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, shard_bytes: int = SHARD_BYTES,
+                   hot_pieces: int = HOT_PIECES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row of ``docs``."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, shards = parts(size, bucket_bytes), parts(size, shard_bytes)
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("bucket"))
+    dealt = (docs.where(F.col("doc_id").isNotNull())
+             .select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                     F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int").alias("bucket")))
     keys = dealt.groupBy("bucket").applyInArrow(_send_keys(shards), _KEYS)
-    shared = keys.groupBy("shard").applyInArrow(_find_shared, _SHARED)
+    shared = keys.groupBy("shard").applyInArrow(_find_shared(hot_pieces), _SHARED)
     pieces = (dealt.groupBy("bucket").cogroup(shared.groupBy("bucket"))
               .applyInArrow(_send_pieces(shards), _PIECES))
     answers = pieces.groupBy("shard").applyInArrow(_compare, _ANSWERS)
-    return (dealt.groupBy("bucket").cogroup(answers.groupBy("bucket"))
-            .applyInArrow(_cut, _RESULT))
+    cleaned = (dealt.groupBy("bucket").cogroup(answers.groupBy("bucket"))
+               .applyInArrow(_cut(shards), _RESULT))
+    text = F.coalesce("text", F.lit(""))
+    nobody = docs.where(F.col("doc_id").isNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
+        F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
+        F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+    return cleaned.unionByName(nobody)

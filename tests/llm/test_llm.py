@@ -8,6 +8,8 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 import __spark_entry__ as E
@@ -26,7 +28,7 @@ from ripplerec.llm import (
     toxicity,
 )
 from ripplerec.llm.queries import ORACLE_SQL, QUERIES
-from ripplerec.llm.rindex import RunLengthIndex
+from ripplerec.llm.rindex import NOBODY, RunLengthIndex
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, key string"
@@ -475,16 +477,64 @@ def test_substring_dedup(spark, docs, odd):
     assert rows_of(substring_dedup.remove_repeats(docs, 200_000, 400_000)) == brute_repeats(rows)
 
 
+def test_substring_dedup_of_hot_keys(spark):
+    """A phrase in many contexts is split by its windows; the result is the same."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+    phrase = "a phrase of thirty-two bytes here"
+    rows = []
+    for i in range(400):
+        around = [" ".join(rng.choices(words, k=8)) for _ in range(2)]
+        rows.append((i % 390, f"{around[0]} {phrase} {around[1]}"))
+        if i % 9 == 0:
+            rows.append((1000 + i, f"x{i} {around[0][-20:]} {phrase} {around[1]}"))
+    table = spark.createDataFrame([(*r, "s", 1, b"k", True) for r in rows],
+                                  "doc_id long, text string, bucket string, shard int, keys binary, hot boolean")
+    want = brute_repeats(rows)
+    for hot in (0, 20, substring_dedup.HOT_PIECES):
+        assert rows_of(substring_dedup.remove_repeats(table, 4000, 6000, hot)) == want
+    # the text of the largest shard, with and without the split
+    buckets = [pa.table({"doc_id": [d for d, _ in rows[i::8]], "text": [t for _, t in rows[i::8]],
+                         "bucket": pa.array([i] * len(rows[i::8]), pa.int32())}) for i in range(8)]
+    shards, largest = 16, {}
+    for hot in (20, 10**6):
+        keys = pa.concat_tables([substring_dedup._send_keys(shards)(b) for b in buckets])
+        shared = pa.concat_tables([substring_dedup._find_shared(hot)(keys.filter(pc.equal(keys["shard"], s))) for s in range(shards)
+                                   if s in keys["shard"].to_pylist()])
+        text = collections.Counter()
+        for i, b in enumerate(buckets):
+            for r in substring_dedup._send_pieces(shards)(b, shared.filter(pc.equal(shared["bucket"], i))).to_pylist():
+                text[r["shard"]] += sum(r["lengths"])
+        largest[hot] = max(text.values()) / (sum(text.values()) / shards)
+    assert largest[20] < 1.5 < 3 < largest[10**6]
+
+
+def test_covered_windows_come_from_the_index():
+    rng = random.Random(11)
+    base = bytes(rng.choice(b"abc") for _ in range(400))
+    texts = sorted({base[a:a + rng.randrange(50, 85)] for a in (rng.randrange(310) for _ in range(60))})
+    first = np.array([rng.randrange(20) for _ in texts])
+    whole, covered = substring_dedup.covered_windows(texts, np.zeros(len(texts), dtype=np.uint64), first)
+    for t, f, last, mask in zip(texts, first.tolist(), whole.tolist(), covered.tolist(), strict=True):
+        least = [min(g for u, g in zip(texts, first.tolist(), strict=True) if t[i:i + 50] in u) for i in range(len(t) - 49)]
+        assert last == max(least)
+        assert [mask >> i & 1 for i in range(len(least))] == [int(x < f) for x in least]
+
+
 def test_matching_statistics():
     rng = random.Random(5)
     for _ in range(60):
         texts = [bytes(rng.choice(b"abc\x00") for _ in range(rng.randrange(30))) for _ in range(rng.randrange(1, 6))]
-        asked = [bytes(rng.choice(b"abc\xfe") for _ in range(rng.randrange(25))) for _ in range(5)]
-        limit = rng.choice((4, 8, 50))
-        for p, got in zip(asked, RunLengthIndex(texts, limit).matching_statistics(asked), strict=True):
+        asked = [bytes(rng.choice(b"abc\xfe") for _ in range(rng.randrange(25))) for _ in range(5)] + texts
+        owners = [rng.randrange(4) for _ in texts]
+        limit = rng.choice((1, 2, 4, 8, 50))
+        index = RunLengthIndex(texts, limit, np.array(owners))
+        for p, got, least in zip(asked, index.matching_statistics(asked), index.earliest(asked), strict=True):
             for i, n in enumerate(got.tolist()):
                 want = max(k for k in range(min(limit, len(p) - i) + 1) if any(p[i:i + k] in t for t in texts))
                 assert n == want
+                holds = [o for o, t in zip(owners, texts, strict=True) if n == limit and p[i:i + limit] in t]
+                assert least[i] == min(holds, default=NOBODY)
 
 
 # ------------------------------------------------------------------ op9
