@@ -27,11 +27,11 @@ def _suffix_order(text: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray,
     """
     n = len(text)
     bits = max(int(text.max(initial=0)) + 1, 1).bit_length()
-    width = max(1, min(3, limit, 62 // bits))
+    width = max(1, min(4, limit, 62 // bits))
     key = np.zeros(n, dtype=np.int64)
     for d in range(width):
         key <<= bits
-        key[:n - d] += text[d:] + 1
+        key[:max(n - d, 0)] += text[d:] + 1
     order = np.argsort(key)
     sorted_key = key[order]
     new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
@@ -68,10 +68,12 @@ class RunLengthIndex:
         # compare beyond their string, and the transform is a permutation
         k = len(strings)
         inner = symbols >= 0
-        self.alphabet, dense = np.unique(symbols[inner], return_inverse=True)
+        self.alphabet = np.flatnonzero(np.bincount(symbols[inner], minlength=256))
+        self.number = np.zeros(257, dtype=np.int64)  # of a byte in the alphabet, from 1; 0 is none
+        self.number[self.alphabet] = np.arange(1, len(self.alphabet) + 1)
         flat = np.empty(len(symbols), dtype=np.int64)
         flat[ends - 1] = np.arange(k)
-        flat[inner] = dense + k
+        flat[inner] = self.number[symbols[inner]] + k - 1
         self.shift = k - 1  # the number of a symbol, from 1, is its text value less this
         self.text = flat
         order, rank, width = _suffix_order(flat, limit)
@@ -87,17 +89,20 @@ class RunLengthIndex:
         self.first_pos = order[starts] - 1
         self.last_pos = order[self.end - 1] - 1
         # runs by character, with the number of the character's rows before each
-        self.by_char = np.argsort(self.char, kind="stable")
+        self.by_char = np.argsort(self.char.astype(np.uint16), kind="stable")
         length = (self.end - self.start)[self.by_char]
         chars = self.char[self.by_char]
         before = np.cumsum(length) - length
         first = np.concatenate([[True], chars[1:] != chars[:-1]])
         self.before = before - np.maximum.accumulate(np.where(first, before, 0))
-        counts = np.zeros(len(self.alphabet) + 1, dtype=np.int64)
-        np.add.at(counts, chars, length)
+        counts = np.bincount(chars, weights=length, minlength=len(self.alphabet) + 1).astype(np.int64)
         self.smaller = np.concatenate([[0], np.cumsum(counts)[:-1]])
         self.wide = self.size + 1
         self.key = chars * self.wide + self.start[self.by_char]
+        # what a backward step inside a run adds to the row; run of every row
+        self.step = np.empty(len(starts), dtype=np.int64)
+        self.step[self.by_char] = self.smaller[chars] + self.before - self.start[self.by_char]
+        self.run_at = np.repeat(np.arange(len(starts), dtype=np.int32), self.end - self.start)
         if owners is not None and k:
             # rows whose suffixes share their first ``limit`` symbols, with their least owner
             whole = order + limit <= self.size
@@ -152,9 +157,8 @@ class RunLengthIndex:
         of these the match's length and a row of the index that has it."""
         lengths = np.array([len(p) for p in patterns], dtype=np.int64)
         symbols, ends = self._symbols(patterns)
-        number = np.minimum(np.searchsorted(self.alphabet, symbols), max(len(self.alphabet) - 1, 0))
-        known = self.alphabet[number] == symbols if len(self.alphabet) else np.zeros(len(symbols), dtype=bool)
-        flat = np.where(known, number + 1 + self.shift, -1)  # -1 equals nothing in the text
+        number = self.number[symbols]  # of -1: the last entry, none
+        flat = np.where(number > 0, number + self.shift, -1)  # -1 equals nothing in the text
         place = ends - 2  # last character of every pattern
         row = np.zeros(len(patterns), dtype=np.int64)
         match = np.zeros(len(patterns), dtype=np.int64)
@@ -164,32 +168,28 @@ class RunLengthIndex:
         first = ends - 1 - lengths
         while len(live):
             at, r = place[live], row[live]
-            c = np.maximum(flat[at] - self.shift, 0)  # 0, a separator, if the text has no such symbol
-            none = flat[at] < 0
-            run = np.searchsorted(self.start, r, side="right") - 1
-            same = (self.char[run] == c) & ~none
-            # the character's last run that starts at or before the row, and its next one
-            up = np.searchsorted(self.key, c * self.wide + r, side="right") - 1
-            has_up = (up >= 0) & (self.char[self.by_char[np.maximum(up, 0)]] == c)
-            down = np.minimum(up + 1, len(self.key) - 1)
-            has_down = (up + 1 < len(self.key)) & (self.char[self.by_char[down]] == c)
-            step = same.copy()
-            nxt = np.where(same, self.smaller[c] + self.before[up] + r - self.start[self.by_char[up]], 0)
+            c = number[at]  # 0 if the text has no such symbol
+            run = self.run_at[r]
+            same = (self.char[run] == c) & (c > 0)
+            nxt = np.where(same, r + self.step[run], r)
             grown = np.where(same, np.minimum(match[live] + 1, self.limit), 0)
-            jump = np.flatnonzero(~same & ~none & (has_up | has_down))
+            jump = np.flatnonzero(~same & (c > 0))
             if len(jump):
-                u, d = np.maximum(up[jump], 0), down[jump]
-                ru, rd = self.by_char[u], self.by_char[d]
-                a, here = match[live][jump], at[jump]
-                lu = np.where(has_up[jump], self._compare(self.last_pos[ru], flat, here), -1)
-                ld = np.where(has_down[jump], self._compare(self.first_pos[rd], flat, here), -1)
+                # the character's last run that starts before the row, and its next one
+                cj, here = c[jump], at[jump]
+                up = np.searchsorted(self.key, cj * self.wide + r[jump], side="right") - 1
+                has_up = (up >= 0) & (self.char[self.by_char[np.maximum(up, 0)]] == cj)
+                down = np.minimum(up + 1, len(self.key) - 1)
+                has_down = (up + 1 < len(self.key)) & (self.char[self.by_char[down]] == cj)
+                u = np.maximum(up, 0)
+                ru, rd = self.by_char[u], self.by_char[down]
+                lu = np.where(has_up, self._compare(self.last_pos[ru], flat, here), -1)
+                ld = np.where(has_down, self._compare(self.first_pos[rd], flat, here), -1)
                 take_up = lu >= ld
-                nxt[jump] = self.smaller[c[jump]] + np.where(
-                    take_up, self.before[u] + self.end[ru] - 1 - self.start[ru], self.before[d])
-                grown[jump] = np.minimum(np.maximum(lu, ld), a + 1)
-                step[jump] = True
-            row[live] = np.where(step, nxt, r)
-            match[live] = np.where(step, grown, 0)
+                nxt[jump] = self.smaller[cj] + np.where(
+                    take_up, self.before[u] + self.end[ru] - 1 - self.start[ru], self.before[down])
+                grown[jump] = np.minimum(np.maximum(lu, ld), match[live][jump] + 1)
+            row[live], match[live] = nxt, grown
             out[at] = match[live]
             rows[at] = row[live]
             place[live] -= 1

@@ -14,10 +14,12 @@ neighbouring windows mostly share one.
    with more than ``HOT_PIECES`` pieces (a common phrase in many contexts) is
    split: each of its windows is a piece of its own that goes where its own
    hash tells, so that no shard has more than others of it.
-3. A shard holds all pieces of its keys.  It indexes them, some keys at a time,
-   as a run-length Burrows-Wheeler transform with sampled run ends and streams
-   their matching statistics: of every window whose match is ``MATCH`` long the
-   index tells the least document.  These documents alone decide what is covered.
+3. A shard holds all pieces of its keys and leaves out the windows that a single
+   document has, which nothing can cover.  It indexes the rest, some keys at a
+   time, as a run-length Burrows-Wheeler transform with sampled run ends and
+   streams their matching statistics: of every window whose match is ``MATCH``
+   long the index tells the least document.  These documents alone decide what
+   is covered, in equal pieces as in differing ones.
 4. The answers go back to the buckets, which cut the covered bytes out.
 
 The text is shuffled once (the exchange is shared by all steps); no step holds
@@ -54,13 +56,13 @@ BUCKET_BYTES = 4 << 20
 SHARD_BYTES = 24 << 20
 #: Pieces of a key, summed over the buckets, above which its windows are dealt one by one.
 HOT_PIECES = 2048
-#: Text of one index; the pieces of a key stay together.
-INDEX_BYTES = 1 << 20
+#: Piece text screened and indexed at once; the pieces of a key stay together.
+INDEX_BYTES = 1 << 18
 _CHUNK = 1 << 16
 
 _KEYS = "shard int, bucket int, keys binary, many binary, runs binary"
 _SHARED = "bucket int, keys binary, hot binary"
-_PIECES = "shard int, bucket int, hot boolean, lengths binary, bytes binary, docs binary"
+_PIECES = "shard int, bucket int, hot boolean, lengths binary, bytes binary, docs binary, many binary"
 _ANSWERS = "bucket int, shard int, hot boolean, keys binary, whole binary, covered binary"
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -91,14 +93,20 @@ def window_keys(flat: np.ndarray) -> np.ndarray:
     return out
 
 
-def window_hashes(flat: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """64-bit hash of the windows of MATCH bytes at ``start``."""
-    h = np.zeros(len(start), dtype=np.uint64)
+def window_hashes(flat: np.ndarray) -> np.ndarray:
+    """64-bit hash of every window of MATCH bytes."""
+    h = (flat.astype(np.uint64) + np.uint64(0x1B873593)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(31)
+    out, done, width, power = None, 0, 1, np.uint64(0x9FB21C651E98DF25)
     with np.errstate(over="ignore"):
-        for d in range(MATCH):
-            h = (h ^ flat[start + d]) * np.uint64(0x9FB21C651E98DF25)
-            h ^= h >> np.uint64(29)
-    return h
+        while True:
+            if MATCH & width:
+                out = h if out is None else out[:len(h) - done] * power + h[done:]
+                done += width
+            if width * 2 > MATCH:
+                return out[:max(len(flat) - MATCH + 1, 0)]
+            h = h[:-width] * power + h[width:]
+            power, width = power * power, width * 2
 
 
 class Bucket:
@@ -128,13 +136,13 @@ class Bucket:
         self.at, self.windows = at, stop - at
         self.key = keys[at]
 
-    def marks(self) -> np.ndarray:
+    def marks(self, runs: np.ndarray) -> np.ndarray:
         """Number per run that equal runs share: its length, first and last 8 bytes."""
         eight = np.arange(8)
         with np.errstate(over="ignore"):
-            head = self.codes[self.at[:, None] + eight].view(np.uint64)[:, 0]
-            tail = self.codes[(self.at + self.windows + MATCH - 9)[:, None] + eight].view(np.uint64)[:, 0]
-            return (head * np.uint64(0x9E3779B97F4A7C15) ^ tail) * np.uint64(0xD6E8FEB86659FD93) + self.windows.astype(np.uint64)
+            head = self.codes[self.at[runs][:, None] + eight].view(np.uint64)[:, 0]
+            tail = self.codes[(self.at + self.windows)[runs][:, None] + MATCH - 9 + eight].view(np.uint64)[:, 0]
+            return (head * np.uint64(0x9E3779B97F4A7C15) ^ tail) * np.uint64(0xD6E8FEB86659FD93) + self.windows[runs].astype(np.uint64)
 
     def distinct(self, shared: np.ndarray, hot: np.ndarray):
         """Distinct pieces of the sorted keys ``shared`` as a sorted list of (key, bytes),
@@ -177,7 +185,7 @@ def _shards_of(names: list[tuple[int, bytes]], hot: np.ndarray, shards: int) ->
     some = np.flatnonzero(hot)
     if len(some):
         joined = np.frombuffer(b"".join(names[i][1] for i in some.tolist()), dtype=np.uint8)
-        to[some] = _shard_of(window_hashes(joined, np.arange(len(some)) * MATCH), shards) * 2 + 1
+        to[some] = _shard_of(window_hashes(joined)[::MATCH], shards) * 2 + 1
     return to
 
 
@@ -190,16 +198,21 @@ def _table(schema: str, cols: list) -> pa.Table:
 def _send_keys(shards: int):
     def run(group: pa.Table) -> pa.Table:
         bucket = Bucket(group)
-        mark = bucket.marks()
-        order = np.lexsort((mark, bucket.key))
-        key, row, mark = bucket.key[order], bucket.row[order], mark[order]
+        order = np.argsort(bucket.key, kind="stable")
+        key, row = bucket.key[order], bucket.row[order]
         rows = []
         if len(key):
-            new = np.concatenate([[True], key[1:] != key[:-1]])
-            first = np.flatnonzero(new)
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             many = np.minimum.reduceat(row, first) != np.maximum.reduceat(row, first)
-            runs = np.add.reduceat((new | np.concatenate([[True], mark[1:] != mark[:-1]])).astype(np.int64), first)
-            runs = np.minimum(runs, 255).astype(np.uint8)
+            # differing runs of a key
+            size = np.diff(first, append=len(key))
+            of = np.repeat(np.arange(len(first)), size)
+            several = np.flatnonzero((size > 1)[of])
+            of, mark = of[several], bucket.marks(order[several])
+            by = np.lexsort((mark, of))
+            of, mark = of[by], mark[by]
+            equal = np.flatnonzero((of[1:] == of[:-1]) & (mark[1:] == mark[:-1]))
+            runs = np.minimum(size - np.bincount(of[equal], minlength=len(first)), 255).astype(np.uint8)
             key = key[first]
             shard = _shard_of(key, shards)
             for s in np.unique(shard).tolist():
@@ -246,46 +259,84 @@ def _send_pieces(shards: int):
             names, is_hot, number, row, _, _ = bucket.distinct(flat[order], hot[order])
             first = np.full(len(names), NOBODY)
             np.minimum.at(first, number, bucket.ids[row])
+            last = np.full(len(names), np.iinfo(np.int64).min)
+            np.maximum.at(last, number, bucket.ids[row])
             to = _shards_of(names, is_hot, shards)
             for s in np.unique(to).tolist():
                 sel = np.flatnonzero(to == s)
                 texts = [names[i][1] for i in sel.tolist()]
                 rows.append((s // 2, docs["bucket"][0].as_py(), s % 2 == 1,
                              np.array([len(t) for t in texts], dtype=np.uint8).tobytes(),
-                             zstandard.compress(b"".join(texts), 3), first[sel].tobytes()))
-        return _table(_PIECES, list(zip(*rows, strict=True)) or [[]] * 6)
+                             zstandard.compress(b"".join(texts), 3), first[sel].tobytes(),
+                             np.packbits(first[sel] != last[sel]).tobytes()))
+        return _table(_PIECES, list(zip(*rows, strict=True)) or [[]] * 7)
     return run
 
 
-def covered_windows(texts: list[bytes], key: np.ndarray, first: np.ndarray,
+def _in_two(first: np.ndarray, many: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """Of entries with equal ``by``: whether there are two documents among them."""
+    order = np.argsort(by, kind="stable")
+    value = by[order]
+    head = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    docs = first[order]
+    two = (np.minimum.reduceat(docs, head) != np.maximum.reduceat(docs, head)) | np.logical_or.reduceat(many[order], head)
+    out = np.empty(len(by), dtype=bool)
+    out[order] = np.repeat(two, np.diff(head, append=len(by)))
+    return out
+
+
+def covered_windows(texts: list[bytes], key: np.ndarray, first: np.ndarray, many: np.ndarray,
                     index_bytes: int = INDEX_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """Per piece the document after which it is covered as a whole, and the bit
     mask of the windows that a document before its first one has.
 
-    Pieces are indexed some keys at a time; a window is covered in a document
-    if the index holds it for a smaller one.
+    ``first`` is a piece's least document, ``many`` tells that it has others.
+    Windows that a single document has are left out; what remains of the pieces
+    is indexed some keys at a time and streamed, and a window is covered in a
+    document if the index holds it for a smaller one.
     """
     whole = np.full(len(texts), NOBODY)
     covered = np.zeros(len(texts), dtype=np.uint64)
-    order = np.argsort(key, kind="stable")
-    sizes = np.array([len(texts[i]) for i in order.tolist()], dtype=np.int64)
-    heads = np.flatnonzero(np.diff(key[order], prepend=key[order[:1]] + np.uint64(1)) != 0)
-    before = (np.cumsum(sizes) - sizes)[heads]
-    cuts = heads[np.flatnonzero(np.diff(before // index_bytes, prepend=-1))].tolist() + [len(order)]
+    some = np.flatnonzero(_in_two(first, many, key))
+    some = some[np.argsort(key[some], kind="stable")]
+    size = np.array([len(texts[i]) for i in some.tolist()], dtype=np.int64)
+    heads = np.flatnonzero(np.diff(key[some], prepend=key[some[:1]] + np.uint64(1)) != 0)
+    block = (np.cumsum(size) - size)[heads] // index_bytes
+    cuts = [*heads[np.flatnonzero(np.diff(block, prepend=-1))].tolist(), len(some)]
     for a, z in zip(cuts[:-1], cuts[1:], strict=True):
-        own = order[a:z]
-        strings = [texts[i] for i in own.tolist()]
-        n = sizes[a:z] - MATCH + 1
-        index = RunLengthIndex(strings, MATCH, first[own])
-        found = np.concatenate([e[:w] for e, w in zip(index.earliest(strings), n.tolist(), strict=True)])
-        begin = np.cumsum(n) - n
-        offset = (np.arange(len(found)) - np.repeat(begin, n)).astype(np.uint64)
-        whole[own] = np.maximum.reduceat(found, begin)
-        bit = np.where(found < np.repeat(first[own], n), np.uint64(1) << offset, np.uint64(0))
-        covered[own] = np.bitwise_or.reduceat(bit, begin)
+        own = some[a:z]
+        whole[own], covered[own] = _covered_block([texts[i] for i in own.tolist()], first[own], many[own])
     return whole, covered
 
 
+def _covered_block(strings: list[bytes], first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``covered_windows`` of the pieces of some whole keys."""
+    sizes = np.array([len(t) for t in strings], dtype=np.int64)
+    windows = sizes - MATCH + 1
+    begin = np.cumsum(windows) - windows
+    owner = np.repeat(np.arange(len(strings)), windows)
+    offset = np.arange(len(owner)) - begin[owner]
+    hashes = window_hashes(np.frombuffer(b"".join(strings), dtype=np.uint8))[(np.cumsum(sizes) - sizes)[owner] + offset]
+    keep = _in_two(first[owner], many[owner], hashes)
+    # what is left: runs of windows, equal ones once with their least document
+    joined = owner[1:] == owner[:-1]
+    starts = np.flatnonzero(keep & np.concatenate([[True], ~(keep[:-1] & joined)]))
+    stops = np.flatnonzero(keep & np.concatenate([~(keep[1:] & joined), [True]]))
+    place: dict[bytes, int] = {}
+    part = np.array([place.setdefault(strings[o][a:a + n + MATCH], len(place)) for o, a, n in zip(
+        owner[starts].tolist(), offset[starts].tolist(), (stops - starts).tolist(), strict=True)], dtype=np.int64)
+    found = np.full(len(owner), NOBODY)
+    if place:
+        names = list(place)
+        least = np.full(len(names), NOBODY)
+        np.minimum.at(least, part, first[owner[starts]])
+        earliest = RunLengthIndex(names, MATCH, least).earliest(names)
+        for i, a, z in zip(part.tolist(), starts.tolist(), stops.tolist(), strict=True):
+            found[a:z + 1] = earliest[i][:z - a + 1]
+    bit = np.where(found < first[owner], np.uint64(1) << offset.astype(np.uint64), np.uint64(0))
+    return np.maximum.reduceat(found, begin), np.bitwise_or.reduceat(bit, begin)
+
+
 def _compare(group: pa.Table) -> pa.Table:
     rows = group.to_pylist()
     number: dict[bytes, int] = {}
@@ -306,9 +357,14 @@ def _compare(group: pa.Table) -> pa.Table:
     flat = np.concatenate(every)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     key = window_keys(np.frombuffer(b"".join(texts), dtype=np.uint8))[np.cumsum(sizes) - sizes]
+    docs = np.concatenate([np.frombuffer(r["docs"], dtype=np.int64) for r in rows])
     first = np.full(len(texts), NOBODY)
-    np.minimum.at(first, flat, np.concatenate([np.frombuffer(r["docs"], dtype=np.int64) for r in rows]))
-    whole, covered = covered_windows(texts, key, first)
+    np.minimum.at(first, flat, docs)
+    many = np.zeros(len(texts), dtype=bool)
+    many[flat[docs != first[flat]]] = True
+    for r, own in zip(rows, every, strict=True):
+        many[own[np.unpackbits(np.frombuffer(r["many"], dtype=np.uint8), count=len(own)).astype(bool)]] = True
+    whole, covered = covered_windows(texts, key, first, many)
     return _table(_ANSWERS, [[r["bucket"] for r in rows], [r["shard"] for r in rows], [r["hot"] for r in rows],
                              *([v[i].tobytes() for i in every] for v in (key, whole, covered))])
 

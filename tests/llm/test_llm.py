@@ -511,14 +511,28 @@ def test_substring_dedup_of_hot_keys(spark):
 
 def test_covered_windows_come_from_the_index():
     rng = random.Random(11)
-    base = bytes(rng.choice(b"abc") for _ in range(400))
-    texts = sorted({base[a:a + rng.randrange(50, 85)] for a in (rng.randrange(310) for _ in range(60))})
-    first = np.array([rng.randrange(20) for _ in texts])
-    whole, covered = substring_dedup.covered_windows(texts, np.zeros(len(texts), dtype=np.uint64), first)
-    for t, f, last, mask in zip(texts, first.tolist(), whole.tolist(), covered.tolist(), strict=True):
-        least = [min(g for u, g in zip(texts, first.tolist(), strict=True) if t[i:i + 50] in u) for i in range(len(t) - 49)]
-        assert last == max(least)
-        assert [mask >> i & 1 for i in range(len(least))] == [int(x < f) for x in least]
+    for number in (1, 3, 60):
+        base = bytes(rng.choice(b"abc") for _ in range(400))
+        cut = set()
+        for a in (rng.randrange(310) for _ in range(number)):  # pieces: windows of one key
+            text = base[a:a + rng.randrange(50, 85)]
+            keys = substring_dedup.window_keys(np.frombuffer(text, dtype=np.uint8))
+            at = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            cut |= {(int(keys[i]), text[i:j + 49]) for i, j in zip(at[:-1], at[1:], strict=True)}
+        texts = [t for _, t in sorted(cut)]
+        key = np.array([k for k, _ in sorted(cut)], dtype=np.uint64)
+        first = np.array([rng.randrange(20) for _ in texts])
+        many = np.array([rng.random() < 0.3 for _ in texts])
+        for keys, size in ((np.zeros(len(texts), dtype=np.uint64), 1), (key, 100), (key, 1 << 20)):
+            whole, covered = substring_dedup.covered_windows(texts, keys, first, many, size)
+            for i, t in enumerate(texts):
+                same = [(u, f) for u, f, k in zip(texts, first.tolist(), keys.tolist(), strict=True) if k == keys[i]]
+                least = [min(g for u, g in same if t[j:j + 50] in u) for j in range(len(t) - 49)]
+                assert [int(covered[i]) >> j & 1 for j in range(len(least))] == [int(x < first[i]) for x in least]
+                if many[i]:
+                    assert whole[i] == max(least)
+                else:
+                    assert whole[i] >= first[i] or whole[i] == max(least)
 
 
 def test_matching_statistics():
