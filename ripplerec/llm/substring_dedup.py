@@ -57,7 +57,7 @@ SHARD_BYTES = 24 << 20
 #: Pieces of a key, summed over the buckets, above which its windows are dealt one by one.
 HOT_PIECES = 2048
 #: Piece text screened and indexed at once; the pieces of a key stay together.
-INDEX_BYTES = 1 << 18
+INDEX_BYTES = 1 << 17
 _CHUNK = 1 << 16
 
 _KEYS = "shard int, bucket int, keys binary, many binary, runs binary"
@@ -161,13 +161,19 @@ class Bucket:
         start = self.at[owner] + number * step
         windows = np.minimum(self.windows[owner] - number * step, step)
         flat = self.flat
-        texts = [(k, flat[s:s + w + MATCH - 1])
-                 for k, s, w in zip(self.key[owner].tolist(), start.tolist(), windows.tolist(), strict=True)]
-        names = sorted(set(texts))
-        place = {t: i for i, t in enumerate(names)}
-        key = np.array([k for k, _ in names], dtype=np.uint64)
-        return (names, hot[np.searchsorted(shared, key)], np.array([place[t] for t in texts], dtype=np.int64),
-                self.row[owner], start, windows)
+        texts = [flat[s:e] for s, e in zip(start.tolist(), (start + windows + MATCH - 1).tolist(), strict=True)]
+        place: dict[bytes, int] = {}
+        number = np.array([place.setdefault(t, len(place)) for t in texts], dtype=np.int64)
+        key = np.empty(len(place), dtype=np.uint64)  # a text has one key
+        key[number] = self.key[owner]
+        by_text = sorted(place)
+        own = np.array([place[t] for t in by_text], dtype=np.int64)
+        order = np.argsort(key[own], kind="stable")
+        rank = np.empty(len(place), dtype=np.int64)
+        rank[own[order]] = np.arange(len(place))
+        key = key[own[order]]
+        names = list(zip(key.tolist(), [by_text[i] for i in order.tolist()], strict=True))
+        return names, hot[np.searchsorted(shared, key)], rank[number], self.row[owner], start, windows
 
 
 def _u64(column: pa.ChunkedArray) -> list[np.ndarray]:
