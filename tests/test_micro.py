@@ -360,3 +360,20 @@ def test_csv_stream_twin_equals_batch(spark, tmpdir_path):
     got = sorted(tuple(r[c] for c in cols) for r in spark.table("csv_twin").collect())
     want = sorted(tuple(r[c] for c in cols) for r in read_events_csv(spark, d).collect())
     assert got == want == [(1, 2, 1000), (3, 4, 2000), (5, 6, 3000)]
+
+
+def test_request_text_is_written_once_per_vector(spark):
+    from ripplerec.functions.scalar import vector_text
+    rows = spark.createDataFrame([(1, 0, [0, 1]), (2, 9, [1]), (3, 1, [2, 3, 0]), (4, 2, []), (5, 1, None)],
+                                 "k int, u int, items array<int>")
+    uv = spark.createDataFrame([(0, [0.5, -0.25]), (1, None), (2, [1e-7, None])], "id int, vec array<float>")
+    iv = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.1, -0.0]), (2, []), (3, None)], "id int, vec array<float>")
+    for bound in (1 << 20, 0):  # looked up by broadcast, and by a join of the items
+        args = (rows, ["k"], "u", "items", uv, iv, 2)
+        floats = state_vector(*args, width=3, max_broadcast_bytes=bound)
+        texts = state_vector(*args, width=3, max_broadcast_bytes=bound, each=vector_text)
+        want = {r.k: r.q for r in floats.select("k", scoring_request_state("u", "state", F.lit(8)).alias("q")).collect()}
+        made = texts.select("k", scoring_request_state("u", "state", F.lit(8), texts=True).alias("q"))
+        assert {r.k: r.q for r in made.collect()} == want and len(want) == 5
+        # no row formats floats: the lookup's result is joined as it is
+        assert made._jdf.queryExecution().optimizedPlan().expressions().toString().count("format_string") == 0
