@@ -87,3 +87,52 @@ def test_shared_oov_key_reward_matches_brute_force(spark):
         want[(raw, end)] = -1 if p is None else sum(items.count(x) for x in p)
         prev[key] = rec
     assert got == want
+
+
+def test_users_outside_the_dictionary_do_not_meet_in_one_task(spark, tmp_path):
+    from ripplerec.plans.fixtures import Fixture
+    from ripplerec.plans.registry import _scoring, _state_rows
+    # 60 users of 5 events each are outside the dictionary, 20 of 30 events each are in it
+    rows = [(u, T0 + dt.timedelta(seconds=100 * k + u)) for u in range(80) for k in range(5 if u < 60 else 30)]
+    raw = [(k, ts, u, "view", 1.0, '{"k": %d}' % (k % 7)) for k, (u, ts) in enumerate(rows)]
+    ev = spark.createDataFrame(raw, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    ev.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(str(tmp_path / "events.parquet"))
+    vecs = [(i, [float(i)] * 64) for i in range(80)]
+    spark.createDataFrame(vecs, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    d, n_known = str(tmp_path), 20
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fx = Fixture.prepared(spark, d)
+        assert fx.user_map.count() == n_known
+        joined = _scoring(spark, d)[2]
+        for df in (joined, _state_rows(spark, d)[2]):
+            made = df.select(F.spark_partition_id().alias("task"), "raw_user", "user_id").distinct().collect()
+            outside = [r["task"] for r in made if r["user_id"] == n_known]
+            assert len(outside) == len({(r["raw_user"]) for r in made if r["user_id"] == n_known}) > 30
+            assert max(outside.count(t) for t in set(outside)) < len(outside) / 2
+        got = {r["raw_user"]: r["user_vec"] for r in joined.select("raw_user", "user_vec").collect()}
+        assert all(v == ([float(u)] * 64 if u >= 60 else None) for u, v in got.items())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_small_top_k_equals_a_full_sort():
+    from ripplerec.operators.scoring import Block, _topk_index, _walk
+    rng = np.random.default_rng(8)
+    r, ids = rng.integers(-3, 3, (500, 40)) / 8, np.arange(3, 43)
+    want = np.lexsort((np.broadcast_to(ids, r.shape), -r), axis=-1)
+    for k in (1, 8, 16, 40):
+        assert (_topk_index(r, ids, k) == want[:, :k]).all()
+    act, items = rng.integers(-3, 3, (60, 4)) / 4, rng.integers(-3, 3, (40, 4)) / 4
+    for parts in (1, 4):  # blocks of 40 and of 10 items
+        cut = [Block(np.inf, 0.0, lambda a=a: (ids[a], items[a], None)) for a in np.split(np.arange(40), parts)]
+        s = act @ items.T
+        best = ids[np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=-1)]
+        assert (_walk(act, cut, 8) == best[:, :8]).all()
+        assert (_walk(act, cut, 12) == best[:, :12]).all()
+    r[0, 5] = np.nan
+    assert (_topk_index(r, ids, 8) == np.lexsort((np.broadcast_to(ids, r.shape), -r), axis=-1)[:, :8]).all()
