@@ -120,6 +120,18 @@ def test_users_outside_the_dictionary_do_not_meet_in_one_task(spark, tmp_path):
             spark.conf.set(k, v)
 
 
+def test_reward_files_follow_the_rows(spark, monkeypatch):
+    from ripplerec.operators import segments
+    from ripplerec.plans import registry
+    paths, scratch = {}, registry._scratch
+    monkeypatch.setattr(registry, "_scratch", lambda s, name: paths.setdefault(name, scratch(s, name)))
+    monkeypatch.setattr(segments, "CHUNK_ROWS", 300)
+    from conftest import SF_SMALL
+    n = registry.q_last_reward_stream(spark, SF_SMALL).count()
+    files = [r["count"] for r in spark.read.parquet(paths["recommendations"]).groupBy(F.input_file_name()).count().collect()]
+    assert sum(files) == n > 1500 and len(files) > 3 and max(files) < n / 3
+
+
 def test_small_top_k_equals_a_full_sort():
     from ripplerec.operators.scoring import Block, _topk_index, _walk
     rng = np.random.default_rng(8)
