@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,11 +57,12 @@ class PaneRing(StatefulProcessor):
             due = self.next.get()[0]
             self.handle.deleteTimer(due)
             yield self._close(key, due, mark)
-        ends = []
+        # an item with panes has a timer; without one there is nothing to look up, pane by pane
+        known, ends = self.next.exists(), []
         for pane, cnt in new.items():
             if (pane + self.k) * self.slide <= mark:
                 continue  # every window of this pane has closed
-            old = self.panes.getValue((pane,))
+            old = self.panes.getValue((pane,)) if known else None
             self.panes.updateValue((pane,), (cnt + (old[0] if old else 0),))
             ends.append(self._first_open(pane, mark))
         if ends:
@@ -72,33 +74,31 @@ class PaneRing(StatefulProcessor):
     def _close(self, key, end: int, mark: int) -> pd.DataFrame:
         """Counts of the windows from ``end`` to the watermark; forgets panes that no open window holds."""
         ring = {p[0]: c[0] for p, c in self.panes.iterator()}
-        closed, last = [], mark // self.slide
-        at = end // self.slide  # the window ending at pane ``at`` holds the panes at - k .. at - 1
         order = sorted(ring)
-        total, lo, hi = 0, 0, 0
-        while at <= last:
-            while hi < len(order) and order[hi] < at:
-                total += ring[order[hi]]
-                hi += 1
-            while lo < hi and order[lo] < at - self.k:
-                total -= ring[order[lo]]
-                lo += 1
-            if lo == hi:
-                if hi == len(order):
-                    break
-                at = order[hi] + 1  # no window up to the next pane
-                continue
-            closed.append((at * self.slide, total))
-            at += 1
-        for p in order:
-            if (p + self.k) * self.slide <= mark:
+        panes, counts = np.array(order, dtype=np.int64), np.array([ring[p] for p in order], dtype=np.int64)
+        # the window ending at pane ``at`` holds the panes at - k .. at - 1; after a pane its k ends
+        # follow, up to the one that the next pane opens
+        first, last = np.maximum(panes + 1, end // self.slide), panes + self.k
+        last[:-1] = np.minimum(last[:-1], panes[1:])
+        n = np.maximum(np.minimum(last, mark // self.slide) - first + 1, 0)
+        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        total = upto[np.searchsorted(panes, at)] - upto[np.searchsorted(panes, at - self.k)]
+        gone = [p for p in order if (p + self.k) * self.slide <= mark]
+        stay = {p: ring[p] for p in order[len(gone):]}
+        if len(gone) > len(stay):  # each call is a message: write again what stays
+            self.panes.clear()
+            for p, cnt in stay.items():
+                self.panes.updateValue((p,), (cnt,))
+        else:
+            for p in gone:
                 self.panes.removeKey((p,))
-                del ring[p]
+        ring = stay
         self.next.clear()
         if ring:
             self._wake(min(self._first_open(p, mark) for p in ring))
-        return pd.DataFrame({"window_end": [e for e, _ in closed], "item_id": [int(key[0])] * len(closed),
-                             "cnt": [c for _, c in closed]}).astype("int64")
+        return pd.DataFrame({"window_end": at * self.slide, "item_id": np.full(len(at), int(key[0])),
+                             "cnt": total}).astype("int64")
 
     def _first_open(self, pane: int, mark: int) -> int:
         """End of the first window of a pane that the watermark has not passed."""

@@ -117,3 +117,62 @@ def test_late_records_are_kept_apart_and_none_is_lost(spark, tmp_path):
     kept = {r.event_id for r in read_split(spark, path, "kept").collect()}
     assert got == late and late_rows(spark, path) == len(late)
     assert got | kept == {r[3] for b in batches for r in b} and not got & kept
+
+
+def test_a_long_first_batch_sends_one_message_a_pane():
+    import pandas as pd
+    from ripplerec.streaming.panes import PaneRing
+    calls, ring, cell = collections.Counter(), {}, {}
+
+    class Map:
+        def getValue(self, k):
+            calls["get"] += 1
+            return ring.get(k)
+
+        def updateValue(self, k, v):
+            calls["put"] += 1
+            ring[k] = v
+
+        def removeKey(self, k):
+            calls["remove"] += 1
+            del ring[k]
+
+        def iterator(self):
+            return iter(list(ring.items()))
+
+        def clear(self):
+            ring.clear()
+
+    class Value:
+        exists = staticmethod(lambda: "at" in cell)
+        get = staticmethod(lambda: cell["at"])
+        update = staticmethod(lambda v: cell.update(at=v))
+        clear = staticmethod(lambda: cell.clear())
+
+    class Handle:
+        getMapState = staticmethod(lambda *a: Map())
+        getValueState = staticmethod(lambda *a: Value())
+        registerTimer = deleteTimer = staticmethod(lambda at: None)
+
+    class Times:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+        getExpiryTimeInMs = getCurrentWatermarkInMs
+
+    p = PaneRing(3, 10)
+    p.init(Handle())
+    rows = pd.DataFrame({"pane": range(100), "cnt": [2] * 100})
+    assert not [f for f in p.handleInputRows((7,), iter([rows]), Times(0)) if len(f)]
+    closed = next(p.handleExpiredTimer((7,), Times(995), Times(10)))
+    assert closed["cnt"].tolist() == [2, 4] + [6] * 97 and closed["window_end"].tolist() == list(range(10, 1000, 10))
+    assert sorted(ring) == [(97,), (98,), (99,)] and cell["at"] == (1000,)
+    assert calls["get"] == 0 and calls["remove"] == 0 and calls["put"] == 103
+    more = pd.DataFrame({"pane": [99, 100], "cnt": [1, 5]})
+    assert not [f for f in p.handleInputRows((7,), iter([more]), Times(995)) if len(f)]
+    assert ring[(99,)] == (3,) and calls["get"] == 2
+    assert next(p.handleExpiredTimer((7,), Times(1010), Times(1000)))["cnt"].tolist() == [7, 10]
+    assert sorted(ring) == [(99,), (100,)] and calls["remove"] == 2
