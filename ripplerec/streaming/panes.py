@@ -1,8 +1,8 @@
 """Sliding counts on a stream from a ring of panes.
 
 Spark's sliding ``window`` writes a state row per window an event falls in (45 for 60 min /
-80 s).  Here an item keeps one count per non-empty slide-long pane in a ``MapState``
-and one event-time timer: when the watermark passes a window end the
+80 s).  Here an item keeps one count per non-empty slide-long pane (``PackedRing``: all in one value,
+as a call of the processor is a message per map entry) and one event-time timer: when the watermark passes a window end the
 processor sums the panes of every window that closed, emits the counts and forgets the panes
 that no open window holds.
 
@@ -118,6 +118,62 @@ class PaneRing(StatefulProcessor):
         pass
 
 
+class PanesInOneValue:
+    """The map of an item's panes as arrays of one ``ValueState``: read once a call, written once by ``flush``."""
+
+    def __init__(self, value):
+        self.value, self.ring, self.changed = value, None, False
+
+    def _load(self) -> dict[int, int]:
+        if self.ring is None:
+            kept = self.value.get() if self.value.exists() else None
+            self.ring = dict(zip(*kept, strict=True)) if kept else {}
+        return self.ring
+
+    def getValue(self, key):
+        cnt = self._load().get(key[0])
+        return None if cnt is None else (cnt,)
+
+    def updateValue(self, key, value) -> None:
+        self._load()[key[0]] = value[0]
+        self.changed = True
+
+    def removeKey(self, key) -> None:
+        del self._load()[key[0]]
+        self.changed = True
+
+    def iterator(self):
+        return iter([((p,), (c,)) for p, c in self._load().items()])
+
+    def clear(self) -> None:
+        self.ring, self.changed = {}, True
+
+    def flush(self) -> None:
+        """End of a call: the next one is another item's."""
+        if self.changed and self.ring:
+            self.value.update((list(self.ring), list(self.ring.values())))
+        elif self.changed:
+            self.value.clear()
+        self.ring, self.changed = None, False
+
+
+class PackedRing(PaneRing):
+    """``PaneRing`` with two state messages for an item's panes a call, however many they are."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.panes = PanesInOneValue(handle.getValueState("panes", "panes array<long>, cnts array<long>"))
+        self.next = handle.getValueState("next", "at long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield from super().handleInputRows(key, rows, timerValues)
+        self.panes.flush()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+        self.panes.flush()
+
+
 def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if b.num_rows:
@@ -138,7 +194,7 @@ def pane_counts_stream(records: DataFrame, item_map: DataFrame | None = None, la
                       F.floor(F.unix_micros("ts") / F.lit(slide_sec * 1_000_000)).alias("pane"))
     counted = panes.mapInArrow(_partial, "item_id int, pane long, cnt long")
     return counted.groupBy("item_id").transformWithStateInPandas(
-        statefulProcessor=PaneRing(window_sec // slide_sec, slide_sec * 1000), outputStructType=COUNTS_OUT,
+        statefulProcessor=PackedRing(window_sec // slide_sec, slide_sec * 1000), outputStructType=COUNTS_OUT,
         outputMode="Append", timeMode="EventTime")
 
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..session import path_exists, staged
 from .. import constants as K
 from ..operators.lookup import map_ids
 from ..operators.windows import with_event_time
@@ -100,11 +100,12 @@ class RankLog:
 
     def publish(self, batch: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body of ranked rows (window_end, rank, item_id)."""
-        rows = batch.select("window_end", "rank", "item_id", F.floor(F.col("window_end") / DAY_MS).alias("day"))
-        # a replay writes the same days' folders of its id again
-        (rows.withColumn("batch_id", F.lit(batch_id)).repartition("day").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(f"{self.path.rstrip('/')}/rows"))
-        self._last().append(rows, batch_id)
+        ranked = batch.select("window_end", "rank", "item_id", F.floor(F.col("window_end") / DAY_MS).alias("day"))
+        with staged(ranked, "ranked") as rows:
+            # a replay writes the same days' folders of its id again
+            (rows.withColumn("batch_id", F.lit(batch_id)).repartition("day").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(f"{self.path.rstrip('/')}/rows"))
+            self._last().append(rows, batch_id)
 
     def upto(self, spark: SparkSession, times: DataFrame, t: str = "t") -> DataFrame:
         """(window_end, rank, item_id): the writes that answer any of ``times`` as of them."""
