@@ -123,7 +123,8 @@ def links(prints: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
     seg0 = F.bit_count(F.col("l.fp").bitwiseXOR(F.col("r.fp")).bitwiseAND(F.lit((1 << SEG_BITS) - 1)))
     exact = F.expr(f"(l.key >> {SEG_BITS}) & 63") == SEG_BITS
     first = F.expr(f"(l.key >> {SEG_BITS + 6})") == 0
-    pairs = (left.alias("l").join(right.alias("r"), "key")
+    # Spark sizes an exploded table like the one below it, dozens of times too small: never broadcast
+    pairs = (left.alias("l").join(right.hint("merge").alias("r"), "key")
              .where((_distance("l.fp", "r.fp") <= MAX_BITS)
                     & (~exact | (F.col("l.fp") < F.col("r.fp")))  # an exact entry is on both sides
                     & (first | (seg0 > 1)))
@@ -131,7 +132,7 @@ def links(prints: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
     if busy:
         stars = members.mapInArrow(_patterns, "key long, mask long, star long, fp long")
         least = stars.groupBy("key", "mask", "star").agg(F.min("fp").alias("m"))
-        pairs = pairs.union(stars.join(least, ["key", "mask", "star"]).where("fp <> m")
+        pairs = pairs.union(stars.join(least.hint("merge"), ["key", "mask", "star"]).where("fp <> m")
                             .select(F.col("fp").alias("a"), F.col("m").alias("b")).distinct())
     return pairs
 

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from ripplerec.llm import (
@@ -292,6 +293,15 @@ def test_simhash_links_across_the_bit_of_a_hot_wildcard_bucket(spark):
         assert {frozenset((a % (1 << 64), b % (1 << 64))) for a, b in got} == want
 
 
+def test_simhash_index_is_never_broadcast(spark):
+    # the fingerprints are far below the broadcast threshold, their exploded index is not sized
+    nodes = spark.range(50).select((F.col("id") * 7919).alias("fp"))
+    for hot in (simhash_dedup.HOT_BUCKET, 3):
+        plan = simhash_dedup.links(nodes, hot)._jdf.queryExecution().executedPlan().toString()
+        inner = re.findall(r"(\w+Join)[^\n]*, Inner", plan)
+        assert inner and set(inner) == {"SortMergeJoin"}
+
+
 def test_exact_dedup_sql(spark, docs):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
