@@ -74,8 +74,7 @@ class RunLengthIndex:
         flat = np.empty(len(symbols), dtype=np.int64)
         flat[ends - 1] = np.arange(k)
         flat[inner] = self.number[symbols[inner]] + k - 1
-        self.shift = k - 1  # the number of a symbol, from 1, is its text value less this
-        self.text = flat
+        self.words, self.left = self._words(strings, ends)
         order, rank, width = _suffix_order(flat, limit)
         bwt = flat[order - 1]  # of position 0: the last separator
         bwt[bwt < k] = SEPARATOR if k else 0
@@ -118,22 +117,32 @@ class RunLengthIndex:
         """Symbols of the joined strings, -1 behind each; ends of the strings."""
         sizes = np.array([len(s) + 1 for s in strings], dtype=np.int64)
         ends = np.cumsum(sizes)
-        out = np.frombuffer(b"".join(s + b"\0" for s in strings), dtype=np.uint8).astype(np.int64)
+        out = np.frombuffer(b"\0".join([*strings, b""]), dtype=np.uint8).astype(np.int64)
         out[ends - 1] = -1
         return out, ends
 
-    def _compare(self, pos: np.ndarray, pattern: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Common prefix, up to the limit, of text[pos:] and pattern[at:]."""
-        out = np.zeros(len(pos), dtype=np.int64)
-        live = np.arange(len(pos))
-        for d in range(self.limit):
-            p, q = pos[live] + d, at[live] + d
-            ok = (p < self.size) & (q < len(pattern))
-            ok[ok] = self.text[p[ok]] == pattern[q[ok]]
-            live = live[ok]
+    @staticmethod
+    def _words(strings: list[bytes], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every place of the joined strings the next 8 bytes as one number, and the bytes left in its string."""
+        sizes = np.diff(ends, prepend=0)
+        raw = b"\0".join(strings) + bytes(72)
+        words = np.ndarray((len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,))
+        return words, np.repeat(ends - 1, sizes) - np.arange(sizes.sum())
+
+    def _compare(self, pos: np.ndarray, words: np.ndarray, left: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Common prefix, up to the limit, of text[pos:] and the pattern at ``at``, 8 bytes at a time."""
+        out = np.minimum(np.minimum(self.left[pos], left[at]), self.limit)
+        live = np.flatnonzero(out)
+        for d in range(0, self.limit, 8):
             if not len(live):
                 break
-            out[live] += 1
+            differ = self.words[pos[live] + d] ^ words[at[live] + d]
+            some = np.flatnonzero(differ)
+            if len(some):
+                x = differ[some]
+                low = (x & (~x + np.uint64(1))).astype(np.float64)  # a power of two: the first differing bit
+                out[live[some]] = np.minimum(out[live[some]], d + (np.frexp(low)[1] - 1) // 8)
+            live = live[(differ == 0) & (out[live] > d + 8)]
         return out
 
     def matching_statistics(self, patterns: list[bytes]) -> list[np.ndarray]:
@@ -145,53 +154,62 @@ class RunLengthIndex:
     def earliest(self, patterns: list[bytes]) -> list[np.ndarray]:
         """Per pattern and place: least owner of the strings that hold the next
         ``limit`` bytes, ``NOBODY`` where the match is shorter."""
+        first, lengths, out = self.earliest_flat(patterns)
+        return [out[f:f + n] for f, n in zip(first.tolist(), lengths.tolist(), strict=True)]
+
+    def earliest_flat(self, patterns: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``earliest`` of all patterns in one array; where each begins in it, and its length."""
         first, lengths, match, row = self._stream(patterns)
         out = np.full(len(match), NOBODY)
         hit = np.flatnonzero(match >= self.limit)
         if len(hit):
             out[hit] = self.class_owner[np.searchsorted(self.class_start, row[hit], side="right") - 1]
-        return [out[f:f + n] for f, n in zip(first.tolist(), lengths.tolist(), strict=True)]
+        return first, lengths, out
 
     def _stream(self, patterns: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Start and length of every pattern in the joined patterns; per place
         of these the match's length and a row of the index that has it."""
         lengths = np.array([len(p) for p in patterns], dtype=np.int64)
         symbols, ends = self._symbols(patterns)
-        number = self.number[symbols]  # of -1: the last entry, none
-        flat = np.where(number > 0, number + self.shift, -1)  # -1 equals nothing in the text
-        place = ends - 2  # last character of every pattern
+        words, left = self._words(patterns, ends)
+        code = self.number[symbols]  # of -1: the last entry, none
+        code[code == 0] = -1  # the text has no such symbol
+        out = np.zeros(len(code), dtype=np.int64)
+        rows = np.zeros(len(code), dtype=np.int64)
+        first = ends - 1 - lengths
+        # the longest patterns first: those that still have characters are always the first ones
+        order = np.argsort(-lengths, kind="stable")
+        falling = lengths[order]
+        last = (ends - 2)[order]
         row = np.zeros(len(patterns), dtype=np.int64)
         match = np.zeros(len(patterns), dtype=np.int64)
-        out = np.zeros(len(flat), dtype=np.int64)
-        rows = np.zeros(len(flat), dtype=np.int64)
-        live = np.flatnonzero(lengths > 0)
-        first = ends - 1 - lengths
-        while len(live):
-            at, r = place[live], row[live]
-            c = number[at]  # 0 if the text has no such symbol
+        longest = int(falling[0]) if len(falling) else 0
+        still = len(falling) - np.searchsorted(falling[::-1], np.arange(longest), side="right")
+        for step, n in enumerate(still.tolist()):
+            at, r, m = last[:n] - step, row[:n], match[:n]
+            c = code[at]
             run = self.run_at[r]
-            same = (self.char[run] == c) & (c > 0)
-            nxt = np.where(same, r + self.step[run], r)
-            grown = np.where(same, np.minimum(match[live] + 1, self.limit), 0)
-            jump = np.flatnonzero(~same & (c > 0))
-            if len(jump):
-                # the character's last run that starts before the row, and its next one
-                cj, here = c[jump], at[jump]
-                up = np.searchsorted(self.key, cj * self.wide + r[jump], side="right") - 1
-                has_up = (up >= 0) & (self.char[self.by_char[np.maximum(up, 0)]] == cj)
-                down = np.minimum(up + 1, len(self.key) - 1)
-                has_down = (up + 1 < len(self.key)) & (self.char[self.by_char[down]] == cj)
-                u = np.maximum(up, 0)
-                ru, rd = self.by_char[u], self.by_char[down]
-                lu = np.where(has_up, self._compare(self.last_pos[ru], flat, here), -1)
-                ld = np.where(has_down, self._compare(self.first_pos[rd], flat, here), -1)
-                take_up = lu >= ld
-                nxt[jump] = self.smaller[cj] + np.where(
-                    take_up, self.before[u] + self.end[ru] - 1 - self.start[ru], self.before[down])
-                grown[jump] = np.minimum(np.maximum(lu, ld), match[live][jump] + 1)
-            row[live], match[live] = nxt, grown
-            out[at] = match[live]
-            rows[at] = row[live]
-            place[live] -= 1
-            live = live[place[live] >= first[live]]
+            other = np.flatnonzero(self.char[run] != c)
+            nxt = r + self.step[run]
+            grown = np.minimum(m + 1, self.limit)
+            if len(other):
+                nxt[other], grown[other] = r[other], 0
+                jump = other[c[other] > 0]
+                if len(jump):
+                    # the character's last run that starts before the row, and its next one
+                    cj, here = c[jump], at[jump]
+                    up = np.searchsorted(self.key, cj * self.wide + r[jump], side="right") - 1
+                    has_up = (up >= 0) & (self.char[self.by_char[np.maximum(up, 0)]] == cj)
+                    down = np.minimum(up + 1, len(self.key) - 1)
+                    has_down = (up + 1 < len(self.key)) & (self.char[self.by_char[down]] == cj)
+                    u = np.maximum(up, 0)
+                    ru, rd = self.by_char[u], self.by_char[down]
+                    lu = np.where(has_up, self._compare(self.last_pos[ru], words, left, here), -1)
+                    ld = np.where(has_down, self._compare(self.first_pos[rd], words, left, here), -1)
+                    take_up = lu >= ld
+                    nxt[jump] = self.smaller[cj] + np.where(
+                        take_up, self.before[u] + self.end[ru] - 1 - self.start[ru], self.before[down])
+                    grown[jump] = np.minimum(np.maximum(lu, ld), m[jump] + 1)
+            row[:n], match[:n] = nxt, grown
+            out[at], rows[at] = grown, nxt
         return first, lengths, out, rows

@@ -54,11 +54,12 @@ PIECE_WINDOWS = MATCH - GRAM + 1
 BUCKET_BYTES = 4 << 20
 #: Text bytes whose keys share a shard: about one key in 18 bytes, 9 bytes each.
 SHARD_BYTES = 24 << 20
-#: Pieces of a key, summed over the buckets, above which its windows are dealt one by one.
-HOT_PIECES = 2048
+#: Pieces of a key, summed over the buckets, above which its windows are dealt one by one: at most
+#: 1.4 MB of text, about a tenth of a shard.  A lower bound splits most keys of a larger corpus.
+HOT_PIECES = 16_384
 #: Piece text screened and indexed at once; the pieces of a key stay together.
 INDEX_BYTES = 1 << 17
-_CHUNK = 1 << 16
+_CHUNK = 1 << 15
 
 _KEYS = "shard int, bucket int, keys binary, many binary, runs binary"
 _SHARED = "bucket int, keys binary, hot binary"
@@ -336,9 +337,9 @@ def _covered_block(strings: list[bytes], first: np.ndarray, many: np.ndarray) ->
         names = list(place)
         least = np.full(len(names), NOBODY)
         np.minimum.at(least, part, first[owner[starts]])
-        earliest = RunLengthIndex(names, MATCH, least).earliest(names)
-        for i, a, z in zip(part.tolist(), starts.tolist(), stops.tolist(), strict=True):
-            found[a:z + 1] = earliest[i][:z - a + 1]
+        at, _, earliest = RunLengthIndex(names, MATCH, least).earliest_flat(names)
+        n = stops - starts + 1
+        found[keep] = earliest[np.repeat(at[part] - np.cumsum(n) + n, n) + np.arange(n.sum())]
     bit = np.where(found < first[owner], np.uint64(1) << offset.astype(np.uint64), np.uint64(0))
     return np.maximum.reduceat(found, begin), np.bitwise_or.reduceat(bit, begin)
 
@@ -346,20 +347,14 @@ def _covered_block(strings: list[bytes], first: np.ndarray, many: np.ndarray) ->
 def _compare(group: pa.Table) -> pa.Table:
     rows = group.to_pylist()
     number: dict[bytes, int] = {}
-    texts: list[bytes] = []
     every: list[np.ndarray] = []
     for r in rows:
         lengths = np.frombuffer(r["lengths"], dtype=np.uint8).astype(np.int64)
         ends = np.cumsum(lengths)
-        own = []
         joined = zstandard.decompress(r["bytes"])
-        for e, n in zip(ends.tolist(), lengths.tolist(), strict=True):
-            t = joined[e - n:e]
-            i = number.setdefault(t, len(texts))
-            if i == len(texts):
-                texts.append(t)
-            own.append(i)
-        every.append(np.array(own, dtype=np.int64))
+        every.append(np.array([number.setdefault(joined[s:e], len(number)) for s, e in zip(
+            (ends - lengths).tolist(), ends.tolist(), strict=True)], dtype=np.int64))
+    texts = list(number)
     flat = np.concatenate(every)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     key = window_keys(np.frombuffer(b"".join(texts), dtype=np.uint8))[np.cumsum(sizes) - sizes]

@@ -563,6 +563,25 @@ def test_matching_statistics():
 
 # ------------------------------------------------------------------ op9
 
+def test_index_compares_eight_bytes_at_a_time():
+    rng = random.Random(8)
+    strings = [bytes(rng.choice(b"\0ab\xff") for _ in range(rng.randrange(0, 70))) for _ in range(60)]
+    strings += [strings[3][:20] + b"ab" * 20 + bytes([i]) for i in range(9)]
+    index = RunLengthIndex(strings, 50, np.arange(len(strings)))
+    starts = np.cumsum([0] + [len(s) + 1 for s in strings])
+    pos, at = (np.array([rng.randrange(starts[-1]) for _ in range(4000)]) for _ in range(2))
+    at[:500] = pos[:500]
+    text = [s[i:] for s in strings for i in range(len(s) + 1)]
+    want = [next((i for i, (a, b) in enumerate(zip(text[p], text[q])) if a != b), min(len(text[p]), len(text[q])))
+            for p, q in zip(pos, at)]
+    got = index._compare(pos, index.words, index.left, at)
+    assert got.tolist() == [min(w, 50) for w in want] and max(want) > 50
+    first, lengths, flat = index.earliest_flat(strings)
+    for s, f, n in zip(strings, first.tolist(), lengths.tolist()):
+        assert flat[f:f + n].tolist() == [
+            next((o for o, t in enumerate(strings) if s[i:i + 50] in t), None) if len(s) - i >= 50 else NOBODY for i in range(n)]
+
+
 def test_tiling_of_reordered_passages(spark):
     item = " ".join(f"w{i}" for i in range(40))
     parts = item.split()
